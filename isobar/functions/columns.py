@@ -73,7 +73,8 @@ def title_label(c) -> Column:
 
 def one_decimal_text(c) -> Column:
     """text with exactly one decimal of a value already rounded to 1 dp."""
-    return F.format_string("%.1f", _col(c).cast("decimal(20,1)"))
+    v = F.round(_col(c).cast("decimal(20,6)"), 1)
+    return F.when(v.isNotNull(), F.format_string("%.1f", v.cast("double")))
 
 
 def signed_label(delta) -> Column:
@@ -92,7 +93,7 @@ def signed_label(delta) -> Column:
 def signed_text(delta) -> Column:
     """``{v:+.1f}°F`` of a value rounded to 1 dp first."""
     d = F.round(_col(delta).cast("decimal(20,6)"), 1)
-    return F.concat(F.when(d >= 0, F.lit("+")).otherwise(F.lit("")), one_decimal_text(d), F.lit("°F"))
+    return F.concat(F.when(d >= 0, F.lit("+")).otherwise(F.lit("")), one_decimal_text(d), F.lit("°F"))  # NULL in, NULL out
 
 
 def utc_to_local(ts_utc, zone) -> Column:

@@ -42,10 +42,14 @@ def round_div(num, den) -> Column:
     return F.when(n < 0, -q).otherwise(q)
 
 
-def to_decimal(q, digits: int) -> Column:
-    """Integer ``q`` times ``10^-digits`` as ``decimal(38, digits)`` (exact)."""
+def to_decimal(q, digits: int, precision: int = 18) -> Column:
+    """Integer ``q`` times ``10^-digits`` as ``decimal(precision, digits)`` (exact).
+
+    Narrow on purpose: arithmetic on ``decimal(38, s)`` operands makes Spark drop scale
+    ("precision loss"), e.g. ``decimal(38,2) - 2`` would come back at scale 1.
+    """
     step = Decimal(1).scaleb(-digits)
-    return (_col(q).cast(WIDE_INT) * F.lit(step)).cast(f"decimal(38,{digits})")
+    return (_col(q).cast(WIDE_INT) * F.lit(step)).cast(f"decimal({precision},{digits})")
 
 
 def mean_half_up(sum_scaled, n, digits: int, scale: int = 6) -> Column:

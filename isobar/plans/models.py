@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isobar.functions import columns as C
-from isobar.functions.numeric import mean_half_up, round_ratio, scaled_int, to_decimal
+from isobar.functions.numeric import mean_half_up, round_ratio, scaled_int
 from isobar.operators.dedupe import first_in_order, latest_per_key, order_keys
 from isobar.operators.enrich import DEFAULT_BROADCAST_ROWS, attach_locations
 from isobar.operators.flatten import flatten_section
@@ -58,11 +58,11 @@ def dedupe_daily(stg: DataFrame) -> DataFrame:
     )
 
 
-def int_hourly(stg: DataFrame, locations: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """D1 -> J1 -> P6, F8-F12, F2, W1."""
+def enrich_hourly(stg: DataFrame, locations: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """D1 -> J1 -> P6, F8-F12, F2 (everything of int_hourly except the rolling mean)."""
     d = attach_locations(dedupe_hourly(stg), locations, max_broadcast_rows)
     ts = F.col("observation_hour")
-    d = d.withColumns(
+    return d.withColumns(
         {
             "observation_date": C.observation_date(ts),
             "hour_of_day": C.hour_of_day(ts),
@@ -71,8 +71,12 @@ def int_hourly(stg: DataFrame, locations: DataFrame, max_broadcast_rows: int = D
             "temperature_2m_c": C.fahrenheit_to_celsius_1dp(scaled_int("temperature_2m_f")),
         }
     )
+
+
+def int_hourly(stg: DataFrame, locations: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """D1 -> J1 -> P6, F8-F12, F2, W1 (rolling mean over the deduplicated rows)."""
     return rolling_mean_3(
-        d,
+        enrich_hourly(stg, locations, max_broadcast_rows),
         part=LOCATION_KEY,
         order="observation_hour",
         bucket=F.col("observation_date"),
@@ -272,7 +276,6 @@ def build_marts(raw: DataFrame, locations: DataFrame, max_broadcast_rows: int =
 
 
 __all__ = [
-    "stg_hourly", "stg_daily", "dedupe_hourly", "dedupe_daily", "int_hourly", "int_daily",
+    "stg_hourly", "stg_daily", "dedupe_hourly", "dedupe_daily", "enrich_hourly", "int_hourly", "int_daily",
     "fct_hourly", "fct_daily", "daily_summary", "temperature_anomalies", "build_marts",
-    "to_decimal",
 ]

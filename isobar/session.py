@@ -18,6 +18,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         b = b.master(master)
     b = (
         b.config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
