@@ -41,11 +41,14 @@ def flatten_section(
       :func:`split_valid` first for lenient loads.
     """
     parsed = raw.select(*passthrough, parse_section(F.col(body_col), section, variables).alias("_s"))
+    # ``posexplode_outer`` + an explicit filter on the generated position: same rows as
+    # the inner generator, but Catalyst does not infer ``size(from_json(..)) > 0`` below
+    # the generator, which would parse every document a second time.
     exploded = parsed.select(
         *passthrough,
         "_s",
-        F.posexplode(F.col("_s.time")).alias("_pos", "_time"),
-    )
+        F.posexplode_outer(F.col("_s.time")).alias("_pos", "_time"),
+    ).filter(F.col("_pos").isNotNull())
     cols = [F.col(c) for c in passthrough]
     cols.append((F.col("_pos") + 1).cast("int").alias(index_name))
     cols.append(F.col("_time").cast(time_type).alias(time_name))

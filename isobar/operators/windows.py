@@ -30,16 +30,24 @@ def rolling_mean_3(
     digits: int = 2,
     scale: int = 6,
     tie: list[Column] | None = None,
+    materialize: bool = True,
 ) -> DataFrame:
     """Rounded mean of the current and two preceding rows (NULLs skipped).
 
     Row based: gaps in time are not filled, the first rows of a partition use one or two
     values. ``bucket`` must be monotone in ``order`` (e.g. the date of a timestamp).
-    ``value_scaled`` is the value as an integer at ``10^scale``.
+    ``value_scaled`` is the value as an integer at ``10^scale``. With ``materialize`` the
+    input is written once to the shared checkpoint folder because two branches read it.
     """
     keys = part + ["_bucket"]
     order_cols = [F.col(order)] + (tie or [])
     x = df.withColumns({"_bucket": bucket, "_v": value_scaled.cast(WIDE_INT)})
+    if materialize:
+        # The rows feed both the per-bucket windows and the tail table: write them once
+        # to the shared checkpoint folder instead of recomputing the input plan twice.
+        from isobar.session import materialize
+
+        x = materialize(x, "rolling_input")
     w = Window.partitionBy(*keys).orderBy(*order_cols)
     w_all = Window.partitionBy(*keys)
     x = x.withColumns(

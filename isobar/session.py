@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "isobar") -> SparkSession:
@@ -41,3 +42,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it
+    back: cuts lineage (a lost executor re-reads files instead of recomputing the plan)
+    and lets several branches share one computation. One pass, unlike an unpersisted
+    ``checkpoint()``, which computes its input twice."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

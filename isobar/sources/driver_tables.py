@@ -22,10 +22,17 @@ unmatched and exercise the fallback naming.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.functions.numeric import cents, int_div, to_decimal
+from isobar.session import checkpoint_dir
+from isobar.sources.raw import read_raw
+
+# Bump when the document formulas change, so landed copies are re-derived.
+DOCUMENT_VERSION = 1
 
 # Fixed values for the derived inputs.
 ZONES = ["America/New_York", "America/Chicago", "America/Denver", "America/Los_Angeles"]
@@ -171,7 +178,38 @@ def locations_from_customers(customer: DataFrame) -> DataFrame:
     )
 
 
-def raw_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _fingerprint(spark: SparkSession, path: str) -> str:
+    """Path, total size and modification time of an input, through the Hadoop FS API."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(conf)
+    size = fs.getContentSummary(p).getLength()
+    mtime = fs.getFileStatus(p).getModificationTime()
+    return hashlib.sha1(f"{path}|{size}|{mtime}|{DOCUMENT_VERSION}".encode()).hexdigest()[:16]
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf).exists(p)
+
+
+def raw_forecasts(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
+    """The raw landing table for ``sf_dir``: documents derived from ``events``, landed
+    once through the append sink (S2) into the shared checkpoint folder, then scanned
+    (S3) by every model. Re-derived whenever the events table changes."""
+    src = f"{sf_dir}/events.parquet"
+    out = f"{checkpoint_dir(spark)}/raw_forecast/{_fingerprint(spark, src)}"
+    if refresh or not _exists(spark, f"{out}/_SUCCESS"):
+        docs = forecast_documents(table(spark, sf_dir, "events"))
+        docs.write.mode("overwrite").partitionBy("ingest_date").parquet(out)
+    return read_raw(spark, out)
+
+
+def raw_forecasts_unlanded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same documents as a lazy plan straight over ``events`` (no landing)."""
     return forecast_documents(table(spark, sf_dir, "events"))
 
 
