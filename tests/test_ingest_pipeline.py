@@ -66,3 +66,20 @@ def test_stream_ingest_takes_each_file_once_then_pipeline(spark):
     assert {r.location_name for r in fh.select("location_name").distinct().collect()} == {"new_york", "whole_town"}
     s = spark.read.parquet(f"{out}/daily_temperature_summary").first()
     assert s.location_count == 2 and float(s.avg_temp_f) == 75.5
+
+
+def test_partition_refresh_and_category_order(spark):
+    from isobar.plans.bi import ordered_locations
+    from isobar.streaming.ingest import refresh_daily
+
+    tmp = tempfile.mkdtemp(prefix="isobar-refresh-")
+    d1, d2 = dt.date(2026, 7, 1), dt.date(2026, 7, 2)
+    first = spark.createDataFrame([("a", d1, 1.0), ("a", d2, 2.0)], "location_name string, forecast_date date, v double")
+    refresh_daily(first, f"{tmp}/fct")
+    refresh_daily(spark.createDataFrame([("a", d2, 9.0)], first.schema), f"{tmp}/fct")
+    got = sorted((r.forecast_date, r.v) for r in spark.read.parquet(f"{tmp}/fct").collect())
+    assert got == [(d1, 1.0), (d2, 9.0)]  # only the touched date was rewritten
+
+    names = spark.createDataFrame([("chicago",), ("miami",), ("nowhere",)], "location_name string")
+    out = ordered_locations(names, ["miami", "chicago"]).orderBy("display_order").collect()
+    assert [(r.location_name, r.display_order) for r in out] == [("miami", 1), ("chicago", 2)]
