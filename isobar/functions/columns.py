@@ -101,6 +101,18 @@ def utc_to_local(ts_utc, zone) -> Column:
     return F.convert_timezone(F.lit("UTC"), _col(zone), _col(ts_utc))
 
 
+def ntz_epoch_micros(ts_ntz) -> Column:
+    """Microseconds since 1970-01-01 00:00 of a ``timestamp_ntz`` wall clock, computed
+    from its date and time parts so no session zone (and no DST gap) takes part."""
+    t = _col(ts_ntz)
+    return (
+        F.unix_date(F.to_date(t)).cast("bigint") * F.lit(86_400_000_000)
+        + F.hour(t).cast("bigint") * F.lit(3_600_000_000)
+        + F.minute(t).cast("bigint") * F.lit(60_000_000)
+        + (F.date_part(F.lit("SECOND"), t) * F.lit(1_000_000)).cast("bigint")
+    )
+
+
 def epoch_to_utc(seconds) -> Column:
     """epoch seconds -> UTC wall clock as ``timestamp_ntz``.
 

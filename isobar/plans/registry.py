@@ -101,7 +101,7 @@ def q_regular_axis(spark, sf):
     """
     ev = D.table(spark, sf, "events")
     h0 = F.concat(F.substring(F.col("ts").cast("string"), 1, 13), F.lit(":00:00")).cast("timestamp_ntz")
-    start = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), h0)
+    start = C.ntz_epoch_micros(h0) / 1_000_000
     k = F.get_json_object("props", "$.k").cast("int")
     c = cents(F.col("value"))
     ev = ev.select("event_id", "user_id", start.alias("start_s"), k.alias("k"), c.alias("c"))
