@@ -33,7 +33,7 @@ from isobar.session import checkpoint_dir
 from isobar.sources.raw import read_raw
 
 # Bump when the document formulas change, so landed copies are re-derived.
-DOCUMENT_VERSION = 2
+DOCUMENT_VERSION = 3
 
 # Fixed values for the derived inputs.
 ZONES = ["America/New_York", "America/Chicago", "America/Denver", "America/Los_Angeles"]
@@ -94,26 +94,20 @@ def forecast_documents(events: DataFrame) -> DataFrame:
     def wind(i: int) -> Column:
         return (c + 11 * i) % 4000
 
-    hourly = F.struct(
-        F.array(*[_minute_text(F.col("h0") + F.make_dt_interval(hours=F.lit(i))) for i in hours]).alias("time"),
-        F.array(
-            *[
-                F.when((e % 17 == 0) & F.lit(i == 1), F.lit(None)).otherwise(dec(2000 + (c + 37 * i * k) % 10000, 2))
-                for i in hours
-            ]
-        ).alias("temperature_2m"),
-        F.when(e % 5 == 0, F.array(*[(k + 7 * i) % 101 for i in range(2)]))
-        .otherwise(F.array(*[(k + 7 * i) % 101 for i in hours]))
-        .alias("relative_humidity_2m"),
-        F.array(*[dec((c * (i + 1)) % 300, 2) for i in hours]).alias("precipitation"),
-        F.array(*[(3 * k + i) % 101 for i in hours]).alias("precipitation_probability"),
-        F.array(*[dec(((c * (i + 1)) % 300) * 5, 3) for i in hours]).alias("rain"),
-        F.array(*[(k + i) % 100 for i in hours]).alias("weather_code"),
-        F.array(*[(c + i) % 101 for i in hours]).alias("cloud_cover"),
-        F.array(*[dec(wind(i), 2) for i in hours]).alias("wind_speed_10m"),
-        F.array(*[(c + 45 * i) % 360 for i in hours]).alias("wind_direction_10m"),
-        F.array(*[dec(wind(i) + (k % 10) * 100, 2) for i in hours]).alias("wind_gusts_10m"),
-    )
+    # The document text is one ``format_string`` over the element values: ``%s`` prints
+    # a decimal's plain text and a NULL as ``null``, which is JSON. (A ``to_json`` over
+    # nested structs of ~30 derived arrays is too large for whole-stage codegen.)
+    pieces: list[str] = []
+    args: list[Column] = []
+
+    def arr(key: str, values: list[Column], quoted: bool = False) -> None:
+        fmt = '"%s"' if quoted else "%s"
+        pieces.append(f'"{key}":[' + ",".join([fmt] * len(values)) + "]")
+        args.extend(values)
+
+    def raw_piece(key: str, text: Column) -> None:
+        pieces.append(f'"{key}":%s')
+        args.append(text)
 
     def tmax(j: int) -> Column:
         return 5000 + (c + 13 * j * k) % 5000
@@ -127,26 +121,50 @@ def forecast_documents(events: DataFrame) -> DataFrame:
     def day_text(j: int) -> Column:
         return F.date_add(F.col("d0"), j).cast("string")
 
-    daily = F.struct(
-        F.array(*[day_text(j) for j in days]).alias("time"),
-        F.array(*[(k + j) % 100 for j in days]).alias("weather_code"),
-        F.array(
-            *[F.when((e % 1700 == 0) & F.lit(j == 0), F.lit(None)).otherwise(dec(tmax(j), 2)) for j in days]
-        ).alias("temperature_2m_max"),
-        F.array(*[dec(tmin(j), 2) for j in days]).alias("temperature_2m_min"),
-        F.array(*[dec(tmax(j) + (k % 5) * 10, 2) for j in days]).alias("apparent_temperature_max"),
-        F.array(*[dec(tmin(j) - (k % 3) * 10, 2) for j in days]).alias("apparent_temperature_min"),
-        F.array(*[dec((c * (j + 1) * 7) % 5000, 3) for j in days]).alias("precipitation_sum"),
-        F.array(*[dec(((k + j) % 24) * 10, 1) for j in days]).alias("precipitation_hours"),
-        F.array(*[(2 * k + j) % 101 for j in days]).alias("precipitation_probability_max"),
-        F.array(*[dec((c + 17 * j) % 5000, 2) for j in days]).alias("wind_speed_10m_max"),
-        F.array(*[dec((c + 17 * j) % 5000 + (k % 7) * 100, 2) for j in days]).alias("wind_gusts_10m_max"),
-        F.array(*[F.concat(day_text(j), F.lit("T06:"), F.lpad(((k + j) % 60).cast("string"), 2, "0")) for j in days]).alias("sunrise"),
-        F.array(*[F.concat(day_text(j), F.lit("T19:"), F.lpad(((c + j) % 60).cast("string"), 2, "0")) for j in days]).alias("sunset"),
-        F.array(*[dec((3 * k + j) % 120, 1) for j in days]).alias("uv_index_max"),
-        F.array(*[dec(daylight(j) * 100, 2) for j in days]).alias("daylight_duration"),
-        F.array(*[dec(daylight(j) * ((k + j) % 100), 2) for j in days]).alias("sunshine_duration"),
+    def hum(i: int) -> Column:
+        return ((k + 7 * i) % 101).cast("string")
+
+    arr("time", [_minute_text(F.col("h0") + F.make_dt_interval(hours=F.lit(i))) for i in hours], quoted=True)
+    arr(
+        "temperature_2m",
+        [F.when((e % 17 == 0) & F.lit(i == 1), F.lit(None)).otherwise(dec(2000 + (c + 37 * i * k) % 10000, 2)) for i in hours],
+    )
+    raw_piece(
+        "relative_humidity_2m",
+        F.when(e % 5 == 0, F.concat(F.lit("["), hum(0), F.lit(","), hum(1), F.lit("]"))).otherwise(
+            F.concat(F.lit("["), hum(0), F.lit(","), hum(1), F.lit(","), hum(2), F.lit("]"))
+        ),
+    )
+    arr("precipitation", [dec((c * (i + 1)) % 300, 2) for i in hours])
+    arr("precipitation_probability", [(3 * k + i) % 101 for i in hours])
+    arr("rain", [dec(((c * (i + 1)) % 300) * 5, 3) for i in hours])
+    arr("weather_code", [(k + i) % 100 for i in hours])
+    arr("cloud_cover", [(c + i) % 101 for i in hours])
+    arr("wind_speed_10m", [dec(wind(i), 2) for i in hours])
+    arr("wind_direction_10m", [(c + 45 * i) % 360 for i in hours])
+    arr("wind_gusts_10m", [dec(wind(i) + (k % 10) * 100, 2) for i in hours])
+    n_hourly = len(pieces)
+    arr("time", [day_text(j) for j in days], quoted=True)
+    arr("weather_code", [(k + j) % 100 for j in days])
+    arr(
+        "temperature_2m_max",
+        [F.when((e % 1700 == 0) & F.lit(j == 0), F.lit(None)).otherwise(dec(tmax(j), 2)) for j in days],
     )
+    arr("temperature_2m_min", [dec(tmin(j), 2) for j in days])
+    arr("apparent_temperature_max", [dec(tmax(j) + (k % 5) * 10, 2) for j in days])
+    arr("apparent_temperature_min", [dec(tmin(j) - (k % 3) * 10, 2) for j in days])
+    arr("precipitation_sum", [dec((c * (j + 1) * 7) % 5000, 3) for j in days])
+    arr("precipitation_hours", [dec(((k + j) % 24) * 10, 1) for j in days])
+    arr("precipitation_probability_max", [(2 * k + j) % 101 for j in days])
+    arr("wind_speed_10m_max", [dec((c + 17 * j) % 5000, 2) for j in days])
+    arr("wind_gusts_10m_max", [dec((c + 17 * j) % 5000 + (k % 7) * 100, 2) for j in days])
+    arr("sunrise", [F.concat(day_text(j), F.lit("T06:"), F.lpad(((k + j) % 60).cast("string"), 2, "0")) for j in days], quoted=True)
+    arr("sunset", [F.concat(day_text(j), F.lit("T19:"), F.lpad(((c + j) % 60).cast("string"), 2, "0")) for j in days], quoted=True)
+    arr("uv_index_max", [dec((3 * k + j) % 120, 1) for j in days])
+    arr("daylight_duration", [dec(daylight(j) * 100, 2) for j in days])
+    arr("sunshine_duration", [dec(daylight(j) * ((k + j) % 100), 2) for j in days])
+    template = '{"hourly":{' + ",".join(pieces[:n_hourly]) + '},"daily":{' + ",".join(pieces[n_hourly:]) + "}}"
+    body = F.format_string(template, *args)
     lat, lon = coordinates(F.col("user_id"))
     zone = zone_of(F.col("user_id"))
     return base.select(
@@ -158,7 +176,7 @@ def forecast_documents(events: DataFrame) -> DataFrame:
         F.lit(WEATHER_MODEL).alias("weather_model"),
         F.concat(F.lit("events/"), F.col("event_type")).alias("source_url"),
         F.to_json(F.struct(lat.alias("latitude"), lon.alias("longitude"), zone.alias("timezone"))).alias("request_params"),
-        F.to_json(F.struct(hourly.alias("hourly"), daily.alias("daily"))).alias("response_body"),
+        body.alias("response_body"),
         F.col("d0").cast("string").alias("load_id"),
         F.lit("events").alias("ingest_source"),
         F.col("d0").alias("ingest_date"),
