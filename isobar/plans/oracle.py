@@ -445,6 +445,11 @@ SELECT reason, count(*) AS documents FROM (
     q["daily_summary"] = f"{with_(*DAILY_CHAIN, SUMMARY)} SELECT * REPLACE (CAST(location_count AS BIGINT) AS location_count) FROM summary"
     q["temperature_anomalies"] = f"{with_(*DAILY_CHAIN, ANOM)} SELECT * EXCLUDE (anomaly_h) FROM anomalies"
     q["append_idempotent"] = f"{with_(*DAILY_CHAIN)} SELECT {FCT_D_COLS} FROM fct_d"
+    q["incremental_refresh"] = (
+        f"{with_(*DAILY_CHAIN)} SELECT {FCT_D_COLS}, {LINEAGE} FROM fct_d "
+        "WHERE forecast_date IN (SELECT DISTINCT CAST(CAST(ts AS DATE) + CAST(j AS INTEGER) AS DATE) "
+        "FROM events CROSS JOIN range(2) AS r(j) WHERE CAST(ts AS DATE) >= DATE '2024-01-20')"
+    )
     q["load_check"] = """
 SELECT count(*) AS rows_since, count(DISTINCT (latitude, longitude)) AS locations_since,
        count(*) >= 7 AND count(DISTINCT (latitude, longitude)) >= 7 AS passed
