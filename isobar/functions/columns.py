@@ -60,9 +60,12 @@ def fahrenheit_to_celsius_1dp(f_scaled, scale: int = 6) -> Column:
 
     tenths = round_half_up((f_s - 32*10^s) * 50 / (9 * 10^s)).
     """
-    from isobar.functions.numeric import round_div, to_decimal
+    from isobar.functions.numeric import round_div, round_div_sql, to_decimal, to_decimal_sql
 
-    num = (_col(f_scaled).cast("decimal(38,0)") - F.lit(32 * 10**scale)) * F.lit(50)
+    if isinstance(f_scaled, str):  # SQL text: one expression, one JVM round trip
+        num = f"(CAST(({f_scaled}) AS DECIMAL(38,0)) - {32 * 10**scale}) * 50"
+        return F.expr(to_decimal_sql(round_div_sql(num, str(9 * 10**scale)), 1))
+    num = (f_scaled.cast("decimal(38,0)") - F.lit(32 * 10**scale)) * F.lit(50)
     return to_decimal(round_div(num, F.lit(9 * 10**scale)), 1)
 
 

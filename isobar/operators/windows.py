@@ -77,16 +77,12 @@ def rolling_mean_3(
         .alias("_c2"),
     )
     y = x.join(carry, keys, "left")
-    p1 = F.when(F.col("_rn") == 1, F.col("_c1")).otherwise(F.col("_l1"))
-    p2 = (
-        F.when(F.col("_rn") == 1, F.col("_c2"))
-        .when(F.col("_rn") == 2, F.col("_c1"))
-        .otherwise(F.col("_l2"))
-    )
-    vals = [F.col("_v"), p1, p2]
-    total = sum((F.coalesce(v, F.lit(0)) for v in vals[1:]), F.coalesce(vals[0], F.lit(0)))
-    n = sum((v.isNotNull().cast("int") for v in vals[1:]), vals[0].isNotNull().cast("int"))
-    total = F.when(n > 0, total)
+    # the two preceding values: in-bucket lags, or the carried tails for the first rows
+    p1 = "(CASE WHEN _rn = 1 THEN _c1 ELSE _l1 END)"
+    p2 = "(CASE WHEN _rn = 1 THEN _c2 WHEN _rn = 2 THEN _c1 ELSE _l2 END)"
+    vals = ["_v", p1, p2]
+    n = " + ".join(f"(CASE WHEN {v} IS NULL THEN 0 ELSE 1 END)" for v in vals)
+    total = f"CASE WHEN ({n}) > 0 THEN " + " + ".join(f"COALESCE({v}, 0)" for v in vals) + " END"
     return y.withColumn(out, mean_half_up(total, n, digits, scale)).drop(
         "_bucket", "_v", "_rn", "_l1", "_l2", "_cnt", "_c1", "_c2"
     )
@@ -114,7 +110,7 @@ def with_group_means(
     g = df.groupBy(*keys).agg(*aggs)
     g = g.select(
         *[F.col(k).alias(f"_g_{k}") for k in keys],
-        *[mean_half_up(F.col(f"_s_{n}"), F.col(f"_n_{n}"), d, scale).alias(n) for n, (_, d) in means.items()],
+        *[mean_half_up(f"_s_{n}", f"_n_{n}", d, scale).alias(n) for n, (_, d) in means.items()],
         *([F.col(count_name)] if count_name else []),
     )
     cond = None

@@ -29,7 +29,7 @@ def hourly_trend(fct_hourly: DataFrame, digits: int = 2) -> DataFrame:
         "observation_hour",
         "location_name",
         C.title_label("location_name").alias("location_label"),
-        mean_half_up(F.col("_s"), F.col("_n"), digits).alias("avg_temperature_f"),
+        mean_half_up("_s", "_n", digits).alias("avg_temperature_f"),
     )
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isobar.functions import columns as C
-from isobar.functions.numeric import mean_half_up, round_ratio, scaled_int
+from isobar.functions.numeric import mean_half_up, round_ratio, round_ratio_sql, scaled_int, scaled_sql
 from isobar.operators.dedupe import first_in_order, latest_per_key, order_keys
 from isobar.operators.enrich import DEFAULT_BROADCAST_ROWS, attach_locations
 from isobar.operators.flatten import flatten_section
@@ -68,7 +68,7 @@ def enrich_hourly(stg: DataFrame, locations: DataFrame, max_broadcast_rows: int
             "hour_of_day": C.hour_of_day(ts),
             "day_of_week": C.day_of_week(ts),
             "is_weekend": C.is_weekend(ts),
-            "temperature_2m_c": C.fahrenheit_to_celsius_1dp(scaled_int("temperature_2m_f")),
+            "temperature_2m_c": C.fahrenheit_to_celsius_1dp(scaled_sql("temperature_2m_f")),
         }
     )
 
@@ -88,18 +88,19 @@ def int_hourly(stg: DataFrame, locations: DataFrame, max_broadcast_rows: int = D
 def int_daily(stg: DataFrame, locations: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """D2 -> J1 -> P6, F3-F6, P5."""
     d = attach_locations(dedupe_daily(stg), locations, max_broadcast_rows)
-    hi, lo = scaled_int("temperature_max_f"), scaled_int("temperature_min_f")
-    day, sun = scaled_int("daylight_duration_s"), scaled_int("sunshine_duration_s")
+    hi, lo = scaled_sql("temperature_max_f"), scaled_sql("temperature_min_f")
+    day, sun = scaled_sql("daylight_duration_s"), scaled_sql("sunshine_duration_s")
+    hour = str(3600 * 10**6)
     return d.withColumns(
         {
             # (max + min) / 2.0 at 1 dp; F4: max - min at 1 dp
-            "temperature_avg_f": mean_half_up(hi + lo, F.lit(2), 1),
+            "temperature_avg_f": mean_half_up(f"{hi} + {lo}", "2", 1),
             "temperature_range_f": F.round(F.col("temperature_max_f") - F.col("temperature_min_f"), 1),
             # seconds -> hours at 2 dp
-            "daylight_hours": round_ratio(day, F.lit(3600 * 10**6), 2),
-            "sunshine_hours": round_ratio(sun, F.lit(3600 * 10**6), 2),
+            "daylight_hours": round_ratio(day, hour, 2),
+            "sunshine_hours": round_ratio(sun, hour, 2),
             # F6 + P5: percent of daylight at 1 dp, NULL unless daylight > 0
-            "sunshine_pct": F.when(day > 0, round_ratio(sun * 100, day, 1)),
+            "sunshine_pct": F.expr(f"CASE WHEN {day} > 0 THEN {round_ratio_sql(f'{sun} * 100', day, 1)} END"),
         }
     )
 
@@ -189,9 +190,7 @@ def daily_summary(daily: DataFrame) -> DataFrame:
         pick("precipitation_sum_in", True).alias("_wet"),
     ]
     g = daily.groupBy("forecast_date").agg(*aggs)
-    g = g.withColumns(
-        {out: mean_half_up(F.col(f"_s_{out}"), F.col(f"_n_{out}"), d) for out, _, d in SUMMARY_MEANS}
-    ).withColumns(
+    g = g.withColumns({out: mean_half_up(f"_s_{out}", f"_n_{out}", d) for out, _, d in SUMMARY_MEANS}).withColumns(
         {
             "hottest_city": F.col("_hot.name"),
             "hottest_city_high_f": F.col("_hot.value"),
