@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from isobar.functions.columns import UNKNOWN_STATE, coordinate_label
 
 # A dimension is broadcast only when it is proven to hold at most this many rows.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+DEFAULT_BROADCAST_ROWS = 200_000  # five narrow columns: a few tens of MB at most
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
