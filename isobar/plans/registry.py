@@ -301,7 +301,9 @@ def q_dq_unique_combo(spark, sf):
 
 # ------------------------------------------------------------------------------- BI
 def q_hourly_trend(spark, sf):
-    return oracle_types(bi.hourly_trend(_fct_hourly(spark, sf)))
+    """A8 over the deduplicated, enriched hourly rows (the columns of the hourly mart it
+    reads; the rolling mean, which the trend does not use, is not computed)."""
+    return oracle_types(bi.hourly_trend(M.enrich_hourly(M.stg_hourly(_raw(spark, sf)), _loc(spark, sf))))
 
 
 def q_precip_by_location(spark, sf):
