@@ -49,12 +49,13 @@ def flatten_section(
         "_s",
         F.posexplode_outer(F.col("_s.time")).alias("_pos", "_time"),
     ).filter(F.col("_pos").isNotNull())
-    cols = [F.col(c) for c in passthrough]
-    cols.append((F.col("_pos") + 1).cast("int").alias(index_name))
-    cols.append(F.col("_time").cast(time_type).alias(time_name))
+    # one projection as SQL text: ``get(arr, pos)`` then an ANSI cast per variable
+    cols = [f"`{c}`" for c in passthrough]
+    cols.append(f"CAST(_pos + 1 AS INT) AS `{index_name}`")
+    cols.append(f"CAST(_time AS {time_type.simpleString()}) AS `{time_name}`")
     for key, name, dtype in variables:
-        cols.append(F.get(F.col("_s").getField(key), F.col("_pos")).cast(dtype).alias(name))
-    return exploded.select(*cols)
+        cols.append(f"CAST(get(_s.`{key}`, _pos) AS {dtype.simpleString()}) AS `{name}`")
+    return exploded.selectExpr(*cols)
 
 
 def split_valid(raw: DataFrame, sections: list[str], body_col: str = "response_body"):

@@ -31,19 +31,20 @@ REFRESH_SINCE = "2024-01-20"
 
 
 def oracle_types(df: DataFrame) -> DataFrame:
-    """Cast every column to a type both engines print the same way."""
-    cols = []
+    """Cast every column to a type both engines print the same way (one projection)."""
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = f"`{f.name}`"
         t = f.dataType
         if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-            c = c.cast("bigint")
+            c = f"CAST({c} AS BIGINT)"
         elif isinstance(t, (T.DecimalType, T.FloatType)):
-            c = c.cast("double")
+            c = f"CAST({c} AS DOUBLE)"
         elif isinstance(t, T.TimestampType):
-            c = D.utc_wall_clock(c)
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            # instant -> UTC wall clock, zone-free (same as sources.driver_tables.utc_wall_clock)
+            c = f"TIMESTAMP_NTZ'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(unix_micros({c}) / 1000000 AS DECIMAL(18,6)))"
+        exprs.append(f"{c} AS `{f.name}`")
+    return df.selectExpr(*exprs)
 
 
 def _raw(spark, sf):
