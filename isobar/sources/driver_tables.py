@@ -23,6 +23,7 @@ unmatched and exercise the fallback naming.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ from isobar.session import checkpoint_dir
 from isobar.sources.raw import read_raw
 
 # Bump when the document formulas change, so landed copies are re-derived.
-DOCUMENT_VERSION = 3
+DOCUMENT_VERSION = 5
 
 # Fixed values for the derived inputs.
 ZONES = ["America/New_York", "America/Chicago", "America/Denver", "America/Los_Angeles"]
@@ -198,32 +199,59 @@ def locations_from_customers(customer: DataFrame) -> DataFrame:
 
 def _fingerprint(spark: SparkSession, path: str) -> str:
     """Path, total size and modification time of an input, through the Hadoop FS API."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
+    fs, p = _fs_path(spark, path)
     size = fs.getContentSummary(p).getLength()
     mtime = fs.getFileStatus(p).getModificationTime()
     return hashlib.sha1(f"{path}|{size}|{mtime}|{DOCUMENT_VERSION}".encode()).hexdigest()[:16]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _publish(spark: SparkSession, staging: str, target: str) -> None:
+    """Rename ``staging`` to ``target`` unless ``target`` exists: ``FileContext.rename``
+    with ``Rename.NONE`` fails instead of nesting the folder inside an existing one."""
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    ctx = jvm.org.apache.hadoop.fs.FileContext.getFileContext(sc._jsc.hadoopConfiguration())
+    options = sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+    try:
+        ctx.rename(jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(target), options)
+    except Exception:  # noqa: BLE001 - another caller published first; use its table
+        pass
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return fs.exists(p)
 
 
 def raw_forecasts(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
     """The raw landing table for ``sf_dir``: documents derived from ``events``, landed
     once through the append sink (S2) into the shared checkpoint folder, then scanned
-    (S3) by every model. Re-derived whenever the events table changes."""
+    (S3) by every model. Re-derived whenever the events table changes.
+
+    The table is written to a private staging folder and published with one directory
+    rename, so concurrent callers never see a half-written table; if another caller
+    published first, its table is used. ``refresh`` lands a fresh copy of its own.
+    """
     src = f"{sf_dir}/events.parquet"
     out = f"{checkpoint_dir(spark)}/raw_forecast/{_fingerprint(spark, src)}"
-    if refresh or not _exists(spark, f"{out}/_SUCCESS"):
-        docs = forecast_documents(table(spark, sf_dir, "events"))
-        docs.write.mode("overwrite").partitionBy("ingest_date").parquet(out)
-    return read_raw(spark, out)
+    if not refresh and _exists(spark, f"{out}/_SUCCESS"):
+        return read_raw(spark, out)
+    staging = f"{out}.staging-{uuid.uuid4().hex}"
+    docs = forecast_documents(table(spark, sf_dir, "events"))
+    docs.write.partitionBy("ingest_date").parquet(staging)
+    if refresh:
+        return read_raw(spark, staging)
+    _publish(spark, staging, out)
+    if _exists(spark, f"{out}/_SUCCESS"):
+        return read_raw(spark, out)
+    return read_raw(spark, staging)
 
 
 def raw_forecasts_unlanded(spark: SparkSession, sf_dir: str) -> DataFrame:
