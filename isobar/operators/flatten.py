@@ -30,9 +30,13 @@ def flatten_section(
     time_type: T.DataType,
     passthrough: list[str] = PASSTHROUGH,
     body_col: str = "response_body",
+    parsed_col: str | None = None,
 ) -> DataFrame:
     """One row per element of ``section.time``.
 
+    With ``parsed_col`` the documents were parsed already (see :func:`parse_sections`)
+    and the section is read from that struct column instead of parsing ``body_col``.
+
     * N4: ``posexplode`` is an inner generator, so an absent section, a JSON null or an
       empty ``time`` array contributes no rows; ``index = pos + 1``.
     * N2: ``get(arr, pos)`` is NULL out of range (never ``arr[pos]``, which raises
@@ -40,7 +44,11 @@ def flatten_section(
     * N5: ANSI casts from the token text; a bad token fails the job, so run
       :func:`split_valid` first for lenient loads.
     """
-    parsed = raw.select(*passthrough, parse_section(F.col(body_col), section, variables).alias("_s"))
+    if parsed_col:
+        sec = F.col(parsed_col).getField(section)
+    else:
+        sec = parse_section(F.col(body_col), section, variables)
+    parsed = raw.select(*passthrough, sec.alias("_s"))
     # ``posexplode_outer`` + an explicit filter on the generated position: same rows as
     # the inner generator, but Catalyst does not infer ``size(from_json(..)) > 0`` below
     # the generator, which would parse every document a second time.
@@ -58,6 +66,22 @@ def flatten_section(
     return exploded.selectExpr(*cols)
 
 
+def parse_sections(
+    raw: DataFrame,
+    sections: dict[str, list],
+    passthrough: list[str] = PASSTHROUGH,
+    body_col: str = "response_body",
+    out: str = "_doc",
+) -> DataFrame:
+    """Parse several sections of every document in one pass (one ``from_json``), for
+    pipelines that flatten more than one section: pass the result and
+    ``parsed_col=out`` to :func:`flatten_section`."""
+    fields = []
+    for name, variables in sections.items():
+        fields += section_schema(name, variables).fields
+    return raw.select(*passthrough, F.from_json(F.col(body_col), T.StructType(fields)).alias(out))
+
+
 def split_valid(raw: DataFrame, sections: list[str], body_col: str = "response_body"):
     """Split documents into (good, quarantined) without failing the batch.
 

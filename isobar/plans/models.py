@@ -17,7 +17,7 @@ from isobar.functions import columns as C
 from isobar.functions.numeric import mean_half_up, round_ratio, round_ratio_sql, scaled_int, scaled_sql
 from isobar.operators.dedupe import first_in_order, latest_per_key, order_keys
 from isobar.operators.enrich import DEFAULT_BROADCAST_ROWS, attach_locations
-from isobar.operators.flatten import flatten_section
+from isobar.operators.flatten import flatten_section, parse_sections
 from isobar.operators.windows import rolling_mean_3, with_group_means
 from isobar.schemas import DAILY_VARIABLES, DATE, HOURLY_VARIABLES, TS_LOCAL
 
@@ -25,14 +25,22 @@ LOCATION_KEY = ["latitude", "longitude"]
 
 
 # --------------------------------------------------------------------------- staging
-def stg_hourly(raw: DataFrame) -> DataFrame:
+def stg_hourly(raw: DataFrame, parsed_col: str | None = None) -> DataFrame:
     """One row per hourly array position (``hour_index`` 1-based); no dedupe."""
-    return flatten_section(raw, "hourly", HOURLY_VARIABLES, "hour_index", "observation_hour", TS_LOCAL)
+    return flatten_section(
+        raw, "hourly", HOURLY_VARIABLES, "hour_index", "observation_hour", TS_LOCAL, parsed_col=parsed_col
+    )
 
 
-def stg_daily(raw: DataFrame) -> DataFrame:
+def stg_daily(raw: DataFrame, parsed_col: str | None = None) -> DataFrame:
     """One row per daily array position (``day_index`` 1-based); no dedupe."""
-    return flatten_section(raw, "daily", DAILY_VARIABLES, "day_index", "forecast_date", DATE)
+    return flatten_section(raw, "daily", DAILY_VARIABLES, "day_index", "forecast_date", DATE, parsed_col=parsed_col)
+
+
+def parse_documents(raw: DataFrame) -> DataFrame:
+    """Both payload sections parsed in one pass (column ``_doc``), for builds that need
+    both flattens: ``stg_hourly(parsed, "_doc")`` and ``stg_daily(parsed, "_doc")``."""
+    return parse_sections(raw, {"hourly": HOURLY_VARIABLES, "daily": DAILY_VARIABLES})
 
 
 # ---------------------------------------------------------------------- intermediate

@@ -52,3 +52,12 @@ def test_incremental_refresh_equals_full_rebuild(spark, inputs, tmp_path):
     cols = ["daily_weather_sk", "forecast_id", "temperature_avg_f", "sunshine_pct"]
     got = spark.read.parquet(path).select(*cols)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, full.select(*cols).collect()))
+
+
+def test_parse_once_equals_parse_per_section(inputs):
+    raw, _ = inputs
+    parsed = M.parse_documents(raw)
+    for flat in (M.stg_hourly, M.stg_daily):
+        a = flat(raw).exceptAll(flat(parsed, "_doc")).count()
+        b = flat(parsed, "_doc").exceptAll(flat(raw)).count()
+        assert a == 0 and b == 0
