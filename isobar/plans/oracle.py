@@ -159,7 +159,7 @@ FCT_H_SELECT = f"""
          {num('t_c', 2)} AS temperature_2m_f,
          {num('t_c10', 1)} AS temperature_2m_c,
          {num(rdiv('roll_s', 'roll_n'), 2)} AS temp_3hr_rolling_avg_f,
-         CAST(relative_humidity_pct AS BIGINT) AS relative_humidity_pct,
+         CAST(relative_humidity_pct AS DOUBLE) AS relative_humidity_pct,
          {num('precip_c', 2)} AS precipitation_in,
          CAST(precipitation_probability_pct AS BIGINT) AS precipitation_probability_pct,
          {num('rain_m', 3)} AS rain_in,
@@ -297,7 +297,7 @@ DAILY_CHAIN = (EV, LOC, STG_D, DED_D, ENR_D, FCT_D)
 STG_H_COLS = f"""
   CAST(forecast_id AS BIGINT) AS forecast_id, ingested_at, latitude, longitude, timezone, weather_model, load_id,
   CAST(hour_index AS BIGINT) AS hour_index, observation_hour,
-  {num('t_c', 2)} AS temperature_2m_f, CAST(relative_humidity_pct AS BIGINT) AS relative_humidity_pct,
+  {num('t_c', 2)} AS temperature_2m_f, CAST(relative_humidity_pct AS DOUBLE) AS relative_humidity_pct,
   {num('precip_c', 2)} AS precipitation_in,
   CAST(precipitation_probability_pct AS BIGINT) AS precipitation_probability_pct,
   {num('rain_m', 3)} AS rain_in, CAST(NULL AS DOUBLE) AS showers_in,
@@ -387,7 +387,7 @@ def build() -> dict[str, str]:
     q["flatten_daily"] = f"{with_(EV, STG_D)} SELECT {STG_D_COLS} FROM stg_d"
     q["flatten_ragged"] = (
         f"{with_(EV, STG_H)} SELECT CAST(forecast_id AS BIGINT) AS forecast_id, CAST(hour_index AS BIGINT) AS hour_index, "
-        "CAST(relative_humidity_pct AS BIGINT) AS relative_humidity_pct, CAST(NULL AS DOUBLE) AS showers_in FROM stg_h"
+        "CAST(relative_humidity_pct AS DOUBLE) AS relative_humidity_pct, CAST(NULL AS DOUBLE) AS showers_in FROM stg_h"
     )
     q["json_context"] = (
         "SELECT event_id, CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS BIGINT) AS k FROM events"

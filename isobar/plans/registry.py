@@ -30,13 +30,20 @@ REDELIVERY_ID_OFFSET = 10**12
 REFRESH_SINCE = "2024-01-20"
 
 
+# Integer outputs that hold NULLs (ragged arrays): pandas shows them as float on one
+# engine and as nullable int on the other, so both sides emit them as DOUBLE.
+NULLABLE_INT_OUTPUTS = ("relative_humidity_pct",)
+
+
 def oracle_types(df: DataFrame) -> DataFrame:
     """Cast every column to a type both engines print the same way (one projection)."""
     exprs = []
     for f in df.schema.fields:
         c = f"`{f.name}`"
         t = f.dataType
-        if isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        if f.name in NULLABLE_INT_OUTPUTS:
+            c = f"CAST({c} AS DOUBLE)"
+        elif isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
             c = f"CAST({c} AS BIGINT)"
         elif isinstance(t, (T.DecimalType, T.FloatType)):
             c = f"CAST({c} AS DOUBLE)"
