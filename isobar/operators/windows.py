@@ -99,7 +99,8 @@ def with_group_means(
 
     ``means`` maps output name -> (value scaled to ``10^scale`` as integer, digits).
     Equivalent to ``round(avg(v) over (partition by keys), d)`` and
-    ``count(*) over (partition by keys)``; NULL keys form their own group.
+    ``count(*) over (partition by keys)``; NULL keys form their own group. ``df`` is read
+    twice (aggregate and join): pass a materialised table, as the pipeline does.
     """
     aggs = []
     for name, (v, _) in means.items():

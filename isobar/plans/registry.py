@@ -238,7 +238,7 @@ def q_daily_summary(spark, sf):
 
 def q_temperature_anomalies(spark, sf):
     """W2, W3, F7, P4."""
-    return oracle_types(M.temperature_anomalies(_fct_daily(spark, sf)))
+    return oracle_types(M.temperature_anomalies(_fct_daily_shared(spark, sf)))
 
 
 def q_append_idempotent(spark, sf):
@@ -319,7 +319,7 @@ def q_precip_by_location(spark, sf):
 
 
 def q_anomaly_bars(spark, sf):
-    return oracle_types(bi.anomaly_bars(M.temperature_anomalies(_fct_daily(spark, sf))))
+    return oracle_types(bi.anomaly_bars(M.temperature_anomalies(_fct_daily_shared(spark, sf))))
 
 
 def q_latest_kpis(spark, sf):
@@ -345,7 +345,7 @@ def q_mart_preview(spark, sf):
 
 def q_anomaly_labels(spark, sf):
     """F14-F16 over every anomaly row."""
-    an = M.temperature_anomalies(_fct_daily(spark, sf))
+    an = M.temperature_anomalies(_fct_daily_shared(spark, sf))
     return oracle_types(
         an.select(
             "location_name", "forecast_date",
