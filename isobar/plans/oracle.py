@@ -470,6 +470,22 @@ FROM (SELECT ts, CAST(-90 + (user_id % 720) * 0.25 AS DOUBLE) AS latitude,
     selects += _rules_sql("daily_temperature_summary", "summary", Q.MART_RULES["daily_temperature_summary"])
     selects += _rules_sql("temperature_anomalies", "anomalies", Q.MART_RULES["temperature_anomalies"])
     q["dq_report"] = f"{with_(*DAILY_CHAIN, SUMMARY, ANOM)} {_report(selects)}"
+    hourly = []
+    hourly += _rules_sql("stg_hourly", f"(SELECT {STG_H_COLS} FROM stg_h)", Q.MART_RULES["stg_hourly"])
+    hourly += _rules_sql("stg_daily", f"(SELECT {STG_D_COLS} FROM stg_d)", Q.MART_RULES["stg_daily"])
+    hourly += _rules_sql(
+        "int_hourly",
+        f"(SELECT location_name, observation_hour, {num('t_c', 2)} AS temperature_2m_f FROM enr_h)",
+        Q.MART_RULES["int_hourly"],
+    )
+    hourly += _rules_sql(
+        "int_daily",
+        f"(SELECT location_name, forecast_date, {num('hi_c', 2)} AS temperature_max_f, "
+        f"{num('lo_c', 2)} AS temperature_min_f FROM enr_d)",
+        Q.MART_RULES["int_daily"],
+    )
+    hourly += _rules_sql("fct_hourly_weather", f"({FCT_H_SELECT})", Q.MART_RULES["fct_hourly_weather"])
+    q["dq_report_hourly"] = f"{with_(EV, LOC, STG_H, DED_H, ENR_H, STG_D, DED_D, ENR_D)} {_report(hourly)}"
     q["dq_unique_combo"] = _report(_rules_sql("lineitem", "lineitem", LINEITEM_RULES))
 
     q["hourly_trend"] = f"""{with_(*HOURLY_CHAIN)}

@@ -292,6 +292,24 @@ def q_dq_report(spark, sf):
     return oracle_types(Q.quality_report(rel))
 
 
+def q_dq_report_hourly(spark, sf):
+    """V1-V5: the rule sets of the staging, intermediate and hourly-fact relations.
+    Each relation is written once (several rules scan it) before the rules run."""
+    from isobar.session import materialize
+
+    raw, loc = _raw(spark, sf), _loc(spark, sf)
+    stg_h = materialize(M.stg_hourly(raw), "stg_hourly")
+    stg_d = materialize(M.stg_daily(raw), "stg_daily")
+    rel = {
+        "stg_hourly": stg_h,
+        "stg_daily": stg_d,
+        "int_hourly": M.enrich_hourly(stg_h, loc),
+        "int_daily": M.int_daily(stg_d, loc),
+        "fct_hourly_weather": materialize(M.fct_hourly(M.int_hourly(stg_h, loc)), "fct_hourly"),
+    }
+    return oracle_types(Q.quality_report(rel))
+
+
 LINEITEM_RULES = [
     Q.NotNull("l_orderkey"),
     Q.AcceptedRange("l_discount", 0, 0.1),
@@ -380,6 +398,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_check": q_load_check,
     "freshness": q_freshness,
     "dq_report": q_dq_report,
+    "dq_report_hourly": q_dq_report_hourly,
     "dq_unique_combo": q_dq_unique_combo,
     "hourly_trend": q_hourly_trend,
     "precip_by_location": q_precip_by_location,
