@@ -171,8 +171,83 @@ SUMMARY_MEANS = [
 ]
 
 
+def daily_summary_hash(daily: DataFrame) -> DataFrame:
+    """A1-A4 + T3-T5 (+J2): one row per forecast_date, without sorting the fact.
+
+    For a materialised daily fact (two reads): one hash aggregation per date finds every
+    measure, the extreme values and whether a NULL wins; a second pass keeps only the
+    rows holding an extreme (joined to the small per-date table), takes the smallest
+    name per (date, kind) with a partial group limit, and pivots the three names back.
+    Same result as :func:`daily_summary`, whose struct-valued ``min`` makes Spark sort
+    the fact for a ``SortAggregate``; this one uses hash aggregation only and suits a
+    large, materialised fact (the pipeline's). Locally it is a little slower (more
+    stages).
+    """
+    name = F.col("location_name")
+    aggs = [F.count_distinct(name).alias("location_count")]
+    for out, col, _ in SUMMARY_MEANS:
+        aggs.append(F.sum(scaled_int(col)).alias(f"_s_{out}"))
+        aggs.append(F.count(col).alias(f"_n_{out}"))
+    aggs += [
+        F.max("temperature_max_f").alias("hottest_high_f"),
+        F.min("temperature_min_f").alias("coldest_low_f"),
+        F.max("precipitation_sum_in").alias("max_precipitation_in"),
+        F.max("wind_gusts_max_mph").alias("peak_gust_mph"),
+        # desc puts NULLs first: a NULL anywhere on the date wins hottest / wettest
+        F.max(F.col("temperature_max_f").isNull().cast("int")).alias("_hot_null"),
+        F.max(F.col("precipitation_sum_in").isNull().cast("int")).alias("_wet_null"),
+    ]
+    g = daily.groupBy("forecast_date").agg(*aggs)
+    g = g.withColumns({out: mean_half_up(f"_s_{out}", f"_n_{out}", d) for out, _, d in SUMMARY_MEANS})
+
+    t = g.select(
+        F.col("forecast_date").alias("_d"),
+        F.col("_hot_null"), F.col("_wet_null"),
+        F.col("hottest_high_f").alias("_hot_v"),
+        F.col("coldest_low_f").alias("_cold_v"),
+        F.col("max_precipitation_in").alias("_wet_v"),
+    )
+    hi, lo, wet = F.col("temperature_max_f"), F.col("temperature_min_f"), F.col("precipitation_sum_in")
+    is_hot = F.when(F.col("_hot_null") == 1, hi.isNull()).otherwise(hi == F.col("_hot_v"))
+    # asc puts NULLs last: the minimum wins, or NULL when the date has no value at all
+    is_cold = F.when(F.col("_cold_v").isNull(), lo.isNull()).otherwise(lo == F.col("_cold_v"))
+    is_wet = F.when(F.col("_wet_null") == 1, wet.isNull()).otherwise(wet == F.col("_wet_v"))
+    cand = daily.select("forecast_date", "location_name", hi, lo, wet).join(
+        t, F.col("forecast_date") == F.col("_d")
+    )
+    kinds = F.array(
+        F.when(is_hot, F.struct(F.lit("hot").alias("kind"), hi.alias("value"))),
+        F.when(is_cold, F.struct(F.lit("cold").alias("kind"), lo.alias("value"))),
+        F.when(is_wet, F.struct(F.lit("wet").alias("kind"), wet.alias("value"))),
+    )
+    picks = cand.select("forecast_date", "location_name", F.explode(kinds).alias("_k")).filter(
+        F.col("_k").isNotNull()
+    ).select("forecast_date", "location_name", F.col("_k.kind").alias("kind"), F.col("_k.value").alias("value"))
+    top = latest_per_key(picks, ["forecast_date", "kind"], [F.asc("location_name")])
+    names = (
+        top.groupBy(F.col("forecast_date").alias("_d"))
+        .pivot("kind", ["hot", "cold", "wet"])
+        .agg(F.first("location_name"), F.first("value"))
+    )
+    out = g.join(names, F.col("forecast_date") == F.col("_d"), "left")
+    return out.select(
+        *[
+            {
+                "hottest_city": F.col("hot_first(location_name)"),
+                "hottest_city_high_f": F.col("hot_first(value)"),
+                "coldest_city": F.col("cold_first(location_name)"),
+                "coldest_city_low_f": F.col("cold_first(value)"),
+                "wettest_city": F.col("wet_first(location_name)"),
+                "wettest_city_precip_in": F.col("wet_first(value)"),
+            }.get(c, F.col(c)).alias(c)
+            for c in SUMMARY_COLUMNS
+        ]
+    )
+
+
 def daily_summary(daily: DataFrame) -> DataFrame:
-    """A1-A4 + T3-T5 (+J2 folded in): one row per forecast_date, one aggregation.
+    """A1-A4 + T3-T5 (+J2 folded in): one row per forecast_date, one aggregation (one
+    read of ``daily``; see :func:`daily_summary_hash` for the sort-free variant).
 
     Extremes follow the reference's NULL order: ``desc`` puts NULLs first, so a NULL
     high "wins" hottest while ``max`` beside it ignores it; ties go to the smaller name.
@@ -284,5 +359,5 @@ def build_marts(raw: DataFrame, locations: DataFrame, max_broadcast_rows: int =
 
 __all__ = [
     "stg_hourly", "stg_daily", "dedupe_hourly", "dedupe_daily", "enrich_hourly", "int_hourly", "int_daily",
-    "fct_hourly", "fct_daily", "daily_summary", "temperature_anomalies", "build_marts",
+    "fct_hourly", "fct_daily", "daily_summary", "daily_summary_hash", "temperature_anomalies", "build_marts",
 ]

@@ -443,6 +443,7 @@ SELECT reason, count(*) AS documents FROM (
     q["fct_hourly"] = f"{with_(*HOURLY_CHAIN)} {FCT_H_SELECT}"
     q["fct_daily"] = f"{with_(*DAILY_CHAIN)} SELECT {FCT_D_COLS}, {LINEAGE} FROM fct_d"
     q["daily_summary"] = f"{with_(*DAILY_CHAIN, SUMMARY)} SELECT * REPLACE (CAST(location_count AS BIGINT) AS location_count) FROM summary"
+    q["daily_summary_hash"] = q["daily_summary"]
     q["temperature_anomalies"] = f"{with_(*DAILY_CHAIN, ANOM)} SELECT * EXCLUDE (anomaly_h) FROM anomalies"
     q["append_idempotent"] = f"{with_(*DAILY_CHAIN)} SELECT {FCT_D_COLS} FROM fct_d"
     q["incremental_refresh"] = (

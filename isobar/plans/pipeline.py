@@ -40,7 +40,7 @@ def run_pipeline(
     write_mart(fd, f"{out_dir}/fct_daily_weather", ["forecast_date"])
 
     daily = read_mart(spark, f"{out_dir}/fct_daily_weather")
-    write_mart(M.daily_summary(daily), f"{out_dir}/daily_temperature_summary")
+    write_mart(M.daily_summary_hash(daily), f"{out_dir}/daily_temperature_summary")
     write_mart(M.temperature_anomalies(daily), f"{out_dir}/temperature_anomalies")
 
     marts = {

@@ -236,6 +236,11 @@ def q_daily_summary(spark, sf):
     return oracle_types(M.daily_summary(_fct_daily(spark, sf)))
 
 
+def q_daily_summary_hash(spark, sf):
+    """A1-A4, T3-T5 without a sort-based aggregate, over the materialised daily fact."""
+    return oracle_types(M.daily_summary_hash(_fct_daily_shared(spark, sf)))
+
+
 def q_temperature_anomalies(spark, sf):
     """W2, W3, F7, P4."""
     return oracle_types(M.temperature_anomalies(_fct_daily_shared(spark, sf)))
@@ -392,6 +397,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fct_hourly": q_fct_hourly,
     "fct_daily": q_fct_daily,
     "daily_summary": q_daily_summary,
+    "daily_summary_hash": q_daily_summary_hash,
     "temperature_anomalies": q_temperature_anomalies,
     "append_idempotent": q_append_idempotent,
     "incremental_refresh": q_incremental_refresh,

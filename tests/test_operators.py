@@ -205,3 +205,14 @@ def test_regular_axis(spark):
         (1, 2, dt.datetime(1970, 1, 1, 1), 2),
         (1, 3, dt.datetime(1970, 1, 1, 2), None),
     ]
+
+
+def test_hash_summary_equals_one_pass_on_edge_cases(spark):
+    d1, d2 = dt.date(2026, 7, 5), dt.date(2026, 7, 6)
+    rows = [
+        ("x", d1, None, "60", "0.1"), ("y", d1, "90", "50", None), ("a", d1, "90", "50", "0.3"),
+        ("p", d2, "88", None, "0"), ("o", d2, "88", None, "0"),
+    ]
+    daily = _daily(spark, rows)
+    a, b = M.daily_summary_hash(daily), M.daily_summary(daily)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

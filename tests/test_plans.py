@@ -36,3 +36,15 @@ def test_dimension_join_is_broadcast_and_summary_aggregates_partially(spark):
     assert "BroadcastHashJoin" in plan(fd)
     s = plan(M.daily_summary(fd))
     assert "partial_sum" in s and "Expand" not in s
+
+
+def test_hash_summary_has_no_sort_aggregate_over_the_fact(spark):
+    from isobar.session import materialize
+
+    raw, loc = D.raw_forecasts(spark, SF), D.locations(spark, SF)
+    fd = materialize(M.fct_daily(M.int_daily(M.stg_daily(raw), loc)), "fd_test")
+    p = plan(M.daily_summary_hash(fd))
+    # the only sort-based aggregate left is the pivot of at most three picks per date
+    sort_aggs = [line for line in p.splitlines() if "SortAggregate" in line]
+    assert all("pivotfirst" in line.lower() or "first(" in line for line in sort_aggs)
+    assert "WindowGroupLimit" in p
