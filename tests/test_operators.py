@@ -216,3 +216,19 @@ def test_hash_summary_equals_one_pass_on_edge_cases(spark):
     daily = _daily(spark, rows)
     a, b = M.daily_summary_hash(daily), M.daily_summary(daily)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_sorted_outputs_and_location_series(spark):
+    from isobar.plans.bi import location_series
+
+    d1, d2 = dt.date(2026, 7, 5), dt.date(2026, 7, 6)
+    daily = _daily(spark, [("a", d2, "80", "70", "0"), ("b", d1, "90", "80", "0"), ("c", d1, None, None, "0"), ("d", d1, "60", "50", "0")])
+    order = [(r.forecast_date, r.location_name) for r in M.sorted_anomalies(M.temperature_anomalies(daily)).collect()]
+    assert order == [(d1, "c"), (d1, "b"), (d1, "d"), (d2, "a")]  # NULL anomaly first, then descending
+    assert [r.forecast_date for r in M.sorted_summary(M.daily_summary(daily)).collect()] == [d1, d2]
+    hourly = spark.createDataFrame(
+        [("x", dt.datetime(2026, 7, 5, 2), "3"), ("x", dt.datetime(2026, 7, 5, 1), "2"), ("y", dt.datetime(2026, 7, 5, 0), "1")],
+        "location_name string, observation_hour timestamp_ntz, temperature_2m_f string",
+    )
+    got = [r.observation_hour.hour for r in location_series(hourly, "x").collect()]
+    assert got == [1, 2]
