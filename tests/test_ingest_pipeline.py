@@ -50,11 +50,11 @@ def test_stream_ingest_takes_each_file_once_then_pipeline(spark):
     _landing(land, {"weather_new_york_2026-07-05.json": MINIMAL})
     assert ingest_landing(spark, land, loc, raw_path, ckpt) == 1
     assert ingest_landing(spark, land, loc, raw_path, ckpt) == 0  # nothing new
-    _landing(land, {"weather_whole_town_2026-07-05.json": MINIMAL})
-    ingest_landing(spark, land, loc, raw_path, ckpt)
+    _landing(land, {"weather_whole_town_2026-07-05.json": MINIMAL, "weather_whole_town_2026-07-06.json": MINIMAL})
+    assert ingest_landing(spark, land, loc, raw_path, ckpt, max_files_per_batch=1) == 2  # bounded batches
     raw = read_raw(spark, raw_path)
-    assert raw.count() == 2
-    assert raw.select("forecast_id").distinct().count() == 2
+    assert raw.count() == 3
+    assert raw.select("forecast_id").distinct().count() == 3
 
     since = dt.datetime(2000, 1, 1, tzinfo=dt.timezone.utc)
     with pytest.raises(LoadCheckError):
