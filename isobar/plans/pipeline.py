@@ -35,9 +35,9 @@ def run_pipeline(
     # every document is parsed once; both flattens read the parsed sections
     parsed = materialize(M.parse_documents(raw), "parsed_documents")
     fh = M.fct_hourly(M.int_hourly(M.stg_hourly(parsed, "_doc"), locations))
-    write_mart(fh, f"{out_dir}/fct_hourly_weather", ["observation_date"])
+    write_mart(fh, f"{out_dir}/fct_hourly_weather", ["observation_date"], ["location_name", "observation_hour"])
     fd = M.fct_daily(M.int_daily(M.stg_daily(parsed, "_doc"), locations))
-    write_mart(fd, f"{out_dir}/fct_daily_weather", ["forecast_date"])
+    write_mart(fd, f"{out_dir}/fct_daily_weather", ["forecast_date"], ["location_name"])
 
     daily = read_mart(spark, f"{out_dir}/fct_daily_weather")
     write_mart(M.daily_summary_hash(daily), f"{out_dir}/daily_temperature_summary")
