@@ -13,7 +13,7 @@ sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 from isobar.plans.registry import QUERIES  # noqa: E402
 from isobar.session import build_session  # noqa: E402
 
-NAMES = ["flatten_hourly", "dedupe_latest", "rolling_mean_3", "daily_summary", "temperature_anomalies", "dq_report"]
+NAMES = ["flatten_hourly", "dedupe_latest", "rolling_mean_3", "daily_summary", "daily_summary_hash", "temperature_anomalies", "dq_report"]
 KEEP = re.compile(
     r"(Exchange \w+|WindowGroupLimit|Window \[|BroadcastHashJoin|SortMergeJoin|BroadcastExchange|HashAggregate|SortAggregate|"
     r"Generate|FileScan parquet|Expand|Union)"
