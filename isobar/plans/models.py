@@ -199,6 +199,11 @@ def daily_summary_hash(daily: DataFrame) -> DataFrame:
     ]
     g = daily.groupBy("forecast_date").agg(*aggs)
     g = g.withColumns({out: mean_half_up(f"_s_{out}", f"_n_{out}", d) for out, _, d in SUMMARY_MEANS})
+    # one row per date, read by both branches below: written once so the fact is
+    # aggregated once (Catalyst would otherwise plan a second, pruned aggregation)
+    from isobar.session import materialize
+
+    g = materialize(g, "summary_per_date")
 
     t = g.select(
         F.col("forecast_date").alias("_d"),
