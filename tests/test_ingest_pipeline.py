@@ -83,3 +83,24 @@ def test_partition_refresh_and_category_order(spark):
     names = spark.createDataFrame([("chicago",), ("miami",), ("nowhere",)], "location_name string")
     out = ordered_locations(names, ["miami", "chicago"]).orderBy("display_order").collect()
     assert [(r.location_name, r.display_order) for r in out] == [("miami", 1), ("chicago", 2)]
+
+
+def test_append_sink_lineage(spark):
+    from isobar.sources.raw import append_raw, read_raw, with_lineage
+
+    tmp = tempfile.mkdtemp(prefix="isobar-append-")
+    docs = spark.createDataFrame(
+        [(40.71, -74.01, "America/New_York", "u1", "{}", json.dumps(MINIMAL)), (34.0, -118.0, "America/Los_Angeles", "u2", "{}", "{}")],
+        "latitude double, longitude double, timezone string, source_url string, request_params string, response_body string",
+    )
+    run1 = with_lineage(docs, load_id="run-1")
+    append_raw(run1, f"{tmp}/raw")
+    append_raw(with_lineage(docs, load_id="run-2"), f"{tmp}/raw")
+    raw = read_raw(spark, f"{tmp}/raw")
+    rows = raw.collect()
+    assert len(rows) == 4 and {r.load_id for r in rows} == {"run-1", "run-2"}
+    assert {r.weather_model for r in rows} == {"gfs_seamless"} and {r.ingest_source for r in rows} == {"python"}
+    assert raw.select("forecast_id").distinct().count() == 4  # one id per (run, location)
+    again = {r.forecast_id for r in with_lineage(docs, load_id="run-1").collect()}
+    assert again == {r.forecast_id for r in run1.collect()}  # deterministic per run
+    assert all(r.ingest_date == r.ingested_at.date() for r in rows)
