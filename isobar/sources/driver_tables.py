@@ -198,11 +198,13 @@ def locations_from_customers(customer: DataFrame) -> DataFrame:
 
 
 def _fingerprint(spark: SparkSession, path: str) -> str:
-    """Path, total size and modification time of an input, through the Hadoop FS API."""
+    """Path, length and modification time of an input: one ``getFileStatus`` call (no
+    recursive listing, which would be slow for a table of millions of files; a folder's
+    modification time changes when files are added or removed)."""
     fs, p = _fs_path(spark, path)
-    size = fs.getContentSummary(p).getLength()
-    mtime = fs.getFileStatus(p).getModificationTime()
-    return hashlib.sha1(f"{path}|{size}|{mtime}|{DOCUMENT_VERSION}".encode()).hexdigest()[:16]
+    st = fs.getFileStatus(p)
+    key = f"{path}|{st.getLen()}|{st.getModificationTime()}|{DOCUMENT_VERSION}"
+    return hashlib.sha1(key.encode()).hexdigest()[:16]
 
 
 def _fs_path(spark: SparkSession, path: str):
