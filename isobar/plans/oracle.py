@@ -9,7 +9,7 @@ row numbers. All means and roundings are half away from zero on integers.
 
 from __future__ import annotations
 
-NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
+from isobar.functions.columns import SURROGATE_NULL_TOKEN as NULL_TOKEN  # the one fixed value
 
 
 def rdiv(n: str, d: str) -> str:
