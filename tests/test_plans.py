@@ -48,3 +48,15 @@ def test_hash_summary_has_no_sort_aggregate_over_the_fact(spark):
     sort_aggs = [line for line in p.splitlines() if "SortAggregate" in line]
     assert all("pivotfirst" in line.lower() or "first(" in line for line in sort_aggs)
     assert "WindowGroupLimit" in p
+
+
+def test_broadcast_hint_only_under_the_row_bound(spark):
+    from isobar.operators.enrich import bounded_broadcast
+
+    dim = spark.range(10)
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+    assert hinted(bounded_broadcast(dim, max_rows=10))
+    assert not hinted(bounded_broadcast(dim, max_rows=9))  # planner / AQE decide instead
