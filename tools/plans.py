@@ -22,7 +22,7 @@ KEEP = re.compile(
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]")
+    spark = build_session("local[8]", shuffle_partitions=8)
     print("# Physical plans of headline queries (operators only, sf0.01, before AQE)\n")
     for n in NAMES:
         plan = QUERIES[n](spark, sf)._jdf.queryExecution().executedPlan().toString()
