@@ -8,14 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from isobar.llm.common import table
 from isobar.llm.exact_dedup import exact_dedup
+from isobar.llm.warc import round_trip
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_warc": op9_warc,
 }
 
 ORACLE_SQL = {
@@ -27,4 +33,13 @@ ORACLE_SQL = {
                doc_id = min(doc_id) OVER g AS kept, s AS text_sha256
         FROM t WINDOW g AS (PARTITION BY s)
     """,
+    "op9_warc": """
+        WITH t AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+        h AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS s FROM t),
+        w AS (SELECT *, min(page_id) OVER (PARTITION BY s) AS first FROM h)
+        SELECT page_id, n AS payload_bytes, s AS payload_digest,
+               CASE WHEN n >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 100 AND first < page_id THEN first END AS refers_to
+        FROM w
+    """,
 }
