@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from isobar.llm.chat import format_and_read
 from isobar.llm.common import table
 from isobar.llm.exact_dedup import exact_dedup
 from isobar.llm.warc import round_trip
@@ -15,12 +16,20 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hard = r"\### Assistant: </turn> ok"  # a conversation full of control strings
+    extra = [(-7, 0, "user", hard), (-7, 1, "assistant", hard)]
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return format_and_read(turns.unionByName(spark.createDataFrame(extra, "conv_id long, turn long, role string, text string")))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_chat": op8_chat,
     "op9_warc": op9_warc,
 }
 
@@ -33,6 +42,24 @@ ORACLE_SQL = {
                doc_id = min(doc_id) OVER g AS kept, s AS text_sha256
         FROM t WINDOW g AS (PARTITION BY s)
     """,
+    "op8_chat": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ),
+        e AS (
+            SELECT *, length(replace(replace(replace(t, '\', '\\'), '###', '\###'), '</turn>', '\</turn>')) AS text_chars,
+                   length(replace(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), ':', '\:')) AS role_chars
+            FROM c
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
+               CAST(sum(CASE WHEN role = 'assistant' THEN length(t) ELSE 0 END) AS BIGINT) AS loss_chars,
+               sha256(string_agg(CASE WHEN role = 'assistant' THEN t ELSE '' END, '' ORDER BY turn, role)) AS loss_sha256,
+               CAST(sum(length('### ') + role_chars + length(': ') + text_chars + length(' </turn>') + 1) AS BIGINT) AS formatted_chars
+        FROM e GROUP BY conv_id
+    """,
     "op9_warc": """
         WITH t AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
         h AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS s FROM t),
