@@ -9,13 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from isobar.llm.chat import format_and_read
 from isobar.llm.common import table
 from isobar.llm.exact_dedup import exact_dedup
+from isobar.llm.mixing import mix
+from isobar.llm.substring_dedup import removed_words
 from isobar.llm.warc import round_trip
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return removed_words(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     hard = r"\### Assistant: </turn> ok"  # a conversation full of control strings
     extra = [(-7, 0, "user", hard), (-7, 1, "assistant", hard)]
@@ -28,12 +38,26 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_mixing": op7_mixing,
     "op8_chat": op8_chat,
     "op9_warc": op9_warc,
 }
 
 ORACLE_SQL = {
+    "op4_substring_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+        ),
+        s AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d WHERE len(w) >= 13),
+        g AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY array_to_string(w[p:p + 12], ' ')) < doc_id AS cut FROM s),
+        c AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS q FROM g WHERE cut),
+        l AS (SELECT doc_id, list(q) AS gone FROM c GROUP BY doc_id)
+        SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(array_to_string([w[i] FOR i IN range(1, len(w) + 1) IF gone IS NULL OR NOT list_contains(gone, i)], ' '), '')) AS kept_sha256
+        FROM d LEFT JOIN l USING (doc_id)
+    """,
     "op6_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS s FROM documents
