@@ -48,7 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL = {
     "op4_substring_dedup": r"""
         WITH d AS (
-            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
         ),
         s AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d WHERE len(w) >= 13),
         g AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY array_to_string(w[p:p + 12], ' ')) < doc_id AS cut FROM s),
