@@ -10,6 +10,7 @@ from isobar.llm.chat import format_and_read
 from isobar.llm.common import table
 from isobar.llm.exact_dedup import exact_dedup
 from isobar.llm.mixing import mix
+from isobar.llm.near_dedup import near_dedup
 from isobar.llm.substring_dedup import removed_words
 from isobar.llm.warc import round_trip
 
@@ -37,12 +38,17 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "pages"))
 
 
+def op10_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substring_dedup": op4_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
     "op8_chat": op8_chat,
     "op9_warc": op9_warc,
+    "op10_minhash_odd_sketch": op10_minhash_odd_sketch,
 }
 
 ORACLE_SQL = {
@@ -93,4 +99,20 @@ ORACLE_SQL = {
                CASE WHEN n >= 100 AND first < page_id THEN first END AS refers_to
         FROM w
     """,
+    "op10_minhash_odd_sketch": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+        ),
+        p AS (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM p),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        b AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+        l AS (
+            SELECT a, b FROM b JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+        ),
+        r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON l.a = r.c),
+        m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
+        SELECT m.doc_id, coalesce(n, 0) AS n_shingles, component_id, m.doc_id = component_id AS kept FROM m LEFT JOIN n USING (doc_id)
+    """,
 }
