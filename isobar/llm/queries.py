@@ -11,10 +11,15 @@ from isobar.llm.common import table
 from isobar.llm.exact_dedup import exact_dedup
 from isobar.llm.mixing import mix
 from isobar.llm.near_dedup import near_dedup
+from isobar.llm.secret_scan import secret_digests
 from isobar.llm.substring_dedup import removed_words
 from isobar.llm.warc import round_trip
 
 
+def op2_secret_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed_words(table(spark, sf_dir, "documents"))
 
@@ -43,6 +48,7 @@ def op10_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_secret_linking": op2_secret_linking,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
@@ -51,7 +57,50 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash_odd_sketch": op10_minhash_odd_sketch,
 }
 
+# The oracle's own patterns, in the order in which kinds are listed, and what counts.
+_SECRET_RULES = [
+    ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "length(v) >= 8"),
+    ("access", r"(AKIA)([A-Z0-9]+)", "length(m) >= 16"),
+    ("hex", r"()([0-9a-f]+)", "length(m) >= 32"),
+    ("weak_id", r"""(?i:(client_?id|user_?name|user|login|account))["']?\x20*[:=]\x20*["']?([A-Za-z0-9@_.-]{3,})""", "true"),
+    ("weak_secret", r"()([A-Za-z0-9+/]{20,})", "regexp_matches(m, '[0-9]') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]')"),
+    ("endpoint", r"(https?://)([A-Za-z0-9.:/_-]+)", "true"),
+]
+
+
+def _secrets_sql() -> str:
+    def matches(place: int, kind: str, pattern: str, good: str) -> str:
+        quoted = "'" + pattern.replace("'", "''") + "'"
+        return f"""
+            SELECT doc_id, {place} AS place, '{kind}' AS kind, m, p, {good} AS good,
+                   sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY p) AS e
+            FROM (SELECT doc_id, unnest(ms) AS m, unnest(vs) AS v, unnest(gaps[:len(ms)]) AS gap, generate_subscripts(ms, 1) AS p
+                  FROM (SELECT doc_id, regexp_extract_all(t, {quoted}, 0) AS ms, regexp_extract_all(t, {quoted}, 2) AS vs,
+                               string_split_regex(t, {quoted}) AS gaps FROM d))"""
+
+    def near(parts: str) -> str:
+        return f"EXISTS (SELECT 1 FROM f o WHERE o.doc_id = f.doc_id AND o.kind IN ({parts}) AND abs(o.s - f.s) <= 256)"
+
+    identifier, secret = "'access', 'weak_id'", "'assign', 'hex', 'weak_secret'"
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        a AS ({" UNION ALL ".join(matches(i, *r) for i, r in enumerate(_SECRET_RULES, 1))}),
+        g AS (SELECT doc_id, place, kind, CAST(e - length(m) AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM a WHERE good),
+        f AS (SELECT * FROM g WHERE place <= 3 OR NOT EXISTS (
+            SELECT 1 FROM g o WHERE o.doc_id = g.doc_id AND o.place <= 3 AND o.s <= g.s AND o.e > g.s)),
+        r AS (SELECT *, kind || ':' || s || ':' || e AS span FROM f
+              WHERE place <= 3 OR kind = 'weak_id' AND {near(secret)} OR kind = 'weak_secret' AND {near(identifier)}
+                 OR kind = 'endpoint' AND {near(identifier)} AND {near(secret)})
+        SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+               count(*) FILTER (kind = 'hex') AS n_hex,
+               sha256(coalesce(string_agg(span, ',' ORDER BY s, place) FILTER (place <= 3), '')) AS base_sha256,
+               coalesce(string_agg(span, ',' ORDER BY s, place), '') AS spans
+        FROM d LEFT JOIN r USING (doc_id) GROUP BY d.doc_id
+    """
+
+
 ORACLE_SQL = {
+    "op2_secret_linking": _secrets_sql(),
     "op4_substring_dedup": r"""
         WITH d AS (
             SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
