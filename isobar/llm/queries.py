@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from isobar.llm.chat import format_and_read
 from isobar.llm.common import table
+from isobar.llm.decontaminate import leaks
 from isobar.llm.exact_dedup import exact_dedup
 from isobar.llm.mixing import mix
 from isobar.llm.near_dedup import near_dedup
@@ -24,6 +25,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed_words(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ def op10_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_linking": op2_secret_linking,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_decontamination": op5_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_mixing": op7_mixing,
     "op8_chat": op8_chat,
@@ -113,6 +119,25 @@ ORACLE_SQL = {
                sha256(coalesce(array_to_string([w[i] FOR i IN range(1, len(w) + 1) IF gone IS NULL OR NOT list_contains(gone, i)], ' '), '')) AS kept_sha256
         FROM d LEFT JOIN l USING (doc_id)
     """,
+    # By the exact similarity alone: fingerprints must not lose any of these.
+    "op5_decontamination": r"""
+        WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+        b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+        s AS (SELECT doc_id, len(w) - 4 AS n, p, array_to_string(w[p + 1:p + 5], ' ') AS g
+              FROM (SELECT *, unnest(range(len(w) - 4)) AS p FROM d WHERE len(w) >= 5)),
+        i AS (SELECT item_id, len(w) - 4 AS m, array_to_string(w[p + 1:p + 5], ' ') AS g
+              FROM (SELECT *, unnest(range(len(w) - 4)) AS p FROM b WHERE len(w) >= 5)),
+        c AS (SELECT item_id, m, g, count(*) AS k FROM i GROUP BY ALL),
+        h AS (SELECT doc_id, n, p, item_id, m, c.g, k, least(m, n) AS size FROM s JOIN c USING (g)),
+        z AS (SELECT DISTINCT doc_id, item_id, m, size, unnest(range(greatest(0, p - size + 1), least(p, n - size) + 1)) AS start FROM h),
+        o AS (SELECT z.doc_id, z.item_id, z.m, z.size, z.start, h.g, least(h.k, count(*)) AS k
+              FROM z JOIN h ON h.doc_id = z.doc_id AND h.item_id = z.item_id AND h.p BETWEEN z.start AND z.start + z.size - 1
+              GROUP BY z.doc_id, z.item_id, z.m, z.size, z.start, h.g, h.k),
+        t AS (SELECT doc_id, item_id, m, size, start, sum(k) AS k FROM o GROUP BY ALL),
+        a AS (SELECT *, CAST(k AS DOUBLE) / (m + size - k) AS similarity FROM t WHERE 5 * k >= 4 * (m + size - k))
+        SELECT doc_id, item_id, similarity, CAST(start AS BIGINT) AS start, CAST(size + 4 AS BIGINT) AS n_words
+        FROM a QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+    """,
     "op6_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS s FROM documents
