@@ -10,6 +10,7 @@ from isobar.llm.chat import format_and_read
 from isobar.llm.common import table
 from isobar.llm.decontaminate import leaks
 from isobar.llm.exact_dedup import exact_dedup
+from isobar.llm.line_dedup import line_digests
 from isobar.llm.mixing import mix
 from isobar.llm.near_dedup import near_dedup
 from isobar.llm.secret_scan import secret_digests
@@ -21,6 +22,10 @@ def op2_secret_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digests(table(spark, sf_dir, "documents"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removed_words(table(spark, sf_dir, "documents"))
 
@@ -54,6 +59,7 @@ def op10_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_linking": op2_secret_linking,
+    "op3_line_dedup": op3_line_dedup,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
@@ -107,6 +113,31 @@ def _secrets_sql() -> str:
 
 ORACLE_SQL = {
     "op2_secret_linking": _secrets_sql(),
+    "op3_line_dedup": r"""
+        WITH l AS (
+            SELECT doc_id, unnest(a) AS line, generate_subscripts(a, 1) AS i
+            FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)
+        ),
+        t AS (
+            SELECT doc_id, i, line, list_sort(list_distinct(list_filter(string_split_regex(lower(line), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS w FROM l
+        ),
+        c AS (
+            SELECT w, len(w) AS n, first, row_number() OVER (ORDER BY first) AS id
+            FROM (SELECT w, min({'doc_id': doc_id, 'i': i}) AS first FROM t WHERE len(w) > 0 GROUP BY w)
+        ),
+        e AS (SELECT id, n, unnest(w) AS g FROM c),
+        f AS (SELECT g, count(*) AS k FROM e GROUP BY g),
+        o AS (SELECT id, n, g, row_number() OVER (PARTITION BY id ORDER BY k, g) AS r FROM e JOIN f USING (g)),
+        p AS (SELECT id, n, g FROM o WHERE r <= n - (4 * n + 4) // 5 + 1),
+        q AS (SELECT DISTINCT a.id AS late, b.id AS early FROM p a JOIN p b USING (g) WHERE b.id < a.id AND 5 * b.n >= 4 * a.n AND 5 * a.n >= 4 * b.n),
+        x AS (SELECT DISTINCT late FROM q JOIN c a ON a.id = late JOIN c b ON b.id = early
+              WHERE 9 * len(list_intersect(a.w, b.w)) >= 4 * (a.n + b.n)),
+        k AS (SELECT first.doc_id AS doc_id, first.i AS i FROM c WHERE id NOT IN (SELECT late FROM x)),
+        z AS (SELECT t.doc_id, t.i, line, len(w) = 0 OR k.i IS NOT NULL AS kept FROM t LEFT JOIN k ON k.doc_id = t.doc_id AND k.i = t.i)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT kept) AS n_removed,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (kept), '')) AS kept_sha256
+        FROM z GROUP BY doc_id
+    """,
     "op4_substring_dedup": r"""
         WITH d AS (
             SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
