@@ -13,11 +13,16 @@ from isobar.llm.exact_dedup import exact_dedup
 from isobar.llm.line_dedup import line_digests
 from isobar.llm.mixing import mix
 from isobar.llm.near_dedup import near_dedup
+from isobar.llm.quality import quality
 from isobar.llm.secret_scan import secret_digests
 from isobar.llm.substring_dedup import removed_words
 from isobar.llm.warc import round_trip
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"))
+
+
 def op2_secret_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digests(table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ def op10_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op2_secret_linking": op2_secret_linking,
     "op3_line_dedup": op3_line_dedup,
     "op4_substring_dedup": op4_substring_dedup,

@@ -46,12 +46,13 @@ def mix(h: np.ndarray) -> np.ndarray:
 @dataclass
 class Words:
     """Words of a column of texts: word ``i`` is bytes ``start[i]:end[i]`` of ``data``;
-    text ``t`` has the words ``first[t]:first[t + 1]``."""
+    text ``t`` has the words ``first[t]:first[t + 1]`` and bytes ``bounds[t]:bounds[t + 1]``."""
 
     data: np.ndarray
     start: np.ndarray
     end: np.ndarray
     first: np.ndarray
+    bounds: np.ndarray
 
     @property
     def counts(self) -> np.ndarray:
@@ -93,7 +94,7 @@ def split(texts: pa.Array) -> Words:
     cut = cut[cut > 0]
     ends[cut - 1] = word[cut - 1]
     start = np.flatnonzero(begins)
-    return Words(data, start, np.flatnonzero(ends) + 1, np.searchsorted(start, bounds))
+    return Words(data, start, np.flatnonzero(ends) + 1, np.searchsorted(start, bounds), bounds)
 
 
 def ngrams(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
