@@ -30,6 +30,26 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``documents`` plus ``rank``, the id with null as the largest, and ``text_key``, a
+    hash of the text. Rows with the same two count as repeated rows."""
+    return documents(docs, id_col, text_col).withColumns({"rank": F.coalesce("doc_id", F.lit(LAST_ID)), "text_key": F.xxhash64("text")})
+
+
+def placed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of ``docs`` by place (c0, c1, ...), so that any names may occur, and
+    ``rank`` and ``text_key`` as ``keyed`` has them."""
+    names = docs.columns
+    doc_id, text = F.col(f"c{names.index(id_col)}").cast("long"), F.coalesce(F.col(f"c{names.index(text_col)}"), F.lit(""))
+    named = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    return named.withColumns({"rank": F.coalesce(doc_id, F.lit(LAST_ID)), "text_key": F.xxhash64(text)})
+
+
+def restored(df: DataFrame, names: list[str]) -> DataFrame:
+    """The columns c0, c1, ... of ``df`` under their names again."""
+    return df.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
+
+
 def words(text: str | Column) -> Column:
     """Array of the words of a text."""
     return F.array_remove(F.split(text, SPACES), "")
@@ -52,4 +72,6 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-__all__ = ["LAST_ID", "SPACES", "WORD", "documents", "materialize", "n_words", "one_space", "pick", "table", "words"]
+__all__ = [
+    "LAST_ID", "SPACES", "WORD", "documents", "keyed", "materialize", "n_words", "one_space", "pick", "placed", "restored", "table", "words",
+]

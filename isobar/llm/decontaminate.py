@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.common import LAST_ID, documents, materialize, pick, words
+from isobar.llm.common import LAST_ID, keyed, materialize, pick, words
 
 SHINGLE = 5
 RADIUS = 15
@@ -124,11 +124,11 @@ def find_leaks(
     so null and empty texts don't. Equal rows count once, rows with a null id are searched
     too. Of an empty table or benchmark nothing is found. Items may have up to 65,000
     words; documents any number."""
-    keyed = documents(docs, id_col, text_col).withColumns({"rank": F.coalesce("doc_id", F.lit(LAST_ID)), "text_key": F.xxhash64("text")})
-    hashed = keyed.select("rank", "text_key", word_hashes("text").alias("h"))
+    source = keyed(docs, id_col, text_col)
+    hashed = source.select("rank", "text_key", word_hashes("text").alias("h"))
     items = materialize(benchmark_items(benchmark, item_id_col, item_text_col), "benchmark_items")
     windows = materialize(_windows(hashed, items), "leak_windows")
-    met = keyed.join(windows, ["rank", "text_key"]).select("rank", "text_key", "windows", shingles(word_hashes("text")).alias("all"))
+    met = source.join(windows, ["rank", "text_key"]).select("rank", "text_key", "windows", shingles(word_hashes("text")).alias("all"))
     met = materialize(met.dropDuplicates(["rank", "text_key"]).select("rank", "text_key", F.explode("windows").alias("w"), "all").select(
         "rank", "text_key", "w.*", F.slice("all", F.col("w.start") + 1, F.col("w.size")).alias("seen")
     ), "window_shingles")

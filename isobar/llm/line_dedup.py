@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isobar.llm.common import LAST_ID, documents, materialize, words
+from isobar.llm.common import keyed, materialize, words
 
 #: Jaccard similarity from which on lines match, as a fraction.
 ALIKE = (4, 5)
@@ -26,18 +26,14 @@ _LINE = ["rank", "text_key", "line_no"]
 _SET = ["set_a", "set_b", "n"]
 
 
-def keyed_documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return documents(docs, id_col, text_col).withColumns({"rank": F.coalesce("doc_id", F.lit(LAST_ID)), "text_key": F.xxhash64("text")})
-
-
 def lines_of(text: str | Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _rarity(keyed: DataFrame, counters: int) -> Column:
+def _rarity(docs: DataFrame, counters: int) -> Column:
     """log2 of the count of each hash counter, over all words of all texts: ``counters``
     bytes, whatever the input."""
-    each = keyed.select(F.explode(words(F.lower("text"))).alias("word"))
+    each = docs.select(F.explode(words(F.lower("text"))).alias("word"))
     counts = each.groupBy(F.pmod(F.xxhash64("word"), F.lit(counters)).alias("id")).agg(F.floor(F.log2(F.count("*"))).alias("class"))
     table = bytearray(counters)
     for row in counts.collect():  # at most `counters` rows
@@ -72,9 +68,9 @@ def _bitmap(tokens: Column) -> Column:
     return F.aggregate(tokens, F.lit(0).cast("long"), flip)
 
 
-def _lines(keyed: DataFrame, rarity: Column, counters: int) -> DataFrame:
+def _lines(docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
     """All lines: position, identity of its token set, prefix and bitmap."""
-    each = keyed.select("rank", "text_key", F.posexplode(lines_of("text")).alias("line_no", "line"))
+    each = docs.select("rank", "text_key", F.posexplode(lines_of("text")).alias("line_no", "line"))
     each = each.select(*_LINE, _tokens(F.col("line"), rarity, counters).alias("tokens"))
     return each.select(
         *_LINE,
@@ -105,11 +101,11 @@ def _passes(a: str, b: str) -> Column:
     return in_length & in_position & (apart * (up + down) <= (n + m) * (down - up))
 
 
-def _verified(pairs: DataFrame, keyed: DataFrame, firsts: DataFrame, rarity: Column, counters: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Column, counters: int) -> DataFrame:
     """The pairs (early, late) of cids whose whole token sets are similar enough."""
     needed = pairs.select(F.col("early").alias("cid")).union(pairs.select("late")).distinct().join(firsts, "cid")
     per_doc = needed.groupBy("rank", "text_key").agg(F.sort_array(F.collect_list(F.struct("line_no", "cid"))).alias("wanted"))
-    picked = keyed.join(per_doc, ["rank", "text_key"]).dropDuplicates(["rank", "text_key"]).withColumn("lines", lines_of("text"))
+    picked = docs.join(per_doc, ["rank", "text_key"]).dropDuplicates(["rank", "text_key"]).withColumn("lines", lines_of("text"))
     picked = picked.select(F.explode(F.transform("wanted", lambda w: F.struct(w["cid"].alias("cid"), F.get("lines", w["line_no"]).alias("line")))).alias("w"))
     sets = materialize(picked.select("w.cid", _tokens(F.col("w.line"), rarity, counters).alias("tokens")), "line_sets")
     one = sets.select(F.col("cid").alias("early"), F.col("tokens").alias("a"))
@@ -119,7 +115,7 @@ def _verified(pairs: DataFrame, keyed: DataFrame, firsts: DataFrame, rarity: Col
     return pairs.join(one, "early").join(two, "late").where(alike).select("early", "late")
 
 
-def _removed(lines: DataFrame, firsts: DataFrame, keyed: DataFrame, rarity: Column, counters: int) -> DataFrame:
+def _removed(lines: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
     """cids of the first lines that have an earlier match.
 
     Each token's earliest line is tested against the others first: as many pairs as lines.
@@ -131,13 +127,13 @@ def _removed(lines: DataFrame, firsts: DataFrame, keyed: DataFrame, rarity: Colu
     shared = materialize(shared.drop("several"), "shared_tokens")
     me = shared.select("hub", F.struct("cid", "n", "i", "bitmap").alias("me")).where("hub.cid < me.cid")
     tested = materialize(me.where(_passes("hub", "me")).select(F.col("hub.cid").alias("early"), F.col("me.cid").alias("late")).distinct(), "hub_lines")
-    settled = materialize(_verified(tested, keyed, firsts, rarity, counters).select(F.col("late").alias("cid")).distinct(), "settled_lines")
+    settled = materialize(_verified(tested, docs, firsts, rarity, counters).select(F.col("late").alias("cid")).distinct(), "settled_lines")
     plain = shared.select("token", "cid", "n", "i", "bitmap")
     late, early = plain.join(settled, "cid", "left_anti").alias("l"), plain.alias("e")
     meet = (F.col("l.token") == F.col("e.token")) & (F.col("e.cid") < F.col("l.cid")) & _passes("e", "l")
     pairs = late.join(early, meet).select(F.col("e.cid").alias("early"), F.col("l.cid").alias("late")).distinct()
     pairs = materialize(pairs.join(tested, ["early", "late"], "left_anti"), "line_pairs")
-    more = _verified(pairs, keyed, firsts, rarity, counters).select(F.col("late").alias("cid"))
+    more = _verified(pairs, docs, firsts, rarity, counters).select(F.col("late").alias("cid"))
     return settled.union(more).distinct()
 
 
@@ -150,15 +146,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stay. Repeated rows with the same doc_id and text count as one and get the same text.
     A null text is empty and has one line; an empty table gives no rows. Whole texts and
     lines of any length count."""
-    keyed = keyed_documents(docs, id_col, text_col)
-    rarity = _rarity(keyed, counters)
-    lines = materialize(_lines(keyed, rarity, counters), "lines")
+    source = keyed(docs, id_col, text_col)
+    rarity = _rarity(source, counters)
+    lines = materialize(_lines(source, rarity, counters), "lines")
     firsts = materialize(_first_lines(lines), "first_lines")
-    removed = materialize(_removed(lines, firsts, keyed, rarity, counters), "removed_lines")
+    removed = materialize(_removed(lines, firsts, source, rarity, counters), "removed_lines")
     kept_first = firsts.join(removed, "cid", "left_anti").select(*_LINE, F.lit(True).alias("kept"))
     flagged = lines.select(*_LINE, "n").join(kept_first, _LINE, "left").select(*_LINE, (F.coalesce("kept", F.lit(False)) | (F.col("n") == 0)).alias("kept"))
     flags = flagged.groupBy("rank", "text_key").agg(F.sort_array(F.collect_set(F.struct("line_no", "kept"))).alias("flags"))
-    out = keyed.join(materialize(flags, "line_flags"), ["rank", "text_key"], "left")
+    out = source.join(materialize(flags, "line_flags"), ["rank", "text_key"], "left")
     out = out.withColumn("both", F.arrays_zip(lines_of("text").alias("line"), F.col("flags.kept").alias("kept")))
     kept = F.transform(F.filter("both", lambda x: x["kept"]), lambda x: x["line"])
     out = out.select("rank", "text_key", "doc_id", F.size("both").cast("long").alias("n_lines"), kept.alias("kept"))

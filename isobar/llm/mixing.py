@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isobar.llm.common import materialize, n_words, pick
+from isobar.llm.common import LAST_ID, materialize, n_words, pick
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -27,7 +27,7 @@ GROUP = 4096
 #: Documents above this part of their source's words are rounded first.
 LARGE = 0.01
 
-_ROUNDED = "doc_id long, size long, source string, part long, copies double, settled boolean"
+_ROUNDED = "doc_id long, text_key long, size long, source string, part long, copies double, settled boolean"
 
 
 def _ranked(sources: DataFrame) -> DataFrame:
@@ -110,18 +110,18 @@ def pivot(size: np.ndarray, copies: np.ndarray, draw: np.ndarray) -> np.ndarray:
 
 def _round_group(docs: pd.DataFrame) -> pd.DataFrame:
     """One group of documents by size; what stays fractional goes up the tree."""
-    docs = docs.sort_values(["size", "draw", "doc_id"], kind="stable")
+    docs = docs.sort_values(["size", "draw", "doc_id", "text_key"], kind="stable")
     copies = pivot(docs["size"].to_numpy(), docs["copies"].to_numpy(), docs["draw"].to_numpy())
-    done = docs[["doc_id", "size", "source", "part"]].assign(copies=copies)
+    done = docs[["doc_id", "text_key", "size", "source", "part"]].assign(copies=copies)
     return done.assign(settled=copies == np.rint(copies))
 
 
 def _reduce(docs: DataFrame, seed: int, group: int, name: str) -> DataFrame:
-    """Whole numbers of copies for ``docs`` (doc_id, size, source, part, copies)."""
+    """Whole numbers of copies for ``docs`` (doc_id, text_key, size, source, part, copies)."""
     settled, level = [], 0
     parts = 1 if docs.isEmpty() else (docs.agg(F.max("part")).first()[0] or 0) + 1
     while True:
-        drawn = docs.withColumn("draw", _uniform(seed + level, "doc_id", "size", "source"))
+        drawn = docs.withColumn("draw", _uniform(seed + level, "doc_id", "text_key", "source"))
         done = materialize(drawn.groupBy("source", "part").applyInPandas(_round_group, _ROUNDED), f"{name}_{level}")
         settled.append(done.where("settled"))
         docs, level = done.where("NOT settled").withColumn("part", F.floor(F.col("part") / group)), level + 1
@@ -129,7 +129,7 @@ def _reduce(docs: DataFrame, seed: int, group: int, name: str) -> DataFrame:
             break
         parts = -(-parts // group)
     # The one fractional document that a source may have left.
-    up = _uniform(seed + level, "doc_id", "size", "source") < F.col("copies") - F.floor("copies")
+    up = _uniform(seed + level, "doc_id", "text_key", "source") < F.col("copies") - F.floor("copies")
     settled.append(docs.withColumn("copies", F.floor("copies") + up.cast("double")))
     out = settled[0]
     for more in settled[1:]:
@@ -140,14 +140,15 @@ def _reduce(docs: DataFrame, seed: int, group: int, name: str) -> DataFrame:
 def _parts(docs: DataFrame, seed: int, group: int) -> DataFrame:
     """Salts each source into groups of about ``group`` documents."""
     n = F.greatest(F.lit(1), F.ceil(F.col("n_docs") / group))
-    return docs.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "size"), n))
+    return docs.withColumn("part", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text_key"), n))
 
 
 def mix(
     docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
     weights=WEIGHTS, budget=BUDGET, most_copies=MOST_COPIES, seed=7, group=GROUP, large=LARGE,
 ) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, taken; and copies.
+    """One row per document: doc_id, size, source_size, target, taken; and source, copies
+    and text_key (a hash of the text).
 
     Size is the number of words, 0 for a null or empty text, which is never taken. Sources
     are ordered by code point and get ``weights`` in turn, a null source comes last and is a
@@ -155,10 +156,13 @@ def mix(
     ``most_copies`` times at most, and a source's taken words miss its target by no more
     than one of its documents. The few documents above ``large`` of their source's words
     are rounded first and the rest makes up for them, so the miss is small. Draws depend on
-    doc_id, size, source and ``seed`` only: reruns agree, repeated rows included (which
+    doc_id, text, source and ``seed`` only: reruns agree, repeated rows included (which
     share their draws). A null doc_id is an id like others. An empty table gives no rows."""
     sizes = pick(docs, doc_id=id_col, text=text_col, source=source_col).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.coalesce("text", F.lit(""))).alias("size")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"),
+        F.col("source").cast("string").alias("source"),
+        n_words(F.coalesce("text", F.lit(""))).alias("size"),
     )
     sizes = materialize(sizes, "sizes")
     targets = materialize(source_targets(sizes, weights, budget, most_copies), "targets")
@@ -166,7 +170,7 @@ def mix(
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     known = materialize(known.withColumn("large", (F.col("size") > large * F.col("source_size")) & (F.col("size") > 0)), "known_sizes")
     # At most 1 / large documents of a source are large.
-    first = known.where("large").select("doc_id", "size", "source", F.lit(0).cast("long").alias("part"), ratio.alias("copies"))
+    first = known.where("large").select("doc_id", "text_key", "size", "source", F.lit(0).cast("long").alias("part"), ratio.alias("copies"))
     rounded = materialize(_reduce(first, seed, group, "large_docs"), "large_rounded")
     given = rounded.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("given"), F.sum("size").alias("large_size"))
     left = targets.withColumnRenamed("source", "of").join(given, F.col("of").eqNullSafe(F.col("source")), "left").drop("source")
@@ -174,13 +178,13 @@ def mix(
     rest = F.when(small_size > 0, (F.col("target") - F.coalesce("given", F.lit(0.0))) / small_size).otherwise(0.0)
     rest = left.select("of", F.greatest(F.lit(0.0), F.least(F.lit(float(most_copies)), rest)).alias("copies"))
     small = known.where("NOT large").join(rest, F.col("of").eqNullSafe(F.col("source")))
-    small = _parts(small, seed, group).select("doc_id", "size", "source", "part", "copies")
+    small = _parts(small, seed, group).select("doc_id", "text_key", "size", "source", "part", "copies")
     taken = rounded.unionByName(_reduce(small, seed + 100, group, "small_docs"))
     return (
         taken.withColumnRenamed("source", "of")
         .join(targets, F.col("of").eqNullSafe(F.col("source")))
-        .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), F.col("of").alias("source"), F.col("copies").cast("long").alias("copies"))
+        .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), F.col("of").alias("source"), F.col("copies").cast("long").alias("copies"), "text_key")
     )
 
 
-__all__ = ["mix", "pivot", "source_targets"]
+__all__ = ["LAST_ID", "mix", "pivot", "source_targets"]

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm import wordhash
-from isobar.llm.common import LAST_ID, documents, materialize
+from isobar.llm.common import LAST_ID, keyed, materialize
 from isobar.llm.components import components
 from isobar.llm.exact_dedup import winners_of
 
@@ -181,20 +181,15 @@ def _open_pairs(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, like: L
     return a.join(b, unlinked & _may_link(like)).select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b")).distinct()
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
-
-    Documents are linked when their shingle sets have a Jaccard similarity of ``percent`` %
-    or more; component_id is the smallest doc_id reachable by links (null counts as the
-    largest), and that row is kept. Of repeated rows with the same doc_id and text one is
-    kept. A null or empty text has no shingles and is linked with nothing. An empty table
-    gives no rows. Whole texts count, whatever their length.
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+    """One row per document: rank and text_key (as in ``keyed``), rid, n_shingles, the
+    component's smallest rank, and whether the row is the one of its component that stays.
 
     Equal sets become one node first. Nodes that share a band key are candidates: first
     each bucket's hub is tested with the other members, which links dense groups at linear
     cost; then every pair of a bucket that is still in different components is tested."""
     like = Likeness(percent)
-    docs = documents(docs, id_col, text_col).withColumns({"rank": F.coalesce("doc_id", F.lit(LAST_ID)), "text_key": F.xxhash64("text")})
+    docs = keyed(docs, id_col, text_col)
     signed = materialize(
         docs.withColumn("rid", F.monotonically_increasing_id()).select("rid", "rank", "text_key", "text").mapInArrow(_sign, _SIGNED), "signatures"
     )
@@ -221,15 +216,25 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not more.isEmpty():
         edges = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)
         labels = materialize(components(edges), "components")
-    members = signed.select("rid", "rank", "n_shingles").join(classes, "rid", "left").join(labels, "node", "left")
+    members = signed.select("rid", "rank", "text_key", "n_shingles").join(classes, "rid", "left").join(labels, "node", "left")
     members = members.withColumn("group", F.coalesce("label", "node", "rid"))
     best = members.groupBy("group").agg(F.min(F.struct("rank", "rid")).alias("best"))
-    doc_id = lambda rank: F.when(F.col(rank) != LAST_ID, F.col(rank))
     return members.join(best, "group").select(
-        doc_id("rank").alias("doc_id"),
-        "n_shingles",
-        doc_id("best.rank").alias("component_id"),
-        (F.col("rid") == F.col("best.rid")).alias("kept"),
+        "rank", "text_key", "rid", "n_shingles", F.col("best.rank").alias("component"), (F.col("rid") == F.col("best.rid")).alias("kept")
+    )
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Documents are linked when their shingle sets have a Jaccard similarity of ``percent`` %
+    or more; component_id is the smallest doc_id reachable by links (null counts as the
+    largest), and that row is kept. Of repeated rows with the same doc_id and text one is
+    kept. A null or empty text has no shingles and is linked with nothing. An empty table
+    gives no rows. Whole texts count, whatever their length."""
+    doc_id = lambda rank: F.when(F.col(rank) != LAST_ID, F.col(rank))
+    return near_groups(docs, id_col, text_col, percent).select(
+        doc_id("rank").alias("doc_id"), "n_shingles", doc_id("component").alias("component_id"), "kept"
     )
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isobar.llm.common import LAST_ID, documents, materialize
+from isobar.llm.common import keyed, materialize
 
 # The strong patterns, in the order in which kinds are listed.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -64,8 +64,8 @@ def _random_looking(text, pattern):
     return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), mixed)
 
 
-def spans(keyed: DataFrame) -> DataFrame:
-    """Matches of every kind in ``keyed`` (rank, text_key, text): rank, text_key, kind,
+def spans(docs: DataFrame) -> DataFrame:
+    """Matches of every kind in ``docs`` (rank, text_key, text): rank, text_key, kind,
     start, end, in code points with the end exclusive; weak ones not linked yet."""
     rules = [
         ("assign", ASSIGN, _long_value),
@@ -75,7 +75,7 @@ def spans(keyed: DataFrame) -> DataFrame:
         ("weak_secret", WEAK_SECRET, _random_looking),
         ("endpoint", ENDPOINT, _all_good),
     ]
-    per_kind = keyed.select("rank", "text_key", F.explode(F.array(*[_matches(F.col("text"), *r) for r in rules])).alias("m"))
+    per_kind = docs.select("rank", "text_key", F.explode(F.array(*[_matches(F.col("text"), *r) for r in rules])).alias("m"))
     per_kind = per_kind.where(F.size("m.sizes") > 0).select("rank", "text_key", "m.*").dropDuplicates(["rank", "text_key", "kind"])
     each = per_kind.select(
         "rank", "text_key", "kind", F.posexplode(F.arrays_zip("sizes", F.slice("gaps", 1, F.size("sizes")).alias("gaps"), "good")).alias("n", "m")
@@ -125,15 +125,15 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     A null text is empty; repeated rows get the same spans; an empty table gives no rows.
     Whole texts are searched, whatever their length."""
-    keyed = documents(docs, id_col, text_col).withColumns({"rank": F.coalesce("doc_id", F.lit(LAST_ID)), "text_key": F.xxhash64("text")})
-    parts = materialize(_outside_strong(spans(keyed)), "secret_parts")
+    source = keyed(docs, id_col, text_col)
+    parts = materialize(_outside_strong(spans(source)), "secret_parts")
     reported = parts.where(F.col("kind").isin(STRONG)).unionByName(link_parts(parts, scope))
     place = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     found = reported.groupBy("rank", "text_key").agg(
         F.sort_array(F.collect_list(F.struct("start", place.alias("place"), "kind", "end"))).alias("found")
     )
     none = F.array().cast("array<struct<start:bigint,place:bigint,kind:string,end:bigint>>")
-    return keyed.select("doc_id", "rank", "text_key").join(found, ["rank", "text_key"], "left").select("doc_id", F.coalesce("found", none).alias("found"))
+    return source.select("doc_id", "rank", "text_key").join(found, ["rank", "text_key"], "left").select("doc_id", F.coalesce("found", none).alias("found"))
 
 
 def _joined(found: Column) -> Column:

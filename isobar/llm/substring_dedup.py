@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.llm import wordhash
-from isobar.llm.common import LAST_ID, documents, materialize
+from isobar.llm.common import keyed, materialize
 
 WINDOW = 13
 PERIOD = 7
@@ -127,7 +127,7 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     document and texts under 13 words stay. A null text has no words, a null doc_id comes
     after all others, rows that share a doc_id do not remove each other's words. An empty
     table gives no rows. Texts of any length are read whole."""
-    docs = documents(docs, id_col, text_col).withColumns({"rank": F.coalesce("doc_id", F.lit(LAST_ID)), "text_key": F.xxhash64("text")})
+    docs = keyed(docs, id_col, text_col)
     same_hash = Window.partitionBy("h")
     asked = docs.select("rank", "text_key", "text").mapInArrow(_anchors, _ASK)
     several = (F.min("rank").over(same_hash) < F.max("rank").over(same_hash)).alias("several")
