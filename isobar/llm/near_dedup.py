@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.llm import wordhash
@@ -169,16 +169,35 @@ def _likely(pairs: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
     return joined.where(_may_link(like)).select("p.a", "p.b")
 
 
-def _open_pairs(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
-    """All pairs of a bucket that no path links so far, in buckets that hold more than one
-    component, filtered by length and sketch as they are joined."""
+def _open_nodes(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """rid and label of the members of buckets that hold more than one component."""
     known = F.coalesce("label", "rid").alias("label")
     rows = buckets.join(labels.withColumnRenamed("node", "rid"), "rid", "left").select("key", "rid", known)
     mixed = rows.groupBy("key").agg(F.min("label").alias("l"), F.max("label").alias("m")).where("l < m").select("key")
-    rows = materialize(rows.join(mixed, "key", "left_semi").join(nodes, "rid"), "open_buckets")
+    return rows.join(mixed, "key", "left_semi").select("rid", "label").distinct()
+
+
+def _open_pairs(open_nodes: DataFrame, sets: DataFrame, nodes: DataFrame, like: Likeness) -> DataFrame:
+    """All pairs of open nodes in different components that may be linked.
+
+    Sets that are as similar as asked share one of the first few of their shingles, taken
+    from the rarest on, and no more shingles than allowed come before it in either. Around
+    a template each copy's own changes are its rarest shingles, so copies that differ too
+    much never meet, whatever the size of the group."""
+    each = sets.join(open_nodes.select("rid"), "rid").select("rid", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    counts = each.groupBy("token").agg(F.count("*").alias("times"))
+    by_rarity = Window.partitionBy("rid").orderBy("times", "token")
+    ranked = each.join(counts, "token").withColumn("i", F.row_number().over(by_rarity) - 1)
+    prefix = F.col("n") - F.ceil(F.col("n") * like.percent / 100) + 1
+    rows = ranked.where((F.col("i") < prefix) & (F.col("times") > 1)).select("rid", "n", "token", "i").join(open_nodes, "rid")
+    rows = materialize(rows, "rare_shingles")
     a, b = rows.alias("a"), rows.alias("b")
-    unlinked = (F.col("a.key") == F.col("b.key")) & (F.col("a.rid") < F.col("b.rid")) & (F.col("a.label") != F.col("b.label"))
-    return a.join(b, unlinked & _may_link(like)).select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b")).distinct()
+    meet = (F.col("a.token") == F.col("b.token")) & (F.col("a.rid") < F.col("b.rid")) & (F.col("a.label") != F.col("b.label"))
+    long_enough = F.least("a.n", "b.n") * 100 >= F.greatest("a.n", "b.n") * like.percent
+    ahead = F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))
+    in_reach = ahead * (100 + like.percent) >= (F.col("a.n") + F.col("b.n")) * like.percent
+    pairs = a.join(b, meet & long_enough & in_reach).select(F.col("a.rid").alias("a"), F.col("b.rid").alias("b")).distinct()
+    return _likely(pairs, nodes, like)
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
@@ -187,7 +206,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Equal sets become one node first. Nodes that share a band key are candidates: first
     each bucket's hub is tested with the other members, which links dense groups at linear
-    cost; then every pair of a bucket that is still in different components is tested."""
+    cost; then the members of buckets that are still in different components are paired by
+    their rarest shingles. Every pair passes its sketches and is tested on whole sets."""
     like = Likeness(percent)
     docs = keyed(docs, id_col, text_col)
     signed = materialize(
@@ -211,7 +231,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     links = materialize(_confirmed(hub_pairs, sets, like), "hub_links")
     labels = materialize(components(links), "hub_components")
-    open_pairs = materialize(_open_pairs(buckets, labels, info, like).join(hub_pairs, ["a", "b"], "left_anti"), "open_pairs")
+    open_nodes = materialize(_open_nodes(buckets, labels), "open_nodes")
+    open_pairs = materialize(_open_pairs(open_nodes, sets, info, like).join(hub_pairs, ["a", "b"], "left_anti"), "open_pairs")
     more = materialize(_confirmed(open_pairs, sets, like), "open_links")
     if not more.isEmpty():
         edges = labels.select(F.col("node").alias("a"), F.col("label").alias("b")).unionByName(more)
