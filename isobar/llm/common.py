@@ -51,8 +51,12 @@ def restored(df: DataFrame, names: list[str]) -> DataFrame:
 
 
 def words(text: str | Column) -> Column:
-    """Array of the words of a text."""
-    return F.array_remove(F.split(text, SPACES), "")
+    """Array of the words of a text. Most texts have single spaces and line breaks only,
+    which split without a regular expression."""
+    text = F.replace(F.col(text) if isinstance(text, str) else text, F.lit("\n"), F.lit(" "))
+    odd = F.regexp_like(text, F.lit(r"[\x09-\x0D]|\x20\x20|^\x20|\x20$"))
+    clean = F.when(odd, F.trim(F.regexp_replace(text, SPACES, " "))).otherwise(text)
+    return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " "))
 
 
 def n_words(text: str | Column) -> Column:

@@ -22,6 +22,9 @@ COUNTERS = 1 << 16
 
 _CLASS_BITS = 6  # log2 of a token's count, then its length (long words are rarer), its hash
 _LENGTH_BITS = 5
+_HASH_BITS = 63 - _CLASS_BITS - _LENGTH_BITS
+#: Tokens of a line, the rarest ones, by which dense groups are settled first.
+HUB_TOKENS = 3
 _LINE = ["rank", "text_key", "line_no"]
 _SET = ["set_a", "set_b", "n"]
 
@@ -31,28 +34,28 @@ def lines_of(text: str | Column) -> Column:
 
 
 def _rarity(docs: DataFrame, counters: int) -> Column:
-    """log2 of the count of each hash counter, over all words of all texts: ``counters``
-    bytes, whatever the input."""
-    each = docs.select(F.explode(words(F.lower("text"))).alias("word"))
-    counts = each.groupBy(F.pmod(F.xxhash64("word"), F.lit(counters)).alias("id")).agg(F.floor(F.log2(F.count("*"))).alias("class"))
-    table = bytearray(counters)
+    """log2 of the count of each hash counter, over all words of all texts: an array of
+    ``counters`` small numbers, whatever the input."""
+    each = docs.select(F.explode(words("text")).alias("word"))
+    counts = each.groupBy(F.pmod(F.shiftrightunsigned(F.xxhash64("word"), 64 - _HASH_BITS), F.lit(counters)).alias("id")).agg(F.floor(F.log2(F.count("*"))).alias("class"))
+    table = [0] * counters
     for row in counts.collect():  # at most `counters` rows
         table[row["id"]] = row["class"]
-    return F.lit(bytes(table))
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<tinyint>")
 
 
 def _tokens(line: Column, rarity: Column, counters: int) -> Column:
     """Distinct token hashes of a line, the rarest first."""
 
-    def token(word):
-        h = F.xxhash64(word)
-        kind = F.ascii(F.substring(rarity, F.pmod(h, F.lit(counters)).cast("int") + 1, 1).cast("string")).cast("long")
-        short = F.lit(31) - F.least(F.length(word), F.lit(31)).cast("long")
-        order = F.shiftleft(kind, _LENGTH_BITS).bitwiseOR(short)
-        rest = 63 - _CLASS_BITS - _LENGTH_BITS
-        return F.shiftleft(order, rest).bitwiseOR(F.shiftrightunsigned(h, 64 - rest))
+    def sized(word):  # how short it is, before its hash
+        short = F.lit(31) - F.least(F.length(word), F.lit(31))
+        return F.shiftleft(short.cast("long"), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 64 - _HASH_BITS))
 
-    return F.sort_array(F.array_distinct(F.transform(words(F.lower(line)), token)))
+    def ordered(token):
+        kind = F.get(rarity, F.pmod(token.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)), F.lit(counters)).cast("int"))
+        return F.shiftleft(kind.cast("long"), _HASH_BITS + _LENGTH_BITS).bitwiseOR(token)
+
+    return F.sort_array(F.array_distinct(F.transform(F.transform(words(line), sized), ordered)))
 
 
 def _prefix_size(n: Column) -> Column:
@@ -64,7 +67,7 @@ def _bitmap(tokens: Column) -> Column:
     """Parity of how many tokens fall on each of 64 bits. Two bitmaps differ in no more
     bits than their sets differ in tokens."""
     one = F.lit(1).cast("long")
-    flip = lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", one, F.pmod(F.xxhash64(t), F.lit(64)).cast("int")))
+    flip = lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int")))
     return F.aggregate(tokens, F.lit(0).cast("long"), flip)
 
 
@@ -118,22 +121,24 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Colu
 def _removed(lines: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
     """cids of the first lines that have an earlier match.
 
-    Each token's earliest line is tested against the others first: as many pairs as lines.
-    Lines that this settles, all of a dense group, are not paired any further."""
-    prefixes = lines.join(firsts.select("cid", *_LINE), _LINE).select("cid", "n", "bitmap", F.posexplode("prefix").alias("i", "token"))
-    of_token = Window.partitionBy("token")
-    hub = F.min(F.struct("cid", "n", "i", "bitmap")).over(of_token)
-    shared = prefixes.withColumns({"hub": hub, "several": F.count("*").over(of_token)}).where("several > 1")
-    shared = materialize(shared.drop("several"), "shared_tokens")
-    me = shared.select("hub", F.struct("cid", "n", "i", "bitmap").alias("me")).where("hub.cid < me.cid")
-    tested = materialize(me.where(_passes("hub", "me")).select(F.col("hub.cid").alias("early"), F.col("me.cid").alias("late")).distinct(), "hub_lines")
-    settled = materialize(_verified(tested, docs, firsts, rarity, counters).select(F.col("late").alias("cid")).distinct(), "settled_lines")
-    plain = shared.select("token", "cid", "n", "i", "bitmap")
-    late, early = plain.join(settled, "cid", "left_anti").alias("l"), plain.alias("e")
-    meet = (F.col("l.token") == F.col("e.token")) & (F.col("e.cid") < F.col("l.cid")) & _passes("e", "l")
+    First the earliest line of each group that shares one of the ``HUB_TOKENS`` rarest
+    tokens is tested against the others: as many pairs as tokens. Lines that this settles,
+    nearly all of a dense group, are only paired as the earlier one from then on."""
+    known = lines.join(firsts.select("cid", *_LINE), _LINE).select("cid", "n", "bitmap", "prefix")
+    rare = known.select("cid", "n", "bitmap", F.posexplode(F.slice("prefix", 1, HUB_TOKENS)).alias("i", "token"))
+    hub = F.min(F.struct("cid", "n", "i", "bitmap")).over(Window.partitionBy("token"))
+    met = rare.select(F.struct("cid", "n", "i", "bitmap").alias("me"), hub.alias("hub")).where((F.col("hub.cid") < F.col("me.cid")) & _passes("hub", "me"))
+    met = met.select(F.col("hub.cid").alias("early"), F.col("me.cid").alias("late")).distinct()
+    settled = materialize(_verified(materialize(met, "hub_lines"), docs, firsts, rarity, counters).select(F.col("late").alias("cid")).distinct(), "settled_lines")
+    # One shuffle of the prefixes serves both sides; the limit of settled lines, which no
+    # earlier line is below, is a condition of the join for that reason.
+    limit = F.when(F.col("done"), F.lit(-1)).otherwise(F.col("cid"))
+    flagged = known.join(settled.withColumn("done", F.lit(True)), "cid", "left").withColumn("limit", limit)
+    shared = flagged.select("cid", "limit", "n", "bitmap", F.posexplode("prefix").alias("i", "token"))
+    late, early = shared.alias("l"), shared.alias("e")
+    meet = (F.col("l.token") == F.col("e.token")) & (F.col("e.cid") < F.col("l.limit")) & _passes("e", "l")
     pairs = late.join(early, meet).select(F.col("e.cid").alias("early"), F.col("l.cid").alias("late")).distinct()
-    pairs = materialize(pairs.join(tested, ["early", "late"], "left_anti"), "line_pairs")
-    more = _verified(pairs, docs, firsts, rarity, counters).select(F.col("late").alias("cid"))
+    more = _verified(materialize(pairs, "line_pairs"), docs, firsts, rarity, counters).select(F.col("late").alias("cid"))
     return settled.union(more).distinct()
 
 
@@ -141,7 +146,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: rank, text_key, doc_id, n_lines, n_removed, kept_text.
 
     Lines end at ``\\n`` and go by doc_id (null last), then line number. A line's tokens
-    are its distinct words, lower-cased. A line is removed if an earlier line anywhere has
+    are its distinct words, unchanged. A line is removed if an earlier line anywhere has
     a token set of Jaccard 0.8 or more with its own, removed or not. Lines without words
     stay. Repeated rows with the same doc_id and text count as one and get the same text.
     A null text is empty and has one line; an empty table gives no rows. Whole texts and
@@ -174,7 +179,7 @@ def brute_force(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int,
     for i, text in sorted(docs, key=lambda d: d[0]):
         kept, lines = [], (text or "").split("\n")
         for line in lines:
-            tokens = {w for w in line.lower().replace("\t", " ").replace("\r", " ").split(" ") if w}
+            tokens = {w for w in line.replace("\t", " ").replace("\r", " ").split(" ") if w}
             if not tokens or not any(5 * len(tokens & b) >= 4 * len(tokens | b) for b in before if 5 * len(tokens) >= 4 * len(b) and 5 * len(b) >= 4 * len(tokens)):
                 kept.append(line)
             if tokens:

@@ -125,7 +125,7 @@ ORACLE_SQL = {
             FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents)
         ),
         t AS (
-            SELECT doc_id, i, line, list_sort(list_distinct(list_filter(string_split_regex(lower(line), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS w FROM l
+            SELECT doc_id, i, line, list_sort(list_distinct(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS w FROM l
         ),
         c AS (
             SELECT w, len(w) AS n, first, row_number() OVER (ORDER BY first) AS id
