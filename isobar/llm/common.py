@@ -50,13 +50,15 @@ def restored(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
 
 
-def words(text: str | Column) -> Column:
-    """Array of the words of a text. Most texts have single spaces and line breaks only,
-    which split without a regular expression."""
-    text = F.replace(F.col(text) if isinstance(text, str) else text, F.lit("\n"), F.lit(" "))
-    odd = F.regexp_like(text, F.lit(r"[\x09-\x0D]|\x20\x20|^\x20|\x20$"))
-    clean = F.when(odd, F.trim(F.regexp_replace(text, SPACES, " "))).otherwise(text)
-    return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " "))
+def with_words(df: DataFrame, text: Column, out: str = "words") -> DataFrame:
+    """``df`` with the words of ``text`` as an array. Most texts have single spaces and
+    line breaks only, which split without a regular expression. Each step is a column of
+    its own, because higher-order functions would evaluate nested steps again and again."""
+    odd = F.regexp_like("_flat", F.lit(r"[\x09-\x0D]|\x20\x20|^\x20|\x20$"))
+    df = df.withColumn("_flat", F.replace(text, F.lit("\n"), F.lit(" ")))
+    df = df.withColumn("_flat", F.when(odd, F.trim(F.regexp_replace("_flat", SPACES, " "))).otherwise(F.col("_flat")))
+    none = F.array().cast("array<string>")
+    return df.withColumn(out, F.when(F.col("_flat") == "", none).otherwise(F.split("_flat", " "))).drop("_flat")
 
 
 def n_words(text: str | Column) -> Column:
@@ -77,5 +79,5 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
 
 
 __all__ = [
-    "LAST_ID", "SPACES", "WORD", "documents", "keyed", "materialize", "n_words", "one_space", "pick", "placed", "restored", "table", "words",
+    "LAST_ID", "SPACES", "WORD", "documents", "keyed", "materialize", "n_words", "one_space", "pick", "placed", "restored", "table", "with_words",
 ]

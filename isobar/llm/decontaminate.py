@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.common import LAST_ID, keyed, materialize, pick, words
+from isobar.llm.common import LAST_ID, keyed, materialize, pick, with_words
 
 SHINGLE = 5
 RADIUS = 15
@@ -29,8 +29,10 @@ BROADCAST_SHINGLES = 1_000_000
 _LANES = 0x0001000100010001  # four counters of 16 bits in a long
 
 
-def word_hashes(text: str) -> Column:
-    return F.transform(words(F.lower(text)), lambda w: F.xxhash64(w))
+def with_hashes(df: DataFrame, text: str = "text") -> DataFrame:
+    """``df`` with ``h``, the hashes of the text's lower-cased words, in place of the text."""
+    split = with_words(df, F.lower(text), "words").drop(text)
+    return split.withColumn("h", F.transform("words", lambda w: F.xxhash64(w))).drop("words")
 
 
 def _shingle(h: Column, at: Column) -> Column:
@@ -38,7 +40,8 @@ def _shingle(h: Column, at: Column) -> Column:
 
 
 def shingles(h: Column) -> Column:
-    """Hashes of the 5 words from each position on; none for fewer words."""
+    """Hashes of the 5 words from each position on; none for fewer words. ``h`` has to be a
+    plain column: it is read for each of them."""
     return F.when(F.size(h) >= SHINGLE, F.transform(F.sequence(F.lit(0), F.size(h) - SHINGLE), lambda p: _shingle(h, p))).otherwise(
         F.array().cast("array<bigint>")
     )
@@ -71,9 +74,9 @@ def _blocks(fingerprint: str) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("block"), value(i).alias("value")) for i in range(BLOCKS)])
 
 
-def _tagged(values: Column) -> Column:
-    """A multiset as a set: each value with the number of its occurrence."""
-    ordered = F.sort_array(values)
+def _tagged(ordered: Column) -> Column:
+    """A multiset, given as a column of sorted values, as a set: each value with the number
+    of its occurrence."""
     return F.transform(ordered, lambda x, i: F.xxhash64(x, i - F.array_position(ordered, x)))
 
 
@@ -84,9 +87,10 @@ def _needed(m: Column, of_window: Column) -> Column:
 
 
 def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """item_id, item_key, values (shingle hashes), m (their number), fingerprint."""
+    """item_id, item_key, values (sorted shingle hashes), m (their number), fingerprint."""
     items = pick(benchmark, item_id=id_col, text=text_col).select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct()
-    items = items.select("item_id", F.xxhash64("item_id", "text").alias("item_key"), shingles(word_hashes("text")).alias("values"))
+    items = with_hashes(items.select("item_id", F.xxhash64("item_id", "text").alias("item_key"), "text"))
+    items = items.select("item_id", "item_key", F.sort_array(shingles(F.col("h"))).alias("values"))
     items = items.where(F.size("values") > 0).withColumn("m", F.size("values"))
     return items.withColumn("fingerprint", simhash(F.col("values")))
 
@@ -125,13 +129,13 @@ def find_leaks(
     too. Of an empty table or benchmark nothing is found. Items may have up to 65,000
     words; documents any number."""
     source = keyed(docs, id_col, text_col)
-    hashed = source.select("rank", "text_key", word_hashes("text").alias("h"))
+    hashed = with_hashes(source.select("rank", "text_key", "text"))
     items = materialize(benchmark_items(benchmark, item_id_col, item_text_col), "benchmark_items")
     windows = materialize(_windows(hashed, items), "leak_windows")
-    met = source.join(windows, ["rank", "text_key"]).select("rank", "text_key", "windows", shingles(word_hashes("text")).alias("all"))
-    met = materialize(met.dropDuplicates(["rank", "text_key"]).select("rank", "text_key", F.explode("windows").alias("w"), "all").select(
-        "rank", "text_key", "w.*", F.slice("all", F.col("w.start") + 1, F.col("w.size")).alias("seen")
-    ), "window_shingles")
+    met = source.join(windows, ["rank", "text_key"]).dropDuplicates(["rank", "text_key"]).select("rank", "text_key", "windows", "text")
+    met = with_hashes(met).withColumn("all", shingles(F.col("h"))).select("rank", "text_key", F.explode("windows").alias("w"), "all")
+    seen = F.sort_array(F.slice("all", F.col("w.start") + 1, F.col("w.size")))
+    met = materialize(met.select("rank", "text_key", "w.*", seen.alias("seen")), "window_shingles")
     printed = met.withColumn("print", simhash(F.col("seen")))
     printed = printed.select("*", F.explode(_blocks("print")).alias("b")).select("*", "b.block", "b.value").drop("b")
     index = items.select("item_id", "item_key", "m", "values", "fingerprint", F.explode(_blocks("fingerprint")).alias("b")).select(

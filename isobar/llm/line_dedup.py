@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isobar.llm.common import keyed, materialize, words
+from isobar.llm.common import keyed, materialize, with_words
 
 #: Jaccard similarity from which on lines match, as a fraction.
 ALIKE = (4, 5)
@@ -36,7 +36,7 @@ def lines_of(text: str | Column) -> Column:
 def _rarity(docs: DataFrame, counters: int) -> Column:
     """log2 of the count of each hash counter, over all words of all texts: an array of
     ``counters`` small numbers, whatever the input."""
-    each = docs.select(F.explode(words("text")).alias("word"))
+    each = with_words(docs.select("text"), F.col("text")).select(F.explode("words").alias("word"))
     counts = each.groupBy(F.pmod(F.shiftrightunsigned(F.xxhash64("word"), 64 - _HASH_BITS), F.lit(counters)).alias("id")).agg(F.floor(F.log2(F.count("*"))).alias("class"))
     table = [0] * counters
     for row in counts.collect():  # at most `counters` rows
@@ -44,8 +44,8 @@ def _rarity(docs: DataFrame, counters: int) -> Column:
     return F.split(F.lit(",".join(map(str, table))), ",").cast("array<tinyint>")
 
 
-def _tokens(line: Column, rarity: Column, counters: int) -> Column:
-    """Distinct token hashes of a line, the rarest first."""
+def _tokens(words: str, rarity: Column, counters: int) -> Column:
+    """Distinct token hashes of a line's words, the rarest first."""
 
     def sized(word):  # how short it is, before its hash
         short = F.lit(31) - F.least(F.length(word), F.lit(31))
@@ -55,7 +55,7 @@ def _tokens(line: Column, rarity: Column, counters: int) -> Column:
         kind = F.get(rarity, F.pmod(token.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)), F.lit(counters)).cast("int"))
         return F.shiftleft(kind.cast("long"), _HASH_BITS + _LENGTH_BITS).bitwiseOR(token)
 
-    return F.sort_array(F.array_distinct(F.transform(F.transform(words(line), sized), ordered)))
+    return F.sort_array(F.array_distinct(F.transform(F.transform(words, sized), ordered)))
 
 
 def _prefix_size(n: Column) -> Column:
@@ -74,7 +74,7 @@ def _bitmap(tokens: Column) -> Column:
 def _lines(docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
     """All lines: position, identity of its token set, prefix and bitmap."""
     each = docs.select("rank", "text_key", F.posexplode(lines_of("text")).alias("line_no", "line"))
-    each = each.select(*_LINE, _tokens(F.col("line"), rarity, counters).alias("tokens"))
+    each = with_words(each, F.col("line")).select(*_LINE, _tokens("words", rarity, counters).alias("tokens"))
     return each.select(
         *_LINE,
         F.size("tokens").alias("n"),
@@ -110,7 +110,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Colu
     per_doc = needed.groupBy("rank", "text_key").agg(F.sort_array(F.collect_list(F.struct("line_no", "cid"))).alias("wanted"))
     picked = docs.join(per_doc, ["rank", "text_key"]).dropDuplicates(["rank", "text_key"]).withColumn("lines", lines_of("text"))
     picked = picked.select(F.explode(F.transform("wanted", lambda w: F.struct(w["cid"].alias("cid"), F.get("lines", w["line_no"]).alias("line")))).alias("w"))
-    sets = materialize(picked.select("w.cid", _tokens(F.col("w.line"), rarity, counters).alias("tokens")), "line_sets")
+    split = with_words(picked.select("w.cid", "w.line"), F.col("line"))
+    sets = materialize(split.select("cid", _tokens("words", rarity, counters).alias("tokens")), "line_sets")
     one = sets.select(F.col("cid").alias("early"), F.col("tokens").alias("a"))
     two = sets.select(F.col("cid").alias("late"), F.col("tokens").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
