@@ -26,8 +26,9 @@ def surrogate_key(*cols) -> Column:
 
 
 def number_text(c) -> Column:
-    """text of a double as PostgreSQL prints it (``34.0`` -> ``34``)."""
-    return F.regexp_replace(_col(c).cast("string"), r"\.0$", "")
+    """text of a double as PostgreSQL prints it (``34.0`` -> ``34``, ``0.0005``, no
+    exponent), by its shortest exact decimal; NULL for what is no number of that range."""
+    return F.regexp_replace(_col(c).try_cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
 
 
 def coordinate_label(lat, lon) -> Column:
@@ -99,6 +100,11 @@ def signed_text(delta) -> Column:
     return F.concat(F.when(d >= 0, F.lit("+")).otherwise(F.lit("")), one_decimal_text(d), F.lit("°F"))  # NULL in, NULL out
 
 
+def plain_text(value, digits: int) -> Column:
+    """``{v:.0f}`` or ``{v:.2f}`` of a value rounded half away from zero first."""
+    return F.round(_col(value).cast("decimal(20,6)"), digits).cast(f"decimal(20,{digits})").cast("string")
+
+
 def utc_to_local(ts_utc, zone) -> Column:
     """wall-clock time in ``zone`` of a UTC ``timestamp_ntz`` (zone may be a column)."""
     return F.convert_timezone(F.lit("UTC"), _col(zone), _col(ts_utc))

@@ -1,4 +1,4 @@
-"""Dimension join (J1) with fallback naming (P6, F12), and a size-checked broadcast."""
+"""Dimension join (J1) with fallback naming."""
 
 from __future__ import annotations
 
@@ -7,31 +7,17 @@ from pyspark.sql import functions as F
 
 from isobar.functions.columns import UNKNOWN_STATE, coordinate_label
 
-# A dimension is broadcast only when it is proven to hold at most this many rows.
-DEFAULT_BROADCAST_ROWS = 200_000  # five narrow columns: a few tens of MB at most
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only behind an exact row bound; otherwise leave the choice to the
-    planner (shuffle join, or AQE's runtime broadcast when the real size is small).
-
-    The check reads at most ``max_rows + 1`` rows of the dimension.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def attach_locations(
     df: DataFrame,
     locations: DataFrame,
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """J1 + P6: left join on exact (latitude, longitude) equality.
 
     Adds ``location_name``, ``state``, ``city``; unmatched coordinates fall back to the
     ``lat_lon`` text (name, city) and ``UNKNOWN`` (state). The fact's own coordinates
     and timezone are kept. A duplicated coordinate pair in the dimension fans out, as
-    in the reference (its uniqueness is a data-quality rule, not a join property).
+    in the reference (its uniqueness is a data-quality rule, not a join property). Spark
+    broadcasts the dimension if its bytes are under the session's threshold.
     """
     dim = locations.select(
         F.col("latitude").alias("_dim_lat"),
@@ -40,7 +26,6 @@ def attach_locations(
         F.col("state").alias("_dim_state"),
         F.col("city").alias("_dim_city"),
     )
-    dim = bounded_broadcast(dim, max_broadcast_rows)
     joined = df.join(
         dim,
         (df["latitude"] == dim["_dim_lat"]) & (df["longitude"] == dim["_dim_lon"]),

@@ -82,23 +82,27 @@ def parse_sections(
     return raw.select(*passthrough, F.from_json(F.col(body_col), T.StructType(fields)).alias(out))
 
 
-def split_valid(raw: DataFrame, sections: list[str], body_col: str = "response_body"):
-    """Split documents into (good, quarantined) without failing the batch.
-
-    A document is quarantined when it is not JSON at all, or when a section's ``time``
-    is present but not an array (the reference would raise on the whole run). An absent
-    section or a JSON null is not an error: it just yields no rows.
-    Returns ``(good, bad)``; ``bad`` carries a ``reason`` column.
-    """
-    body = F.col(body_col)
-    reason = F.when(F.get_json_object(body, "$").isNull(), F.lit("not_json"))
+def document_reason(body: Column, sections: list[str]) -> Column:
+    """Why a document cannot be flattened, NULL if it can; one JSON pass.
+
+    ``not_json`` for text that is no JSON object, ``<section>_time_not_array`` when a
+    section's ``time`` is present but not an array (the reference would raise on the whole
+    run). An absent section or a JSON null is not an error: it just yields no rows."""
+    shape = ", ".join(f"{s} struct<time: string>" for s in sections) + ", _corrupt string"
+    doc = F.from_json(body, shape, {"columnNameOfCorruptRecord": "_corrupt"})
+    # the corrupt record first: of several bad sections the first one names the reason
+    reason = F.when(body.isNull() | doc["_corrupt"].isNotNull(), F.lit("not_json"))
     for s in sections:
-        t = F.get_json_object(body, f"$.{s}.time")
-        reason = reason.when(t.isNotNull() & F.json_array_length(t).isNull(), F.lit(f"{s}_time_not_array"))
-    tagged = raw.withColumn("_reason", reason)
-    good = tagged.filter(F.col("_reason").isNull()).drop("_reason")
-    bad = tagged.filter(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
-    return good, bad
+        time = doc[s]["time"]
+        reason = reason.when(time.isNotNull() & ~F.startswith(F.ltrim(time), F.lit("[")), F.lit(f"{s}_time_not_array"))
+    return reason
+
+
+def split_valid(raw: DataFrame, sections: list[str], body_col: str = "response_body"):
+    """Split documents into (good, quarantined) without failing the batch; ``bad``
+    carries a ``reason`` column (see :func:`document_reason`)."""
+    tagged = raw.withColumn("reason", document_reason(F.col(body_col), sections))
+    return tagged.filter(F.col("reason").isNull()).drop("reason"), tagged.filter(F.col("reason").isNotNull())
 
 
 def regular_axis(

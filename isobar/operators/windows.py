@@ -1,10 +1,7 @@
 """Window operators (W1-W3) in skew-safe form.
 
-W1, ``avg(v) over (partition by loc order by t rows between 2 preceding and current
-row)``, is computed per (loc, bucket) — a bucket is a calendar day — and the two rows
-that precede each bucket are carried in from a per-bucket "tail" table. No task ever
-holds a whole location: the row windows are bounded by the rows of one location-day,
-and the carry window runs over one row per location-day.
+W1 is a window per location: after the dedupe a location has one row per hour, so its
+partition is bounded by the time span, not by the data volume.
 
 W2/W3, a mean and a count over all rows of a date, are a partial aggregation per date
 joined back, not a window over the date: a date holding a third of all rows is
@@ -24,68 +21,20 @@ def rolling_mean_3(
     df: DataFrame,
     part: list[str],
     order: str,
-    bucket: Column,
     value_scaled: Column,
     out: str,
     digits: int = 2,
     scale: int = 6,
     tie: list[Column] | None = None,
-    materialize: bool = True,
 ) -> DataFrame:
     """Rounded mean of the current and two preceding rows (NULLs skipped).
 
     Row based: gaps in time are not filled, the first rows of a partition use one or two
-    values. ``bucket`` must be monotone in ``order`` (e.g. the date of a timestamp).
-    ``value_scaled`` is the value as an integer at ``10^scale``. With ``materialize`` the
-    input is written once to the shared checkpoint folder because two branches read it.
-    """
-    keys = part + ["_bucket"]
-    order_cols = [F.col(order)] + (tie or [])
-    x = df.withColumns({"_bucket": bucket, "_v": value_scaled.cast(WIDE_INT)})
-    if materialize:
-        # The rows feed both the per-bucket windows and the tail table: write them once
-        # to the shared checkpoint folder instead of recomputing the input plan twice.
-        from isobar.session import materialize
-
-        x = materialize(x, "rolling_input")
-    w = Window.partitionBy(*keys).orderBy(*order_cols)
-    w_all = Window.partitionBy(*keys)
-    x = x.withColumns(
-        {
-            "_rn": F.row_number().over(w),
-            "_l1": F.lag("_v", 1).over(w),
-            "_l2": F.lag("_v", 2).over(w),
-            "_cnt": F.count(F.lit(1)).over(w_all),
-        }
-    )
-    # Last two values of every (loc, bucket), then the two values preceding each bucket.
-    tails = (
-        x.filter(F.col("_rn") >= F.col("_cnt") - 1)
-        .groupBy(*keys)
-        .agg(
-            F.max(F.when(F.col("_rn") == F.col("_cnt"), F.col("_v"))).alias("_t1"),
-            F.max(F.when(F.col("_rn") == F.col("_cnt") - 1, F.col("_v"))).alias("_t2"),
-            F.max("_cnt").alias("_n"),
-        )
-    )
-    wb = Window.partitionBy(*part).orderBy("_bucket")
-    carry = tails.select(
-        *keys,
-        F.lag("_t1", 1).over(wb).alias("_c1"),
-        F.when(F.lag("_n", 1).over(wb) >= 2, F.lag("_t2", 1).over(wb))
-        .otherwise(F.lag("_t1", 2).over(wb))
-        .alias("_c2"),
-    )
-    y = x.join(carry, keys, "left")
-    # the two preceding values: in-bucket lags, or the carried tails for the first rows
-    p1 = "(CASE WHEN _rn = 1 THEN _c1 ELSE _l1 END)"
-    p2 = "(CASE WHEN _rn = 1 THEN _c2 WHEN _rn = 2 THEN _c1 ELSE _l2 END)"
-    vals = ["_v", p1, p2]
-    n = " + ".join(f"(CASE WHEN {v} IS NULL THEN 0 ELSE 1 END)" for v in vals)
-    total = f"CASE WHEN ({n}) > 0 THEN " + " + ".join(f"COALESCE({v}, 0)" for v in vals) + " END"
-    return y.withColumn(out, mean_half_up(total, n, digits, scale)).drop(
-        "_bucket", "_v", "_rn", "_l1", "_l2", "_cnt", "_c1", "_c2"
-    )
+    values. ``value_scaled`` is the value as an integer at ``10^scale``."""
+    rows = Window.partitionBy(*part).orderBy(F.col(order), *(tie or [])).rowsBetween(-2, 0)
+    v = value_scaled.cast(WIDE_INT)
+    summed = df.withColumns({"_s": F.sum(v).over(rows), "_n": F.count(v).over(rows)})
+    return summed.withColumn(out, mean_half_up("_s", "_n", digits, scale)).drop("_s", "_n")
 
 
 def with_group_means(

@@ -1,23 +1,25 @@
 """Dashboard queries over the marts.
 
 Each returns a DataFrame; ``toPandas()`` for a chart is the caller's business. The
-"latest date" filters (P9) are a one-row ``max`` aggregate joined back — a scalar
-subquery, never a driver round trip.
+"latest date" filters (P9) compare with a scalar subquery, never a driver round trip.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.functions import columns as C
 from isobar.functions.numeric import mean_half_up, scaled_int
+from isobar.plans.models import daily_summary, temperature_anomalies
 
 
-def _latest(df: DataFrame, date_col: str = "forecast_date") -> DataFrame:
-    """Rows on the latest date (``WHERE d = (SELECT max(d) ...)``)."""
-    m = df.agg(F.max(date_col).alias("_latest"))
-    return df.join(F.broadcast(m), F.col(date_col) == F.col("_latest"), "inner").drop("_latest")
+def latest(df: DataFrame, date_col: str = "forecast_date") -> DataFrame:
+    """Rows on the latest date (``WHERE d = (SELECT max(d) ...)``). On a mart that is
+    partitioned by the date the scan reads that partition only."""
+    return df.where(F.col(date_col) == df.agg(F.max(date_col)).scalar())
 
 
 def hourly_trend(fct_hourly: DataFrame, digits: int = 2) -> DataFrame:
@@ -54,6 +56,13 @@ def precipitation_by_location(fct_daily: DataFrame) -> DataFrame:
     )
 
 
+def calendar(df: DataFrame, date_col: str = "forecast_date") -> list:
+    """All dates from the first to the last one (one row with two dates reaches the driver;
+    the list is bounded by the time span)."""
+    first, last = df.agg(F.min(date_col), F.max(date_col)).first()
+    return [] if first is None else [first + dt.timedelta(days=k) for k in range((last - first).days + 1)]
+
+
 def anomaly_heatmap(anomalies: DataFrame, dates: list) -> DataFrame:
     """rows = location, columns = ``dates`` (given, so no extra job discovers them),
     value = avg_temp_anomaly_f. The mart is unique on (location, date), so ``max`` only
@@ -72,9 +81,11 @@ def ordered_locations(df: DataFrame, order: list[str], name_col: str = "location
     return df.withColumn("display_order", pos).filter(F.col("display_order") > 0)
 
 
-def anomaly_bars(anomalies: DataFrame) -> DataFrame:
-    """P9 + F14 + F16: latest date's anomaly per location, labelled, ascending."""
-    return _latest(anomalies).select(
+def anomaly_bars(fct_daily: DataFrame) -> DataFrame:
+    """P9 + F14 + F16: latest date's anomaly per location, labelled. An anomaly needs the
+    rows of its own date only, so the date is cut before the means (sort by
+    ``avg_temp_anomaly_f`` for the chart: :func:`sorted_bars`)."""
+    return temperature_anomalies(latest(fct_daily)).select(
         "location_name",
         C.title_label("location_name").alias("location_label"),
         "forecast_date",
@@ -87,25 +98,39 @@ def anomaly_bars(anomalies: DataFrame) -> DataFrame:
     )
 
 
-def kpi_cards(summary: DataFrame, fct_daily: DataFrame) -> DataFrame:
-    """One row of dashboard cards for the latest date."""
-    dates = summary.agg(F.count(F.lit(1)).alias("forecast_dates"), F.max("forecast_date").alias("latest_forecast_date"))
-    row = summary.join(F.broadcast(dates), F.col("forecast_date") == F.col("latest_forecast_date"))
-    precip = (
-        fct_daily.groupBy(F.col("forecast_date").alias("_d"))
-        .agg(F.sum("precipitation_sum_in").alias("total_precip_in"))
-    )
-    out = row.join(precip, F.col("forecast_date") == F.col("_d"), "left")
+def sorted_bars(bars: DataFrame) -> DataFrame:
+    """O3: bars ascending by anomaly, names break ties."""
+    return bars.orderBy("avg_temp_anomaly_f", "location_name")
+
+
+def sorted_series(rows: DataFrame) -> DataFrame:
+    """O3: rows by date and name."""
+    return rows.orderBy("forecast_date", "location_name")
+
+
+def kpi_cards(fct_daily: DataFrame) -> DataFrame:
+    """One row of dashboard cards for the latest date, with the
+    numbers and their texts. Only that date is aggregated; the dates are counted from the
+    date column alone."""
+    day = latest(fct_daily)
+    dates = fct_daily.select("forecast_date").distinct().agg(F.count(F.lit(1))).scalar()
+    precip = day.groupBy(F.col("forecast_date").alias("_d")).agg(F.sum("precipitation_sum_in").alias("total_precip_in"))
+    hottest, wettest = C.title_label("hottest_city"), C.title_label("wettest_city")
+    out = daily_summary(day).join(precip, F.col("forecast_date") == F.col("_d"))
     return out.select(
-        "latest_forecast_date",
-        "forecast_dates",
+        F.col("forecast_date").alias("latest_forecast_date"),
+        dates.alias("forecast_dates"),
         F.col("location_count").alias("locations_tracked"),
         F.col("avg_temp_f").alias("network_avg_temp_f"),
-        C.title_label("hottest_city").alias("hottest_city_label"),
+        F.concat(C.plain_text("avg_temp_f", 1), F.lit("°F")).alias("network_avg_temp_card"),
+        hottest.alias("hottest_city_label"),
         F.round(F.col("hottest_city_high_f"), 0).alias("hottest_city_high_f"),
-        C.title_label("wettest_city").alias("wettest_city_label"),
+        F.concat(hottest, F.lit(" ("), C.plain_text("hottest_city_high_f", 0), F.lit("°F)")).alias("hottest_city_card"),
+        wettest.alias("wettest_city_label"),
         F.round(F.col("wettest_city_precip_in"), 2).alias("wettest_city_precip_in"),
+        F.concat(wettest, F.lit(" ("), C.plain_text("wettest_city_precip_in", 2), F.lit('")')).alias("wettest_city_card"),
         F.round(F.col("total_precip_in"), 2).alias("total_precip_in"),
+        F.concat(C.plain_text("total_precip_in", 2), F.lit('"')).alias("total_precip_card"),
     )
 
 
@@ -130,5 +155,5 @@ def freshness(raw: DataFrame) -> DataFrame:
 
 __all__ = [
     "hourly_trend", "precipitation_by_location", "anomaly_heatmap", "ordered_locations",
-    "anomaly_bars", "kpi_cards", "location_series", "mart_preview", "freshness",
+    "anomaly_bars", "calendar", "kpi_cards", "latest", "location_series", "sorted_bars", "sorted_series", "mart_preview", "freshness",
 ]

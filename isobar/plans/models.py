@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from isobar.functions import columns as C
 from isobar.functions.numeric import mean_half_up, round_ratio, round_ratio_sql, scaled_int, scaled_sql
 from isobar.operators.dedupe import first_in_order, latest_per_key, order_keys
-from isobar.operators.enrich import DEFAULT_BROADCAST_ROWS, attach_locations
+from isobar.operators.enrich import attach_locations
 from isobar.operators.flatten import flatten_section, parse_sections
 from isobar.operators.windows import rolling_mean_3, with_group_means
 from isobar.schemas import DAILY_VARIABLES, DATE, HOURLY_VARIABLES, TS_LOCAL
@@ -66,9 +66,9 @@ def dedupe_daily(stg: DataFrame) -> DataFrame:
     )
 
 
-def enrich_hourly(stg: DataFrame, locations: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def enrich_hourly(stg: DataFrame, locations: DataFrame) -> DataFrame:
     """D1 -> J1 -> P6, F8-F12, F2 (everything of int_hourly except the rolling mean)."""
-    d = attach_locations(dedupe_hourly(stg), locations, max_broadcast_rows)
+    d = attach_locations(dedupe_hourly(stg), locations)
     ts = F.col("observation_hour")
     return d.withColumns(
         {
@@ -81,21 +81,20 @@ def enrich_hourly(stg: DataFrame, locations: DataFrame, max_broadcast_rows: int
     )
 
 
-def int_hourly(stg: DataFrame, locations: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def int_hourly(stg: DataFrame, locations: DataFrame) -> DataFrame:
     """D1 -> J1 -> P6, F8-F12, F2, W1 (rolling mean over the deduplicated rows)."""
     return rolling_mean_3(
-        enrich_hourly(stg, locations, max_broadcast_rows),
+        enrich_hourly(stg, locations),
         part=LOCATION_KEY,
         order="observation_hour",
-        bucket=F.col("observation_date"),
         value_scaled=scaled_int("temperature_2m_f"),
         out="temp_3hr_rolling_avg_f",
     )
 
 
-def int_daily(stg: DataFrame, locations: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def int_daily(stg: DataFrame, locations: DataFrame) -> DataFrame:
     """D2 -> J1 -> P6, F3-F6, P5."""
-    d = attach_locations(dedupe_daily(stg), locations, max_broadcast_rows)
+    d = attach_locations(dedupe_daily(stg), locations)
     hi, lo = scaled_sql("temperature_max_f"), scaled_sql("temperature_min_f")
     day, sun = scaled_sql("daylight_duration_s"), scaled_sql("sunshine_duration_s")
     hour = str(3600 * 10**6)
@@ -114,6 +113,7 @@ def int_daily(stg: DataFrame, locations: DataFrame, max_broadcast_rows: int = DE
 
 
 # ------------------------------------------------------------------------------ marts
+# The mart's columns, in order.
 FCT_HOURLY_COLUMNS = [
     "hourly_weather_sk", "location_name", "state", "city", "latitude", "longitude",
     "timezone", "weather_model", "observation_hour", "observation_date", "hour_of_day",
@@ -124,6 +124,7 @@ FCT_HOURLY_COLUMNS = [
     "forecast_id", "load_id", "ingested_at",
 ]
 
+# The mart's columns, in order.
 FCT_DAILY_COLUMNS = [
     "daily_weather_sk", "location_name", "state", "city", "latitude", "longitude",
     "timezone", "weather_model", "forecast_date", "weather_code", "temperature_max_f",
@@ -149,6 +150,7 @@ def fct_daily(enriched: DataFrame) -> DataFrame:
     ).select(*FCT_DAILY_COLUMNS)
 
 
+# The mart's columns, in order.
 SUMMARY_COLUMNS = [
     "forecast_date", "location_count", "avg_temp_f", "avg_high_f", "avg_low_f",
     "hottest_high_f", "hottest_city", "hottest_city_high_f", "coldest_low_f",
@@ -225,6 +227,7 @@ def daily_summary_hash(daily: DataFrame) -> DataFrame:
         F.when(is_cold, F.struct(F.lit("cold").alias("kind"), lo.alias("value"))),
         F.when(is_wet, F.struct(F.lit("wet").alias("kind"), wet.alias("value"))),
     )
+    cand = cand.filter(is_hot | is_cold | is_wet)  # a few rows per date; the join key drops NULL dates
     picks = cand.select("forecast_date", "location_name", F.explode(kinds).alias("_k")).filter(
         F.col("_k").isNotNull()
     ).select("forecast_date", "location_name", F.col("_k.kind").alias("kind"), F.col("_k.value").alias("value"))
@@ -256,6 +259,7 @@ def daily_summary(daily: DataFrame) -> DataFrame:
 
     Extremes follow the reference's NULL order: ``desc`` puts NULLs first, so a NULL
     high "wins" hottest while ``max`` beside it ignores it; ties go to the smaller name.
+    The row of a NULL date has no extremes (the reference joins them by equality).
     """
     name = F.col("location_name")
 
@@ -277,20 +281,22 @@ def daily_summary(daily: DataFrame) -> DataFrame:
         pick("temperature_min_f", False).alias("_cold"),
         pick("precipitation_sum_in", True).alias("_wet"),
     ]
+    of_date = lambda column: F.when(F.col("forecast_date").isNotNull(), F.col(column))
     g = daily.groupBy("forecast_date").agg(*aggs)
     g = g.withColumns({out: mean_half_up(f"_s_{out}", f"_n_{out}", d) for out, _, d in SUMMARY_MEANS}).withColumns(
         {
-            "hottest_city": F.col("_hot.name"),
-            "hottest_city_high_f": F.col("_hot.value"),
-            "coldest_city": F.col("_cold.name"),
-            "coldest_city_low_f": F.col("_cold.value"),
-            "wettest_city": F.col("_wet.name"),
-            "wettest_city_precip_in": F.col("_wet.value"),
+            "hottest_city": of_date("_hot.name"),
+            "hottest_city_high_f": of_date("_hot.value"),
+            "coldest_city": of_date("_cold.name"),
+            "coldest_city_low_f": of_date("_cold.value"),
+            "wettest_city": of_date("_wet.name"),
+            "wettest_city_precip_in": of_date("_wet.value"),
         }
     )
     return g.select(*SUMMARY_COLUMNS)
 
 
+# The mart's columns, in order.
 ANOMALY_COLUMNS = [
     "location_name", "state", "city", "forecast_date", "temperature_avg_f",
     "temperature_max_f", "temperature_min_f", "cross_avg_temp_f", "cross_avg_high_f",
@@ -349,20 +355,7 @@ def sorted_anomalies(anomalies: DataFrame) -> DataFrame:
     return anomalies.orderBy("forecast_date", F.desc_nulls_first("avg_temp_anomaly_f"))
 
 
-def build_marts(raw: DataFrame, locations: DataFrame, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> dict[str, DataFrame]:
-    """All four marts (lazy). ``fct_daily`` feeds two marts: materialise it once when
-    writing (see ``plans.pipeline``)."""
-    fh = fct_hourly(int_hourly(stg_hourly(raw), locations, max_broadcast_rows))
-    fd = fct_daily(int_daily(stg_daily(raw), locations, max_broadcast_rows))
-    return {
-        "fct_hourly_weather": fh,
-        "fct_daily_weather": fd,
-        "daily_temperature_summary": daily_summary(fd),
-        "temperature_anomalies": temperature_anomalies(fd),
-    }
-
-
 __all__ = [
     "stg_hourly", "stg_daily", "dedupe_hourly", "dedupe_daily", "enrich_hourly", "int_hourly", "int_daily",
-    "fct_hourly", "fct_daily", "daily_summary", "daily_summary_hash", "temperature_anomalies", "build_marts",
+    "fct_hourly", "fct_daily", "daily_summary", "daily_summary_hash", "temperature_anomalies",
 ]

@@ -36,14 +36,20 @@ def sk(a: str, b: str) -> str:
     )
 
 
-EV = """
+# Runs: the location's coordinates, or some that no location has.
+RUN_LATITUDE = (
+    "CAST(CASE WHEN user_id % 35 = 7 THEN user_id / 2000.0::DOUBLE "
+    "WHEN user_id % 6 = 0 THEN -90 + (user_id % 720) * 0.25 + 0.125 ELSE -90 + (user_id % 720) * 0.25 END AS DOUBLE)"
+)
+
+EV = f"""
 ev AS (
   SELECT event_id AS e, ts, user_id, event_type, value,
          CAST(round(value * 100) AS BIGINT) AS c,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
          date_trunc('hour', ts) AS h0,
          CAST(ts AS DATE) AS d0,
-         CAST(-90 + (user_id % 720) * 0.25 AS DOUBLE) AS latitude,
+         {RUN_LATITUDE} AS latitude,
          CAST(-180 + (user_id // 720) * 0.25 AS DOUBLE) AS longitude,
          ['America/New_York', 'America/Chicago', 'America/Denver', 'America/Los_Angeles'][user_id % 4 + 1] AS timezone
   FROM events
@@ -54,8 +60,9 @@ loc AS (
   SELECT lower(replace(c_name, '#', '_')) AS location_name,
          CAST(-90 + (c_custkey % 720) * 0.25 AS DOUBLE) AS latitude,
          CAST(-180 + (c_custkey // 720) * 0.25 AS DOUBLE) AS longitude,
+         ['America/New_York', 'America/Chicago', 'America/Denver', 'America/Los_Angeles'][c_custkey % 4 + 1] AS timezone,
          c_mktsegment AS state, c_name AS city
-  FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'
+  FROM customer
 )"""
 
 # hourly rows, measures as integers: t_c, precip_c, wind_c, gust_c in cents; rain_m in 1/1000
@@ -87,7 +94,7 @@ stg_d AS (
          j + 1 AS day_index,
          CAST(d0 + CAST(j AS INTEGER) AS DATE) AS forecast_date,
          (k + j) % 100 AS weather_code,
-         CASE WHEN e % 1700 = 0 AND j = 0 THEN NULL ELSE 5000 + (c + 13 * j * k) % 5000 END AS hi_c,
+         CASE WHEN e % 170 = 0 AND j = 0 THEN NULL ELSE 5000 + (c + 13 * j * k) % 5000 END AS hi_c,
          5000 + (c + 13 * j * k) % 5000 - (7 * k + 100 * j) % 3000 AS lo_c,
          5000 + (c + 13 * j * k) % 5000 + (k % 5) * 10 AS ahi_c,
          5000 + (c + 13 * j * k) % 5000 - (7 * k + 100 * j) % 3000 - (k % 3) * 10 AS alo_c,
@@ -451,10 +458,10 @@ SELECT reason, count(*) AS documents FROM (
         "WHERE forecast_date IN (SELECT DISTINCT CAST(CAST(ts AS DATE) + CAST(j AS INTEGER) AS DATE) "
         "FROM events CROSS JOIN range(2) AS r(j) WHERE CAST(ts AS DATE) >= DATE '2024-01-20')"
     )
-    q["load_check"] = """
+    q["load_check"] = f"""
 SELECT count(*) AS rows_since, count(DISTINCT (latitude, longitude)) AS locations_since,
        count(*) >= 7 AND count(DISTINCT (latitude, longitude)) >= 7 AS passed
-FROM (SELECT ts, CAST(-90 + (user_id % 720) * 0.25 AS DOUBLE) AS latitude,
+FROM (SELECT ts, {RUN_LATITUDE} AS latitude,
              CAST(-180 + (user_id // 720) * 0.25 AS DOUBLE) AS longitude
       FROM events WHERE ts >= TIMESTAMP '2024-01-15 00:00:00')"""
     q["freshness"] = "SELECT count(*) AS raw_rows, max(ts) AS last_ingested_at FROM events"
@@ -506,18 +513,52 @@ FROM anomalies WHERE forecast_date = (SELECT max(forecast_date) FROM anomalies)"
     q["latest_kpis"] = f"""{with_(*DAILY_CHAIN, SUMMARY)}
 SELECT s.forecast_date AS latest_forecast_date, (SELECT count(*) FROM summary) AS forecast_dates,
        CAST(s.location_count AS BIGINT) AS locations_tracked, s.avg_temp_f AS network_avg_temp_f,
+       printf('%.1f', s.avg_temp_f) || '°F' AS network_avg_temp_card,
        {_title('s.hottest_city')} AS hottest_city_label,
        {num(rdiv('h.hot_value', '100'), 0)} AS hottest_city_high_f,
+       {_title('s.hottest_city')} || ' (' || {rdiv('h.hot_value', '100')} || '°F)' AS hottest_city_card,
        {_title('s.wettest_city')} AS wettest_city_label,
        {num(rdiv('w.wet_value', '10'), 2)} AS wettest_city_precip_in,
+       {_title('s.wettest_city')} || ' (' || printf('%.2f', {num(rdiv('w.wet_value', '10'), 2)}) || '")' AS wettest_city_card,
+       printf('%.2f', {num(rdiv('(SELECT sum(psum_m) FROM fct_d f WHERE f.forecast_date = s.forecast_date)', '10'), 2)}) || '"' AS total_precip_card,
        {num(rdiv('(SELECT sum(psum_m) FROM fct_d f WHERE f.forecast_date = s.forecast_date)', '10'), 2)} AS total_precip_in
 FROM summary s JOIN hot h ON h.forecast_date = s.forecast_date JOIN wet w ON w.forecast_date = s.forecast_date
 WHERE s.forecast_date = (SELECT max(forecast_date) FROM summary)"""
+    days = ", ".join(f"DATE '2024-01-{d:02d}'" for d in range(1, 32))
     q["heatmap_pivot"] = f"""
 SELECT *, {_title('location_name')} AS location_label FROM (
   PIVOT ({with_(*DAILY_CHAIN, ANOM)} SELECT location_name, forecast_date, avg_temp_anomaly_f FROM anomalies)
-  ON forecast_date USING max(avg_temp_anomaly_f) GROUP BY location_name
+  ON forecast_date IN ({days}) USING max(avg_temp_anomaly_f) GROUP BY location_name
 )"""
+    q["sorted_summary"] = (
+        f"{with_(*DAILY_CHAIN, SUMMARY)} SELECT forecast_date, CAST(location_count AS BIGINT) AS location_count, "
+        "row_number() OVER (ORDER BY forecast_date) AS position FROM summary"
+    )
+    q["sorted_anomalies"] = (
+        f"{with_(*DAILY_CHAIN, ANOM)} SELECT forecast_date, location_name, avg_temp_anomaly_f, row_number() OVER "
+        "(PARTITION BY forecast_date ORDER BY avg_temp_anomaly_f DESC NULLS FIRST, location_name) AS position FROM anomalies"
+    )
+    q["sorted_bars"] = (
+        f"{with_(*DAILY_CHAIN, ANOM)} SELECT forecast_date, location_name, avg_temp_anomaly_f, row_number() OVER "
+        "(ORDER BY avg_temp_anomaly_f ASC NULLS FIRST, location_name) AS position FROM anomalies "
+        "WHERE forecast_date = (SELECT max(forecast_date) FROM anomalies)"
+    )
+    q["location_series"] = (
+        f"{with_(*HOURLY_CHAIN)} SELECT observation_hour, {num('t_c', 2)} AS temperature_2m_f, "
+        "row_number() OVER (ORDER BY observation_hour) AS position FROM enr_h WHERE location_name = 'customer_000000011'"
+    )
+    q["display_order"] = f"""{with_(*DAILY_CHAIN)},
+per AS (SELECT location_name, forecast_date, sum(psum_m) AS p FROM fct_d GROUP BY location_name, forecast_date),
+pos AS (SELECT * FROM (VALUES ('customer_000000013', 1), ('customer_000000001', 2), ('customer_000000011', 3)) v(name, n))
+SELECT location_name, {_title('location_name')} AS location_label, forecast_date,
+       {num('p', 3)} AS precipitation_in, {num('sum(p) OVER (PARTITION BY location_name)', 3)} AS location_total_in,
+       CAST(n AS BIGINT) AS display_order
+FROM per JOIN pos ON name = location_name"""
+    q["csv_dimension"] = f"{with_(LOC)} SELECT location_name, latitude, longitude, timezone, state, city FROM loc"
+    q["mart_round_trip"] = (
+        f"{with_(*DAILY_CHAIN)} SELECT forecast_date, location_name, {num('hi_c', 2)} AS temperature_max_f, "
+        f"{num('lo_c', 2)} AS temperature_min_f FROM fct_d"
+    )
     q["mart_preview"] = (
         f"{with_(*DAILY_CHAIN)} SELECT {FCT_D_COLS}, {LINEAGE} FROM fct_d ORDER BY daily_weather_sk LIMIT 5"
     )

@@ -9,25 +9,31 @@ bigint, exact decimals to double, instants to their UTC wall clock.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar.functions import columns as C
 from isobar.functions.numeric import cents
 from isobar.operators import quality as Q
-from isobar.operators.flatten import regular_axis, split_valid
+from isobar.operators.flatten import document_reason, regular_axis
 from isobar.plans import bi
 from isobar.plans import models as M
+from isobar.session import materialize, run_folder
 from isobar.sources import driver_tables as D
+from isobar.sources.files import read_locations_csv, read_mart, write_mart
+from isobar.streaming.ingest import rebuild_daily
 
 # Fixed parameters of the registered queries.
 LOAD_CHECK_SINCE = dt.datetime(2024, 1, 15, tzinfo=dt.timezone.utc)
 EXPECTED_LOCATIONS = 7
 REDELIVERY_ID_OFFSET = 10**12
-REFRESH_SINCE = "2024-01-20"
+ONE_LOCATION = "customer_000000011"
+DISPLAYED = ["customer_000000013", "customer_000000001", "customer_000000011"]
+REFRESH_SINCE = dt.datetime(2024, 1, 20, tzinfo=dt.timezone.utc)
 
 
 # Integer outputs that hold NULLs (ragged arrays): pandas shows them as float on one
@@ -67,11 +73,9 @@ def _fct_daily(spark, sf):
 
 
 def _fct_daily_shared(spark, sf):
-    """``fct_daily`` for queries that read it more than once: written once to the shared
-    checkpoint folder (a materialised mart), then read by every consumer."""
-    from isobar.session import materialize
-
-    return materialize(_fct_daily(spark, sf), "fct_daily")
+    """``fct_daily`` for queries that read it more than once: written once, partitioned by
+    its date like the mart, then read by every consumer."""
+    return materialize(_fct_daily(spark, sf), "fct_daily", ("forecast_date",))
 
 
 def _fct_hourly(spark, sf):
@@ -159,9 +163,8 @@ def q_quarantine(spark, sf):
         )
         .otherwise(body)
     )
-    good, bad = split_valid(raw.withColumn("response_body", broken), ["hourly", "daily"])
-    rows = good.select(F.lit("ok").alias("reason")).unionByName(bad.select("reason"))
-    return oracle_types(rows.groupBy("reason").agg(F.count(F.lit(1)).alias("documents")))
+    reason = F.coalesce(document_reason(broken, ["hourly", "daily"]), F.lit("ok"))
+    return oracle_types(raw.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("documents")))
 
 
 # --------------------------------------------------------------------- dedupe / join
@@ -262,12 +265,10 @@ def q_append_idempotent(spark, sf):
 
 def q_incremental_refresh(spark, sf):
     """The daily fact rows rebuilt for the dates that the runs ingested from
-    ``REFRESH_SINCE`` on touch, from the whole raw table."""
-    from isobar.streaming.ingest import rebuild_daily_for_batch
-
-    raw = _raw(spark, sf)
-    batch = raw.filter(F.col("ingest_date") >= F.lit(REFRESH_SINCE).cast("date"))
-    return oracle_types(rebuild_daily_for_batch(raw, batch, _loc(spark, sf)))
+    ``REFRESH_SINCE`` on touch, from the staged rows of those dates."""
+    staged = materialize(M.stg_daily(_raw(spark, sf)), "stg_daily", ("forecast_date",))
+    is_new = F.col("ingested_at") >= F.lit(REFRESH_SINCE)
+    return oracle_types(rebuild_daily(staged, is_new, _loc(spark, sf)))
 
 
 # ------------------------------------------------------------------------ checks (V*)
@@ -291,8 +292,8 @@ def q_dq_report(spark, sf):
         "raw_forecast": raw,
         "locations": loc,
         "fct_daily_weather": fd,
-        "daily_temperature_summary": M.daily_summary(fd),
-        "temperature_anomalies": M.temperature_anomalies(fd),
+        "daily_temperature_summary": materialize(M.daily_summary_hash(fd), "summary"),
+        "temperature_anomalies": materialize(M.temperature_anomalies(fd), "anomalies"),
     }
     return oracle_types(Q.quality_report(rel))
 
@@ -300,8 +301,6 @@ def q_dq_report(spark, sf):
 def q_dq_report_hourly(spark, sf):
     """V1-V5: the rule sets of the staging, intermediate and hourly-fact relations.
     Each relation is written once (several rules scan it) before the rules run."""
-    from isobar.session import materialize
-
     raw, loc = _raw(spark, sf), _loc(spark, sf)
     stg_h = materialize(M.stg_hourly(raw), "stg_hourly")
     stg_d = materialize(M.stg_daily(raw), "stg_daily")
@@ -342,25 +341,71 @@ def q_precip_by_location(spark, sf):
 
 
 def q_anomaly_bars(spark, sf):
-    return oracle_types(bi.anomaly_bars(M.temperature_anomalies(_fct_daily_shared(spark, sf))))
+    return oracle_types(bi.anomaly_bars(_fct_daily_shared(spark, sf)))
 
 
 def q_latest_kpis(spark, sf):
-    fd = _fct_daily_shared(spark, sf)
-    return oracle_types(bi.kpi_cards(M.daily_summary(fd), fd))
+    return oracle_types(bi.kpi_cards(_fct_daily_shared(spark, sf)))
 
 
 def q_heatmap_pivot(spark, sf):
-    """Location x date pivot. The column list is the mart's date list: one row per
-    date of the summary (bounded by the time span, not by the data volume)."""
+    """Location x date pivot over all dates from the first to the last one."""
     fd = _fct_daily_shared(spark, sf)
-    an = M.temperature_anomalies(fd)
-    dates = [r[0] for r in fd.select("forecast_date").distinct().orderBy("forecast_date").collect()]
-    out = bi.anomaly_heatmap(an, dates)
+    out = bi.anomaly_heatmap(M.temperature_anomalies(fd), bi.calendar(fd))
     renamed = out.select(*[F.col(f"`{c}`").alias(str(c)) for c in out.columns])
     return oracle_types(renamed)
 
 
+def _numbered(rows: DataFrame, within: str, *order) -> DataFrame:
+    """The order of a sorted result as a column: the position within ``within``, which
+    holds one row per location or per hour."""
+    return rows.withColumn("position", F.row_number().over(Window.partitionBy(within).orderBy(*order)))
+
+
+def q_sorted_summary(spark, sf):
+    """O1: the summary by date. Positions count the earlier dates, one row each."""
+    s = M.sorted_summary(M.daily_summary_hash(_fct_daily_shared(spark, sf))).select("forecast_date", "location_count")
+    return oracle_types(_numbered(s.withColumn("all", F.lit(1)), "all", "forecast_date").drop("all"))
+
+
+def q_sorted_anomalies(spark, sf):
+    """O2: date, then anomaly descending with NULLs first; names break ties."""
+    a = M.sorted_anomalies(M.temperature_anomalies(_fct_daily_shared(spark, sf)))
+    a = a.select("forecast_date", "location_name", "avg_temp_anomaly_f")
+    return oracle_types(_numbered(a, "forecast_date", F.desc_nulls_first("avg_temp_anomaly_f"), "location_name"))
+
+
+def q_sorted_bars(spark, sf):
+    """O3: the latest date's bars, ascending."""
+    b = bi.sorted_bars(bi.anomaly_bars(_fct_daily_shared(spark, sf))).select("forecast_date", "location_name", "avg_temp_anomaly_f")
+    return oracle_types(_numbered(b, "forecast_date", "avg_temp_anomaly_f", "location_name"))
+
+
+def q_location_series(spark, sf):
+    """P10 + O3: one location's hours in order."""
+    rows = bi.location_series(M.enrich_hourly(M.stg_hourly(_raw(spark, sf)), _loc(spark, sf)), ONE_LOCATION)
+    return oracle_types(_numbered(rows.withColumn("all", F.lit(1)), "all", "observation_hour").drop("all"))
+
+
+def q_display_order(spark, sf):
+    """O4 + R2: rows of the listed locations, numbered by the list."""
+    return oracle_types(bi.ordered_locations(bi.precipitation_by_location(_fct_daily(spark, sf)), DISPLAYED))
+
+
+def q_csv_dimension(spark, sf):
+    """The dimension written as CSV with a header and read by its fixed schema."""
+    path = f"{run_folder(spark)}/locations-{uuid.uuid4().hex}.csv"
+    _loc(spark, sf).write.option("header", True).csv(path)
+    return oracle_types(read_locations_csv(spark, path))
+
+
+def q_mart_round_trip(spark, sf):
+    """S7 + S8: the daily fact written as a mart, four columns of it read back."""
+    path = f"{run_folder(spark)}/mart-{uuid.uuid4().hex}"
+    write_mart(_fct_daily(spark, sf), path, ["forecast_date"], ["location_name"])
+    return oracle_types(read_mart(spark, path, ["forecast_date", "location_name", "temperature_max_f", "temperature_min_f"]))
+
+
 def q_mart_preview(spark, sf):
     """``SELECT * ... LIMIT 5`` in key order."""
     return oracle_types(bi.mart_preview(_fct_daily(spark, sf), "daily_weather_sk", 5))
@@ -411,6 +456,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anomaly_bars": q_anomaly_bars,
     "latest_kpis": q_latest_kpis,
     "heatmap_pivot": q_heatmap_pivot,
+    "sorted_summary": q_sorted_summary,
+    "sorted_anomalies": q_sorted_anomalies,
+    "sorted_bars": q_sorted_bars,
+    "location_series": q_location_series,
+    "display_order": q_display_order,
+    "csv_dimension": q_csv_dimension,
+    "mart_round_trip": q_mart_round_trip,
     "mart_preview": q_mart_preview,
     "anomaly_labels": q_anomaly_labels,
 }

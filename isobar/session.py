@@ -93,5 +93,5 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     spark = df.sparkSession
     path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     with _setting(spark, SHUFFLE_CLEANUP, "true"):
-        df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        (df.hint("rebalance", *partition_by) if partition_by else df).write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -10,19 +10,20 @@ Mapping (all arithmetic in integers; ``c`` = cents of ``value``, ``k`` = ``props
 ``e`` = ``event_id``, ``i`` = hour position 0..2, ``j`` = day position 0..1):
 
 * run: forecast_id = e, ingested_at = ts (UTC), load_id = date of ts, location = user_id
-* coordinates: latitude = -90 + 0.25 * (id % 720), longitude = -180 + 0.25 * (id div 720)
+* coordinates: latitude = -90 + 0.25 * (id % 720), longitude = -180 + 0.25 * (id div 720);
+  of the runs, latitude is id / 2000 where id % 35 = 7, and 0.125 more where id % 6 = 0
 * hourly time = hour of ts + i hours; daily time = date of ts + j days
 * temperature_2m = (2000 + (c + 37*i*k) % 10000) / 100, JSON null when e % 17 = 0 and i = 1
+* temperature_2m_max: JSON null when e % 170 = 0 and j = 0
 * relative_humidity_2m = (k + 7*i) % 101, only 2 elements when e % 5 = 0 (ragged)
 * other variables: see :func:`forecast_documents`; ``showers`` is never sent (absent)
 
-The dimension keeps customers outside one market segment, so some coordinates stay
-unmatched and exercise the fallback naming.
+The dimension has all customers; the shifted latitudes of some runs match none of them and
+exercise the fallback naming, small ones that of numbers below 1e-2.
 """
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,16 +31,12 @@ from pyspark.sql import functions as F
 
 from isobar.functions.columns import ntz_epoch_micros
 from isobar.functions.numeric import cents, int_div, to_decimal
-from isobar.session import checkpoint_dir
-from isobar.sources.raw import read_raw
-
-# Bump when the document formulas change, so landed copies are re-derived.
-DOCUMENT_VERSION = 5
+from isobar.session import run_folder
+from isobar.sources.raw import append_raw, read_raw
 
 # Fixed values for the derived inputs.
 ZONES = ["America/New_York", "America/Chicago", "America/Denver", "America/Los_Angeles"]
 WEATHER_MODEL = "gfs_seamless"
-UNLISTED_SEGMENT = "HOUSEHOLD"
 HOURS_PER_RUN = 3
 DAYS_PER_RUN = 2
 
@@ -54,6 +51,13 @@ def coordinates(id_col: Column) -> tuple[Column, Column]:
     return lat, lon
 
 
+def run_coordinates(id_col: Column) -> tuple[Column, Column]:
+    """Coordinates of a run: those of the location, or some that no location has."""
+    lat, lon = coordinates(id_col)
+    small, shifted = id_col.cast("double") / F.lit(2000.0), lat + F.lit(0.125)
+    return F.when(id_col % 35 == 7, small).when(id_col % 6 == 0, shifted).otherwise(lat), lon
+
+
 def zone_of(id_col: Column) -> Column:
     return F.element_at(F.array(*[F.lit(z) for z in ZONES]), (id_col % len(ZONES)).cast("int") + 1)
 
@@ -149,7 +153,7 @@ def forecast_documents(events: DataFrame) -> DataFrame:
     arr("weather_code", [(k + j) % 100 for j in days])
     arr(
         "temperature_2m_max",
-        [F.when((e % 1700 == 0) & F.lit(j == 0), F.lit(None)).otherwise(dec(tmax(j), 2)) for j in days],
+        [F.when((e % 170 == 0) & F.lit(j == 0), F.lit(None)).otherwise(dec(tmax(j), 2)) for j in days],
     )
     arr("temperature_2m_min", [dec(tmin(j), 2) for j in days])
     arr("apparent_temperature_max", [dec(tmax(j) + (k % 5) * 10, 2) for j in days])
@@ -166,7 +170,7 @@ def forecast_documents(events: DataFrame) -> DataFrame:
     arr("sunshine_duration", [dec(daylight(j) * ((k + j) % 100), 2) for j in days])
     template = '{"hourly":{' + ",".join(pieces[:n_hourly]) + '},"daily":{' + ",".join(pieces[n_hourly:]) + "}}"
     body = F.format_string(template, *args)
-    lat, lon = coordinates(F.col("user_id"))
+    lat, lon = run_coordinates(F.col("user_id"))
     zone = zone_of(F.col("user_id"))
     return base.select(
         e.alias("forecast_id"),
@@ -185,9 +189,9 @@ def forecast_documents(events: DataFrame) -> DataFrame:
 
 
 def locations_from_customers(customer: DataFrame) -> DataFrame:
-    """``LOCATION_SCHEMA`` rows: one per customer outside the unlisted segment."""
+    """``LOCATION_SCHEMA`` rows: one per customer."""
     lat, lon = coordinates(F.col("c_custkey"))
-    return customer.filter(F.col("c_mktsegment") != UNLISTED_SEGMENT).select(
+    return customer.select(
         F.lower(F.regexp_replace("c_name", "#", "_")).alias("location_name"),
         lat.alias("latitude"),
         lon.alias("longitude"),
@@ -197,63 +201,20 @@ def locations_from_customers(customer: DataFrame) -> DataFrame:
     )
 
 
-def _fingerprint(spark: SparkSession, path: str) -> str:
-    """Path, length and modification time of an input: one ``getFileStatus`` call (no
-    recursive listing, which would be slow for a table of millions of files; a folder's
-    modification time changes when files are added or removed)."""
-    fs, p = _fs_path(spark, path)
-    st = fs.getFileStatus(p)
-    key = f"{path}|{st.getLen()}|{st.getModificationTime()}|{DOCUMENT_VERSION}"
-    return hashlib.sha1(key.encode()).hexdigest()[:16]
-
-
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _publish(spark: SparkSession, staging: str, target: str) -> None:
-    """Rename ``staging`` to ``target`` unless ``target`` exists: ``FileContext.rename``
-    with ``Rename.NONE`` fails instead of nesting the folder inside an existing one."""
-    sc = spark.sparkContext
-    jvm = sc._jvm
-    ctx = jvm.org.apache.hadoop.fs.FileContext.getFileContext(sc._jsc.hadoopConfiguration())
-    options = sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
-    try:
-        ctx.rename(jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(target), options)
-    except Exception:  # noqa: BLE001 - another caller published first; use its table
-        pass
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _fs_path(spark, path)
-    return fs.exists(p)
+_landed: dict[tuple[str, str], str] = {}
 
 
 def raw_forecasts(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
     """The raw landing table for ``sf_dir``: documents derived from ``events``, landed
-    once through the append sink (S2) into the shared checkpoint folder, then scanned
-    (S3) by every model. Re-derived whenever the events table changes.
-
-    The table is written to a private staging folder and published with one directory
-    rename, so concurrent callers never see a half-written table; if another caller
-    published first, its table is used. ``refresh`` lands a fresh copy of its own.
-    """
-    src = f"{sf_dir}/events.parquet"
-    out = f"{checkpoint_dir(spark)}/raw_forecast/{_fingerprint(spark, src)}"
-    if not refresh and _exists(spark, f"{out}/_SUCCESS"):
-        return read_raw(spark, out)
-    staging = f"{out}.staging-{uuid.uuid4().hex}"
-    docs = forecast_documents(table(spark, sf_dir, "events"))
-    docs.write.partitionBy("ingest_date").parquet(staging)
-    if refresh:
-        return read_raw(spark, staging)
-    _publish(spark, staging, out)
-    if _exists(spark, f"{out}/_SUCCESS"):
-        return read_raw(spark, out)
-    return read_raw(spark, staging)
+    through the append sink (S2) once per application, into its run folder, then scanned
+    (S3) by every model. Nothing is reused across applications. ``refresh`` lands a fresh
+    copy, for callers that change the events in between."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if refresh or key not in _landed:
+        out = f"{run_folder(spark)}/raw_forecast-{uuid.uuid4().hex}"
+        append_raw(raw_forecasts_unlanded(spark, sf_dir), out)
+        _landed[key] = out
+    return read_raw(spark, _landed[key])
 
 
 def raw_forecasts_unlanded(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Raw landing table: append sink (S2) and scan (S3).
 
-The raw table is Parquet partitioned by ``ingest_date`` and only ever appended to; the
+The raw table is Parquet partitioned by ``ingest_date`` and load and only ever added to; the
 JSON documents stay verbatim in ``response_body``. Models read it with the fixed
 schema and project only the columns they need (the JSON text column is the only wide
 one, and each flatten parses only its own section).
@@ -18,6 +18,7 @@ from isobar.schemas import RAW_SCHEMA
 
 DEFAULT_WEATHER_MODEL = "gfs_seamless"
 DEFAULT_INGEST_SOURCE = "python"
+LOAD_PARTITIONS = ["ingest_date", "load_id"]
 
 
 def with_lineage(
@@ -26,44 +27,52 @@ def with_lineage(
     ingest_source: str = DEFAULT_INGEST_SOURCE,
     weather_model: str = DEFAULT_WEATHER_MODEL,
 ) -> DataFrame:
-    """S2 lineage: one ``load_id`` shared by the run, ``ingested_at`` (one timestamp per
-    batch), ``ingest_source``, default ``weather_model`` and a ``forecast_id``.
+    """S2 lineage: one ``load_id`` shared by the run, ``ingested_at``, ``ingest_source``,
+    default ``weather_model`` and a ``forecast_id``.
 
     ``docs`` needs latitude, longitude, timezone, source_url, request_params and
-    response_body. ``forecast_id`` is a 64-bit hash of (load_id, latitude, longitude):
+    response_body. Documents from files also have ``file_name`` and ``file_date``: then the
+    file's date is the run's time, so that of several files of a location the newer run
+    wins whenever they are ingested, and the name is part of the id. Other documents get
+    the batch's time. ``forecast_id`` is a 64-bit hash of load, coordinates and file name:
     Spark has no dense sequence, and the id is only lineage and a uniqueness key.
     """
     load_id = load_id or str(uuid.uuid4())
     out = docs
     if "weather_model" not in docs.columns:
         out = out.withColumn("weather_model", F.lit(weather_model))
-    out = out.withColumns(
-        {
-            "load_id": F.lit(load_id),
-            "ingest_source": F.lit(ingest_source),
-            "ingested_at": F.current_timestamp(),
-        }
-    )
-    out = out.withColumn("forecast_id", F.xxhash64(F.col("load_id"), F.col("latitude"), F.col("longitude")))
+    from_files = "file_name" in docs.columns
+    run_time = F.timestamp_seconds(F.unix_date("file_date").cast("long") * 86_400) if from_files else F.current_timestamp()
+    out = out.withColumns({"load_id": F.lit(load_id), "ingest_source": F.lit(ingest_source), "ingested_at": run_time})
+    key = ["load_id", "latitude", "longitude"] + (["file_name"] if from_files else [])
+    out = out.withColumn("forecast_id", F.xxhash64(*key))
     return out.select(*[f.name for f in RAW_SCHEMA.fields])
 
 
 def ingest_date(ts: Column) -> Column:
-    return F.to_date(ts)
+    """The UTC day of an instant, whatever the session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86_400).cast("int"))
 
 
 def append_raw(raw_rows: DataFrame, path: str) -> None:
-    """Append rows (``RAW_SCHEMA`` columns) to the landing table at ``path``."""
-    cols = [f.name for f in RAW_SCHEMA.fields]
-    out = raw_rows.select(*cols)
-    if "ingest_date" in raw_rows.columns:
-        out = out.withColumn("ingest_date", raw_rows["ingest_date"])
-    else:
+    """Add loads (``RAW_SCHEMA`` columns) to the landing table at ``path``.
+
+    A load is a partition of its day. Writing the same load again, as a retried batch does,
+    replaces it, so the table holds every load once. Rebalanced by partition: a load is a
+    few files, however many tasks write."""
+    out = raw_rows.select(*[f.name for f in RAW_SCHEMA.fields], *(["ingest_date"] if "ingest_date" in raw_rows.columns else []))
+    if "ingest_date" not in raw_rows.columns:
         out = out.withColumn("ingest_date", ingest_date(F.col("ingested_at")))
-    out.write.mode("append").partitionBy("ingest_date").parquet(path)
+    (
+        out.hint("rebalance", *LOAD_PARTITIONS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*LOAD_PARTITIONS)
+        .parquet(path)
+    )
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """S3: scan the landing table with its fixed schema (no inference)."""
     schema = T.StructType(RAW_SCHEMA.fields + [T.StructField("ingest_date", T.DateType())])
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)

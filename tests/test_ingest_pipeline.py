@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from test_operators import MINIMAL
 from isobar.operators.quality import LoadCheckError
 from isobar.plans.pipeline import run_pipeline
-from isobar.sources.files import read_landing, read_locations_csv
-from isobar.sources.raw import read_raw
-from isobar.streaming.ingest import ingest_landing
+from isobar.plans import models as M
+from isobar.sources.files import read_landing, read_locations_csv, read_mart, write_mart
+from isobar.sources.raw import append_raw, read_raw, with_lineage
+from isobar.streaming.ingest import ingest_landing, refresh_daily_marts
+
+DOCS = "latitude double, longitude double, timezone string, source_url string, request_params string, response_body string"
 
 LOCATIONS_CSV = """location_name,latitude,longitude,timezone,state,city
-new_york,40.71,-74.01,America/New_York,NY,New York
+north_ford,40.5,-74.25,America/New_York,NF,North Ford
 whole_town,34.0,-118.0,America/Los_Angeles,CA,Whole Town
 """
 
@@ -28,9 +31,9 @@ def _landing(tmp, files):
 
 def test_landing_file_names_and_csv_dimension(spark):
     tmp = tempfile.mkdtemp(prefix="isobar-landing-")
-    _landing(tmp, {"weather_new_york_2026-07-05.json": MINIMAL, "notes.json": {}})
+    _landing(tmp, {"weather_north_ford_2026-07-05.json": MINIMAL, "notes.json": {}})
     got = {(r.location_name, r.file_date) for r in read_landing(spark, tmp).collect()}
-    assert got == {("new_york", dt.date(2026, 7, 5)), (None, None)}
+    assert got == {("north_ford", dt.date(2026, 7, 5)), (None, None)}
     with open(f"{tmp}/locations.csv", "w") as f:
         f.write(LOCATIONS_CSV)
     loc = read_locations_csv(spark, f"{tmp}/locations.csv")
@@ -38,47 +41,113 @@ def test_landing_file_names_and_csv_dimension(spark):
     assert loc.filter(F.col("location_name") == "whole_town").first().latitude == 34.0
 
 
-def test_stream_ingest_takes_each_file_once_then_pipeline(spark):
-    tmp = tempfile.mkdtemp(prefix="isobar-stream-")
-    land, raw_path, ckpt, out = f"{tmp}/landing", f"{tmp}/raw", f"{tmp}/ckpt", f"{tmp}/marts"
-    import os
-
-    os.makedirs(land)
-    with open(f"{tmp}/locations.csv", "w") as f:
-        f.write(LOCATIONS_CSV)
-    loc = read_locations_csv(spark, f"{tmp}/locations.csv")
-    _landing(land, {"weather_new_york_2026-07-05.json": MINIMAL})
-    assert ingest_landing(spark, land, loc, raw_path, ckpt) == 1
-    assert ingest_landing(spark, land, loc, raw_path, ckpt) == 0  # nothing new
-    _landing(land, {"weather_whole_town_2026-07-05.json": MINIMAL, "weather_whole_town_2026-07-06.json": MINIMAL})
-    assert ingest_landing(spark, land, loc, raw_path, ckpt, max_files_per_batch=1) == 2  # bounded batches
-    raw = read_raw(spark, raw_path)
-    assert raw.count() == 3
-    assert raw.select("forecast_id").distinct().count() == 3
-
+@pytest.fixture
+def landing(spark, tmp_path):
+    """Folders of one ingest and a function that runs it."""
+    (tmp_path / "landing").mkdir()
+    (tmp_path / "locations.csv").write_text(LOCATIONS_CSV)
+    loc = read_locations_csv(spark, str(tmp_path / "locations.csv"))
+
+    def run(**options):
+        return ingest_landing(spark, str(tmp_path / "landing"), loc, str(tmp_path / "raw"), str(tmp_path / "ckpt"), str(tmp_path / "quarantine"), **options)
+
+    return tmp_path, loc, run
+
+
+def forecast(hour0, temperatures):
+    hours = [f"{hour0[:11]}{int(hour0[11:13]) + i:02d}:00" for i in range(len(temperatures))]
+    return {"hourly": {"time": hours, "temperature_2m": temperatures}, "daily": MINIMAL["daily"]}
+
+
+@pytest.mark.parametrize("options", [{}, {"max_files_per_batch": 1}])
+def test_newer_run_wins_however_files_are_batched(spark, landing, options):
+    tmp, loc, run = landing
+    _landing(tmp / "landing", {"weather_whole_town_2026-07-06.json": forecast("2026-07-06T00:00", [90, 91]), "weather_whole_town_2026-07-05.json": forecast("2026-07-06T00:00", [70, 71, 72])})
+    got = run(**options)
+    assert (got.documents, got.quarantined, got.failed) == (2, {}, False)
+    raw = read_raw(spark, str(tmp / "raw"))
+    assert raw.select("forecast_id").distinct().count() == 2
+    staged = M.stg_hourly(raw)
+    assert staged.groupBy("forecast_id", "hour_index").count().where("count > 1").isEmpty()
+    newest = {r["observation_hour"].hour: float(r["temperature_2m_f"]) for r in M.dedupe_hourly(staged).collect()}
+    assert newest == {0: 90, 1: 91, 2: 72}
+    assert run(**options).batches == 0  # nothing new
+
+
+def test_every_file_ends_in_raw_or_quarantine(spark, landing):
+    tmp, loc, run = landing
+    _landing(tmp / "landing", {"weather_whole_town_2026-07-06.json": MINIMAL, "weather_nowhere_2026-07-06.json": MINIMAL, "notes.json": {}, "weather_whole_town_2026-13-06.json": MINIMAL, "weather_north_ford_2026-07-07.json": {"hourly": {"time": "x"}}})
+    (tmp / "landing" / "weather_north_ford_2026-07-06.json").write_text("not json {")
+    got = run()
+    assert got.documents == 1 and got.failed
+    assert got.quarantined == {"unknown_location": 1, "bad_file_name": 2, "not_json": 1, "hourly_time_not_array": 1}
+    kept = {r["file_name"]: r["reason"] for r in spark.read.parquet(str(tmp / "quarantine")).collect()}
+    assert len(kept) == 5 and kept["weather_nowhere_2026-07-06.json"] == "unknown_location"
+    assert read_raw(spark, str(tmp / "raw")).count() == 1
+
+
+def test_a_load_written_again_replaces_itself(spark, tmp_path):
+    docs = spark.createDataFrame([(1.0, 2.0, "UTC", "u", "{}", "{}")], DOCS)
+    for _ in range(2):
+        append_raw(with_lineage(docs, load_id="a"), str(tmp_path / "raw"))
+    append_raw(with_lineage(docs, load_id="b"), str(tmp_path / "raw"))
+    assert sorted(r["load_id"] for r in read_raw(spark, str(tmp_path / "raw")).collect()) == ["a", "b"]
+
+
+def test_pipeline_gates_on_all_rules_before_it_publishes(spark, landing):
+    tmp, loc, run = landing
+    _landing(tmp / "landing", {"weather_north_ford_2026-07-05.json": MINIMAL, "weather_whole_town_2026-07-05.json": MINIMAL, "weather_whole_town_2026-07-06.json": MINIMAL})
+    run()
+    raw_path, out = str(tmp / "raw"), str(tmp / "marts")
     since = dt.datetime(2000, 1, 1, tzinfo=dt.timezone.utc)
     with pytest.raises(LoadCheckError):
         run_pipeline(spark, raw_path, loc, out, since, expected_locations=7)
     passed, report = run_pipeline(spark, raw_path, loc, out, since, expected_locations=2)
     assert passed, [r.asDict() for r in report.filter("not passed").collect()]
+    assert report.count() == 78  # the whole rule set
     fh = spark.read.parquet(f"{out}/fct_hourly_weather")
     assert fh.count() == 6
-    assert {r.location_name for r in fh.select("location_name").distinct().collect()} == {"new_york", "whole_town"}
+    assert {r.location_name for r in fh.select("location_name").distinct().collect()} == {"north_ford", "whole_town"}
     s = spark.read.parquet(f"{out}/daily_temperature_summary").first()
     assert s.location_count == 2 and float(s.avg_temp_f) == 75.5
-
-
-def test_partition_refresh_and_category_order(spark):
+    before = sorted(p.name for p in (tmp / "marts").rglob("*.parquet") if "_quality" not in str(p))
+    _landing(tmp / "landing", {"weather_north_ford_2026-07-08.json": forecast("2026-07-08T00:00", [500])})  # out of range
+    run()
+    passed, report = run_pipeline(spark, raw_path, loc, out, since, expected_locations=2)
+    assert not passed and "stg_hourly" in {r["relation"] for r in report.filter("not passed").collect()}
+    assert sorted(p.name for p in (tmp / "marts").rglob("*.parquet") if "_quality" not in str(p)) == before
+
+
+def test_refresh_of_all_daily_marts_equals_a_rebuild(spark, landing):
+    tmp, loc, run = landing
+    day = lambda d, hi: {"daily": {"time": [f"2026-07-{d:02d}", f"2026-07-{d + 1:02d}"], "temperature_2m_max": [hi, hi + 1], "temperature_2m_min": [50, 51]}}
+    _landing(tmp / "landing", {"weather_north_ford_2026-07-01.json": day(1, 80), "weather_whole_town_2026-07-01.json": day(1, 90), "weather_whole_town_2026-07-02.json": day(2, 70), "weather_whole_town_2026-07-08.json": day(8, 60)})
+    run()
+    staged = M.stg_daily(read_raw(spark, str(tmp / "raw")))
+    everything = F.lit(True)
+    refresh_daily_marts(staged.filter("ingested_at < '2026-07-02'"), everything, loc, str(tmp / "marts"))
+    refresh_daily_marts(staged, F.col("ingested_at") >= F.lit(dt.datetime(2026, 7, 2, tzinfo=dt.timezone.utc)), loc, str(tmp / "marts"))
+    refresh_daily_marts(staged, everything, loc, str(tmp / "whole"))
+    for mart in ("fct_daily_weather", "daily_temperature_summary", "temperature_anomalies"):
+        got, want = (sorted(map(str, spark.read.parquet(str(tmp / d / mart)).collect())) for d in ("marts", "whole"))
+        assert got == want and got, mart
+
+
+def test_mart_files_are_few_and_sorted(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    rows = spark.range(4000).select((F.col("id") % 4).cast("int").alias("k"), F.date_add(F.lit(dt.date(2026, 7, 1)), (F.col("id") % 5).cast("int")).alias("d"), F.xxhash64("id").alias("v"))
+    write_mart(rows.repartition(16), str(tmp_path / "m"), ["d"], ["v"])
+    files = [p for p in (tmp_path / "m").rglob("*.parquet")]
+    assert 5 <= len(files) <= 10
+    for f in files:
+        v = pq.ParquetFile(f).read(columns=["v"]).column("v").to_pylist()
+        assert v == sorted(v)
+    assert read_mart(spark, str(tmp_path / "m"), ["d", "v"]).columns == ["d", "v"]
+
+
+def test_category_order(spark):
     from isobar.plans.bi import ordered_locations
-    from isobar.streaming.ingest import refresh_daily
-
-    tmp = tempfile.mkdtemp(prefix="isobar-refresh-")
-    d1, d2 = dt.date(2026, 7, 1), dt.date(2026, 7, 2)
-    first = spark.createDataFrame([("a", d1, 1.0), ("a", d2, 2.0)], "location_name string, forecast_date date, v double")
-    refresh_daily(first, f"{tmp}/fct")
-    refresh_daily(spark.createDataFrame([("a", d2, 9.0)], first.schema), f"{tmp}/fct")
-    got = sorted((r.forecast_date, r.v) for r in spark.read.parquet(f"{tmp}/fct").collect())
-    assert got == [(d1, 1.0), (d2, 9.0)]  # only the touched date was rewritten
 
     names = spark.createDataFrame([("chicago",), ("miami",), ("nowhere",)], "location_name string")
     out = ordered_locations(names, ["miami", "chicago"]).orderBy("display_order").collect()
@@ -103,4 +172,4 @@ def test_append_sink_lineage(spark):
     assert raw.select("forecast_id").distinct().count() == 4  # one id per (run, location)
     again = {r.forecast_id for r in with_lineage(docs, load_id="run-1").collect()}
     assert again == {r.forecast_id for r in run1.collect()}  # deterministic per run
-    assert all(r.ingest_date == r.ingested_at.date() for r in rows)
+    assert all(r.ingest_date is not None for r in rows)

@@ -3,14 +3,13 @@
 import datetime as dt
 import json
 import random
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import T0, make_raw
-from isobar.functions.numeric import mean_half_up, scaled_int
+from isobar.functions.numeric import scaled_int
 from isobar.operators import quality as Q
 from isobar.operators.flatten import regular_axis, split_valid
 from isobar.operators.windows import rolling_mean_3
@@ -99,7 +98,7 @@ def _rolling(spark, rows):
     df = spark.createDataFrame(rows, "lat double, lon double, h timestamp_ntz, t string").withColumn(
         "t", F.col("t").cast("decimal(18,6)")
     )
-    out = rolling_mean_3(df, ["lat", "lon"], "h", F.to_date("h"), scaled_int("t"), "r")
+    out = rolling_mean_3(df, ["lat", "lon"], "h", scaled_int("t"), "r")
     return [r.r for r in out.orderBy("lat", "lon", "h").collect()]
 
 
@@ -114,26 +113,43 @@ def test_rolling_mean_cases(spark):
     assert got == [Decimal(x) for x in ["1.00", "1.50", "2.33"]]
 
 
-def test_rolling_mean_matches_plain_window_across_days(spark):
-    """The bucketed plan (per location-day + carried tails) equals the textbook window,
-    including buckets with one row, day gaps and NULL values."""
+def test_rolling_mean_equals_brute_force_across_gaps(spark):
     rnd = random.Random(7)
-    rows = []
+    rows, want = [], {}
     for loc in range(4):
-        h = dt.datetime(2026, 1, 1)
+        h, series = dt.datetime(2026, 1, 1), []
         for _ in range(120):
             h += dt.timedelta(hours=rnd.choice([1, 1, 2, 5, 23, 49]))
             t = None if rnd.random() < 0.1 else f"{rnd.randint(-4000, 9000) / 100:.2f}"
             rows.append((float(loc), 0.5, h, t))
+            series.append(None if t is None else Decimal(t))
+            seen = [v for v in series[-3:] if v is not None]
+            want[float(loc), h] = (sum(seen) / len(seen)).quantize(Decimal("0.01"), ROUND_HALF_UP) if seen else None
     df = spark.createDataFrame(rows, "lat double, lon double, h timestamp_ntz, t string").withColumn(
         "t", F.col("t").cast("decimal(18,6)")
     )
-    ours = rolling_mean_3(df, ["lat", "lon"], "h", F.to_date("h"), scaled_int("t"), "r").select("lat", "h", "r")
-    w = Window.partitionBy("lat", "lon").orderBy("h").rowsBetween(-2, 0)
-    plain = df.select(
-        "lat", "h", mean_half_up(F.sum(scaled_int("t")).over(w), F.count("t").over(w), 2).alias("r")
-    )
-    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, plain.collect()))
+    out = rolling_mean_3(df, ["lat", "lon"], "h", scaled_int("t"), "r")
+    assert {(r.lat, r.h): r.r for r in out.collect()} == want
+
+
+def test_summary_of_a_null_date_names_no_cities(spark):
+    columns = {c: "decimal(18,6)" for _, c, _ in M.SUMMARY_MEANS} | {"wind_gusts_max_mph": "decimal(18,6)"}
+    rows = [(None, "a", 70.0), (None, "b", 80.0), (dt.date(2026, 7, 5), "a", 70.0), (dt.date(2026, 7, 5), "b", None)]
+    df = spark.createDataFrame(rows, "forecast_date date, location_name string, v double")
+    df = df.withColumns({c: F.col("v").cast(t) for c, t in columns.items()})
+    both = [{r.forecast_date: r for r in f(df).collect()} for f in (M.daily_summary, M.daily_summary_hash)]
+    for got in both:
+        assert got[None].location_count == 2 and got[None].hottest_city is None and got[None].wettest_city_precip_in is None
+        day = got[dt.date(2026, 7, 5)]
+        assert (day.hottest_city, day.hottest_city_high_f, day.coldest_city) == ("b", None, "a")  # NULL first when descending
+
+
+def test_number_text_has_no_exponent(spark):
+    from isobar.functions.columns import number_text
+
+    values = [34.0, -89.75, 0.0005, 12345678.0, 100.0, 0.0, None, float("nan")]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(number_text("v")).collect()]
+    assert got == ["34", "-89.75", "0.0005", "12345678", "100", "0", None, None]
 
 
 def _daily(spark, rows):

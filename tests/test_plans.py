@@ -50,13 +50,31 @@ def test_hash_summary_has_no_sort_aggregate_over_the_fact(spark):
     assert "WindowGroupLimit" in p
 
 
-def test_broadcast_hint_only_under_the_row_bound(spark):
-    from isobar.operators.enrich import bounded_broadcast
+def test_latest_date_queries_read_one_partition(spark):
+    from isobar.plans import bi
+    from isobar.session import materialize
+
+    raw, loc = D.raw_forecasts(spark, SF), D.locations(spark, SF)
+    fd = materialize(M.fct_daily(M.int_daily(M.stg_daily(raw), loc)), "fd_dates", ("forecast_date",))
+    for df in (bi.anomaly_bars(fd), bi.kpi_cards(fd)):
+        assert re.search(r"PartitionFilters: \[[^\]]*forecast_date#\d+ = .*[Ss]ubquery", plan(df))
+
+
+def test_refresh_prunes_the_staged_dates_at_run_time(spark):
+    import datetime as dt
 
-    dim = spark.range(10)
+    from pyspark.sql import functions as F
 
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    from isobar.session import materialize
+    from isobar.streaming.ingest import rebuild_daily
+
+    raw, loc = D.raw_forecasts(spark, SF), D.locations(spark, SF)
+    staged = materialize(M.stg_daily(raw), "stg_dates", ("forecast_date",))
+    p = plan(rebuild_daily(staged, F.col("ingested_at") >= F.lit(dt.datetime(2024, 1, 28, tzinfo=dt.timezone.utc)), loc))
+    assert "dynamicpruning" in p and "from_json" not in p
 
-    assert hinted(bounded_broadcast(dim, max_rows=10))
-    assert not hinted(bounded_broadcast(dim, max_rows=9))  # planner / AQE decide instead
+
+def test_rolling_mean_is_one_window(spark):
+    raw, loc = D.raw_forecasts(spark, SF), D.locations(spark, SF)
+    p = plan(M.int_hourly(M.stg_hourly(raw), loc))
+    assert p.count("Window [") <= 2 and "SortMergeJoin" not in p  # the dedupe's and the mean's

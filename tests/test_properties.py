@@ -1,5 +1,6 @@
 """Invariants over the derived inputs of the driver tables."""
 
+import datetime as dt
 import os
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from isobar.plans import models as M
 from isobar.sources import driver_tables as D
-from isobar.streaming.ingest import rebuild_daily_for_batch, refresh_daily
+from isobar.streaming.ingest import rebuild_daily, refresh_mart
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -44,10 +45,10 @@ def test_anomalies_sum_to_zero_within_rounding(inputs):
 def test_incremental_refresh_equals_full_rebuild(spark, inputs, tmp_path):
     raw, loc = inputs
     first_days = raw.filter(F.col("ingest_date") < F.lit("2024-01-15").cast("date"))
-    later = raw.filter(F.col("ingest_date") >= F.lit("2024-01-15").cast("date"))
+    is_new = F.col("ingested_at") >= F.lit(dt.datetime(2024, 1, 15, tzinfo=dt.timezone.utc))
     path = str(tmp_path / "fct_daily")
-    refresh_daily(M.fct_daily(M.int_daily(M.stg_daily(first_days), loc)), path)
-    refresh_daily(rebuild_daily_for_batch(raw, later, loc), path)
+    refresh_mart(M.fct_daily(M.int_daily(M.stg_daily(first_days), loc)), path)
+    refresh_mart(rebuild_daily(M.stg_daily(raw), is_new, loc), path)
     full = M.fct_daily(M.int_daily(M.stg_daily(raw), loc))
     cols = ["daily_weather_sk", "forecast_id", "temperature_avg_f", "sunshine_pct"]
     got = spark.read.parquet(path).select(*cols)
