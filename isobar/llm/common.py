@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isobar.session import materialize
+from isobar.session import discard, materialize
 
 #: Runs of white space and of everything else, as the operators' contracts define words.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -50,15 +50,17 @@ def restored(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
 
 
-def with_words(df: DataFrame, text: Column, out: str = "words") -> DataFrame:
-    """``df`` with the words of ``text`` as an array. Most texts have single spaces and
-    line breaks only, which split without a regular expression. Each step is a column of
-    its own, because higher-order functions would evaluate nested steps again and again."""
-    odd = F.regexp_like("_flat", F.lit(r"[\x09-\x0D]|\x20\x20|^\x20|\x20$"))
+def one_kind_of_space(df: DataFrame, text: Column) -> DataFrame:
+    """``df`` with ``_flat``, the text with each white space character as a space. Most
+    texts have spaces and line breaks only, which needs no regular expression."""
+    odd = F.regexp_like("_flat", F.lit(r"[\x09-\x0D]"))
     df = df.withColumn("_flat", F.replace(text, F.lit("\n"), F.lit(" ")))
-    df = df.withColumn("_flat", F.when(odd, F.trim(F.regexp_replace("_flat", SPACES, " "))).otherwise(F.col("_flat")))
-    none = F.array().cast("array<string>")
-    return df.withColumn(out, F.when(F.col("_flat") == "", none).otherwise(F.split("_flat", " "))).drop("_flat")
+    return df.withColumn("_flat", F.when(odd, F.regexp_replace("_flat", r"[\x09-\x0D]", " ")).otherwise(F.col("_flat")))
+
+
+def split_words() -> Column:
+    """The words of ``_flat``."""
+    return F.array_remove(F.split("_flat", " "), "")
 
 
 def n_words(text: str | Column) -> Column:
@@ -79,5 +81,5 @@ def table(spark, sf_dir: str, name: str) -> DataFrame:
 
 
 __all__ = [
-    "LAST_ID", "SPACES", "WORD", "documents", "keyed", "materialize", "n_words", "one_space", "pick", "placed", "restored", "table", "with_words",
+    "LAST_ID", "SPACES", "WORD", "discard", "documents", "keyed", "materialize", "n_words", "one_kind_of_space", "one_space", "pick", "placed", "restored", "split_words", "table",
 ]

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.common import LAST_ID, keyed, materialize, pick, with_words
+from isobar.llm.common import LAST_ID, keyed, materialize, one_kind_of_space, pick, split_words
 
 SHINGLE = 5
 RADIUS = 15
@@ -31,8 +31,8 @@ _LANES = 0x0001000100010001  # four counters of 16 bits in a long
 
 def with_hashes(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with ``h``, the hashes of the text's lower-cased words, in place of the text."""
-    split = with_words(df, F.lower(text), "words").drop(text)
-    return split.withColumn("h", F.transform("words", lambda w: F.xxhash64(w))).drop("words")
+    flat = one_kind_of_space(df, F.lower(text)).drop(text)
+    return flat.withColumn("h", F.transform(split_words(), lambda w: F.xxhash64(w))).drop("_flat")
 
 
 def _shingle(h: Column, at: Column) -> Column:

@@ -12,17 +12,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isobar.llm.common import keyed, materialize, with_words
+from isobar.llm.common import discard, keyed, materialize, one_kind_of_space, split_words
 
 #: Jaccard similarity from which on lines match, as a fraction.
 ALIKE = (4, 5)
 #: Counters of the rarity table, which is one byte each and goes to every task. Tokens that
-#: share a counter get the same rarity, which costs candidates but loses none.
+#: share a counter get the same rarity, which costs candidates but loses none. A power of 2.
 COUNTERS = 1 << 16
 
-_CLASS_BITS = 6  # log2 of a token's count, then its length (long words are rarer), its hash
-_LENGTH_BITS = 5
-_HASH_BITS = 63 - _CLASS_BITS - _LENGTH_BITS
+_HASH_BITS = 57  # of a token; the six bits before are log2 of its count
 #: Tokens of a line, the rarest ones, by which dense groups are settled first.
 HUB_TOKENS = 3
 _LINE = ["rank", "text_key", "line_no"]
@@ -36,26 +34,23 @@ def lines_of(text: str | Column) -> Column:
 def _rarity(docs: DataFrame, counters: int) -> Column:
     """log2 of the count of each hash counter, over all words of all texts: an array of
     ``counters`` small numbers, whatever the input."""
-    each = with_words(docs.select("text"), F.col("text")).select(F.explode("words").alias("word"))
-    counts = each.groupBy(F.pmod(F.shiftrightunsigned(F.xxhash64("word"), 64 - _HASH_BITS), F.lit(counters)).alias("id")).agg(F.floor(F.log2(F.count("*"))).alias("class"))
+    each = one_kind_of_space(docs.select("text"), F.col("text")).select(F.explode(split_words()).alias("word"))
+    counts = each.groupBy(F.xxhash64("word").bitwiseAND(F.lit(counters - 1)).alias("id")).agg(F.floor(F.log2(F.count("*"))).alias("class"))
     table = [0] * counters
     for row in counts.collect():  # at most `counters` rows
         table[row["id"]] = row["class"]
     return F.split(F.lit(",".join(map(str, table))), ",").cast("array<tinyint>")
 
 
-def _tokens(words: str, rarity: Column, counters: int) -> Column:
-    """Distinct token hashes of a line's words, the rarest first."""
+def _tokens(rarity: Column, counters: int) -> Column:
+    """Distinct token hashes of the words of ``_flat``, the rarest first."""
 
-    def sized(word):  # how short it is, before its hash
-        short = F.lit(31) - F.least(F.length(word), F.lit(31))
-        return F.shiftleft(short.cast("long"), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 64 - _HASH_BITS))
+    def ordered(h):
+        kind = F.get(rarity, h.bitwiseAND(F.lit(counters - 1)).cast("int"))
+        return F.shiftleft(kind.cast("long"), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
 
-    def ordered(token):
-        kind = F.get(rarity, F.pmod(token.bitwiseAND(F.lit((1 << _HASH_BITS) - 1)), F.lit(counters)).cast("int"))
-        return F.shiftleft(kind.cast("long"), _HASH_BITS + _LENGTH_BITS).bitwiseOR(token)
-
-    return F.sort_array(F.array_distinct(F.transform(F.transform(words, sized), ordered)))
+    hashes = F.transform(split_words(), lambda word: F.xxhash64(word))
+    return F.sort_array(F.array_distinct(F.transform(hashes, ordered)))
 
 
 def _prefix_size(n: Column) -> Column:
@@ -74,7 +69,7 @@ def _bitmap(tokens: Column) -> Column:
 def _lines(docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
     """All lines: position, identity of its token set, prefix and bitmap."""
     each = docs.select("rank", "text_key", F.posexplode(lines_of("text")).alias("line_no", "line"))
-    each = with_words(each, F.col("line")).select(*_LINE, _tokens("words", rarity, counters).alias("tokens"))
+    each = one_kind_of_space(each, F.col("line")).select(*_LINE, _tokens(rarity, counters).alias("tokens"))
     return each.select(
         *_LINE,
         F.size("tokens").alias("n"),
@@ -93,25 +88,33 @@ def _first_lines(lines: DataFrame) -> DataFrame:
 
 
 def _passes(a: str, b: str) -> Column:
-    """Length, positional and bitmap filters for two sets that meet on a token."""
-    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    """Length, positional and bitmap filters for two sets that meet on a token. ``place``
+    holds the size of a set, the token's position in it, and whether it is settled."""
+    size = lambda x: F.shiftrightunsigned(F.col(f"{x}.place"), 32)
+    position = lambda x: F.shiftrightunsigned(F.col(f"{x}.place"), 1).bitwiseAND(F.lit(0x7FFFFFFF))
+    n, m = size(a), size(b)
     up, down = ALIKE
     in_length = F.least(n, m) * down >= F.greatest(n, m) * up
     # Of n + m tokens, at least needed / (up + down) * up are shared by a match.
-    ahead = F.least(n - F.col(f"{a}.i"), m - F.col(f"{b}.i"))
+    ahead = F.least(n - position(a), m - position(b))
     in_position = ahead * (up + down) >= (n + m) * up
     apart = F.bit_count(F.col(f"{a}.bitmap").bitwiseXOR(F.col(f"{b}.bitmap")))
     return in_length & in_position & (apart * (up + down) <= (n + m) * (down - up))
 
 
+def _place(settled: Column) -> Column:
+    size, position = F.shiftleft(F.col("n").cast("long"), 32), F.shiftleft(F.col("i").cast("long"), 1)
+    return size.bitwiseOR(position).bitwiseOR(settled.cast("long"))
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Column, counters: int) -> DataFrame:
     """The pairs (early, late) of cids whose whole token sets are similar enough."""
     needed = pairs.select(F.col("early").alias("cid")).union(pairs.select("late")).distinct().join(firsts, "cid")
     per_doc = needed.groupBy("rank", "text_key").agg(F.sort_array(F.collect_list(F.struct("line_no", "cid"))).alias("wanted"))
     picked = docs.join(per_doc, ["rank", "text_key"]).dropDuplicates(["rank", "text_key"]).withColumn("lines", lines_of("text"))
     picked = picked.select(F.explode(F.transform("wanted", lambda w: F.struct(w["cid"].alias("cid"), F.get("lines", w["line_no"]).alias("line")))).alias("w"))
-    split = with_words(picked.select("w.cid", "w.line"), F.col("line"))
-    sets = materialize(split.select("cid", _tokens("words", rarity, counters).alias("tokens")), "line_sets")
+    split = one_kind_of_space(picked.select("w.cid", "w.line"), F.col("line"))
+    sets = materialize(split.select("cid", _tokens(rarity, counters).alias("tokens")), "line_sets")
     one = sets.select(F.col("cid").alias("early"), F.col("tokens").alias("a"))
     two = sets.select(F.col("cid").alias("late"), F.col("tokens").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
@@ -119,25 +122,27 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Colu
     return pairs.join(one, "early").join(two, "late").where(alike).select("early", "late")
 
 
-def _removed(lines: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
-    """cids of the first lines that have an earlier match.
+def _removed(known: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
+    """cids of the first lines that have an earlier match; ``known`` has cid, n, bitmap and
+    prefix of all first lines.
 
     First the earliest line of each group that shares one of the ``HUB_TOKENS`` rarest
     tokens is tested against the others: as many pairs as tokens. Lines that this settles,
     nearly all of a dense group, are only paired as the earlier one from then on."""
-    known = lines.join(firsts.select("cid", *_LINE), _LINE).select("cid", "n", "bitmap", "prefix")
     rare = known.select("cid", "n", "bitmap", F.posexplode(F.slice("prefix", 1, HUB_TOKENS)).alias("i", "token"))
-    hub = F.min(F.struct("cid", "n", "i", "bitmap")).over(Window.partitionBy("token"))
-    met = rare.select(F.struct("cid", "n", "i", "bitmap").alias("me"), hub.alias("hub")).where((F.col("hub.cid") < F.col("me.cid")) & _passes("hub", "me"))
-    met = met.select(F.col("hub.cid").alias("early"), F.col("me.cid").alias("late")).distinct()
-    settled = materialize(_verified(materialize(met, "hub_lines"), docs, firsts, rarity, counters).select(F.col("late").alias("cid")).distinct(), "settled_lines")
-    # One shuffle of the prefixes serves both sides; the limit of settled lines, which no
-    # earlier line is below, is a condition of the join for that reason.
-    limit = F.when(F.col("done"), F.lit(-1)).otherwise(F.col("cid"))
-    flagged = known.join(settled.withColumn("done", F.lit(True)), "cid", "left").withColumn("limit", limit)
-    shared = flagged.select("cid", "limit", "n", "bitmap", F.posexplode("prefix").alias("i", "token"))
+    me = F.struct("cid", _place(F.lit(0)).alias("place"), "bitmap")
+    met = rare.select("token", me.alias("me")).withColumn("hub", F.min("me").over(Window.partitionBy("token")))
+    met = met.where((F.col("hub.cid") < F.col("me.cid")) & _passes("hub", "me"))
+    met = materialize(met.select(F.col("hub.cid").alias("early"), F.col("me.cid").alias("late")).distinct(), "hub_lines")
+    settled = materialize(_verified(met, docs, firsts, rarity, counters).select(F.col("late").alias("cid")).distinct(), "settled_lines")
+    # One shuffle of the prefixes serves both sides: what holds for one side only, that its
+    # line is not settled, is written as a condition on both.
+    flagged = known.join(settled.withColumn("done", F.lit(1)), "cid", "left").withColumn("done", F.coalesce("done", F.lit(0)))
+    shared = flagged.select("cid", "n", "bitmap", "done", F.posexplode("prefix").alias("i", "token"))
+    shared = shared.select("token", "cid", _place(F.col("done")).alias("place"), "bitmap")
     late, early = shared.alias("l"), shared.alias("e")
-    meet = (F.col("l.token") == F.col("e.token")) & (F.col("e.cid") < F.col("l.limit")) & _passes("e", "l")
+    limit = F.when(F.col("l.place").bitwiseAND(F.lit(1)) == 1, F.lit(-1)).otherwise(F.col("l.cid"))
+    meet = (F.col("l.token") == F.col("e.token")) & (F.col("e.cid") < limit) & _passes("e", "l")
     pairs = late.join(early, meet).select(F.col("e.cid").alias("early"), F.col("l.cid").alias("late")).distinct()
     more = _verified(materialize(pairs, "line_pairs"), docs, firsts, rarity, counters).select(F.col("late").alias("cid"))
     return settled.union(more).distinct()
@@ -156,9 +161,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rarity = _rarity(source, counters)
     lines = materialize(_lines(source, rarity, counters), "lines")
     firsts = materialize(_first_lines(lines), "first_lines")
-    removed = materialize(_removed(lines, firsts, source, rarity, counters), "removed_lines")
+    known = materialize(lines.join(firsts.select("cid", *_LINE), _LINE).select("cid", "n", "bitmap", "prefix"), "first_prefixes")
+    places = materialize(lines.select(*_LINE, "n"), "line_places")
+    discard(lines)
+    removed = materialize(_removed(known, firsts, source, rarity, counters), "removed_lines")
     kept_first = firsts.join(removed, "cid", "left_anti").select(*_LINE, F.lit(True).alias("kept"))
-    flagged = lines.select(*_LINE, "n").join(kept_first, _LINE, "left").select(*_LINE, (F.coalesce("kept", F.lit(False)) | (F.col("n") == 0)).alias("kept"))
+    flagged = places.join(kept_first, _LINE, "left").select(*_LINE, (F.coalesce("kept", F.lit(False)) | (F.col("n") == 0)).alias("kept"))
     flags = flagged.groupBy("rank", "text_key").agg(F.sort_array(F.collect_set(F.struct("line_no", "kept"))).alias("flags"))
     out = source.join(materialize(flags, "line_flags"), ["rank", "text_key"], "left")
     out = out.withColumn("both", F.arrays_zip(lines_of("text").alias("line"), F.col("flags.kept").alias("kept")))
