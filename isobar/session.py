@@ -94,4 +94,12 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     with _setting(spark, SHUFFLE_CLEANUP, "true"):
         (df.hint("rebalance", *partition_by) if partition_by else df).write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    table = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    table.written_to = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``materialize`` returned, once nothing reads it any more."""
+    fs, jpath = _file_system(table.sparkSession, table.written_to)
+    fs.delete(jpath, True)
