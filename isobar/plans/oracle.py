@@ -347,36 +347,84 @@ def _title(c: str) -> str:
     )
 
 
-def _rules_sql(relation: str, source: str, rules: list) -> list[str]:
-    """One SELECT per rule, in the report's long shape."""
-    from isobar.operators import quality as Q
-
-    out = []
-    for r in rules:
-        if isinstance(r, Q.NotNull):
-            cond = f"{r.column} IS NULL"
-        elif isinstance(r, Q.AcceptedRange):
-            parts = []
-            if r.min_value is not None:
-                parts.append(f"{r.column} < {r.min_value}")
-            if r.max_value is not None:
-                parts.append(f"{r.column} > {r.max_value}")
-            cond = " OR ".join(parts)
-        elif isinstance(r, Q.AcceptedValues):
-            vals = ", ".join(f"'{v}'" for v in r.values)
-            cond = f"{r.column} NOT IN ({vals})"
-        else:
-            cols = ", ".join(r.columns)
-            nn = " AND ".join(f"{c} IS NOT NULL" for c in r.columns) if isinstance(r, Q.Unique) else "TRUE"
-            out.append(
-                f"SELECT '{relation}' AS relation, '{r.rule}' AS rule, '{r.column}' AS \"column\", "
-                f"(SELECT count(*) FROM (SELECT {cols} FROM {source} WHERE {nn} GROUP BY {cols} HAVING count(*) > 1)) AS failures"
-            )
-            continue
-        out.append(
-            f"SELECT '{relation}' AS relation, '{r.rule}' AS rule, '{r.column}' AS \"column\", "
-            f"(SELECT count(*) FROM {source} WHERE {cond}) AS failures"
-        )
+# The expected rules of each relation, written out apart from the code under
+# test. not_null and unique columns, inclusive ranges, accepted values, unique combinations.
+TEMPERATURE, SHARE, WIND, UV, RAIN = (-40, 135), (0, 100), (0, 250), (0, 20), (0, 50)
+EXPECTED_RULES = {
+    "raw_forecast": {
+        "not_null": "forecast_id ingested_at latitude longitude response_body request_params",
+        "unique": "forecast_id",
+    },
+    "locations": {"not_null": "location_name latitude longitude state", "unique": "location_name"},
+    "stg_hourly": {
+        "not_null": "forecast_id observation_hour hour_index latitude longitude temperature_2m_f",
+        "range": {
+            "temperature_2m_f": TEMPERATURE, "relative_humidity_pct": SHARE, "precipitation_probability_pct": SHARE,
+            "cloud_cover_pct": SHARE, "wind_speed_mph": WIND,
+        },
+        "combination": "forecast_id,hour_index",
+    },
+    "stg_daily": {
+        "not_null": "forecast_id forecast_date day_index latitude longitude temperature_max_f temperature_min_f",
+        "range": {
+            "temperature_max_f": TEMPERATURE, "temperature_min_f": TEMPERATURE, "uv_index_max": UV,
+            "precipitation_sum_in": RAIN, "precipitation_probability_max_pct": SHARE,
+        },
+        "combination": "forecast_id,day_index",
+    },
+    "int_hourly": {"not_null": "location_name observation_hour temperature_2m_f"},
+    "int_daily": {"not_null": "location_name forecast_date temperature_max_f temperature_min_f"},
+    "fct_hourly_weather": {
+        "not_null": "hourly_weather_sk location_name observation_hour temperature_2m_f",
+        "unique": "hourly_weather_sk",
+        "range": {
+            "temperature_2m_f": TEMPERATURE, "temperature_2m_c": (-40, 57), "relative_humidity_pct": SHARE,
+            "cloud_cover_pct": SHARE, "wind_speed_mph": WIND,
+        },
+        "combination": "location_name,observation_hour",
+    },
+    "fct_daily_weather": {
+        "not_null": "daily_weather_sk location_name forecast_date temperature_max_f temperature_min_f temperature_avg_f",
+        "unique": "daily_weather_sk",
+        "range": {
+            "temperature_max_f": TEMPERATURE, "temperature_min_f": TEMPERATURE, "temperature_range_f": (0, 80),
+            "uv_index_max": UV, "precipitation_sum_in": RAIN, "sunshine_pct": SHARE,
+        },
+        "combination": "location_name,forecast_date",
+    },
+    "daily_temperature_summary": {"not_null": "forecast_date location_count avg_temp_f", "unique": "forecast_date"},
+    "temperature_anomalies": {
+        "not_null": "location_name forecast_date temperature_anomaly_category",
+        "values": {"temperature_anomaly_category": "much_warmer warmer near_average cooler much_cooler"},
+        "combination": "location_name,forecast_date",
+    },
+    "lineitem": {
+        "not_null": "l_orderkey",
+        "range": {"l_discount": (0, 0.1), "l_quantity": (1, 50)},
+        "values": {"l_returnflag": "A N R"},
+        "unique": "l_orderkey",
+        "combination": "l_orderkey,l_linenumber",
+    },
+}
+
+
+def _rules_sql(relation: str, source: str) -> list[str]:
+    """One SELECT per expected rule, in the report's long shape."""
+    rules = EXPECTED_RULES[relation]
+
+    def line(rule: str, column: str, failures: str) -> str:
+        return f"SELECT '{relation}' AS relation, '{rule}' AS rule, '{column}' AS \"column\", (SELECT count(*) FROM {failures}) AS failures"
+
+    def repeated(columns: str, condition: str) -> str:
+        return f"(SELECT {columns} FROM {source} WHERE {condition} GROUP BY {columns} HAVING count(*) > 1)"
+
+    out = [line("not_null", c, f"{source} WHERE {c} IS NULL") for c in rules.get("not_null", "").split()]
+    out += [line("accepted_range", c, f"{source} WHERE {c} < {lo} OR {c} > {hi}") for c, (lo, hi) in rules.get("range", {}).items()]
+    for c, values in rules.get("values", {}).items():
+        listed = ", ".join(f"'{v}'" for v in values.split())
+        out.append(line("accepted_values", c, f"{source} WHERE {c} NOT IN ({listed})"))
+    out += [line("unique", c, repeated(c, f"{c} IS NOT NULL")) for c in rules.get("unique", "").split()]
+    out += [line("unique_combination_of_columns", c, repeated(c, "TRUE")) for c in rules.get("combination", "").split()]
     return out
 
 
@@ -386,9 +434,6 @@ def _report(selects: list[str]) -> str:
 
 
 def build() -> dict[str, str]:
-    from isobar.operators import quality as Q
-    from isobar.plans.registry import LINEITEM_RULES
-
     q: dict[str, str] = {}
     q["flatten_hourly"] = f"{with_(EV, STG_H)} SELECT {STG_H_COLS} FROM stg_h"
     q["flatten_daily"] = f"{with_(EV, STG_D)} SELECT {STG_D_COLS} FROM stg_d"
@@ -469,32 +514,28 @@ FROM (SELECT ts, {RUN_LATITUDE} AS latitude,
     fct_daily_view = f"(SELECT {FCT_D_COLS}, {LINEAGE} FROM fct_d)"
     raw_view = (
         "(SELECT e AS forecast_id, ts AS ingested_at, latitude, longitude, "
-        "'x' AS response_body, 'x' AS request_params FROM ev)"
+        "CAST(c AS VARCHAR) || '/' || CAST(k AS VARCHAR) AS response_body, CAST(latitude AS VARCHAR) AS request_params FROM ev)"
     )
     selects = []
-    selects += _rules_sql("raw_forecast", raw_view, Q.MART_RULES["raw_forecast"])
-    selects += _rules_sql("locations", "loc", Q.MART_RULES["locations"])
-    selects += _rules_sql("fct_daily_weather", fct_daily_view, Q.MART_RULES["fct_daily_weather"])
-    selects += _rules_sql("daily_temperature_summary", "summary", Q.MART_RULES["daily_temperature_summary"])
-    selects += _rules_sql("temperature_anomalies", "anomalies", Q.MART_RULES["temperature_anomalies"])
+    selects += _rules_sql("raw_forecast", raw_view)
+    selects += _rules_sql("locations", "loc")
+    selects += _rules_sql("fct_daily_weather", fct_daily_view)
+    selects += _rules_sql("daily_temperature_summary", "summary")
+    selects += _rules_sql("temperature_anomalies", "anomalies")
     q["dq_report"] = f"{with_(*DAILY_CHAIN, SUMMARY, ANOM)} {_report(selects)}"
     hourly = []
-    hourly += _rules_sql("stg_hourly", f"(SELECT {STG_H_COLS} FROM stg_h)", Q.MART_RULES["stg_hourly"])
-    hourly += _rules_sql("stg_daily", f"(SELECT {STG_D_COLS} FROM stg_d)", Q.MART_RULES["stg_daily"])
+    hourly += _rules_sql("stg_hourly", f"(SELECT {STG_H_COLS} FROM stg_h)")
+    hourly += _rules_sql("stg_daily", f"(SELECT {STG_D_COLS} FROM stg_d)")
     hourly += _rules_sql(
         "int_hourly",
-        f"(SELECT location_name, observation_hour, {num('t_c', 2)} AS temperature_2m_f FROM enr_h)",
-        Q.MART_RULES["int_hourly"],
-    )
+        f"(SELECT location_name, observation_hour, {num('t_c', 2)} AS temperature_2m_f FROM enr_h)")
     hourly += _rules_sql(
         "int_daily",
         f"(SELECT location_name, forecast_date, {num('hi_c', 2)} AS temperature_max_f, "
-        f"{num('lo_c', 2)} AS temperature_min_f FROM enr_d)",
-        Q.MART_RULES["int_daily"],
-    )
-    hourly += _rules_sql("fct_hourly_weather", f"({FCT_H_SELECT})", Q.MART_RULES["fct_hourly_weather"])
+        f"{num('lo_c', 2)} AS temperature_min_f FROM enr_d)")
+    hourly += _rules_sql("fct_hourly_weather", f"({FCT_H_SELECT})")
     q["dq_report_hourly"] = f"{with_(EV, LOC, STG_H, DED_H, ENR_H, STG_D, DED_D, ENR_D)} {_report(hourly)}"
-    q["dq_unique_combo"] = _report(_rules_sql("lineitem", "lineitem", LINEITEM_RULES))
+    q["dq_unique_combo"] = _report(_rules_sql("lineitem", "lineitem"))
 
     q["hourly_trend"] = f"""{with_(*HOURLY_CHAIN)}
 SELECT observation_hour, location_name, {_title('location_name')} AS location_label,
