@@ -136,8 +136,9 @@ def _removed(known: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Colum
     met = materialize(met.select(F.col("hub.cid").alias("early"), F.col("me.cid").alias("late")).distinct(), "hub_lines")
     settled = materialize(_verified(met, docs, firsts, rarity, counters).select(F.col("late").alias("cid")).distinct(), "settled_lines")
     # One shuffle of the prefixes serves both sides: what holds for one side only, that its
-    # line is not settled, is written as a condition on both.
-    flagged = known.join(settled.withColumn("done", F.lit(1)), "cid", "left").withColumn("done", F.coalesce("done", F.lit(0)))
+    # line is not settled, is written as a condition on both, and the filter that Spark
+    # would infer for one side is on both from the start.
+    flagged = known.where("cid IS NOT NULL").join(settled.withColumn("done", F.lit(1)), "cid", "left").withColumn("done", F.coalesce("done", F.lit(0)))
     shared = flagged.select("cid", "n", "bitmap", "done", F.posexplode("prefix").alias("i", "token"))
     shared = shared.select("token", "cid", _place(F.col("done")).alias("place"), "bitmap")
     late, early = shared.alias("l"), shared.alias("e")
