@@ -28,9 +28,9 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that match an earlier line; a document that loses
+    """All documents, without the lines that match an earlier line in any letter case; a document that loses
     all of them stays with an empty text. n_chars follows the text."""
-    kept = line_dedup.dedup_lines(docs).select(*_KEY, "kept_text").dropDuplicates(_KEY)
+    kept = line_dedup.dedup_lines(docs, fold_case=True).select(*_KEY, "kept_text").dropDuplicates(_KEY)
     out, names = placed(docs).join(kept, _KEY), docs.columns
     text = f"c{names.index('text')}"
     out = out.withColumn(text, F.when(F.col(text).isNotNull(), F.col("kept_text")))

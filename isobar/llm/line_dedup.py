@@ -31,10 +31,15 @@ def lines_of(text: str | Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _rarity(docs: DataFrame, counters: int) -> Column:
+def _flat_words(df: DataFrame, text: str, fold_case: bool) -> DataFrame:
+    """``df`` with ``_flat``, of which ``split_words`` gives the words that are compared."""
+    return one_kind_of_space(df, F.lower(text) if fold_case else F.col(text))
+
+
+def _rarity(docs: DataFrame, counters: int, fold_case: bool) -> Column:
     """log2 of the count of each hash counter, over all words of all texts: an array of
     ``counters`` small numbers, whatever the input."""
-    each = one_kind_of_space(docs.select("text"), F.col("text")).select(F.explode(split_words()).alias("word"))
+    each = _flat_words(docs.select("text"), "text", fold_case).select(F.explode(split_words()).alias("word"))
     counts = each.groupBy(F.xxhash64("word").bitwiseAND(F.lit(counters - 1)).alias("id")).agg(F.floor(F.log2(F.count("*"))).alias("class"))
     table = [0] * counters
     for row in counts.collect():  # at most `counters` rows
@@ -66,10 +71,10 @@ def _bitmap(tokens: Column) -> Column:
     return F.aggregate(tokens, F.lit(0).cast("long"), flip)
 
 
-def _lines(docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
+def _lines(docs: DataFrame, rarity: Column, counters: int, fold_case: bool) -> DataFrame:
     """All lines: position, identity of its token set, prefix and bitmap."""
     each = docs.select("rank", "text_key", F.posexplode(lines_of("text")).alias("line_no", "line"))
-    each = one_kind_of_space(each, F.col("line")).select(*_LINE, _tokens(rarity, counters).alias("tokens"))
+    each = _flat_words(each, "line", fold_case).select(*_LINE, _tokens(rarity, counters).alias("tokens"))
     return each.select(
         *_LINE,
         F.size("tokens").alias("n"),
@@ -107,13 +112,13 @@ def _place(settled: Column) -> Column:
     return size.bitwiseOR(position).bitwiseOR(settled.cast("long"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Column, counters: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Column, counters: int, fold_case: bool) -> DataFrame:
     """The pairs (early, late) of cids whose whole token sets are similar enough."""
     needed = pairs.select(F.col("early").alias("cid")).union(pairs.select("late")).distinct().join(firsts, "cid")
     per_doc = needed.groupBy("rank", "text_key").agg(F.sort_array(F.collect_list(F.struct("line_no", "cid"))).alias("wanted"))
     picked = docs.join(per_doc, ["rank", "text_key"]).dropDuplicates(["rank", "text_key"]).withColumn("lines", lines_of("text"))
     picked = picked.select(F.explode(F.transform("wanted", lambda w: F.struct(w["cid"].alias("cid"), F.get("lines", w["line_no"]).alias("line")))).alias("w"))
-    split = one_kind_of_space(picked.select("w.cid", "w.line"), F.col("line"))
+    split = _flat_words(picked.select("w.cid", "w.line"), "line", fold_case)
     sets = materialize(split.select("cid", _tokens(rarity, counters).alias("tokens")), "line_sets")
     one = sets.select(F.col("cid").alias("early"), F.col("tokens").alias("a"))
     two = sets.select(F.col("cid").alias("late"), F.col("tokens").alias("b"))
@@ -122,7 +127,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Colu
     return pairs.join(one, "early").join(two, "late").where(alike).select("early", "late")
 
 
-def _removed(known: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
+def _removed(known: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Column, counters: int, fold_case: bool) -> DataFrame:
     """cids of the first lines that have an earlier match; ``known`` has cid, n, bitmap and
     prefix of all first lines.
 
@@ -134,7 +139,7 @@ def _removed(known: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Colum
     met = rare.select("token", me.alias("me")).withColumn("hub", F.min("me").over(Window.partitionBy("token")))
     met = met.where((F.col("hub.cid") < F.col("me.cid")) & _passes("hub", "me"))
     met = materialize(met.select(F.col("hub.cid").alias("early"), F.col("me.cid").alias("late")).distinct(), "hub_lines")
-    settled = materialize(_verified(met, docs, firsts, rarity, counters).select(F.col("late").alias("cid")).distinct(), "settled_lines")
+    settled = materialize(_verified(met, docs, firsts, rarity, counters, fold_case).select(F.col("late").alias("cid")).distinct(), "settled_lines")
     # One shuffle of the prefixes serves both sides: what holds for one side only, that its
     # line is not settled, is written as a condition on both, and the filter that Spark
     # would infer for one side is on both from the start.
@@ -145,27 +150,27 @@ def _removed(known: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Colum
     limit = F.when(F.col("l.place").bitwiseAND(F.lit(1)) == 1, F.lit(-1)).otherwise(F.col("l.cid"))
     meet = (F.col("l.token") == F.col("e.token")) & (F.col("e.cid") < limit) & _passes("e", "l")
     pairs = late.join(early, meet).select(F.col("e.cid").alias("early"), F.col("l.cid").alias("late")).distinct()
-    more = _verified(materialize(pairs, "line_pairs"), docs, firsts, rarity, counters).select(F.col("late").alias("cid"))
+    more = _verified(materialize(pairs, "line_pairs"), docs, firsts, rarity, counters, fold_case).select(F.col("late").alias("cid"))
     return settled.union(more).distinct()
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS, fold_case: bool = False) -> DataFrame:
     """One row per document: rank, text_key, doc_id, n_lines, n_removed, kept_text.
 
     Lines end at ``\\n`` and go by doc_id (null last), then line number. A line's tokens
-    are its distinct words, unchanged. A line is removed if an earlier line anywhere has
+    are its distinct words, unchanged or, with ``fold_case``, lower-cased. A line is removed if an earlier line anywhere has
     a token set of Jaccard 0.8 or more with its own, removed or not. Lines without words
     stay. Repeated rows with the same doc_id and text count as one and get the same text.
     A null text is empty and has one line; an empty table gives no rows. Whole texts and
     lines of any length count."""
     source = keyed(docs, id_col, text_col)
-    rarity = _rarity(source, counters)
-    lines = materialize(_lines(source, rarity, counters), "lines")
+    rarity = _rarity(source, counters, fold_case)
+    lines = materialize(_lines(source, rarity, counters, fold_case), "lines")
     firsts = materialize(_first_lines(lines), "first_lines")
     known = materialize(lines.join(firsts.select("cid", *_LINE), _LINE).select("cid", "n", "bitmap", "prefix"), "first_prefixes")
     places = materialize(lines.select(*_LINE, "n"), "line_places")
     discard(lines)
-    removed = materialize(_removed(known, firsts, source, rarity, counters), "removed_lines")
+    removed = materialize(_removed(known, firsts, source, rarity, counters, fold_case), "removed_lines")
     kept_first = firsts.join(removed, "cid", "left_anti").select(*_LINE, F.lit(True).alias("kept"))
     flagged = places.join(kept_first, _LINE, "left").select(*_LINE, (F.coalesce("kept", F.lit(False)) | (F.col("n") == 0)).alias("kept"))
     flags = flagged.groupBy("rank", "text_key").agg(F.sort_array(F.collect_set(F.struct("line_no", "kept"))).alias("flags"))
@@ -183,13 +188,13 @@ def line_digests(docs: DataFrame) -> DataFrame:
     return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-def brute_force(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int, str]]:
+def brute_force(docs: list[tuple[int, str | None]], fold_case: bool = False) -> dict[int, tuple[int, int, str]]:
     """The same over a small list of documents with distinct ids, for tests."""
     out, before = {}, []
     for i, text in sorted(docs, key=lambda d: d[0]):
         kept, lines = [], (text or "").split("\n")
         for line in lines:
-            tokens = {w for w in line.replace("\t", " ").replace("\r", " ").split(" ") if w}
+            tokens = {w for w in (line.lower() if fold_case else line).replace("\t", " ").replace("\r", " ").split(" ") if w}
             if not tokens or not any(5 * len(tokens & b) >= 4 * len(tokens | b) for b in before if 5 * len(tokens) >= 4 * len(b) and 5 * len(b) >= 4 * len(tokens)):
                 kept.append(line)
             if tokens:

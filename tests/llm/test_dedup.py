@@ -103,6 +103,14 @@ def test_line_dedup_equals_brute_force(spark, docs, corpus):
     assert by_id(got, "n_lines", "n_removed", "kept_text") == line_dedup.brute_force(rows)
 
 
+def test_line_dedup_without_letter_case(spark, docs, corpus):
+    want = line_dedup.brute_force([(i, t) for i, t, *_ in corpus], fold_case=True)
+    assert by_id(line_dedup.dedup_lines(docs, fold_case=True), "n_lines", "n_removed", "kept_text") == want
+    rows = [(1, "Terms of Use Apply Here"), (2, "TERMS OF USE APPLY HERE\nother words"), (3, "terms of Use apply HERE"), (4, "a B c D e f g h i J"), (5, "A b C d E F G H I x")]
+    got = by_id(line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), fold_case=True), "n_removed", "kept_text")
+    assert got == {1: (0, rows[0][1]), 2: (1, "other words"), 3: (1, ""), 4: (0, rows[3][1]), 5: (1, "")}
+
+
 def test_odd_rows(odd_docs):
     exact = [(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup(odd_docs).collect()]
     assert sorted(exact, key=str) == sorted([(2, 2, 1, True), (7, 7, 3, False), (7, 7, 3, True), (9, 9, 1, True), (9, 9, 1, True), (None, 7, 3, False)], key=str)

@@ -103,6 +103,12 @@ def test_stages_against_brute_force(spark, tables):
     assert sorted(map(str, whole)) == sorted(map(str, before))
 
 
+def test_line_dedup_stage_folds_case(spark, tables):
+    rows = [(1, "Terms of Use Apply Here", "en", "s", 23), (2, "TERMS OF USE APPLY HERE\nother words", "en", "s", 35)]
+    got = corpus_pipeline.line_dedup_stage(spark, spark.createDataFrame(rows, DOCS_SCHEMA), tables).collect()
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in got} == {1: ("Terms of Use Apply Here", 23), 2: ("other words", 11)}
+
+
 def test_stages_of_odd_and_empty_tables(spark, tables, odd_docs, no_docs):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, no_docs, tables).collect() == [], name
