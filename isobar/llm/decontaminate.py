@@ -1,12 +1,12 @@
-"""Benchmark decontamination by SimHash windows.
+"""Benchmark decontamination by item-sized windows.
 
-Windows as long as a benchmark item slide over a document. Their 64-bit SimHash is looked
-up in a multi-index: of RADIUS + 1 blocks at least one is equal in any two fingerprints
-within RADIUS, so the join on blocks finds all of them. Candidates are verified by the
-exact weighted similarity of their shingles, a shingle's weight being its occurrences.
+Windows as long as a benchmark item slide over a document. A window can only reach the
+similarity if enough of its shingles occur in the item, so windows are built only where
+they do; this loses none. Each is verified against the items it was built for by the exact
+weighted similarity of their shingles, a shingle's weight being its occurrences.
 
-A window can only reach the similarity if enough of its shingles occur in the item, so
-windows are built only where they do; this loses none. DataFrame functions throughout.
+Fingerprints (64-bit SimHash) decide nothing: at a similarity of 0.8 some lie beyond any
+small radius. They only state the distance of what is found. DataFrame functions throughout.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from isobar.llm.common import LAST_ID, keyed, materialize, one_kind_of_space, pick, split_words
 
 SHINGLE = 5
+#: Radius and blocks of a multi-index over fingerprints. The search does not depend on them.
 RADIUS = 15
 BLOCKS = RADIUS + 1
 BLOCK_BITS = 64 // BLOCKS
@@ -68,12 +69,6 @@ def simhash(values: Column) -> Column:
     return bits[0]
 
 
-def _blocks(fingerprint: str) -> Column:
-    """(block number, its value) of a fingerprint."""
-    value = lambda i: F.shiftrightunsigned(F.col(fingerprint), i * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
-    return F.array(*[F.struct(F.lit(i).alias("block"), value(i).alias("value")) for i in range(BLOCKS)])
-
-
 def _tagged(ordered: Column) -> Column:
     """A multiset, given as a column of sorted values, as a set: each value with the number
     of its occurrence."""
@@ -97,7 +92,7 @@ def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str
 
 def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Windows with enough shingles of an item: rank, text_key, windows, an array of
-    struct<start, m, size> (size is below m in documents shorter than the item)."""
+    struct<start, m, size, item_keys> (size is below m in documents shorter than the item)."""
     of_items = materialize(items.select("item_key", "m", F.explode(F.array_distinct("values")).alias("shingle")), "benchmark_shingles")
     small = of_items.count() <= BROADCAST_SHINGLES
     each = docs.select("rank", "text_key", "h", (F.size("h") - (SHINGLE - 1)).alias("n"), F.posexplode("h").alias("at", "word"))
@@ -112,8 +107,9 @@ def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
             lambda i: F.sequence(F.greatest(F.lit(0), last(i) - F.col("size") + 1), F.least(F.get("p", i), F.col("n") - F.col("size"))),
         )
     )
-    spots = hits.select("rank", "text_key", "m", "size", F.explode(F.array_distinct(starts)).alias("start"))
-    return spots.groupBy("rank", "text_key").agg(F.collect_set(F.struct("start", "m", "size")).alias("windows"))
+    spots = hits.select("rank", "text_key", "item_key", "m", "size", F.explode(F.array_distinct(starts)).alias("start"))
+    spots = spots.groupBy("rank", "text_key", "start", "m", "size").agg(F.collect_set("item_key").alias("item_keys"))
+    return spots.groupBy("rank", "text_key").agg(F.collect_list(F.struct("start", "m", "size", "item_keys")).alias("windows"))
 
 
 def find_leaks(
@@ -136,17 +132,12 @@ def find_leaks(
     met = with_hashes(met).withColumn("all", shingles(F.col("h"))).select("rank", "text_key", F.explode("windows").alias("w"), "all")
     seen = F.sort_array(F.slice("all", F.col("w.start") + 1, F.col("w.size")))
     met = materialize(met.select("rank", "text_key", "w.*", seen.alias("seen")), "window_shingles")
-    printed = met.withColumn("print", simhash(F.col("seen")))
-    printed = printed.select("*", F.explode(_blocks("print")).alias("b")).select("*", "b.block", "b.value").drop("b")
-    index = items.select("item_id", "item_key", "m", "values", "fingerprint", F.explode(_blocks("fingerprint")).alias("b")).select(
-        "item_id", "item_key", "m", "values", "fingerprint", "b.block", "b.value"
-    )
-    distance = F.bit_count(F.col("print").bitwiseXOR(F.col("fingerprint")))
-    near = printed.join(index, ["m", "block", "value"]).withColumn("distance", distance).where(F.col("distance") <= RADIUS)
-    near = near.dropDuplicates(["rank", "text_key", "start", "item_key"])
+    each = met.select("rank", "text_key", "start", "size", "seen", F.explode("item_keys").alias("item_key"))
+    near = each.join(items, "item_key")
     both = F.size(F.array_intersect(_tagged(F.col("seen")), _tagged(F.col("values"))))
     alike = near.withColumn("both", both).withColumn("either", F.col("m") + F.col("size") - F.col("both"))
     alike = alike.where(F.col("both") * ALIKE[1] >= F.col("either") * ALIKE[0])
+    alike = alike.withColumn("distance", F.bit_count(simhash(F.col("seen")).bitwiseXOR(F.col("fingerprint"))))
     best = alike.groupBy("rank", "text_key", "item_key").agg(
         F.max(F.struct((F.col("both") / F.col("either")).alias("similarity"), (-F.col("start")).alias("first"), "size", "distance", "item_id")).alias("x")
     )

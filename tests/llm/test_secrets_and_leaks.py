@@ -101,6 +101,17 @@ def test_leaks_equal_brute_force(spark):
     assert got == want
 
 
+def test_leaks_at_the_threshold_are_found_at_any_distance_of_fingerprints(spark):
+    items, docs = [], []
+    for i in range(300):  # the last but one of 22 words differs: 16 of 18 shingles, 16 / 20
+        words = [f"i{i}w{k}" for k in range(22)]
+        items.append((i, " ".join(words)))
+        docs.append((i, " ".join([*words[:20], "changed", words[21]])))
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["similarity"]) for r in found) == [(i, i, 0.8) for i in range(300)]
+    assert any(r["distance"] > decontaminate.RADIUS for r in found)
+
+
 def test_leaks_in_odd_and_empty_tables(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, prose(5, 60)), (1, prose(5, 60))], "item_id long, text string")
     assert sorted(str(r["doc_id"]) for r in decontaminate.leaks(odd_docs, items).collect()) == ["7", "9", "None"]
