@@ -27,7 +27,7 @@ ALIKE = (4, 5)
 #: joins by shuffling.
 BROADCAST_SHINGLES = 1_000_000
 
-_LANES = 0x0001000100010001  # four counters of 16 bits in a long
+_LANES = 0x0000000100000001  # two counters of 32 bits in a long: more than an array has values
 
 
 def with_hashes(df: DataFrame, text: str = "text") -> DataFrame:
@@ -49,20 +49,20 @@ def shingles(h: Column) -> Column:
 
 
 def _lane_sums(values: Column, shift: int) -> Column:
-    """How many of ``values`` have the bits shift, shift + 16, ...: four counters."""
+    """How many of ``values`` have the bits shift and shift + 32: two counters."""
     add = lambda acc, x: acc + F.shiftright(x, shift).bitwiseAND(F.lit(_LANES))
     return F.aggregate(values, F.lit(0).cast("long"), add)
 
 
 def simhash(values: Column) -> Column:
-    """64-bit SimHash of an array of up to 65,535 hashes: bit by bit, the majority."""
+    """64-bit SimHash of an array of hashes: bit by bit, the majority."""
     n = F.size(values)
     bits = []
-    for shift in range(16):
+    for shift in range(32):
         lanes = _lane_sums(values, shift)
-        for lane in range(4):
-            count = F.shiftrightunsigned(lanes, 16 * lane).bitwiseAND(F.lit(0xFFFF))
-            bit = 1 << (shift + 16 * lane)
+        for lane in range(2):
+            count = F.shiftrightunsigned(lanes, 32 * lane).bitwiseAND(F.lit(0xFFFFFFFF))
+            bit = 1 << (shift + 32 * lane)
             bits.append(F.when(count * 2 > n, F.lit(bit - (1 << 64) if bit >> 63 else bit)).otherwise(F.lit(0)))
     while len(bits) > 1:  # each bit is set in one of the terms only
         bits = [a.bitwiseOR(b) for a, b in zip(bits[::2], bits[1::2], strict=True)]
@@ -122,8 +122,8 @@ def find_leaks(
     Words are lower-cased. A window has as many words as the item, or the whole document if
     that is shorter. Windows and items under five words have no shingle and match nothing,
     so null and empty texts don't. Equal rows count once, rows with a null id are searched
-    too. Of an empty table or benchmark nothing is found. Items may have up to 65,000
-    words; documents any number."""
+    too. Of an empty table or benchmark nothing is found. Items and
+    documents may have any number of words."""
     source = keyed(docs, id_col, text_col)
     hashed = with_hashes(source.select("rank", "text_key", "text"))
     items = materialize(benchmark_items(benchmark, item_id_col, item_text_col), "benchmark_items")

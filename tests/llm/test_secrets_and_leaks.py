@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from isobar.llm import decontaminate, secret_scan
 from tests.llm.conftest import prose
 
@@ -119,6 +121,14 @@ def test_leaks_in_odd_and_empty_tables(spark, odd_docs, no_docs):
     assert decontaminate.leaks(odd_docs, items.limit(0)).collect() == []
 
 
+def test_simhash_of_more_values_than_16_bits_count(spark):
+    df = spark.range(140_000).selectExpr("collect_list(xxhash64(id % 50000)) AS few", "collect_list(-1L) AS same").withColumn("none", F.array_repeat(F.lit(1 << 40), 70_000))
+    row = df.select("few", *[decontaminate.simhash(F.col(c)).alias(f"{c}_print") for c in ("few", "same", "none")]).first()
+    counts = [sum(x >> b & 1 for x in row["few"]) for b in range(64)]
+    assert row["few_print"] & (1 << 64) - 1 == sum(1 << b for b in range(64) if counts[b] * 2 > 140_000)
+    assert (row["same_print"], row["none_print"]) == (-1, 1 << 40)
+
+
 def test_multi_index_finds_all_fingerprints_within_the_radius():
     rng = random.Random(2)
     bits = decontaminate.BLOCK_BITS
