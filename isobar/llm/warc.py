@@ -8,6 +8,7 @@ a file is a plain sequence of members, one record each, as the format recommends
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import uuid
@@ -27,6 +28,9 @@ MEMBER = b"\x1f\x8b\x08"
 EMPTY_MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00\x00\x00\x00\x00\x00\x00\x00\x00"
 IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
+#: Digests that are checked if a record states one.
+ALGORITHMS = ("md5", "sha1", "sha256", "sha512")
+
 #: Payloads under this many bytes are always written in full.
 LEAST_REVISIT_BYTES = 100
 #: Records have no crawl time in the page table; a fixed one keeps reruns identical.
@@ -107,6 +111,19 @@ def write_archives(pages: DataFrame, path: str) -> None:
     )
 
 
+def _agrees(stated: str, payload: bytes) -> bool | None:
+    """Whether the payload has the stated digest, in base 16 or 32; None if none is stated
+    or its algorithm is unknown."""
+    name, colon, value = stated.partition(":")
+    if not colon and re.fullmatch(r"[0-9a-fA-F]{64}", stated):
+        name, value = "sha256", stated
+    name = name.lower().replace("-", "")
+    if name not in ALGORITHMS:
+        return None
+    made = hashlib.new(name, payload).digest()
+    return value.lower() == made.hex() or value.upper().rstrip("=") == base64.b32encode(made).decode().rstrip("=")
+
+
 def parse_record(data: bytes, at: int) -> tuple[dict | None, int, str]:
     """The record that starts at ``at`` of uncompressed ``data``: (fields, end, ""), or
     (None, at, why not)."""
@@ -127,32 +144,58 @@ def parse_record(data: bytes, at: int) -> tuple[dict | None, int, str]:
     begin, end = stop + 4, stop + 4 + int(fields["content-length"])
     if data[end : end + 4] != b"\r\n\r\n":
         return None, at, "record is cut or overlong"
-    http, found, payload = data[begin:end].partition(b"\r\n\r\n")
-    if not found:
-        return None, at, "no HTTP header"
-    digest = fields.get("warc-payload-digest", "").removeprefix("sha256:")
-    size = len(payload)
+    http, payload, verified = b"", data[begin:end], None
+    if fields.get("content-type", "").lower().startswith("application/http") or ("content-type" not in fields and payload.startswith(b"HTTP/")):
+        http, found, payload = payload.partition(b"\r\n\r\n")
+        if not found and fields.get("warc-type") != "revisit":
+            return None, at, "no HTTP header"
+    digest = fields.get("warc-payload-digest", "")
     if fields.get("warc-type") == "revisit":
         stated = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)", http)
-        if not stated:
-            return None, at, "revisit without payload size"
-        size, payload = int(stated[1]), None
-    elif digest != hashlib.sha256(payload).hexdigest():
-        return None, at, "payload digest differs"
-    return fields | {"payload": payload, "size": size, "digest": digest}, end + 4, ""
-
-
-def _member_at(data: bytes, at: int) -> tuple[bytes | None, int]:
-    """The whole gzip member at ``at`` with its checksum verified, and its end."""
+        size, payload, digest = int(stated[1]) if stated else None, None, digest.removeprefix("sha256:") or None
+    else:
+        if "warc-segment-number" not in fields:  # the digest of a segment is that of the whole
+            verified = _agrees(digest, payload)
+        if verified is False:
+            return None, at, "payload digest differs"
+        size, digest = len(payload), hashlib.sha256(payload).hexdigest()
+    return fields | {"payload": payload, "size": size, "digest": digest, "verified": bool(verified)}, end + 4, ""
+
+
+def _member_at(data: bytes, at: int) -> tuple[bytes, int]:
+    """What the gzip member at ``at`` gives, and its end if it is whole and its checksum
+    right. Of a damaged one, what it gives before the damage, and ``at``."""
     opened, out = zlib.decompressobj(31), []
-    try:
-        for i in range(at, len(data), 1 << 16):  # by pieces: a bad start fails early
+    for i in range(at, len(data), 1 << 16):  # by pieces: a bad start fails early
+        try:
             out.append(opened.decompress(data[i : i + (1 << 16)]))
-            if opened.eof:
-                return b"".join(out), min(i + (1 << 16), len(data)) - len(opened.unused_data)
-    except zlib.error:
-        pass
-    return None, at
+        except zlib.error:  # what the piece gave is lost: again, byte by byte
+            opened = zlib.decompressobj(31)
+            opened.decompress(data[at:i])
+            try:
+                for k in range(i, len(data)):
+                    out.append(opened.decompress(data[k : k + 1]))
+            except zlib.error:
+                break
+        if opened.eof:
+            return b"".join(out), min(i + (1 << 16), len(data)) - len(opened.unused_data)
+    return b"".join(out), at
+
+
+def _reach(data: bytes, at: int, enough: int) -> int:
+    """Where the member at ``at`` has given ``enough`` bytes."""
+    opened, given, i, step = zlib.decompressobj(31), 0, at, 1 << 16
+    while given < enough:
+        trial = opened.copy() if step > 1 else opened
+        try:
+            n = len(trial.decompress(data[i : i + step]))
+        except zlib.error:
+            n = enough
+        if step > 1 and given + n >= enough:
+            step = 1
+            continue
+        opened, given, i = trial, given + n, i + step
+    return i
 
 
 def salvage(data: bytes):
@@ -162,14 +205,28 @@ def salvage(data: bytes):
     After a failed check the reader searches for the next member or version line at which
     reading succeeds, and goes on there. Works on compressed members (one or more records
     each), on plain records, and on a mixture. A sound member with a bad record inside
-    gives its other records and a gap that names the member's bytes."""
+    gives its other records and a gap that names the member's bytes.
+
+    A damaged member gives the records that more of its bytes follow, with a reason that
+    says so and whether a digest verified the payload; the gap begins behind the last of
+    them. A record at which the member breaks off is part of the gap."""
     at, bad, why = 0, None, ""
     while at < len(data):
-        found, end, reason = [], at, "neither a member nor a version line"
+        found, end, reason, after = [], at, "neither a member nor a version line", ""
         if data.startswith(MEMBER, at):
             plain, end = _member_at(data, at)
-            reason = "damaged member" if plain is None else ""
-            found = [(kind, f"inside a member: {inner}" if inner else "", x) for kind, _, _, inner, x in salvage(plain or b"")]
+            inside = list(salvage(plain))
+            reason = ""
+            if end == at:
+                sound = max((i for i, x in enumerate(inside) if x[0] == "record" and x[2] < len(plain)), default=-1) + 1
+                if sound:
+                    end = _reach(data, at, inside[sound - 1][2])
+                    said = lambda x: "damaged member" if x["verified"] else "damaged member, payload not verified"
+                    inside = [(*x[:3], x[3] or said(x[4]), x[4]) if x[0] == "record" else x for x in inside[:sound]]
+                    after = "damaged member"
+                else:
+                    reason = "damaged member"
+            found = [(kind, f"inside a member: {inner}" if inner else "", x) for kind, _, _, inner, x in inside]
         elif data.startswith(b"WARC/1.", at):
             fields, end, reason = parse_record(data, at)
             found = [("record", "", fields)]
@@ -184,6 +241,8 @@ def salvage(data: bytes):
         for kind, inner, fields in found:
             yield kind, at, end, inner, fields
         at = end
+        if after and not data.startswith((MEMBER, b"WARC/1."), at) and at < len(data):
+            bad, why = at, after
     if bad is not None:
         yield "gap", bad, at, why, {}
 
@@ -210,9 +269,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """All records (kind ``record``) and quarantined byte gaps (kind ``gap``: file, start,
     end, reason) of the archives below ``path``; columns as in ``RECORDS``.
 
-    ``start`` and ``end`` of a record are those of its member or its plain bytes. A
-    revisit has no payload, its payload_bytes and payload_digest are those of the full
-    payload. A record without a numeric id has a null page_id. One archive is read by one
+    ``start`` and ``end`` of a record are those of its member or its plain bytes. Records
+    of all types are read; a block that isn't HTTP is the payload. payload_digest is the
+    payload's SHA-256; a digest that the record states is checked if its algorithm is known.
+    A revisit has no payload, its payload_bytes and payload_digest are those it states of the
+    full payload, null if none. A ``record`` with a reason is from a damaged member. A record without a numeric id has a null page_id. One archive is read by one
     task and has to fit its memory (Spark's limit is 2 GB)."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(path)
     return files.select("path", "content").mapInArrow(_read, RECORDS)

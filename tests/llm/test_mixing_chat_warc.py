@@ -1,5 +1,6 @@
 """Mixing, chat formatting and WARC archives."""
 
+import base64
 import hashlib
 import random
 import zlib
@@ -160,3 +161,43 @@ def test_salvage_of_a_bad_record_inside_a_sound_member():
     found = list(warc.salvage(data))
     assert [kind for kind, *_ in found] == ["record", "gap", "record"]
     assert "payload digest differs" in found[1][3] and found[1][1:3] == (0, len(data))
+
+
+def squeezed(data, level=6):
+    squeeze = zlib.compressobj(level, zlib.DEFLATED, 31)
+    return squeeze.compress(data) + squeeze.flush()
+
+
+def any_record(kind, block, *head):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", *head, f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_salvage_reads_records_of_all_types_and_digests():
+    page, http = b"<p>page</p>", "Content-Type: application/http; msgtype=response"
+    block = b"HTTP/1.1 200 OK\r\nA: b\r\n\r\n" + page
+    sha1 = hashlib.sha1(page)
+    digests = [None, "sha1:" + base64.b32encode(sha1.digest()).decode(), "SHA1:" + sha1.hexdigest().upper(), "blake3:00"]
+    data = [any_record("response", block, http, *([f"WARC-Payload-Digest: {d}"] if d else [])) for d in digests]
+    data += [any_record("warcinfo", b"software: x\r\n", "Content-Type: application/warc-fields"), any_record("resource", page, "Content-Type: text/html")]
+    data += [any_record("request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", "Content-Type: application/http; msgtype=request"), any_record("metadata", b"")]
+    want = [page] * 4 + [b"software: x\r\n", page, b"", b""]
+    for archive_bytes in (b"".join(data), b"".join(map(squeezed, data)), squeezed(b"".join(data))):
+        found = list(warc.salvage(archive_bytes))
+        assert [(kind, why, x["payload"], x["digest"]) for kind, _, _, why, x in found] == [("record", "", p, hashlib.sha256(p).hexdigest()) for p in want]
+    wrong = any_record("response", block, http, "WARC-Payload-Digest: sha1:" + "A" * 32)
+    assert [(kind, why) for kind, _, _, why, _ in warc.salvage(wrong)] == [("gap", "payload digest differs")]
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_salvage_of_the_sound_start_of_a_damaged_member(level):
+    plain, more = archive(6, compressed=False), squeezed(archive(1, compressed=False)[0])
+    whole = squeezed(b"".join(plain), level)
+    cut = whole[: len(whole) * 6 // 10]
+    for data in (cut, cut + more):
+        found = list(warc.salvage(data))
+        pages = [warc._page_of(x["warc-record-id"]) for kind, *_, x in found if kind == "record"]
+        n = len(pages) - (data != cut)
+        assert n >= 2 and pages == [*range(n)] + [0] * (data != cut)
+        assert [x[3] for x in found[:n]] == ["inside a member: damaged member"] * n
+        assert found[n][0] == "gap" and found[n][1:3] == (found[n - 1][2], len(cut)) and len(found) == len(pages) + 1
