@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from isobar.llm.chat import format_and_read
 from isobar.llm.common import table
 from isobar.llm.decontaminate import leaks
+from isobar.llm.divergence import divergence
 from isobar.llm.exact_dedup import exact_dedup
 from isobar.llm.line_dedup import line_digests
 from isobar.llm.mixing import mix
 from isobar.llm.near_dedup import near_dedup
 from isobar.llm.quality import quality
+from isobar.llm.repair import damage_and_repair
 from isobar.llm.secret_scan import secret_digests
 from isobar.llm.substring_dedup import removed_words
 from isobar.llm.warc import round_trip
@@ -62,6 +64,14 @@ def op10_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_secret_linking": op2_secret_linking,
@@ -73,6 +83,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_warc": op9_warc,
     "op10_minhash_odd_sketch": op10_minhash_odd_sketch,
+    "op12_repair": op12_repair,
+    "op13_divergence": op13_divergence,
 }
 
 # The oracle's own patterns, in the order in which kinds are listed, and what counts.
@@ -226,4 +238,70 @@ ORACLE_SQL = {
         m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
         SELECT m.doc_id, coalesce(n, 0) AS n_shingles, component_id, m.doc_id = component_id AS kept FROM m LEFT JOIN n USING (doc_id)
     """,
+    # One step of the recursion: inserts before a row, then what happens to the row.
+    "op12_repair": r"""
+        WITH RECURSIVE r AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                                    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+        h AS (SELECT *, xor(list_reduce(list_prepend(4294967295::UBIGINT, [CAST(ascii(c) AS UBIGINT) FOR c IN string_split(k, '')]),
+                  lambda x, b: list_reduce([xor(x, b), 1, 1, 1, 1, 1, 1, 1, 1], lambda y, i: xor(y >> 1, 3988292384::UBIGINT * (y & 1)))),
+                  4294967295::UBIGINT) % 20 AS kind FROM r),
+        m AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                     CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                     unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM h),
+        n AS (SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+                     lag(role[1]) OVER w || role[1] AS steps
+              FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+        f AS (SELECT *, role[1] AS first, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN again THEN 'duplicate'
+                     WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault FROM n),
+        z AS (SELECT conv_id, count(*) AS n,
+                     coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                     count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+                     count(*) FILTER (steps NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+        e AS (SELECT * FROM (VALUES (0, 0, '', ''), (0, 2, 'I', 'u'), (0, 3, 'II', 'ua'), (1, 1, '', ''), (1, 2, 'I', 'u'), (1, 3, 'II', 'ua'),
+                                    (2, 2, '', ''), (2, 3, 'I', 'a'), (3, 3, '', ''), (3, 2, 'I', 'u')) AS e(q, p, letters, said)),
+        t AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)) AS t(q, c, p)),
+        x AS (SELECT conv_id, i, q0.q, 'D' AS letter, 4 AS cost, q0.q AS p, [] AS said FROM f, (SELECT DISTINCT q FROM e) q0
+              UNION ALL SELECT conv_id, i, q, 'K', CASE fault WHEN 'truncated' THEN 3 ELSE 0 END, p, [role || ':' || text]
+              FROM f JOIN t ON c = first WHERE fault IN ('', 'truncated')
+              UNION ALL SELECT conv_id, i, q, 'R', CASE fault WHEN 'truncated' THEN 6 ELSE 3 END, p, [CASE c WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text]
+              FROM f, t WHERE fault IN ('', 'truncated') AND c <> 's'),
+        s AS (SELECT conv_id, 0 AS i, 0 AS q, {'cost': 0, 'audit': '', 'said': []::VARCHAR[]} AS best FROM z
+              UNION ALL
+              SELECT s.conv_id, x.i, x.p, min({'cost': best.cost + 3 * len(e.letters) + x.cost, 'audit': best.audit || e.letters || x.letter,
+                  'said': best.said || [CASE c WHEN 'u' THEN 'user:' ELSE 'assistant:' END FOR c IN string_split(e.said, '') IF c <> ''] || x.said})
+              FROM s JOIN e ON e.q = s.q JOIN x ON x.conv_id IS NOT DISTINCT FROM s.conv_id AND x.i = s.i + 1 AND x.q = e.p
+              GROUP BY s.conv_id, x.i, x.p),
+        o AS (SELECT z.conv_id, min({'cost': best.cost + 3 * len(e.letters), 'audit': best.audit || e.letters,
+                  'said': best.said || [CASE c WHEN 'u' THEN 'user:' ELSE 'assistant:' END FOR c IN string_split(e.said, '') IF c <> '']}) AS best
+              FROM z JOIN s ON s.conv_id IS NOT DISTINCT FROM z.conv_id AND s.i = z.n JOIN e ON e.q = s.q AND e.p IN (0, 3) GROUP BY z.conv_id)
+        SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+               coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.said, chr(10)), '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN z ON z.conv_id IS NOT DISTINCT FROM c.conv_id
+        LEFT JOIN o ON o.conv_id IS NOT DISTINCT FROM c.conv_id
+    """,
+    "op13_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        k AS (SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT r) >= 10),
+        g AS (SELECT DISTINCT lang, source FROM d),
+        c AS (SELECT lang, source, term, count(*) AS c FROM w JOIN k USING (lang, term) GROUP BY ALL),
+        v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+        x AS (SELECT g.lang, g.source, k.term, CAST(coalesce(c.c, 0) AS HUGEINT) AS c
+              FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+        p AS (SELECT lang, source, term, c, 1 + (1000000000 * (c + 2)) // (sum(c) OVER (PARTITION BY lang, source) + 2 * v) AS p FROM x JOIN v USING (lang)),
+        a AS (SELECT lang, term, sum(c) AS c FROM p GROUP BY ALL),
+        q AS (SELECT lang, term, 1 + (1000000000 * (c + 2)) // (sum(c) OVER (PARTITION BY lang) + 2 * v) AS q FROM a JOIN v USING (lang)),
+        s AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS f
+              FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0) AS value
+              FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+              UNION ALL
+              SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p JOIN q USING (lang, term) WHERE c > 0 AND p > q)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+               CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INT) AS rank
+        FROM o QUALIFY part = 'pair' OR rank <= 10
+    """,
 }
