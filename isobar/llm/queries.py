@@ -19,6 +19,7 @@ from isobar.llm.repair import damage_and_repair
 from isobar.llm.secret_scan import secret_digests
 from isobar.llm.substring_dedup import removed_words
 from isobar.llm.warc import round_trip
+from isobar.llm.wrapper import main_texts
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +65,10 @@ def op10_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_wrapper(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return damage_and_repair(table(spark, sf_dir, "conversations"))
 
@@ -83,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_warc": op9_warc,
     "op10_minhash_odd_sketch": op10_minhash_odd_sketch,
+    "op11_wrapper": op11_wrapper,
     "op12_repair": op12_repair,
     "op13_divergence": op13_divergence,
 }
@@ -238,6 +244,14 @@ ORACLE_SQL = {
         m AS (SELECT doc_id, min(c) AS component_id FROM r GROUP BY doc_id)
         SELECT m.doc_id, coalesce(n, 0) AS n_shingles, component_id, m.doc_id = component_id AS kept FROM m LEFT JOIN n USING (doc_id)
     """,
+    # By the markup of the given pages alone: one article element, paragraphs, two references.
+    "op11_wrapper": r"""
+        WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>((?s:.*?))</article>', 1) AS t FROM pages),
+        b AS (SELECT page_id, url, regexp_replace(regexp_replace(t, '</?(p|h1)>|<br>', ' ', 'g'), '</?b>', '', 'g') AS t FROM a),
+        c AS (SELECT page_id, url, regexp_replace(regexp_replace(t, '&quot;?', '"', 'g'), '&amp;?', '&', 'g') AS t FROM b),
+        d AS (SELECT page_id, url, trim(regexp_replace(t, '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS text FROM c)
+        SELECT page_id, url, text, length(text) AS n_chars FROM d
+    """,
     # One step of the recursion: inserts before a row, then what happens to the row.
     "op12_repair": r"""
         WITH RECURSIVE r AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
@@ -251,8 +265,10 @@ ORACLE_SQL = {
         n AS (SELECT *, row_number() OVER w AS i, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
                      lag(role[1]) OVER w || role[1] AS steps
               FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
-        f AS (SELECT *, role[1] AS first, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank' WHEN again THEN 'duplicate'
-                     WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' ELSE '' END AS fault FROM n),
+        f AS (SELECT *, role[1] AS first, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN again THEN 'duplicate'
+                     WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' ELSE '' END AS fault FROM n),
         z AS (SELECT conv_id, count(*) AS n,
                      coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
                      count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
