@@ -1,10 +1,11 @@
 """Line dedup by an exact set-similarity join.
 
-A line is the set of its words. Tokens are ordered by rarity, and two sets of Jaccard 0.8
-or more share a token among the first few of that order (prefix filter). Sets that meet on
-one are checked by length, by the positions of the shared token and by parity bitmaps,
-whose difference never exceeds that of the sets, and then verified as whole sets. A line
-with an earlier match is removed. DataFrame functions throughout.
+A line is the set of its words in lower case. Tokens are ordered by rarity, and two sets of
+Jaccard 0.8 or more share a token among the first few of that order (prefix filter). Sets
+that meet on one are checked by length, by the positions of the shared token and by parity
+bitmaps, whose difference never exceeds that of the sets, then by how many tokens of the
+prefix that ends first they share, and then verified as whole sets. A line with an earlier
+match is removed. DataFrame functions throughout.
 """
 
 from __future__ import annotations
@@ -31,15 +32,15 @@ def lines_of(text: str | Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _flat_words(df: DataFrame, text: str, fold_case: bool) -> DataFrame:
+def _flat_words(df: DataFrame, text: str) -> DataFrame:
     """``df`` with ``_flat``, of which ``split_words`` gives the words that are compared."""
-    return one_kind_of_space(df, F.lower(text) if fold_case else F.col(text))
+    return one_kind_of_space(df, F.lower(text))
 
 
-def _rarity(docs: DataFrame, counters: int, fold_case: bool) -> Column:
+def _rarity(docs: DataFrame, counters: int) -> Column:
     """log2 of the count of each hash counter, over all words of all texts: an array of
     ``counters`` small numbers, whatever the input."""
-    each = _flat_words(docs.select("text"), "text", fold_case).select(F.explode(split_words()).alias("word"))
+    each = _flat_words(docs.select("text"), "text").select(F.explode(split_words()).alias("word"))
     counts = each.groupBy(F.xxhash64("word").bitwiseAND(F.lit(counters - 1)).alias("id")).agg(F.floor(F.log2(F.count("*"))).alias("class"))
     table = [0] * counters
     for row in counts.collect():  # at most `counters` rows
@@ -71,10 +72,10 @@ def _bitmap(tokens: Column) -> Column:
     return F.aggregate(tokens, F.lit(0).cast("long"), flip)
 
 
-def _lines(docs: DataFrame, rarity: Column, counters: int, fold_case: bool) -> DataFrame:
+def _lines(docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
     """All lines: position, identity of its token set, prefix and bitmap."""
     each = docs.select("rank", "text_key", F.posexplode(lines_of("text")).alias("line_no", "line"))
-    each = _flat_words(each, "line", fold_case).select(*_LINE, _tokens(rarity, counters).alias("tokens"))
+    each = _flat_words(each, "line").select(*_LINE, _tokens(rarity, counters).alias("tokens"))
     return each.select(
         *_LINE,
         F.size("tokens").alias("n"),
@@ -92,17 +93,21 @@ def _first_lines(lines: DataFrame) -> DataFrame:
     return place.withColumn("cid", F.monotonically_increasing_id())
 
 
+def _size(side: str) -> Column:
+    return F.shiftrightunsigned(F.col(f"{side}.place"), 32)
+
+
 def _passes(a: str, b: str) -> Column:
     """Length, positional and bitmap filters for two sets that meet on a token. ``place``
     holds the size of a set, the token's position in it, and whether it is settled."""
-    size = lambda x: F.shiftrightunsigned(F.col(f"{x}.place"), 32)
     position = lambda x: F.shiftrightunsigned(F.col(f"{x}.place"), 1).bitwiseAND(F.lit(0x7FFFFFFF))
-    n, m = size(a), size(b)
+    n, m = _size(a), _size(b)
     up, down = ALIKE
     in_length = F.least(n, m) * down >= F.greatest(n, m) * up
-    # Of n + m tokens, at least needed / (up + down) * up are shared by a match.
-    ahead = F.least(n - position(a), m - position(b))
-    in_position = ahead * (up + down) >= (n + m) * up
+    # Of n + m tokens, at least needed / (up + down) * up are shared by a match: some of
+    # those up to the token in either set, and some behind it.
+    most = F.least(position(a), position(b)) + F.least(n - position(a), m - position(b))
+    in_position = most * (up + down) >= (n + m) * up
     apart = F.bit_count(F.col(f"{a}.bitmap").bitwiseXOR(F.col(f"{b}.bitmap")))
     return in_length & in_position & (apart * (up + down) <= (n + m) * (down - up))
 
@@ -112,22 +117,35 @@ def _place(settled: Column) -> Column:
     return size.bitwiseOR(position).bitwiseOR(settled.cast("long"))
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Column, counters: int, fold_case: bool) -> DataFrame:
-    """The pairs (early, late) of cids whose whole token sets are similar enough."""
+def _enough(shared: Column, n: Column, last_n: Column, m: Column, last_m: Column) -> Column:
+    """Whether sets of n and m tokens whose prefixes share so many may be alike. All tokens of
+    the prefix that ends first (at the lesser last token) lie within the other's prefix or
+    in no place at all, so those not shared are missing from the overlap."""
+    up, down = ALIKE
+    most = lambda size: size - _prefix_size(size) + shared
+    return F.when(last_n <= last_m, most(n)).otherwise(most(m)) * (up + down) >= (n + m) * up
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Column, counters: int) -> DataFrame:
+    """The pairs (early, late) of cids whose whole token sets are similar enough. Only
+    documents with a line among the pairs are split again."""
     needed = pairs.select(F.col("early").alias("cid")).union(pairs.select("late")).distinct().join(firsts, "cid")
-    per_doc = needed.groupBy("rank", "text_key").agg(F.sort_array(F.collect_list(F.struct("line_no", "cid"))).alias("wanted"))
-    picked = docs.join(per_doc, ["rank", "text_key"]).dropDuplicates(["rank", "text_key"]).withColumn("lines", lines_of("text"))
+    per_doc = materialize(needed.groupBy("rank", "text_key").agg(F.sort_array(F.collect_list(F.struct("line_no", "cid"))).alias("wanted")), "wanted_lines")
+    picked = docs.join(per_doc, ["rank", "text_key"]).withColumn("lines", lines_of("text"))
     picked = picked.select(F.explode(F.transform("wanted", lambda w: F.struct(w["cid"].alias("cid"), F.get("lines", w["line_no"]).alias("line")))).alias("w"))
-    split = _flat_words(picked.select("w.cid", "w.line"), "line", fold_case)
-    sets = materialize(split.select("cid", _tokens(rarity, counters).alias("tokens")), "line_sets")
+    split = _flat_words(picked.select("w.cid", "w.line"), "line").select("cid", _tokens(rarity, counters).alias("tokens"))
+    sets = materialize(split.dropDuplicates(["cid"]), "line_sets")  # repeated rows give a line twice
+    discard(per_doc)
     one = sets.select(F.col("cid").alias("early"), F.col("tokens").alias("a"))
     two = sets.select(F.col("cid").alias("late"), F.col("tokens").alias("b"))
     both = F.size(F.array_intersect("a", "b"))
     alike = both * ALIKE[1] >= (F.size("a") + F.size("b") - both) * ALIKE[0]
-    return pairs.join(one, "early").join(two, "late").where(alike).select("early", "late")
+    found = materialize(pairs.join(one, "early").join(two, "late").where(alike).select(F.col("late").alias("cid")).distinct(), "matched_lines")
+    discard(sets)
+    return found
 
 
-def _removed(known: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Column, counters: int, fold_case: bool) -> DataFrame:
+def _removed(known: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
     """cids of the first lines that have an earlier match; ``known`` has cid, n, bitmap and
     prefix of all first lines.
 
@@ -138,46 +156,59 @@ def _removed(known: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Colum
     me = F.struct("cid", _place(F.lit(0)).alias("place"), "bitmap")
     met = rare.select("token", me.alias("me")).withColumn("hub", F.min("me").over(Window.partitionBy("token")))
     met = met.where((F.col("hub.cid") < F.col("me.cid")) & _passes("hub", "me"))
-    met = materialize(met.select(F.col("hub.cid").alias("early"), F.col("me.cid").alias("late")).distinct(), "hub_lines")
-    settled = materialize(_verified(met, docs, firsts, rarity, counters, fold_case).select(F.col("late").alias("cid")).distinct(), "settled_lines")
+    met = met.select(F.col("hub.cid").alias("early"), F.col("me.cid").alias("late")).distinct()
+    side = lambda name, x: known.select(F.col("cid").alias(name), F.col("n").cast("long").alias(f"n_{x}"), F.col("prefix").alias(f"prefix_{x}"))
+    met = met.join(side("early", "e"), "early").join(side("late", "l"), "late")
+    shared = F.size(F.array_intersect("prefix_e", "prefix_l"))
+    last = lambda x: F.element_at(f"prefix_{x}", -1)
+    met = met.where(_enough(shared, F.col("n_e"), last("e"), F.col("n_l"), last("l"))).select("early", "late")
+    met = materialize(met, "hub_lines")
+    settled = _verified(met, docs, firsts, rarity, counters)
+    discard(met)
     # One shuffle of the prefixes serves both sides: what holds for one side only, that its
     # line is not settled, is written as a condition on both, and the filter that Spark
     # would infer for one side is on both from the start.
     flagged = known.where("cid IS NOT NULL").join(settled.withColumn("done", F.lit(1)), "cid", "left").withColumn("done", F.coalesce("done", F.lit(0)))
-    shared = flagged.select("cid", "n", "bitmap", "done", F.posexplode("prefix").alias("i", "token"))
-    shared = shared.select("token", "cid", _place(F.col("done")).alias("place"), "bitmap")
+    shared = flagged.select("cid", "n", "bitmap", "done", F.element_at("prefix", -1).alias("last"), F.posexplode("prefix").alias("i", "token"))
+    shared = shared.select("token", "cid", _place(F.col("done")).alias("place"), "bitmap", "last")
     late, early = shared.alias("l"), shared.alias("e")
     limit = F.when(F.col("l.place").bitwiseAND(F.lit(1)) == 1, F.lit(-1)).otherwise(F.col("l.cid"))
     meet = (F.col("l.token") == F.col("e.token")) & (F.col("e.cid") < limit) & _passes("e", "l")
-    pairs = late.join(early, meet).select(F.col("e.cid").alias("early"), F.col("l.cid").alias("late")).distinct()
-    more = _verified(materialize(pairs, "line_pairs"), docs, firsts, rarity, counters, fold_case).select(F.col("late").alias("cid"))
+    told = [F.col("e.cid").alias("early"), F.col("l.cid").alias("late"), _size("e").alias("n"), _size("l").alias("m"), F.col("e.last").alias("x"), F.col("l.last").alias("y")]
+    pairs = late.join(early, meet).select(*told).groupBy("early", "late", "n", "m", "x", "y").agg(F.count("*").alias("shared"))
+    pairs = pairs.where(_enough(F.col("shared"), F.col("n"), F.col("x"), F.col("m"), F.col("y"))).select("early", "late")
+    pairs = materialize(pairs, "line_pairs")
+    more = _verified(pairs, docs, firsts, rarity, counters)
+    discard(pairs)
     return settled.union(more).distinct()
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS, fold_case: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
     """One row per document: rank, text_key, doc_id, n_lines, n_removed, kept_text.
 
     Lines end at ``\\n`` and go by doc_id (null last), then line number. A line's tokens
-    are its distinct words, unchanged or, with ``fold_case``, lower-cased. A line is removed if an earlier line anywhere has
+    are its distinct words in lower case. A line is removed if an earlier line anywhere has
     a token set of Jaccard 0.8 or more with its own, removed or not. Lines without words
     stay. Repeated rows with the same doc_id and text count as one and get the same text.
-    A null text is empty and has one line; an empty table gives no rows. Whole texts and
-    lines of any length count."""
+    A null text is empty and has one line; an empty table gives no rows; other columns, of
+    any names, are ignored. Whole texts and lines of any length count."""
     source = keyed(docs, id_col, text_col)
-    rarity = _rarity(source, counters, fold_case)
-    lines = materialize(_lines(source, rarity, counters, fold_case), "lines")
+    rarity = _rarity(source, counters)
+    lines = materialize(_lines(source, rarity, counters), "lines")
     firsts = materialize(_first_lines(lines), "first_lines")
-    known = materialize(lines.join(firsts.select("cid", *_LINE), _LINE).select("cid", "n", "bitmap", "prefix"), "first_prefixes")
-    places = materialize(lines.select(*_LINE, "n"), "line_places")
+    known = materialize(lines.join(firsts.select("cid", *_LINE), _LINE).dropDuplicates(_LINE).select("cid", "n", "bitmap", "prefix"), "first_prefixes")
+    places = materialize(lines.where("n > 0").select(*_LINE), "line_places")
     discard(lines)
-    removed = materialize(_removed(known, firsts, source, rarity, counters, fold_case), "removed_lines")
-    kept_first = firsts.join(removed, "cid", "left_anti").select(*_LINE, F.lit(True).alias("kept"))
-    flagged = places.join(kept_first, _LINE, "left").select(*_LINE, (F.coalesce("kept", F.lit(False)) | (F.col("n") == 0)).alias("kept"))
-    flags = flagged.groupBy("rank", "text_key").agg(F.sort_array(F.collect_set(F.struct("line_no", "kept"))).alias("flags"))
-    out = source.join(materialize(flags, "line_flags"), ["rank", "text_key"], "left")
-    out = out.withColumn("both", F.arrays_zip(lines_of("text").alias("line"), F.col("flags.kept").alias("kept")))
-    kept = F.transform(F.filter("both", lambda x: x["kept"]), lambda x: x["line"])
-    out = out.select("rank", "text_key", "doc_id", F.size("both").cast("long").alias("n_lines"), kept.alias("kept"))
+    removed = _removed(known, firsts, source, rarity, counters)
+    kept_first = firsts.join(removed, "cid", "left_anti").select(*_LINE)
+    gone = places.join(kept_first, _LINE, "left_anti").groupBy("rank", "text_key").agg(F.collect_set("line_no").alias("gone"))
+    gone = materialize(gone, "removed_lines")
+    for table in (known, places, firsts):
+        discard(table)
+    out = source.join(gone, ["rank", "text_key"], "left").withColumn("lines", lines_of("text"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    kept = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.transform(left, lambda i: F.get("lines", i)))
+    out = out.select("rank", "text_key", "doc_id", F.size("lines").cast("long").alias("n_lines"), kept.alias("kept"))
     return out.select(
         "rank", "text_key", "doc_id", "n_lines", (F.col("n_lines") - F.size("kept")).alias("n_removed"), F.array_join("kept", "\n").alias("kept_text")
     )
@@ -188,13 +219,13 @@ def line_digests(docs: DataFrame) -> DataFrame:
     return dedup_lines(docs).select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-def brute_force(docs: list[tuple[int, str | None]], fold_case: bool = False) -> dict[int, tuple[int, int, str]]:
+def brute_force(docs: list[tuple[int, str | None]]) -> dict[int, tuple[int, int, str]]:
     """The same over a small list of documents with distinct ids, for tests."""
     out, before = {}, []
     for i, text in sorted(docs, key=lambda d: d[0]):
         kept, lines = [], (text or "").split("\n")
         for line in lines:
-            tokens = {w for w in (line.lower() if fold_case else line).replace("\t", " ").replace("\r", " ").split(" ") if w}
+            tokens = {w for w in line.lower().replace("\t", " ").replace("\r", " ").split(" ") if w}
             if not tokens or not any(5 * len(tokens & b) >= 4 * len(tokens | b) for b in before if 5 * len(tokens) >= 4 * len(b) and 5 * len(b) >= 4 * len(tokens)):
                 kept.append(line)
             if tokens:

@@ -188,10 +188,19 @@ def test_divergence_equals_brute_force(spark, block, shards):
 
 
 def test_merge_holds_only_overlapping_pages():
-    runs = [[("en", f"t{i:04d}", f"s{r}", 1, 1) for i in range(r, 2000, 3)] for r in range(3)]
-    pages = sorted((run[i][:3], [list(c) for c in zip(*run[i : i + 50], strict=True)]) for run in runs for i in range(0, len(run), 50))
-    got = list(divergence._merged(iter(pages)))
-    assert [k[1] for k, _, _ in got] == [f"t{i:04d}" for i in range(2000)]
+    runs = [[(f"en\0t{i:04d}", f"s{r}", 1, 1) for i in range(r, 2000, 3)] for r in range(3)]
+    pages = sorted((run[i][0], [list(c) for c in zip(*run[i : i + 50], strict=True)]) for run in runs for i in range(0, len(run), 50))
+    read = []
+
+    def told():
+        for page in pages:
+            read.append(page[0])
+            yield page
+
+    for i, (key, found, docs) in enumerate(divergence._merged(told())):
+        assert key == f"en\0t{i:04d}" and found == {f"s{i % 3}": 1} and docs == 1
+        assert len(read) <= 3 * (i // 150 + 1) + 1  # the three pages that overlap, and the next
+    assert i == 1999
 
 
 def test_scaled_is_exact_for_large_counts():

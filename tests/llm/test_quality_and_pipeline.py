@@ -116,3 +116,14 @@ def test_stages_of_odd_and_empty_tables(spark, tables, odd_docs, no_docs):
     for name, stage in corpus_pipeline.STAGES:
         got = stage(spark, named, tables)
         assert len(got.collect()) <= 6 and got.columns[:5] == named.columns, name
+
+
+def test_choice_among_repeated_rows_does_not_depend_on_their_order(spark, tables):
+    text = prose(5, 80)
+    rows = [(1, text, "en", f"s{i}", i) for i in range(6)] + [(2, prose(6, 50), "en", "s1", 1)]
+    found = set()
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        df = spark.createDataFrame(order, DOCS_SCHEMA).repartition(3)
+        near = corpus_pipeline.near_dedup_stage(spark, df, tables)
+        found.add(str(sorted(near.collect())) + str(sorted(corpus_pipeline.mixing_stage(spark, df, tables).collect())))
+    assert len(found) == 1 and "source='s0'" in found.pop()
