@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from isobar.llm import decontaminate, line_dedup, mixing, near_dedup, quality
@@ -22,15 +22,22 @@ NEAR_PERCENT = 80
 _KEY = ["rank", "text_key"]
 
 
+def _in_order(docs: DataFrame) -> Column:
+    """Orders rows that ``placed`` gives one key, by all their other columns, so that the
+    choice among repeated rows doesn't depend on the order of the input."""
+    return F.to_json(F.struct(*[f"c{i}" for i, name in enumerate(docs.columns) if name != "text"]))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier doesn't reject."""
+    """Documents that the classifier doesn't reject. Null and empty texts are judged like any
+    other, repeated rows alike; an empty table stays empty."""
     return restored(quality.classify(docs, quality.fit(docs)).where("kept"), docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that match an earlier line in any letter case; a document that loses
     all of them stays with an empty text. n_chars follows the text."""
-    kept = line_dedup.dedup_lines(docs, fold_case=True).select(*_KEY, "kept_text").dropDuplicates(_KEY)
+    kept = line_dedup.dedup_lines(docs).select(*_KEY, "kept_text").dropDuplicates(_KEY)
     out, names = placed(docs).join(kept, _KEY), docs.columns
     text = f"c{names.index('text')}"
     out = out.withColumn(text, F.when(F.col(text).isNotNull(), F.col("kept_text")))
@@ -41,16 +48,19 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, and all documents without words."""
+    """One document of each group of near duplicates, and all documents without words. Of
+    repeated rows of the document that stays, the first by all its columns stays."""
     groups = materialize(near_dedup.near_groups(docs, percent=NEAR_PERCENT), "near_groups")
     rows = placed(docs)
-    one = rows.join(groups.where("kept AND n_shingles > 0").select(*_KEY), _KEY).dropDuplicates(_KEY)
+    one = rows.join(groups.where("kept AND n_shingles > 0").select(*_KEY), _KEY)
+    one = one.withColumn("nth", F.row_number().over(Window.partitionBy(*_KEY).orderBy(_in_order(docs)))).where("nth = 1").drop("nth")
     empty = rows.join(groups.where("n_shingles = 0").select(*_KEY).distinct(), _KEY, "left_semi")
     return restored(one.unionByName(empty), docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
+    """Documents in which no benchmark item is found; those with null or empty texts, and all
+    if the benchmark is empty, stay."""
     found = materialize(decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).select(*_KEY).distinct(), "leaking")
     return restored(placed(docs).join(found, _KEY, "left_anti"), docs.columns)
 
@@ -63,7 +73,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     mixed = mixed.withColumn("src", F.concat(F.col("source").isNull().cast("string"), "src"))
     mixed = mixed.select(*_KEY, "src", "size", "source_size", "target", "taken", "copies").withColumn("nth", nth(F.desc("copies")))
     rows, source = placed(docs), F.col(f"c{docs.columns.index('source')}").cast("string")
-    rows = rows.withColumn("src", F.concat(source.isNull().cast("string"), F.coalesce(source, F.lit("")))).withColumn("nth", nth(F.lit(0)))
+    rows = rows.withColumn("src", F.concat(source.isNull().cast("string"), F.coalesce(source, F.lit("")))).withColumn("nth", nth(_in_order(docs)))
     taken = rows.join(mixed.where("copies > 0"), [*_KEY, "src", "nth"])
     more = ["size", "source_size", "target", "taken", "copies"]
     free = [name if name not in docs.columns else f"mix_{name}" for name in more]
