@@ -12,10 +12,9 @@ from __future__ import annotations
 
 import heapq
 import re
-import uuid
 import zlib
-from collections import Counter
-from itertools import groupby
+from collections import Counter, defaultdict
+from itertools import count, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,99 +27,142 @@ from isobar.llm.common import materialize, pick
 MIN_DOCS = 10
 #: Ranks of the part ``term``.
 TOP = 10
-#: Postings (term of a group) that a task holds before it spills a run.
-BLOCK_POSTINGS = 200_000
+#: Postings (term of a source) and terms that a task holds before it spills a run.
+BLOCK_POSTINGS, BLOCK_TERMS = 1_000_000, 300_000
+#: Tokens that are counted at a time.
+CHUNK = 1 << 20
 #: Postings of a run's page, the unit that the merge reads.
-PAGE = 2_000
+PAGE = 4_000
 #: Cells (terms x sources) that a correction step works on at a time.
 CELLS = 1 << 19
 
 _SCALE = 1_000_000_000
 _TERM = re.compile(rb"[a-z\x80-\xff]+")  # on UTF-8 with A-Z lower-cased
-_KEY = ["lang", "term", "source"]
-_RUNS = "shard int, first struct<lang: string, term: string, source: string>, run string, lang array<string>, term array<string>, source array<string>, n array<long>, docs array<long>"
+#: Of a page: its postings by key (language, NUL, term: no term has one) and source.
+_RUNS = "shard int, first string, key array<string>, source array<string>, n array<long>, docs array<long>"
 
 
 def terms_of(text: str) -> list[bytes]:
     return _TERM.findall(text.encode().lower())  # bytes.lower() folds A-Z only
 
 
-def _pages(block: dict, shards: int):
-    """The block's postings as pages of one term-sorted run."""
-    run, cut = uuid.uuid4().hex, {}
-    for (lang, source), (counts, docs) in block.items():
-        for term, n in counts.items():
-            cut.setdefault(zlib.crc32(term, zlib.crc32(lang.encode())) % shards, []).append((lang, term.decode(), source, n, docs[term]))
-    for shard in sorted(cut):
-        postings = sorted(cut[shard])
-        for i in range(0, len(postings), PAGE):
-            lang, term, source, n, docs = (list(c) for c in zip(*postings[i : i + PAGE], strict=True))
-            first = dict(zip(_KEY, postings[i][:3], strict=True))
-            yield {"shard": shard, "first": first, "run": run, "lang": lang, "term": term, "source": source, "n": n, "docs": docs}
-
-
-def _index(shards: int, most: int, schema: pa.Schema):
+def _summed(pairs: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Equal pairs once, in order, with the sums of their values."""
+    order = np.argsort(pairs, kind="stable")
+    pairs = pairs[order]
+    starts = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]])) if len(pairs) else np.empty(0, np.int64)
+    return (pairs[starts], *(np.add.reduceat(v[order], starts) if len(pairs) else v for v in values))
+
+
+class Block:
+    """Postings in memory: numbers for the terms of each language and for sources, tokens
+    not counted yet, and per (source, term) occurrences and documents."""
+
+    def __init__(self):
+        number = count()
+        self.terms: dict[str, defaultdict] = defaultdict(lambda: defaultdict(number.__next__))
+        self.sources: dict[str, int] = {}
+        self.tokens: list[np.ndarray] = []
+        self.doc_source: list[int] = []
+        self.waiting = 0
+        self.counted = (np.empty(0, np.int64),) * 3
+
+    def add(self, lang: str, source: str, found: list[bytes]):
+        ids = np.fromiter(map(self.terms[lang].__getitem__, found), np.int64, len(found))
+        self.tokens.append(ids + (len(self.doc_source) << 32))
+        self.doc_source.append(self.sources.setdefault(source, len(self.sources)))
+        self.waiting += len(found)
+        if self.waiting >= CHUNK:
+            self.count()
+
+    def count(self):
+        if not self.tokens:
+            return
+        tokens = np.concatenate(self.tokens)
+        each, n = _summed(tokens, np.ones(len(tokens), np.int64))  # per document and term
+        pairs = (np.array(self.doc_source, np.int64)[each >> 32] << 32) + (each & 0xFFFFFFFF)
+        old = self.counted
+        self.counted = _summed(np.concatenate([old[0], pairs]), np.concatenate([old[1], n]), np.concatenate([old[2], np.ones(len(n), np.int64)]))
+        self.tokens, self.doc_source, self.waiting = [], [], 0
+
+    def full(self, postings: int, terms: int) -> bool:
+        return len(self.counted[0]) >= postings or sum(map(len, self.terms.values())) >= terms
+
+    def run(self, shards: int, schema: pa.Schema):
+        """The block as one term-sorted run, cut by shard into pages."""
+        self.count()
+        pairs, n, docs = self.counted
+        if not len(pairs):
+            return
+        keys = [b"%s\0%s" % (lang.encode(), term) for lang, terms in self.terms.items() for term in terms]
+        ids = np.fromiter((i for terms in self.terms.values() for i in terms.values()), np.int64, len(keys))
+        order = sorted(range(len(keys)), key=keys.__getitem__)
+        rank = np.empty(len(keys), np.int64)
+        rank[ids[order]] = np.arange(len(keys))
+        shard = np.fromiter((zlib.crc32(keys[i]) % shards for i in order), np.int64, len(keys))  # by rank
+        names = pa.array([keys[i] for i in order], pa.binary()).cast(pa.string())
+        at = rank[pairs & 0xFFFFFFFF]
+        place = np.lexsort((pairs >> 32, at, shard[at]))
+        at, n, docs, source = at[place], n[place], docs[place], (pairs >> 32)[place]
+        of = shard[at]
+        new = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        within = np.arange(len(of)) - np.repeat(new, np.diff([*new, len(of)]))
+        starts = np.flatnonzero(within % PAGE == 0)
+        sources = pa.array(list(self.sources), pa.string())
+        for i in range(0, len(starts), 32):  # pages at a time: bounds the batch
+            cut = starts[i : i + 33]
+            low, high = int(cut[0]), int(cut[32]) if len(cut) > 32 else len(of)
+            bounds = pa.array(np.append(cut[:32], high) - low, pa.int32())
+            part = slice(low, high)
+            lists = [names.take(pa.array(at[part])), sources.take(pa.array(source[part])), pa.array(n[part]), pa.array(docs[part])]
+            columns = [pa.array(of[cut[:32]], pa.int32()), names.take(pa.array(at[cut[:32]])), *(pa.ListArray.from_arrays(bounds, x) for x in lists)]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+
+def _index(shards: int, postings: int, terms: int, schema: pa.Schema):
     def run(batches):
-        block: dict = {}
-        held = 0
-
-        def spilled():
-            rows = []
-            for page in _pages(block, shards):
-                rows.append(page)
-                if len(rows) == 64:
-                    yield pa.RecordBatch.from_pylist(rows, schema)
-                    rows = []
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows, schema)
-
+        block = Block()
         for batch in batches:
             for lang, source, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 found = terms_of(text)
-                if not found:
-                    continue
-                counts, docs = block.setdefault((lang, source), (Counter(), Counter()))
-                held -= len(counts)
-                counts.update(found)
-                docs.update(set(found))
-                held += len(counts)
-                if held >= most:
-                    yield from spilled()
-                    block.clear()
-                    held = 0
-        yield from spilled()
+                if found:
+                    block.add(lang, source, found)
+                    if not block.waiting or postings < CHUNK and block.waiting >= postings:
+                        block.count()
+                    if not block.waiting and block.full(postings, terms):
+                        yield from block.run(shards, schema)
+                        block = Block()
+        yield from block.run(shards, schema)
 
     return run
 
 
 def _merged(pages):
-    """The postings of one shard in order of (lang, term, source), equal ones added up.
-    ``pages`` come in the order of their first posting: a page is read when the heap's
-    least posting is not before it, so no more pages are held than overlap."""
+    """Per key of one shard, in order: key, occurrences by source, documents. ``pages`` come
+    in the order of their first key: a page is read when the heap's least key is not before
+    it, so no more pages are held than overlap."""
     pages, heap, serial = iter(pages), [], 0
     coming = next(pages, None)
-    last, total, docs = None, 0, 0
     while heap or coming is not None:
         while coming is not None and (not heap or coming[0] <= heap[0][0]):
             cursor = zip(*coming[1], strict=True)
-            lang, term, source, n, d = next(cursor)
+            key, source, n, d = next(cursor)
             serial += 1
-            heapq.heappush(heap, ((lang, term, source), serial, n, d, cursor))
+            heapq.heappush(heap, (key, serial, source, n, d, cursor))
             coming = next(pages, None)
-        key, order, n, d, cursor = heap[0]
-        if key == last:
-            total, docs = total + n, docs + d
-        else:
-            if last is not None:
-                yield last, total, docs
-            last, total, docs = key, n, d
-        following = next(cursor, None)
-        if following is None:
-            heapq.heappop(heap)
-        else:
-            heapq.heapreplace(heap, (following[:3], order, following[3], following[4], cursor))
-    if last is not None:
-        yield last, total, docs
+        key, found, docs = heap[0][0], {}, 0
+        while heap and heap[0][0] == key:
+            _, order, source, n, d, cursor = heap[0]
+            at = key
+            while at == key:
+                found[source] = found.get(source, 0) + n
+                docs += d
+                at, source, n, d = next(cursor, (None, None, 0, 0))
+            if at is None:
+                heapq.heappop(heap)
+            else:
+                heapq.heapreplace(heap, (at, order, source, n, d, cursor))
+        yield key, found, docs
 
 
 def _merge(min_docs: int, schema: pa.Schema):
@@ -128,17 +170,18 @@ def _merge(min_docs: int, schema: pa.Schema):
 
     def pages(batches):
         for batch in batches:
-            shards, firsts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for i, (shard, first) in enumerate(zip(shards, firsts, strict=True)):
-                yield shard, tuple(first[k] for k in _KEY), [batch.column(c)[i].as_py() for c in range(3, 8)]
+            lists = [batch.column(c) for c in range(2, 6)]
+            for i, (shard, first) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                yield shard, first, [c[i].values.to_pylist() for c in lists]
 
     def run(batches):
         rows = []
         for _, shard in groupby(pages(batches), lambda page: page[0]):
-            for (lang, term), same in groupby(_merged(page[1:] for page in shard), lambda p: p[0][:2]):
-                same = list(same)  # one entry per source
-                if sum(d for _, _, d in same) >= min_docs:
-                    rows.append({"lang": lang, "term": term, "sources": [k[2] for k, _, _ in same], "counts": [n for _, n, _ in same]})
+            for key, found, docs in _merged(page[1:] for page in shard):
+                if docs >= min_docs:
+                    lang, term = key.rsplit("\0", 1)
+                    sources = sorted(found)
+                    rows.append({"lang": lang, "term": term, "sources": sources, "counts": [found[s] for s in sources]})
                 if len(rows) == 4096:
                     yield pa.RecordBatch.from_pylist(rows, schema)
                     rows = []
@@ -153,18 +196,10 @@ def frequencies(docs: DataFrame, min_docs: int = MIN_DOCS, block_postings: int =
     counts, one row per term that at least ``min_docs`` documents of the language have."""
     spark = docs.sparkSession
     shards = shards or max(32, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    posting = pa.schema(
-        [
-            ("shard", pa.int32()),
-            ("first", pa.struct([(k, pa.string()) for k in _KEY])),
-            ("run", pa.string()),
-            *[(k, pa.list_(pa.string())) for k in _KEY],
-            ("n", pa.list_(pa.int64())),
-            ("docs", pa.list_(pa.int64())),
-        ]
-    )
-    runs = materialize(docs.select("lang", "source", "text").mapInArrow(_index(shards, block_postings, posting), _RUNS), "term_runs")
-    dealt = runs.repartition(shards, "shard").sortWithinPartitions("shard", "first", "run")
+    strings, longs = pa.list_(pa.string()), pa.list_(pa.int64())
+    page = pa.schema([("shard", pa.int32()), ("first", pa.string()), ("key", strings), ("source", strings), ("n", longs), ("docs", longs)])
+    runs = docs.select("lang", "source", "text").mapInArrow(_index(shards, block_postings, min(BLOCK_TERMS, block_postings), page), _RUNS)
+    dealt = materialize(runs, "term_runs").repartition(shards, "shard").sortWithinPartitions("shard", "first")
     row = pa.schema([("lang", pa.string()), ("term", pa.string()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
     merged = dealt.mapInArrow(_merge(min_docs, row), "lang string, term string, sources array<string>, counts array<long>")
     return materialize(merged, "term_frequencies")
