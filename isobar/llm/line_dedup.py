@@ -2,10 +2,10 @@
 
 A line is the set of its words in lower case. Tokens are ordered by rarity, and two sets of
 Jaccard 0.8 or more share a token among the first few of that order (prefix filter). Sets
-that meet on one are checked by length, by the positions of the shared token and by parity
-bitmaps, whose difference never exceeds that of the sets, then by how many tokens of the
-prefix that ends first they share, and then verified as whole sets. A line with an earlier
-match is removed. DataFrame functions throughout.
+that meet on one are checked by length and by the positions of the shared token. Of the
+prefix that ends first, few tokens may be missing from the other: that is checked on
+bitmaps of the prefixes, then on the prefixes. What is left is verified as whole sets. A
+line with an earlier match is removed. DataFrame functions throughout.
 """
 
 from __future__ import annotations
@@ -64,16 +64,19 @@ def _prefix_size(n: Column) -> Column:
     return n - F.ceil(n * ALIKE[0] / ALIKE[1]).cast("int") + 1
 
 
-def _bitmap(tokens: Column) -> Column:
-    """Parity of how many tokens fall on each of 64 bits. Two bitmaps differ in no more
-    bits than their sets differ in tokens."""
+def _bits(prefix: Column) -> Column:
+    """The 128 bits that a prefix's tokens set, as two longs. What one prefix sets and
+    another doesn't stands for as many tokens that the other lacks."""
     one = F.lit(1).cast("long")
-    flip = lambda acc, t: acc.bitwiseXOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int")))
-    return F.aggregate(tokens, F.lit(0).cast("long"), flip)
+    bit = lambda t: F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))
+    high = lambda t: t.bitwiseAND(F.lit(64)) != 0
+    first = F.aggregate(prefix, F.lit(0).cast("long"), lambda acc, t: F.when(high(t), acc).otherwise(acc.bitwiseOR(bit(t))))
+    second = F.aggregate(prefix, F.lit(0).cast("long"), lambda acc, t: F.when(high(t), acc.bitwiseOR(bit(t))).otherwise(acc))
+    return F.struct(first.alias("low"), second.alias("high"))
 
 
 def _lines(docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
-    """All lines: position, identity of its token set, prefix and bitmap."""
+    """All lines: position, identity of its token set, and prefix."""
     each = docs.select("rank", "text_key", F.posexplode(lines_of("text")).alias("line_no", "line"))
     each = _flat_words(each, "line").select(*_LINE, _tokens(rarity, counters).alias("tokens"))
     return each.select(
@@ -82,7 +85,6 @@ def _lines(docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
         F.xxhash64("tokens").alias("set_a"),
         F.hash("tokens").alias("set_b"),
         F.slice("tokens", F.lit(1), _prefix_size(F.size("tokens"))).alias("prefix"),
-        _bitmap(F.col("tokens")).alias("bitmap"),
     )
 
 
@@ -98,18 +100,21 @@ def _size(side: str) -> Column:
 
 
 def _passes(a: str, b: str) -> Column:
-    """Length, positional and bitmap filters for two sets that meet on a token. ``place``
-    holds the size of a set, the token's position in it, and whether it is settled."""
+    """Length, positional and prefix filters for two sets that meet on a token. ``place``
+    holds the size of a set, the token's position in it, and whether it is settled; ``last``
+    is the last token of its prefix."""
     position = lambda x: F.shiftrightunsigned(F.col(f"{x}.place"), 1).bitwiseAND(F.lit(0x7FFFFFFF))
     n, m = _size(a), _size(b)
     up, down = ALIKE
     in_length = F.least(n, m) * down >= F.greatest(n, m) * up
-    # Of n + m tokens, at least needed / (up + down) * up are shared by a match: some of
-    # those up to the token in either set, and some behind it.
-    most = F.least(position(a), position(b)) + F.least(n - position(a), m - position(b))
-    in_position = most * (up + down) >= (n + m) * up
-    apart = F.bit_count(F.col(f"{a}.bitmap").bitwiseXOR(F.col(f"{b}.bitmap")))
-    return in_length & in_position & (apart * (up + down) <= (n + m) * (down - up))
+    # Of n + m tokens, at least needed / (up + down) * up are shared by a match.
+    ahead = F.least(n - position(a), m - position(b))
+    in_position = ahead * (up + down) >= (n + m) * up
+    lacks = lambda x, y: sum(
+        F.bit_count(F.col(f"{x}.bits.{part}").bitwiseAND(F.bitwise_not(F.col(f"{y}.bits.{part}")))) for part in ("low", "high")
+    )
+    most = F.when(F.col(f"{a}.last") <= F.col(f"{b}.last"), n - lacks(a, b)).otherwise(m - lacks(b, a))
+    return in_length & in_position & (most * (up + down) >= (n + m) * up)
 
 
 def _place(settled: Column) -> Column:
@@ -117,13 +122,18 @@ def _place(settled: Column) -> Column:
     return size.bitwiseOR(position).bitwiseOR(settled.cast("long"))
 
 
-def _enough(shared: Column, n: Column, last_n: Column, m: Column, last_m: Column) -> Column:
-    """Whether sets of n and m tokens whose prefixes share so many may be alike. All tokens of
-    the prefix that ends first (at the lesser last token) lie within the other's prefix or
-    in no place at all, so those not shared are missing from the overlap."""
+def _overlapping(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs whose prefixes share enough tokens. All tokens of the prefix that ends first
+    (at the lesser last token) lie within the other's prefix or nowhere in the other set, so
+    those not shared are missing from the overlap."""
+    side = lambda name, x: known.select(F.col("cid").alias(name), F.col("n").cast("long").alias(f"n_{x}"), F.col("prefix").alias(f"prefix_{x}"))
+    both = pairs.join(side("early", "e"), "early").join(side("late", "l"), "late")
     up, down = ALIKE
-    most = lambda size: size - _prefix_size(size) + shared
-    return F.when(last_n <= last_m, most(n)).otherwise(most(m)) * (up + down) >= (n + m) * up
+    shared = F.size(F.array_intersect("prefix_e", "prefix_l"))
+    most = lambda x: F.col(f"n_{x}") - F.size(f"prefix_{x}") + shared
+    last = lambda x: F.element_at(f"prefix_{x}", -1)
+    most = F.when(last("e") <= last("l"), most("e")).otherwise(most("l"))
+    return both.where(most * (up + down) >= (F.col("n_e") + F.col("n_l")) * up).select("early", "late")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Column, counters: int) -> DataFrame:
@@ -146,38 +156,32 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Colu
 
 
 def _removed(known: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
-    """cids of the first lines that have an earlier match; ``known`` has cid, n, bitmap and
-    prefix of all first lines.
+    """cids of the first lines that have an earlier match; ``known`` has cid, n and prefix
+    of all first lines.
 
     First the earliest line of each group that shares one of the ``HUB_TOKENS`` rarest
     tokens is tested against the others: as many pairs as tokens. Lines that this settles,
     nearly all of a dense group, are only paired as the earlier one from then on."""
-    rare = known.select("cid", "n", "bitmap", F.posexplode(F.slice("prefix", 1, HUB_TOKENS)).alias("i", "token"))
-    me = F.struct("cid", _place(F.lit(0)).alias("place"), "bitmap")
+    marked = known.withColumns({"last": F.element_at("prefix", -1), "bits": _bits(F.col("prefix"))})
+    rare = marked.select("cid", "n", "last", "bits", F.posexplode(F.slice("prefix", 1, HUB_TOKENS)).alias("i", "token"))
+    me = F.struct("cid", _place(F.lit(0)).alias("place"), "last", "bits")
     met = rare.select("token", me.alias("me")).withColumn("hub", F.min("me").over(Window.partitionBy("token")))
     met = met.where((F.col("hub.cid") < F.col("me.cid")) & _passes("hub", "me"))
     met = met.select(F.col("hub.cid").alias("early"), F.col("me.cid").alias("late")).distinct()
-    side = lambda name, x: known.select(F.col("cid").alias(name), F.col("n").cast("long").alias(f"n_{x}"), F.col("prefix").alias(f"prefix_{x}"))
-    met = met.join(side("early", "e"), "early").join(side("late", "l"), "late")
-    shared = F.size(F.array_intersect("prefix_e", "prefix_l"))
-    last = lambda x: F.element_at(f"prefix_{x}", -1)
-    met = met.where(_enough(shared, F.col("n_e"), last("e"), F.col("n_l"), last("l"))).select("early", "late")
-    met = materialize(met, "hub_lines")
+    met = materialize(_overlapping(met, known), "hub_lines")
     settled = _verified(met, docs, firsts, rarity, counters)
     discard(met)
     # One shuffle of the prefixes serves both sides: what holds for one side only, that its
     # line is not settled, is written as a condition on both, and the filter that Spark
     # would infer for one side is on both from the start.
-    flagged = known.where("cid IS NOT NULL").join(settled.withColumn("done", F.lit(1)), "cid", "left").withColumn("done", F.coalesce("done", F.lit(0)))
-    shared = flagged.select("cid", "n", "bitmap", "done", F.element_at("prefix", -1).alias("last"), F.posexplode("prefix").alias("i", "token"))
-    shared = shared.select("token", "cid", _place(F.col("done")).alias("place"), "bitmap", "last")
+    flagged = marked.where("cid IS NOT NULL").join(settled.withColumn("done", F.lit(1)), "cid", "left").withColumn("done", F.coalesce("done", F.lit(0)))
+    shared = flagged.select("cid", "n", "last", "bits", "done", F.posexplode("prefix").alias("i", "token"))
+    shared = shared.select("token", "cid", _place(F.col("done")).alias("place"), "last", "bits")
     late, early = shared.alias("l"), shared.alias("e")
     limit = F.when(F.col("l.place").bitwiseAND(F.lit(1)) == 1, F.lit(-1)).otherwise(F.col("l.cid"))
     meet = (F.col("l.token") == F.col("e.token")) & (F.col("e.cid") < limit) & _passes("e", "l")
-    told = [F.col("e.cid").alias("early"), F.col("l.cid").alias("late"), _size("e").alias("n"), _size("l").alias("m"), F.col("e.last").alias("x"), F.col("l.last").alias("y")]
-    pairs = late.join(early, meet).select(*told).groupBy("early", "late", "n", "m", "x", "y").agg(F.count("*").alias("shared"))
-    pairs = pairs.where(_enough(F.col("shared"), F.col("n"), F.col("x"), F.col("m"), F.col("y"))).select("early", "late")
-    pairs = materialize(pairs, "line_pairs")
+    pairs = late.join(early, meet).select(F.col("e.cid").alias("early"), F.col("l.cid").alias("late")).distinct()
+    pairs = materialize(_overlapping(materialize(pairs, "met_lines"), known), "line_pairs")
     more = _verified(pairs, docs, firsts, rarity, counters)
     discard(pairs)
     return settled.union(more).distinct()
@@ -196,7 +200,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rarity = _rarity(source, counters)
     lines = materialize(_lines(source, rarity, counters), "lines")
     firsts = materialize(_first_lines(lines), "first_lines")
-    known = materialize(lines.join(firsts.select("cid", *_LINE), _LINE).dropDuplicates(_LINE).select("cid", "n", "bitmap", "prefix"), "first_prefixes")
+    known = materialize(lines.join(firsts.select("cid", *_LINE), _LINE).dropDuplicates(_LINE).select("cid", "n", "prefix"), "first_prefixes")
     places = materialize(lines.where("n > 0").select(*_LINE), "line_places")
     discard(lines)
     removed = _removed(known, firsts, source, rarity, counters)
