@@ -17,9 +17,10 @@ from isobar.llm.common import discard, keyed, materialize, one_kind_of_space, sp
 
 #: Jaccard similarity from which on lines match, as a fraction.
 ALIKE = (4, 5)
-#: Counters of the rarity table, which is one byte each and goes to every task. Tokens that
-#: share a counter get the same rarity, which costs candidates but loses none. A power of 2.
-COUNTERS = 1 << 16
+#: Counters of the rarity table, half a byte each, which goes to every task. Tokens that
+#: share a counter get the same rarity, which costs candidates but loses none: corpora with
+#: many more distinct words want more. A power of 2.
+COUNTERS = 1 << 18
 
 _HASH_BITS = 57  # of a token; the six bits before are log2 of its count
 #: Tokens of a line, the rarest ones, by which dense groups are settled first.
@@ -38,22 +39,24 @@ def _flat_words(df: DataFrame, text: str) -> DataFrame:
 
 
 def _rarity(docs: DataFrame, counters: int) -> Column:
-    """log2 of the count of each hash counter, over all words of all texts: an array of
-    ``counters`` small numbers, whatever the input."""
+    """log2 of the count of each hash counter (15 at most), over all words of all texts: an
+    array of ``counters`` / 16 numbers, whatever the input."""
     each = _flat_words(docs.select("text"), "text").select(F.explode(split_words()).alias("word"))
-    counts = each.groupBy(F.xxhash64("word").bitwiseAND(F.lit(counters - 1)).alias("id")).agg(F.floor(F.log2(F.count("*"))).alias("class"))
-    table = [0] * counters
-    for row in counts.collect():  # at most `counters` rows
-        table[row["id"]] = row["class"]
-    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<tinyint>")
+    counts = each.groupBy(F.xxhash64("word").bitwiseAND(F.lit(counters - 1)).alias("id")).agg(F.least(F.floor(F.log2(F.count("*"))), F.lit(15)).alias("class"))
+    packed = counts.groupBy(F.shiftright("id", 4).alias("at")).agg(F.bit_or(F.expr("shiftleft(class, cast(4 * (id & 15) AS int))")).alias("classes"))
+    table = [0] * (counters // 16)
+    for row in packed.collect():  # at most counters / 16 rows
+        table[row["at"]] = row["classes"]
+    return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
 
 
 def _tokens(rarity: Column, counters: int) -> Column:
     """Distinct token hashes of the words of ``_flat``, the rarest first."""
 
     def ordered(h):
-        kind = F.get(rarity, h.bitwiseAND(F.lit(counters - 1)).cast("int"))
-        return F.shiftleft(kind.cast("long"), _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
+        packed = F.get(rarity, F.shiftright(h, 4).bitwiseAND(F.lit(counters // 16 - 1)).cast("int"))
+        kind = F.call_function("shiftrightunsigned", packed, (h.bitwiseAND(F.lit(15)) * 4).cast("int")).bitwiseAND(F.lit(15))
+        return F.shiftleft(kind, _HASH_BITS).bitwiseOR(F.shiftrightunsigned(h, 64 - _HASH_BITS))
 
     hashes = F.transform(split_words(), lambda word: F.xxhash64(word))
     return F.sort_array(F.array_distinct(F.transform(hashes, ordered)))
@@ -123,16 +126,16 @@ def _place(settled: Column) -> Column:
 
 
 def _overlapping(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """The pairs whose prefixes share enough tokens. All tokens of the prefix that ends first
-    (at the lesser last token) lie within the other's prefix or nowhere in the other set, so
-    those not shared are missing from the overlap."""
+    """The pairs whose prefixes share enough tokens. Tokens of either prefix up to the lesser
+    of their last tokens lie within the other's prefix or nowhere in the other set, so those
+    not shared are missing from the overlap."""
     side = lambda name, x: known.select(F.col("cid").alias(name), F.col("n").cast("long").alias(f"n_{x}"), F.col("prefix").alias(f"prefix_{x}"))
     both = pairs.join(side("early", "e"), "early").join(side("late", "l"), "late")
     up, down = ALIKE
-    shared = F.size(F.array_intersect("prefix_e", "prefix_l"))
-    most = lambda x: F.col(f"n_{x}") - F.size(f"prefix_{x}") + shared
-    last = lambda x: F.element_at(f"prefix_{x}", -1)
-    most = F.when(last("e") <= last("l"), most("e")).otherwise(most("l"))
+    last = F.least(F.element_at("prefix_e", -1), F.element_at("prefix_l", -1))
+    seen = lambda x: F.size(F.filter(f"prefix_{x}", lambda t: t <= F.col("end")))
+    both = both.withColumns({"shared": F.size(F.array_intersect("prefix_e", "prefix_l")), "end": last})
+    most = F.least(F.col("n_e") - seen("e"), F.col("n_l") - seen("l")) + F.col("shared")
     return both.where(most * (up + down) >= (F.col("n_e") + F.col("n_l")) * up).select("early", "late")
 
 
