@@ -31,6 +31,7 @@ def flatten_section(
     passthrough: list[str] = PASSTHROUGH,
     body_col: str = "response_body",
     parsed_col: str | None = None,
+    errors_col: str | None = None,
 ) -> DataFrame:
     """One row per element of ``section.time``.
 
@@ -41,8 +42,10 @@ def flatten_section(
       empty ``time`` array contributes no rows; ``index = pos + 1``.
     * N2: ``get(arr, pos)`` is NULL out of range (never ``arr[pos]``, which raises
       under ANSI).
-    * N5: ANSI casts from the token text; a bad token fails the job, so run
-      :func:`split_valid` first for lenient loads.
+    * N5: ANSI casts from the token text; a bad token fails the job, unless
+      ``errors_col`` names a column: then the casts are ``try_cast`` and the column has one
+      (column, token, reason) per bad token of the row, built in the same projection (see
+      :func:`isolate`).
     """
     if parsed_col:
         sec = F.col(parsed_col).getField(section)
@@ -60,12 +63,41 @@ def flatten_section(
     # one projection as SQL text: ``get(arr, pos)`` then an ANSI cast per variable
     cols = [f"`{c}`" for c in passthrough]
     cols.append(f"CAST(_pos + 1 AS INT) AS `{index_name}`")
-    cols.append(f"CAST(_time AS {time_type.simpleString()}) AS `{time_name}`")
-    for key, name, dtype in variables:
-        cols.append(f"CAST(get(_s.`{key}`, _pos) AS {dtype.simpleString()}) AS `{name}`")
+    cast = "TRY_CAST" if errors_col else "CAST"
+    tokens = [("_time", time_name, time_type)] + [(f"get(_s.`{key}`, _pos)", name, dtype) for key, name, dtype in variables]
+    cols += [f"{cast}({token} AS {dtype.simpleString()}) AS `{name}`" for token, name, dtype in tokens]
+    if errors_col:
+        cols.append(f"array_compact(array({', '.join(_error(*t) for t in tokens)})) AS `{errors_col}`")
     return exploded.selectExpr(*cols)
 
 
+def _error(token: str, name: str, dtype: T.DataType) -> str:
+    """NULL, or what is wrong with a token that its column's type can't take."""
+    if isinstance(dtype, T.IntegerType):
+        reason = (
+            f"CASE WHEN TRY_CAST({token} AS DOUBLE) IS NULL THEN 'not_a_number' "
+            f"WHEN abs(TRY_CAST({token} AS DOUBLE)) < 2147483648 THEN 'not_an_integer' ELSE 'out_of_range' END"
+        )
+    elif isinstance(dtype, T.DecimalType):
+        reason = f"CASE WHEN TRY_CAST({token} AS DOUBLE) IS NULL THEN 'not_a_number' ELSE 'out_of_range' END"
+    else:
+        reason = "'bad_time'"
+    bad = f"{token} IS NOT NULL AND TRY_CAST({token} AS {dtype.simpleString()}) IS NULL"
+    return f"CASE WHEN {bad} THEN named_struct('column', '{name}', 'token', {token}, 'reason', {reason}) END"
+
+
+def isolate(checked: DataFrame, lineage: list[str], errors_col: str = "errors") -> tuple[DataFrame, DataFrame]:
+    """(good rows, quarantine) of a flatten with ``errors_col``, in one pass: the rows
+    are written once, partitioned by whether they are good, and either side is read from
+    its own partition. The quarantine has one row per bad token: ``lineage``, column, token
+    and reason. No token ends the job, and a row with one bad token leaves no others behind."""
+    from isobar.session import materialize
+
+    rows = materialize(checked.withColumn("_bad", F.size(errors_col) > 0), "isolated_rows", ("_bad",))
+    bad = rows.where("_bad").select(*lineage, F.explode(errors_col).alias("_e")).select(*lineage, "_e.*")
+    return rows.where("NOT _bad").drop("_bad", errors_col), bad
+
+
 def parse_sections(
     raw: DataFrame,
     sections: dict[str, list],

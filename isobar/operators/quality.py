@@ -1,8 +1,8 @@
 """Declarative data-quality rules (V1-V7).
 
 All row-level rules of one relation (not_null, accepted_range, accepted_values) compile
-to **one** aggregation, a single scan. ``unique`` and ``unique_combination`` need one
-partial-aggregated shuffle each. A failure count follows the test convention: rows
+to **one** aggregation, a single scan. All ``unique`` and ``unique_combination`` rules of
+all relations share one Expand per relation and one partial-aggregated shuffle. A failure count follows the test convention: rows
 returned by the failing query (rows for V1/V3/V4, duplicated key values for V2/V5).
 """
 
@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isobar.session import materialize
+
 
 @dataclass(frozen=True)
 class NotNull:
@@ -88,42 +90,71 @@ class UniqueCombination:
 ROW_RULES = (NotNull, AcceptedRange, AcceptedValues)
 
 
-def _duplicates(df: DataFrame, cols: list[str], skip_nulls: bool) -> DataFrame:
-    g = df.select(*cols)
-    if skip_nulls:
-        g = g.dropna(subset=cols)
-    return g.groupBy(*cols).count().filter(F.col("count") > 1).agg(F.count(F.lit(1)).alias("failures"))
+UNIQUE_RULES = (Unique, UniqueCombination)
 
+REPORT = "relation string, rule string, column string, failures bigint, passed boolean"
 
-def run_rules(df: DataFrame, relation: str, rules: list) -> DataFrame:
-    """Long report ``(relation, rule, column, failures, passed)``, one row per rule."""
-    spark = df.sparkSession
-    parts: list[DataFrame] = []
-    row_rules = [r for r in rules if isinstance(r, ROW_RULES)]
-    if row_rules:
-        counts = df.agg(
-            *[F.sum(F.when(r.failing(), 1).otherwise(0)).alias(f"_r{i}") for i, r in enumerate(row_rules)]
-        )
-        stack = ", ".join(
-            f"'{r.rule}', '{r.column}', coalesce(_r{i}, 0L)" for i, r in enumerate(row_rules)
-        )
-        parts.append(
-            counts.selectExpr(f"stack({len(row_rules)}, {stack}) as (rule, column, failures)")
-        )
-    for r in rules:
-        if isinstance(r, (Unique, UniqueCombination)):
-            d = _duplicates(df, r.columns, skip_nulls=isinstance(r, Unique))
-            parts.append(d.select(F.lit(r.rule).alias("rule"), F.lit(r.column).alias("column"), "failures"))
+
+def _row_failures(df: DataFrame, relation: str, rules: list) -> DataFrame:
+    """(relation, rule, column, failures) of the row rules, one aggregation."""
+    counts = df.agg(*[F.count_if(r.failing()).alias(f"_r{i}") for i, r in enumerate(rules)])
+    stack = ", ".join(f"'{r.rule}', '{r.column}', _r{i}" for i, r in enumerate(rules))
+    out = counts.selectExpr(f"stack({len(rules)}, {stack}) as (rule, column, failures)")
+    return out.select(F.lit(relation).alias("relation"), "rule", "column", "failures")
+
+
+def _keys(df: DataFrame, rules: list, by_value: bool) -> DataFrame:
+    """One row per row of ``df`` and uniqueness rule (one Expand): the rule's place and two
+    hashes of its key, with ``by_value`` also the key as text. V2 ignores NULLs, V5 takes
+    them as values."""
+    entries = []
+    for place, r in rules:
+        key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(r.columns)])
+        held = [F.lit(place).alias("place"), F.xxhash64(key).alias("h"), F.hash(key, F.lit(place)).alias("g")]
+        entry = F.struct(*held, *([F.to_json(key, {"ignoreNullFields": "false"}).alias("key")] if by_value else []))
+        entries.append(F.when(F.col(r.column).isNotNull(), entry) if isinstance(r, Unique) else entry)
+    return df.select(F.explode(F.array(*entries)).alias("x")).where("x IS NOT NULL").select("x.*")
+
+
+def _duplicated(relations: dict[str, DataFrame], named: list[tuple]) -> dict[int, int]:
+    """Failures of the uniqueness rules by place, all relations in one shuffle: keys are
+    counted by their hashes, and only those that occur more than once compared by value."""
+    per_relation = {n: [(i, r) for i, (m, r) in enumerate(named) if m == n] for n in {n for n, _ in named}}
+    union = lambda by_value: reduce(
+        lambda a, b: a.unionByName(b), [_keys(relations[n], rules, by_value) for n, rules in sorted(per_relation.items())]
+    )
+    counted = union(False).groupBy("place", "h", "g").agg(F.count("*").alias("n")).where("n > 1")
+    suspects = materialize(counted.select("place", "h", "g"), "repeated_keys")
+    if suspects.isEmpty():
+        return {}
+    again = union(True).join(suspects, ["place", "h", "g"], "left_semi").groupBy("place", "key").agg(F.count("*").alias("n"))
+    found = again.where("n > 1").groupBy("place").agg(F.count("*").alias("failures"))
+    return {r["place"]: r["failures"] for r in found.collect()}  # one row per rule
+
+
+def quality_report(relations: dict[str, DataFrame], rules: dict[str, list] | None = None) -> DataFrame:
+    """V1-V5 over several relations as one long table, one row per rule: relation, rule,
+    column, failures, passed. Row rules take one scan per relation, all uniqueness rules
+    together one scan per relation and one shuffle."""
+    rules = MART_RULES if rules is None else rules
+    names = [n for n in relations if n in rules]
+    rows = [(n, [r for r in rules[n] if isinstance(r, ROW_RULES)]) for n in names]
+    named = [(n, r) for n in names for r in rules[n] if isinstance(r, UNIQUE_RULES)]
+    parts = [_row_failures(relations[n], n, rs) for n, rs in rows if rs]
+    if named:
+        failures = _duplicated(relations, named)
+        listed = [(n, r.rule, r.column, failures.get(i, 0)) for i, (n, r) in enumerate(named)]
+        spark = next(iter(relations.values())).sparkSession
+        parts.append(spark.createDataFrame(listed, "relation string, rule string, column string, failures bigint"))
     if not parts:
-        return spark.createDataFrame([], "relation string, rule string, column string, failures bigint, passed boolean")
+        return next(iter(relations.values())).sparkSession.createDataFrame([], REPORT)
     out = reduce(lambda a, b: a.unionByName(b), parts)
-    return out.select(
-        F.lit(relation).alias("relation"),
-        "rule",
-        "column",
-        F.col("failures").cast("bigint").alias("failures"),
-        (F.col("failures") == 0).alias("passed"),
-    )
+    return out.withColumns({"failures": F.col("failures").cast("bigint"), "passed": F.col("failures") == 0})
+
+
+def run_rules(df: DataFrame, relation: str, rules: list) -> DataFrame:
+    """``quality_report`` of one relation."""
+    return quality_report({relation: df}, {relation: rules})
 
 
 def load_check_counts(raw: DataFrame, since) -> DataFrame:
@@ -241,8 +272,3 @@ MART_RULES: dict[str, list] = {
     ],
 }
 
-
-def quality_report(relations: dict[str, DataFrame], rules: dict[str, list] = MART_RULES) -> DataFrame:
-    """V1-V5 over several relations as one long table."""
-    parts = [run_rules(df, name, rules[name]) for name, df in relations.items() if name in rules]
-    return reduce(lambda a, b: a.unionByName(b), parts)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from isobar.functions import columns as C
 from isobar.functions.numeric import mean_half_up, scaled_int
 from isobar.plans.models import daily_summary, temperature_anomalies
+from isobar.session import materialize
 
 
 def latest(df: DataFrame, date_col: str = "forecast_date") -> DataFrame:
@@ -56,25 +57,54 @@ def precipitation_by_location(fct_daily: DataFrame) -> DataFrame:
     )
 
 
-def calendar(df: DataFrame, date_col: str = "forecast_date") -> list:
-    """All dates from the first to the last one (one row with two dates reaches the driver;
-    the list is bounded by the time span)."""
-    first, last = df.agg(F.min(date_col), F.max(date_col)).first()
-    return [] if first is None else [first + dt.timedelta(days=k) for k in range((last - first).days + 1)]
+#: Most columns of a heatmap.
+HEATMAP_DAYS = 92
 
 
-def anomaly_heatmap(anomalies: DataFrame, dates: list) -> DataFrame:
-    """rows = location, columns = ``dates`` (given, so no extra job discovers them),
-    value = avg_temp_anomaly_f. The mart is unique on (location, date), so ``max`` only
-    ever sees one value."""
+def anomaly_heatmap(anomalies: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
+    """rows = location, columns = the dates from ``first`` to ``last`` (required, so the
+    width is the caller's and no job discovers it; ``HEATMAP_DAYS`` at most), value =
+    avg_temp_anomaly_f. The mart is unique on (location, date), so ``max`` only ever sees one
+    value. Only the dates of the range are read; a location without any of them has no row.
+    Longer spans: :func:`anomaly_heatmap_months`."""
+    days = (last - first).days + 1
+    if not 1 <= days <= HEATMAP_DAYS:
+        raise ValueError(f"a heatmap has 1 to {HEATMAP_DAYS} days, not {days}")
     return (
-        anomalies.groupBy("location_name")
-        .pivot("forecast_date", dates)
+        anomalies.where(F.col("forecast_date").between(first, last))
+        .groupBy("location_name")
+        .pivot("forecast_date", [first + dt.timedelta(days=k) for k in range(days)])
         .agg(F.max("avg_temp_anomaly_f"))
         .withColumn("location_label", C.title_label("location_name"))
     )
 
 
+def anomaly_heatmap_months(anomalies: DataFrame) -> DataFrame:
+    """R1 for any span: rows = (month, location), columns = the days ``d01`` to ``d31``."""
+    day = F.dayofmonth("forecast_date")
+    cells = [F.max(F.when(day == d, F.col("avg_temp_anomaly_f"))).alias(f"d{d:02d}") for d in range(1, 32)]
+    month = F.trunc("forecast_date", "month").alias("month")
+    return anomalies.groupBy(month, "location_name").agg(*cells).withColumn("location_label", C.title_label("location_name"))
+
+
+def positions(rows: DataFrame, within: str | None = None) -> DataFrame:
+    """O1-O3: the position that each row of a sorted result has, from 1, taken from the
+    output itself: its partitions are ranges in order, so a row's position is its place in
+    the partition plus the rows of the partitions before. ``within`` counts from the first
+    row of each value. A result that isn't sorted gets the positions it really has."""
+    place = F.monotonically_increasing_id()  # partition << 33, plus the place in it
+    told = materialize(rows.select("*", place.alias("_at")), "sorted_rows").withColumn("_part", F.shiftright("_at", 33))
+    sizes = told.groupBy("_part").agg(F.count("*").alias("_n"))  # one row per partition
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    position = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    out = told.join(F.broadcast(offsets), "_part").withColumn("position", position).drop("_part", "_at", "_before")
+    if within:
+        first = out.groupBy(F.col(within).alias("_w")).agg(F.min("position").alias("_first"))
+        out = out.join(first, F.col(within).eqNullSafe(F.col("_w"))).withColumn("position", F.col("position") - F.col("_first") + 1).drop("_w", "_first")
+    return out
+
+
 def ordered_locations(df: DataFrame, order: list[str], name_col: str = "location_name") -> DataFrame:
     """Keep rows whose name is in ``order`` and number them by that order."""
     pos = F.array_position(F.array(*[F.lit(x) for x in order]), F.col(name_col))
@@ -154,6 +184,6 @@ def freshness(raw: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "hourly_trend", "precipitation_by_location", "anomaly_heatmap", "ordered_locations",
-    "anomaly_bars", "calendar", "kpi_cards", "latest", "location_series", "sorted_bars", "sorted_series", "mart_preview", "freshness",
+    "hourly_trend", "precipitation_by_location", "anomaly_heatmap", "anomaly_heatmap_months", "positions", "ordered_locations",
+    "anomaly_bars", "kpi_cards", "latest", "location_series", "sorted_bars", "sorted_series", "mart_preview", "freshness",
 ]

@@ -17,7 +17,7 @@ from isobar.functions import columns as C
 from isobar.functions.numeric import mean_half_up, round_ratio, round_ratio_sql, scaled_int, scaled_sql
 from isobar.operators.dedupe import first_in_order, latest_per_key, order_keys
 from isobar.operators.enrich import attach_locations
-from isobar.operators.flatten import flatten_section, parse_sections
+from isobar.operators.flatten import flatten_section, isolate, parse_sections
 from isobar.operators.windows import rolling_mean_3, with_group_means
 from isobar.schemas import DAILY_VARIABLES, DATE, HOURLY_VARIABLES, TS_LOCAL
 
@@ -25,16 +25,29 @@ LOCATION_KEY = ["latitude", "longitude"]
 
 
 # --------------------------------------------------------------------------- staging
-def stg_hourly(raw: DataFrame, parsed_col: str | None = None) -> DataFrame:
+def stg_hourly(raw: DataFrame, parsed_col: str | None = None, errors_col: str | None = None) -> DataFrame:
     """One row per hourly array position (``hour_index`` 1-based); no dedupe."""
     return flatten_section(
-        raw, "hourly", HOURLY_VARIABLES, "hour_index", "observation_hour", TS_LOCAL, parsed_col=parsed_col
+        raw, "hourly", HOURLY_VARIABLES, "hour_index", "observation_hour", TS_LOCAL, parsed_col=parsed_col, errors_col=errors_col
     )
 
 
-def stg_daily(raw: DataFrame, parsed_col: str | None = None) -> DataFrame:
+def stg_daily(raw: DataFrame, parsed_col: str | None = None, errors_col: str | None = None) -> DataFrame:
     """One row per daily array position (``day_index`` 1-based); no dedupe."""
-    return flatten_section(raw, "daily", DAILY_VARIABLES, "day_index", "forecast_date", DATE, parsed_col=parsed_col)
+    return flatten_section(
+        raw, "daily", DAILY_VARIABLES, "day_index", "forecast_date", DATE, parsed_col=parsed_col, errors_col=errors_col
+    )
+
+
+def isolated_staging(raw: DataFrame, parsed_col: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(hourly rows, daily rows, quarantine): both flattens without the rows that have a
+    token their columns can't take. The quarantine names section, position, column, token
+    and reason of each such token."""
+    lineage = ["forecast_id", "load_id"]
+    hourly, bad_h = isolate(stg_hourly(raw, parsed_col, "errors"), [*lineage, "hour_index"])
+    daily, bad_d = isolate(stg_daily(raw, parsed_col, "errors"), [*lineage, "day_index"])
+    named = lambda bad, section, index: bad.select(*lineage, F.lit(section).alias("section"), F.col(index).alias("position"), "column", "token", "reason")
+    return hourly, daily, named(bad_h, "hourly", "hour_index").unionByName(named(bad_d, "daily", "day_index"))
 
 
 def parse_documents(raw: DataFrame) -> DataFrame:
@@ -351,8 +364,8 @@ def sorted_summary(summary: DataFrame) -> DataFrame:
 
 
 def sorted_anomalies(anomalies: DataFrame) -> DataFrame:
-    """O2: date, then anomaly descending with NULLs first."""
-    return anomalies.orderBy("forecast_date", F.desc_nulls_first("avg_temp_anomaly_f"))
+    """O2: date, then anomaly descending with NULLs first; names break ties."""
+    return anomalies.orderBy("forecast_date", F.desc_nulls_first("avg_temp_anomaly_f"), "location_name")
 
 
 __all__ = [

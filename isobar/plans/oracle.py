@@ -503,6 +503,25 @@ SELECT reason, count(*) AS documents FROM (
         "WHERE forecast_date IN (SELECT DISTINCT CAST(CAST(ts AS DATE) + CAST(j AS INTEGER) AS DATE) "
         "FROM events CROSS JOIN range(2) AS r(j) WHERE CAST(ts AS DATE) >= DATE '2024-01-20')"
     )
+    q["incremental_refresh_hourly"] = q["fct_hourly"]
+    bad_h = "(e % 53 = 1 OR e % 59 = 2 OR e % 61 = 3 OR e % 67 = 4)"
+    q["flatten_isolated"] = f"""{with_(EV, STG_H)} SELECT {STG_H_COLS}
+FROM stg_h WHERE NOT (hour_index = 1 AND {bad_h.replace("e %", "forecast_id %")})"""
+    q["value_quarantine"] = f"""
+WITH ev AS (SELECT event_id AS e FROM events),
+v AS (SELECT * FROM (VALUES ('hourly', 'temperature_2m_f', 'not_a_number', 53, 1), ('hourly', 'cloud_cover_pct', 'out_of_range', 59, 2),
+      ('hourly', 'observation_hour', 'bad_time', 61, 3), ('hourly', 'wind_direction_deg', 'not_an_integer', 67, 4),
+      ('daily', 'uv_index_max', 'out_of_range', 71, 5), ('daily', 'sunrise_ts', 'bad_time', 73, 6)) t(section, "column", reason, m, r))
+SELECT section, "column", reason, count(*) AS "values" FROM v JOIN ev ON e % m = r GROUP BY ALL
+UNION ALL SELECT 'hourly', '', 'good', 3 * count(*) - count(*) FILTER ({bad_h}) FROM ev
+UNION ALL SELECT 'daily', '', 'good', 2 * count(*) - count(*) FILTER (e % 71 = 5) - count(*) FILTER (e % 73 = 6) FROM ev"""
+    q["landing_ingest"] = """
+WITH f AS (SELECT s_suppkey AS k, CAST(DATE '2024-01-01' + CAST(s_suppkey % 28 AS INTEGER) AS DATE) AS d FROM supplier)
+SELECT CASE WHEN k % 11 = 0 THEN 'report_' || k || '.json'
+            ELSE 'weather_' || CASE WHEN k % 13 = 0 THEN 'nowhere_' || k ELSE 'customer_' || lpad(CAST(k AS VARCHAR), 9, '0') END || '_' || d || '.json' END AS file_name,
+       CASE WHEN k % 11 = 0 THEN 'bad_file_name' WHEN k % 13 = 0 OR c_custkey IS NULL THEN 'unknown_location'
+            WHEN k % 17 = 0 THEN 'not_json' ELSE 'raw' END AS outcome, CAST(1 AS BIGINT) AS times
+FROM f LEFT JOIN customer ON c_custkey = k"""
     q["load_check"] = f"""
 SELECT count(*) AS rows_since, count(DISTINCT (latitude, longitude)) AS locations_since,
        count(*) >= 7 AND count(DISTINCT (latitude, longitude)) >= 7 AS passed
@@ -535,6 +554,8 @@ FROM (SELECT ts, {RUN_LATITUDE} AS latitude,
         f"{num('lo_c', 2)} AS temperature_min_f FROM enr_d)")
     hourly += _rules_sql("fct_hourly_weather", f"({FCT_H_SELECT})")
     q["dq_report_hourly"] = f"{with_(EV, LOC, STG_H, DED_H, ENR_H, STG_D, DED_D, ENR_D)} {_report(hourly)}"
+    run = with_(EV, LOC, STG_D, DED_D, ENR_D, FCT_D, SUMMARY, ANOM, STG_H, DED_H, ENR_H)
+    q["gated_run"] = f"{run} SELECT *, false AS run_passed, CAST(0 AS BIGINT) AS published FROM ({_report(selects + hourly)})"
     q["dq_unique_combo"] = _report(_rules_sql("lineitem", "lineitem"))
 
     q["hourly_trend"] = f"""{with_(*HOURLY_CHAIN)}
@@ -571,6 +592,11 @@ SELECT *, {_title('location_name')} AS location_label FROM (
   PIVOT ({with_(*DAILY_CHAIN, ANOM)} SELECT location_name, forecast_date, avg_temp_anomaly_f FROM anomalies)
   ON forecast_date IN ({days}) USING max(avg_temp_anomaly_f) GROUP BY location_name
 )"""
+    cells = ", ".join(f"max(avg_temp_anomaly_f) FILTER (day(forecast_date) = {d}) AS d{d:02d}" for d in range(1, 32))
+    q["heatmap_months"] = (
+        f"{with_(*DAILY_CHAIN, ANOM)} SELECT CAST(date_trunc('month', forecast_date) AS DATE) AS month, location_name, {cells}, "
+        f"{_title('location_name')} AS location_label FROM anomalies GROUP BY ALL"
+    )
     q["sorted_summary"] = (
         f"{with_(*DAILY_CHAIN, SUMMARY)} SELECT forecast_date, CAST(location_count AS BIGINT) AS location_count, "
         "row_number() OVER (ORDER BY forecast_date) AS position FROM summary"

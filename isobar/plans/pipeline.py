@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from isobar.operators import quality as Q
 from isobar.plans import models as M
-from isobar.session import materialize
+from isobar.session import materialize, path_exists
 from isobar.sources.files import write_mart
 from isobar.sources.raw import read_raw
 
@@ -29,8 +29,7 @@ def build_relations(raw: DataFrame, locations: DataFrame) -> dict[str, DataFrame
     """Every relation that has data tests, the marts among them. Each document is parsed
     once, and each relation that several others or several rules read is written once."""
     parsed = materialize(M.parse_documents(raw), "parsed_documents")
-    stg_h = materialize(M.stg_hourly(parsed, "_doc"), "stg_hourly")
-    stg_d = materialize(M.stg_daily(parsed, "_doc"), "stg_daily")
+    stg_h, stg_d, quarantine = M.isolated_staging(parsed, "_doc")
     int_h = materialize(M.int_hourly(stg_h, locations), "int_hourly")
     int_d = materialize(M.int_daily(stg_d, locations), "int_daily")
     daily = materialize(M.fct_daily(int_d), "fct_daily")
@@ -45,9 +44,15 @@ def build_relations(raw: DataFrame, locations: DataFrame) -> dict[str, DataFrame
         "fct_daily_weather": daily,
         "daily_temperature_summary": materialize(M.daily_summary_hash(daily), "summary"),
         "temperature_anomalies": materialize(M.temperature_anomalies(daily), "anomalies"),
+        "value_quarantine": quarantine,
     }
 
 
+def published_marts(spark: SparkSession, out_dir: str) -> list[str]:
+    """The marts that a run has published at ``out_dir``."""
+    return [name for name in LAYOUT if path_exists(spark, f"{out_dir}/{name}")]
+
+
 def run_pipeline(
     spark: SparkSession,
     raw_path: str,
@@ -59,7 +64,8 @@ def run_pipeline(
     """Run one build. Raises ``LoadCheckError`` before any transform if the load is short.
 
     Returns ``(passed, report)`` where ``report`` is the long V1-V5 table over all
-    relations, one row per rule. It is written whether the run passes or not; the marts are
+    relations, one row per rule. It is written whether the run passes or not, and so is the
+    quarantine of tokens that no column takes, whose rows are in no mart; the marts are
     written only if it passes.
     """
     raw = read_raw(spark, raw_path)
@@ -67,6 +73,7 @@ def run_pipeline(
     relations = build_relations(raw, locations)
     report = materialize(Q.quality_report(relations), "quality_report")
     write_mart(report, f"{out_dir}/_quality_report")
+    write_mart(relations["value_quarantine"], f"{out_dir}/_quality_quarantine")
     passed = report.filter(~F.col("passed")).isEmpty()
     if passed:
         for name, (date, order) in LAYOUT.items():

@@ -12,7 +12,7 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,10 +22,12 @@ from isobar.operators import quality as Q
 from isobar.operators.flatten import document_reason, regular_axis
 from isobar.plans import bi
 from isobar.plans import models as M
+from isobar.plans.pipeline import published_marts, run_pipeline
 from isobar.session import materialize, run_folder
 from isobar.sources import driver_tables as D
 from isobar.sources.files import read_locations_csv, read_mart, write_mart
-from isobar.streaming.ingest import rebuild_daily
+from isobar.sources.raw import append_raw, read_raw
+from isobar.streaming.ingest import ingest_landing, rebuild_daily, refresh_hourly_mart
 
 # Fixed parameters of the registered queries.
 LOAD_CHECK_SINCE = dt.datetime(2024, 1, 15, tzinfo=dt.timezone.utc)
@@ -34,6 +36,8 @@ REDELIVERY_ID_OFFSET = 10**12
 ONE_LOCATION = "customer_000000011"
 DISPLAYED = ["customer_000000013", "customer_000000001", "customer_000000011"]
 REFRESH_SINCE = dt.datetime(2024, 1, 20, tzinfo=dt.timezone.utc)
+HEATMAP_RANGE = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
+FAILING_BATCH = 1
 
 
 # Integer outputs that hold NULLs (ragged arrays): pandas shows them as float on one
@@ -271,6 +275,80 @@ def q_incremental_refresh(spark, sf):
     return oracle_types(rebuild_daily(staged, is_new, _loc(spark, sf)))
 
 
+def q_incremental_refresh_hourly(spark, sf):
+    """The hourly fact of the runs before ``REFRESH_SINCE``, published as a mart and
+    refreshed by the later runs: as a whole it equals a full build. Runs hold three hours,
+    so the hours of a location have gaps."""
+    raw, loc = _raw(spark, sf), _loc(spark, sf)
+    staged = M.stg_hourly(raw).withColumn("observation_date", F.to_date("observation_hour"))
+    staged = materialize(staged, "stg_hourly", ("observation_date",))
+    is_new = F.col("ingested_at") >= F.lit(REFRESH_SINCE)
+    path = f"{run_folder(spark)}/mart-{uuid.uuid4().hex}"
+    before = M.fct_hourly(M.int_hourly(staged.where(~is_new).drop("observation_date"), loc))
+    write_mart(before, path, ["observation_date"], ["location_name", "observation_hour"])
+    refresh_hourly_mart(staged, is_new, loc, path)
+    return oracle_types(spark.read.parquet(path).select(*before.columns))
+
+
+def q_landing_ingest(spark, sf):
+    """S1 + X1 + S2 + S9: one landing file per supplier, ingested in several batches, one of
+    which fails after it was written and is taken again: every file is in the raw table or,
+    with its reason, in the quarantine, once."""
+    folder = f"{run_folder(spark)}/landing-{uuid.uuid4().hex}"
+    files = D.landing_files(D.table(spark, sf, "supplier"))
+    files.write.partitionBy("landing").text(f"{folder}/files")
+    n = files.count()
+    failed = []
+
+    def fail_once(batch_id: int) -> None:
+        if batch_id == FAILING_BATCH and not failed:
+            failed.append(batch_id)
+            raise RuntimeError("the batch was written, but not committed")
+
+    def run():
+        return ingest_landing(
+            spark, f"{folder}/files", _loc(spark, sf), f"{folder}/raw", f"{folder}/checkpoint", f"{folder}/quarantine",
+            max_files_per_batch=n // 3 + 1, after_batch=fail_once,
+        )
+
+    try:
+        run()
+    except Exception:
+        if not failed:
+            raise
+    run()  # takes up where the failed run stopped
+    raw = read_raw(spark, f"{folder}/raw").select(F.regexp_extract("source_url", r"([^/]+)$", 1).alias("file_name"), F.lit("raw").alias("outcome"))
+    bad = spark.read.parquet(f"{folder}/quarantine").select("file_name", F.col("reason").alias("outcome"))
+    return oracle_types(raw.unionByName(bad).groupBy("file_name", "outcome").agg(F.count("*").alias("times")))
+
+
+def q_value_quarantine(spark, sf):
+    """Rows with a token that its column can't take go to the quarantine with column and
+    reason; the good rows of either section are counted beside."""
+    hourly, daily, bad = M.isolated_staging(D.with_bad_values(_raw(spark, sf)))
+    counts = bad.groupBy("section", "column", "reason").agg(F.count("*").alias("values"))
+    good = lambda rows, section: rows.agg(F.count("*").alias("values")).select(
+        F.lit(section).alias("section"), F.lit("").alias("column"), F.lit("good").alias("reason"), "values"
+    )
+    return oracle_types(counts.unionByName(good(hourly, "hourly")).unionByName(good(daily, "daily")))
+
+
+def q_flatten_isolated(spark, sf):
+    """N1-N6 + S9: the hourly rows that have no bad token, with all columns."""
+    return oracle_types(M.isolated_staging(D.with_bad_values(_raw(spark, sf)))[0])
+
+
+def q_gated_run(spark, sf):
+    """V7: a whole gated run over the landed documents. Its report has all 78 rules; as some
+    fail on these inputs, no mart may be published (``published`` counts their files)."""
+    out = f"{run_folder(spark)}/run-{uuid.uuid4().hex}"
+    raw_path = f"{out}/raw"
+    append_raw(_raw(spark, sf), raw_path)
+    passed, report = run_pipeline(spark, raw_path, materialize(_loc(spark, sf), "locations"), f"{out}/marts", LOAD_CHECK_SINCE, EXPECTED_LOCATIONS)
+    published = published_marts(spark, f"{out}/marts")
+    return oracle_types(report.withColumns({"run_passed": F.lit(passed), "published": F.lit(len(published))}))
+
+
 # ------------------------------------------------------------------------ checks (V*)
 def q_load_check(spark, sf):
     """Rows and distinct locations since a date, with the verdict."""
@@ -287,7 +365,7 @@ def q_freshness(spark, sf):
 def q_dq_report(spark, sf):
     """V1-V5: the reference's rule set over the raw table, dimension and daily marts."""
     raw, loc = _raw(spark, sf), _loc(spark, sf)
-    fd = _fct_daily_shared(spark, sf)
+    fd = materialize(_fct_daily(spark, sf), "fct_daily")
     rel = {
         "raw_forecast": raw,
         "locations": loc,
@@ -349,42 +427,41 @@ def q_latest_kpis(spark, sf):
 
 
 def q_heatmap_pivot(spark, sf):
-    """Location x date pivot over all dates from the first to the last one."""
+    """Location x date pivot over a range of dates."""
     fd = _fct_daily_shared(spark, sf)
-    out = bi.anomaly_heatmap(M.temperature_anomalies(fd), bi.calendar(fd))
+    out = bi.anomaly_heatmap(M.temperature_anomalies(fd), *HEATMAP_RANGE)
     renamed = out.select(*[F.col(f"`{c}`").alias(str(c)) for c in out.columns])
     return oracle_types(renamed)
 
 
-def _numbered(rows: DataFrame, within: str, *order) -> DataFrame:
-    """The order of a sorted result as a column: the position within ``within``, which
-    holds one row per location or per hour."""
-    return rows.withColumn("position", F.row_number().over(Window.partitionBy(within).orderBy(*order)))
+def q_heatmap_months(spark, sf):
+    """R1 in bounded width: (month, location) x day of the month, over all dates."""
+    return oracle_types(bi.anomaly_heatmap_months(M.temperature_anomalies(_fct_daily_shared(spark, sf))))
 
 
 def q_sorted_summary(spark, sf):
-    """O1: the summary by date. Positions count the earlier dates, one row each."""
+    """O1: the summary by date, with the positions of the sorted output."""
     s = M.sorted_summary(M.daily_summary_hash(_fct_daily_shared(spark, sf))).select("forecast_date", "location_count")
-    return oracle_types(_numbered(s.withColumn("all", F.lit(1)), "all", "forecast_date").drop("all"))
+    return oracle_types(bi.positions(s))
 
 
 def q_sorted_anomalies(spark, sf):
     """O2: date, then anomaly descending with NULLs first; names break ties."""
     a = M.sorted_anomalies(M.temperature_anomalies(_fct_daily_shared(spark, sf)))
     a = a.select("forecast_date", "location_name", "avg_temp_anomaly_f")
-    return oracle_types(_numbered(a, "forecast_date", F.desc_nulls_first("avg_temp_anomaly_f"), "location_name"))
+    return oracle_types(bi.positions(a, "forecast_date"))
 
 
 def q_sorted_bars(spark, sf):
     """O3: the latest date's bars, ascending."""
     b = bi.sorted_bars(bi.anomaly_bars(_fct_daily_shared(spark, sf))).select("forecast_date", "location_name", "avg_temp_anomaly_f")
-    return oracle_types(_numbered(b, "forecast_date", "avg_temp_anomaly_f", "location_name"))
+    return oracle_types(bi.positions(b))
 
 
 def q_location_series(spark, sf):
     """P10 + O3: one location's hours in order."""
     rows = bi.location_series(M.enrich_hourly(M.stg_hourly(_raw(spark, sf)), _loc(spark, sf)), ONE_LOCATION)
-    return oracle_types(_numbered(rows.withColumn("all", F.lit(1)), "all", "observation_hour").drop("all"))
+    return oracle_types(bi.positions(rows))
 
 
 def q_display_order(spark, sf):
@@ -446,6 +523,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "temperature_anomalies": q_temperature_anomalies,
     "append_idempotent": q_append_idempotent,
     "incremental_refresh": q_incremental_refresh,
+    "incremental_refresh_hourly": q_incremental_refresh_hourly,
+    "landing_ingest": q_landing_ingest,
+    "value_quarantine": q_value_quarantine,
+    "flatten_isolated": q_flatten_isolated,
+    "gated_run": q_gated_run,
     "load_check": q_load_check,
     "freshness": q_freshness,
     "dq_report": q_dq_report,
@@ -456,6 +538,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "anomaly_bars": q_anomaly_bars,
     "latest_kpis": q_latest_kpis,
     "heatmap_pivot": q_heatmap_pivot,
+    "heatmap_months": q_heatmap_months,
     "sorted_summary": q_sorted_summary,
     "sorted_anomalies": q_sorted_anomalies,
     "sorted_bars": q_sorted_bars,

@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 #: Lets Spark delete the shuffle files of a finished SQL execution at once.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Checkpoint folders of local applications that name none.
+_private: dict[str, str] = {}
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, app: str = "isobar") -> SparkSession:
     """A session with AQE, UTC session zone and no web UI.
@@ -47,20 +50,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
-        d = tempfile.mkdtemp(prefix="isobar-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        # one private folder per application; the key itself can't be set on a session
+        d = _private.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="isobar-ckpt-")
+        _private[spark.sparkContext.applicationId] = d
     return d
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = file_system(spark, path)
+    return fs.exists(jpath)
+
+
 def run_folder(spark: SparkSession) -> str:
     """This application's own folder below the checkpoint folder, deleted at its end."""
     path = f"{checkpoint_dir(spark)}/isobar-{spark.sparkContext.applicationId}"
-    fs, jpath = _file_system(spark, path)
+    fs, jpath = file_system(spark, path)
     if not fs.exists(jpath):
         fs.mkdirs(jpath)
         fs.deleteOnExit(jpath)
@@ -70,7 +79,7 @@ def run_folder(spark: SparkSession) -> str:
 def release(spark: SparkSession) -> None:
     """Delete all that ``materialize`` has written for this application so far. Results
     that still read those tables must have been written or collected before."""
-    fs, jpath = _file_system(spark, run_folder(spark))
+    fs, jpath = file_system(spark, run_folder(spark))
     fs.delete(jpath, True)
 
 
@@ -101,5 +110,5 @@ def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
 
 def discard(table: DataFrame) -> None:
     """Delete a table that ``materialize`` returned, once nothing reads it any more."""
-    fs, jpath = _file_system(table.sparkSession, table.written_to)
+    fs, jpath = file_system(table.sparkSession, table.written_to)
     fs.delete(jpath, True)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from isobar.functions.columns import ntz_epoch_micros
 from isobar.functions.numeric import cents, int_div, to_decimal
-from isobar.session import run_folder
+from isobar.session import path_exists, run_folder
 from isobar.sources.raw import append_raw, read_raw
 
 # Fixed values for the derived inputs.
@@ -188,6 +188,42 @@ def forecast_documents(events: DataFrame) -> DataFrame:
     )
 
 
+def with_bad_values(raw: DataFrame) -> DataFrame:
+    """The documents with tokens in some that no column takes, by ``forecast_id`` modulo: 53
+    text for a number, 59 an integer beyond 32 bits, 61 a time that doesn't exist, 67 a
+    fraction for an integer, 71 a decimal beyond its range, 73 text for a time."""
+    swaps = [
+        (53, 1, r'"temperature_2m":\[[^,]*', '"temperature_2m":["abc"'),
+        (59, 2, r'"cloud_cover":\[[^,]*', '"cloud_cover":[99999999999'),
+        (61, 3, r'"hourly":\{"time":\["[^"]*"', '"hourly":{"time":["2024-13-45T99:00"'),
+        (67, 4, r'"wind_direction_10m":\[[^,]*', '"wind_direction_10m":[12.5'),
+        (71, 5, r'"uv_index_max":\[([^,]*),[^\]]*', '"uv_index_max":[$1,1e20'),
+        (73, 6, r'"sunrise":\["[^"]*"', '"sunrise":["soon"'),
+    ]
+    body = F.col("response_body")
+    for modulus, rest, found, put in swaps:
+        body = F.when(F.col("forecast_id") % modulus == rest, F.regexp_replace(body, found, put)).otherwise(body)
+    return raw.withColumn("response_body", body)
+
+
+def landing_files(supplier: DataFrame) -> DataFrame:
+    """One landing file per supplier (``landing`` its name, ``value`` its text), for the
+    location of the customer with the supplier's key: every 11th has a bad name, every 13th
+    an unknown location, every 17th no JSON."""
+    k = F.col("s_suppkey")
+    place = F.when(k % 13 == 0, F.format_string("nowhere_%d", k)).otherwise(F.format_string("customer_%09d", k))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (k % 28).cast("int")).cast("string")
+    name = F.concat(F.lit("weather_"), place, F.lit("_"), day, F.lit(".json"))
+    body = F.concat(
+        F.lit('{"hourly":{"time":["'), day, F.lit('T00:00"],"temperature_2m":['), (k % 100).cast("string"), F.lit("]},"),
+        F.lit('"daily":{"time":["'), day, F.lit('"],"temperature_2m_max":['), (k % 100).cast("string"), F.lit("]}}"),
+    )
+    return supplier.select(
+        F.when(k % 11 == 0, F.format_string("report_%d.json", k)).otherwise(name).alias("landing"),
+        F.when(k % 17 == 0, F.lit("no json {")).otherwise(body).alias("value"),
+    )
+
+
 def locations_from_customers(customer: DataFrame) -> DataFrame:
     """``LOCATION_SCHEMA`` rows: one per customer."""
     lat, lon = coordinates(F.col("c_custkey"))
@@ -210,7 +246,7 @@ def raw_forecasts(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Da
     (S3) by every model. Nothing is reused across applications. ``refresh`` lands a fresh
     copy, for callers that change the events in between."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if refresh or key not in _landed:
+    if refresh or key not in _landed or not path_exists(spark, _landed[key]):  # it may have been released
         out = f"{run_folder(spark)}/raw_forecast-{uuid.uuid4().hex}"
         append_raw(raw_forecasts_unlanded(spark, sf_dir), out)
         _landed[key] = out

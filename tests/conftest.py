@@ -1,6 +1,5 @@
 import datetime as dt
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -23,8 +22,6 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="isobar-test-ckpt-"))
     yield s
 
 
