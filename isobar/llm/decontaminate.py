@@ -1,12 +1,15 @@
 """Benchmark decontamination by item-sized windows.
 
-Windows as long as a benchmark item slide over a document. A window can only reach the
-similarity if enough of its shingles occur in the item, so windows are built only where
-they do; this loses none. Each is verified against the items it was built for by the exact
-weighted similarity of their shingles, a shingle's weight being its occurrences.
-
-Fingerprints (64-bit SimHash) decide nothing: at a similarity of 0.8 some lie beyond any
-small radius. They only state the distance of what is found. DataFrame functions throughout.
+Windows as long as a benchmark item slide over a document; they are built only where enough
+of an item's shingles occur, and windows of the same shingles once. Each gets a fingerprint
+(64-bit SimHash). The items' fingerprints lie in a multi-index: cut into one block more than
+the radius has bits, two fingerprints within the radius agree in a whole block, so that the
+join on blocks finds all of them. Candidates are verified by the exact weighted similarity
+of their shingles, a shingle's weight being its occurrences.
+
+At a similarity of 0.8 some fingerprints lie beyond any small radius. Windows are therefore
+verified against the items whose shingles they were built for as well, at any distance:
+``found_by`` says which way found a pair. DataFrame functions throughout.
 """
 
 from __future__ import annotations
@@ -17,7 +20,8 @@ from pyspark.sql import functions as F
 from isobar.llm.common import LAST_ID, keyed, materialize, one_kind_of_space, pick, split_words
 
 SHINGLE = 5
-#: Radius and blocks of a multi-index over fingerprints. The search does not depend on them.
+#: Radius of the multi-index and its blocks, one of which any two fingerprints within the
+#: radius have in common.
 RADIUS = 15
 BLOCKS = RADIUS + 1
 BLOCK_BITS = 64 // BLOCKS
@@ -69,10 +73,23 @@ def simhash(values: Column) -> Column:
     return bits[0]
 
 
-def _tagged(ordered: Column) -> Column:
-    """A multiset, given as a column of sorted values, as a set: each value with the number
-    of its occurrence."""
-    return F.transform(ordered, lambda x, i: F.xxhash64(x, i - F.array_position(ordered, x)))
+def blocks(fingerprint: Column) -> Column:
+    """(block number, its value) of a fingerprint."""
+    value = lambda i: F.shiftrightunsigned(fingerprint, i * BLOCK_BITS).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
+    return F.array(*[F.struct(F.lit(i).alias("block"), value(i).alias("value")) for i in range(BLOCKS)])
+
+
+def _tagged(df: DataFrame, ordered: str, out: str) -> DataFrame:
+    """A multiset, given as a column of sorted values, as a set ``out``: each value with the
+    numbers of its occurrences, run by run."""
+    starts, n = f"_starts_{out}", F.size(ordered)
+    new = lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))
+    df = df.withColumn(starts, F.filter(F.sequence(F.lit(0), n - 1), new))
+    runs = F.transform(
+        starts,
+        lambda s, j: F.transform(F.sequence(F.lit(0), F.coalesce(F.get(starts, j + 1), n) - s - 1), lambda k: F.xxhash64(F.get(ordered, s), k)),
+    )
+    return df.withColumn(out, F.flatten(runs)).drop(starts)
 
 
 def _needed(m: Column, of_window: Column) -> Column:
@@ -82,11 +99,12 @@ def _needed(m: Column, of_window: Column) -> Column:
 
 
 def benchmark_items(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """item_id, item_key, values (sorted shingle hashes), m (their number), fingerprint."""
+    """item_id, item_key, values (sorted shingle hashes), tagged (as a set), m (their number),
+    fingerprint."""
     items = pick(benchmark, item_id=id_col, text=text_col).select("item_id", F.coalesce("text", F.lit("")).alias("text")).distinct()
     items = with_hashes(items.select("item_id", F.xxhash64("item_id", "text").alias("item_key"), "text"))
     items = items.select("item_id", "item_key", F.sort_array(shingles(F.col("h"))).alias("values"))
-    items = items.where(F.size("values") > 0).withColumn("m", F.size("values"))
+    items = _tagged(items.where(F.size("values") > 0), "values", "tagged").withColumn("m", F.size("values"))
     return items.withColumn("fingerprint", simhash(F.col("values")))
 
 
@@ -101,23 +119,33 @@ def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     hits = hits.groupBy("rank", "text_key", "item_key", "m", "n").agg(F.sort_array(F.collect_set("at")).alias("p"))
     hits = hits.withColumn("size", F.least("m", "n")).withColumn("need", _needed(F.col("m"), F.col("size"))).where(F.size("p") >= F.col("need"))
     last = lambda i: F.get("p", i + F.col("need") - 1)  # noqa: E731  of `need` hits from the i-th on
-    starts = F.flatten(
-        F.transform(
-            F.filter(F.sequence(F.lit(0), F.size("p") - F.col("need")), lambda i: last(i) - F.get("p", i) < F.col("size")),
-            lambda i: F.sequence(F.greatest(F.lit(0), last(i) - F.col("size") + 1), F.least(F.get("p", i), F.col("n") - F.col("size"))),
-        )
-    )
-    spots = hits.select("rank", "text_key", "item_key", "m", "size", F.explode(F.array_distinct(starts)).alias("start"))
+    final = lambda i: F.least(F.get("p", i), F.col("n") - F.col("size"))
+    # Windows that hold `need` hits from the i-th on start from `low` to `final`. Both grow
+    # with i, so what the hit before covers is left out and every start comes once.
+    low = lambda i: F.greatest(F.lit(0), last(i) - F.col("size") + 1, F.when(i > 0, final(i - 1) + 1).otherwise(0))
+    ranges = F.transform(F.sequence(F.lit(0), F.size("p") - F.col("need")), lambda i: F.struct(low(i).alias("low"), final(i).alias("high")))
+    ranges = hits.select("rank", "text_key", "item_key", "m", "size", F.explode(F.filter(ranges, lambda r: r["low"] <= r["high"])).alias("r"))
+    spots = ranges.select("rank", "text_key", "item_key", "m", "size", F.explode(F.sequence("r.low", "r.high")).alias("start"))
     spots = spots.groupBy("rank", "text_key", "start", "m", "size").agg(F.collect_set("item_key").alias("item_keys"))
     return spots.groupBy("rank", "text_key").agg(F.collect_list(F.struct("start", "m", "size", "item_keys")).alias("windows"))
 
 
+def indexed(windows: DataFrame, items: DataFrame) -> DataFrame:
+    """The pairs of ``windows`` (m, print and others) and items of as many shingles whose
+    fingerprints are within the radius: all of them, through the blocks of the multi-index."""
+    index = items.select("item_key", "m", "fingerprint", F.explode(blocks(F.col("fingerprint"))).alias("b")).select("item_key", "m", "fingerprint", "b.*")
+    asked = windows.withColumn("b", F.explode(blocks(F.col("print")))).select(*windows.columns, "b.*")
+    met = asked.join(index, ["m", "block", "value"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("fingerprint"))) <= RADIUS)
+    return met.drop("block", "value", "fingerprint")
+
+
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
     """One row per document and benchmark item found in it: rank and text_key of the
     document, doc_id, item_id, similarity, start and n_words of the best window (the first
-    of equally good ones), distance of the fingerprints.
+    of equally good ones), distance of the fingerprints, found_by (``index`` within the
+    radius, else ``shingles``). Other columns of any names are ignored.
 
     Words are lower-cased. A window has as many words as the item, or the whole document if
     that is shorter. Windows and items under five words have no shingle and match nothing,
@@ -131,13 +159,18 @@ def find_leaks(
     met = source.join(windows, ["rank", "text_key"]).dropDuplicates(["rank", "text_key"]).select("rank", "text_key", "windows", "text")
     met = with_hashes(met).withColumn("all", shingles(F.col("h"))).select("rank", "text_key", F.explode("windows").alias("w"), "all")
     seen = F.sort_array(F.slice("all", F.col("w.start") + 1, F.col("w.size")))
-    met = materialize(met.select("rank", "text_key", "w.*", seen.alias("seen")), "window_shingles")
-    each = met.select("rank", "text_key", "start", "size", "seen", F.explode("item_keys").alias("item_key"))
-    near = each.join(items, "item_key")
-    both = F.size(F.array_intersect(_tagged(F.col("seen")), _tagged(F.col("values"))))
-    alike = near.withColumn("both", both).withColumn("either", F.col("m") + F.col("size") - F.col("both"))
+    met = met.select("rank", "text_key", "w.*", seen.alias("seen"))
+    # of windows with the same shingles the first one stands for all
+    met = met.groupBy("rank", "text_key", "m", "size", "seen").agg(F.min("start").alias("start"), F.array_distinct(F.flatten(F.collect_set("item_keys"))).alias("item_keys"))
+    met = materialize(met.withColumn("print", simhash(F.col("seen"))), "window_prints")
+    window = ["rank", "text_key", "start", "m", "size"]
+    ways = [indexed(met, items).select(*window, "item_key"), met.select(*window, F.explode("item_keys").alias("item_key"))]
+    pairs = ways[0].unionByName(ways[1]).distinct()
+    near = pairs.join(met.select(*window, "seen", "print"), window).join(items.drop("m"), "item_key")
+    both = F.size(F.array_intersect("seen_tagged", "tagged"))
+    alike = _tagged(near, "seen", "seen_tagged").withColumn("both", both).withColumn("either", F.col("m") + F.col("size") - F.col("both"))
     alike = alike.where(F.col("both") * ALIKE[1] >= F.col("either") * ALIKE[0])
-    alike = alike.withColumn("distance", F.bit_count(simhash(F.col("seen")).bitwiseXOR(F.col("fingerprint"))))
+    alike = alike.withColumn("distance", F.bit_count(F.col("print").bitwiseXOR(F.col("fingerprint"))))
     best = alike.groupBy("rank", "text_key", "item_key").agg(
         F.max(F.struct((F.col("both") / F.col("either")).alias("similarity"), (-F.col("start")).alias("first"), "size", "distance", "item_id")).alias("x")
     )
@@ -150,6 +183,7 @@ def find_leaks(
         (-F.col("x.first")).cast("long").alias("start"),
         (F.col("x.size") + SHINGLE - 1).cast("long").alias("n_words"),
         F.col("x.distance").alias("distance"),
+        F.when(F.col("x.distance") <= RADIUS, "index").otherwise("shingles").alias("found_by"),
     )
 
 

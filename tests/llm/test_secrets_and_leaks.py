@@ -111,7 +111,15 @@ def test_leaks_at_the_threshold_are_found_at_any_distance_of_fingerprints(spark)
         docs.append((i, " ".join([*words[:20], "changed", words[21]])))
     found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
     assert sorted((r["doc_id"], r["item_id"], r["similarity"]) for r in found) == [(i, i, 0.8) for i in range(300)]
-    assert any(r["distance"] > decontaminate.RADIUS for r in found)
+    assert {r["found_by"] for r in found} == {"index", "shingles"} and all((r["distance"] <= decontaminate.RADIUS) == (r["found_by"] == "index") for r in found)
+
+
+def test_ties_go_to_the_first_window_and_repetitive_texts_are_linear(spark):
+    item = prose(11, 30)
+    docs = [(1, prose(12, 40) + " " + item + " " + prose(13, 9) + " " + item), (2, "same " * 20_000), (3, "x y z " * 3_000)]
+    items = [(1, item), (2, "same " * 1_500), (3, "x y z " * 40)]
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["similarity"], r["start"]) for r in found) == [(1, 1, 1.0, 40), (2, 2, 1.0, 0), (3, 3, 1.0, 0)]
 
 
 def test_leaks_in_odd_and_empty_tables(spark, odd_docs, no_docs):
@@ -122,21 +130,25 @@ def test_leaks_in_odd_and_empty_tables(spark, odd_docs, no_docs):
 
 
 def test_simhash_of_more_values_than_16_bits_count(spark):
-    df = spark.range(140_000).selectExpr("collect_list(xxhash64(id % 50000)) AS few", "collect_list(-1L) AS same").withColumn("none", F.array_repeat(F.lit(1 << 40), 70_000))
+    # arrays from columns: one of literals would be folded into the plan, value by value
+    df = spark.range(140_000).selectExpr("collect_list(xxhash64(id % 50000)) AS few", "collect_list(id * 0 - 1) AS same", "collect_list(id * 0 + 1099511627776) AS none")
     row = df.select("few", *[decontaminate.simhash(F.col(c)).alias(f"{c}_print") for c in ("few", "same", "none")]).first()
     counts = [sum(x >> b & 1 for x in row["few"]) for b in range(64)]
     assert row["few_print"] & (1 << 64) - 1 == sum(1 << b for b in range(64) if counts[b] * 2 > 140_000)
     assert (row["same_print"], row["none_print"]) == (-1, 1 << 40)
 
 
-def test_multi_index_finds_all_fingerprints_within_the_radius():
+def test_multi_index_finds_all_fingerprints_within_the_radius(spark):
     rng = random.Random(2)
-    bits = decontaminate.BLOCK_BITS
-    assert decontaminate.BLOCKS * bits == 64
-    for _ in range(200):
-        one = rng.getrandbits(64)
-        two = one
-        for place in rng.sample(range(64), decontaminate.RADIUS):
-            two ^= 1 << place
-        blocks = lambda x: [(b, x >> b * bits & (1 << bits) - 1) for b in range(decontaminate.BLOCKS)]
-        assert set(blocks(one)) & set(blocks(two))
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    prints, queries = [rng.getrandbits(64) for _ in range(60)], []
+    for i, one in enumerate(prints):
+        for apart in (0, 1, decontaminate.RADIUS - 1, decontaminate.RADIUS, decontaminate.RADIUS + 1, 24):
+            two = one
+            for place in rng.sample(range(64), apart):
+                two ^= 1 << place
+            queries.append((len(queries), 3 + i % 2, signed(two)))
+    items = spark.createDataFrame([(i, 3 + i % 2, signed(x)) for i, x in enumerate(prints)], "item_key long, m int, fingerprint long")
+    got = decontaminate.indexed(spark.createDataFrame(queries, "id long, m int, print long"), items).select("id", "item_key").distinct().collect()
+    want = {(q, i) for q, m, two in queries for i, one in enumerate(prints) if m == 3 + i % 2 and ((two ^ signed(one)) & (1 << 64) - 1).bit_count() <= decontaminate.RADIUS}
+    assert {tuple(r) for r in got} == want and len(want) >= 240
