@@ -4,7 +4,8 @@ Windows of 13 words are compared by hash, but not all of them are hashed into a
 Anchors are the 7-word hashes at positions 0, 1 and 3 modulo 7. For any two positions there
 is a shift below 7 that brings both onto such positions (a perfect difference cover), so
 two equal windows always share an anchor at the same offset. Only windows around anchors
-that occur in more than one document are extended to 13 words and compared.
+that occur in more than one document are extended to 13 words and compared: by a 64-bit hash
+that brings equal windows together, and by 32 bits of a second, independent one.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ COVER = (0, 1, 3)  # each difference modulo 7 is a difference of two of these
 ANCHOR = WINDOW - PERIOD + 1
 
 _ASK = "h long, rank long, text_key long, pos int, known boolean"
+_ASK_TWICE = f"{_ASK}, g int"
 
 
 def _positions(first: np.ndarray) -> np.ndarray:
@@ -32,15 +34,15 @@ def _positions(first: np.ndarray) -> np.ndarray:
     return np.arange(first[-1]) - np.repeat(first[:-1], np.diff(first))
 
 
-def _asks(h, rank, key, pos, least_only):
-    """Rows that ask the shuffle about a hash. Within a batch one row per hash does, that
+def _asks(h, g, rank, key, pos, least_only):
+    """Rows that ask the shuffle about a hash (and ``g``, a second one). Within a batch one row per hash does, that
     of the smallest document; what the batch itself knows about the others rides along
     under a spread key, so a frequent hash sends one row per batch.
 
     ``least_only``: a smaller document settles a row, else any other document does."""
-    order = np.lexsort((rank, h))
-    h, rank, key, pos = h[order], rank[order], key[order], pos[order]
-    starts = np.flatnonzero(np.r_[True, h[1:] != h[:-1]]) if len(h) else np.empty(0, np.int64)
+    order = np.lexsort((rank, g, h))
+    h, g, rank, key, pos = h[order], g[order], rank[order], key[order], pos[order]
+    starts = np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (g[1:] != g[:-1])]) if len(h) else np.empty(0, np.int64)
     sizes = np.diff(np.r_[starts, len(h)])
     least, most = np.repeat(rank[starts], sizes), np.repeat(rank[starts + sizes - 1], sizes)
     known = rank > least if least_only else least != most
@@ -52,10 +54,11 @@ def _asks(h, rank, key, pos, least_only):
         pa.array(np.concatenate([h[asking].view(np.int64), spread[known]])),
         *[pa.array(np.concatenate([x[asking], x[known]])) for x in (rank, key, pos)],
         pa.array(np.concatenate([np.zeros(asking.sum(), bool), np.ones(known.sum(), bool)])),
+        pa.array(np.concatenate([g[asking], g[known]])),
     ]
 
 
-_ASK_NAMES = ["h", "rank", "text_key", "pos", "known"]
+_ASK_NAMES = ["h", "rank", "text_key", "pos", "known", "g"]
 
 
 def _per_word(batch, counts):
@@ -71,14 +74,16 @@ def _anchors(batches):
         pos = _positions(found.first)
         at = np.flatnonzero(whole & np.isin(pos % PERIOD, COVER))
         rank, key = _per_word(batch, found.counts)
-        yield pa.RecordBatch.from_arrays(_asks(grams[at], rank[at], key[at], pos[at].astype(np.int32), False), _ASK_NAMES)
+        yield pa.RecordBatch.from_arrays(_asks(grams[at], np.zeros(len(at), np.int32), rank[at], key[at], pos[at].astype(np.int32), False)[:5], _ASK_NAMES[:5])
 
 
 def _windows(batches):
     """(rank, text_key, text, anchors) to one row per asked or known window."""
     for batch in wordhash.small_batches(batches, "text", 16 << 20):
         found = wordhash.split(batch.column("text"))
-        grams, whole = wordhash.ngrams(found.hashes(), found.first, WINDOW)
+        hashes = found.hashes()
+        grams, whole = wordhash.ngrams(hashes, found.first, WINDOW)
+        checks = wordhash.ngrams(hashes, found.first, WINDOW, salt=1)[0].astype(np.uint32).view(np.int32)
         anchors = batch.column("anchors")
         marks = np.zeros(len(grams) + 1, dtype=np.int64)
         places = anchors.flatten().to_numpy() + np.repeat(found.first[:-1], anchors.value_lengths().to_numpy())
@@ -88,7 +93,7 @@ def _windows(batches):
         at = np.flatnonzero(whole & (np.cumsum(marks[:-1]) > 0))
         rank, key = _per_word(batch, found.counts)
         pos = _positions(found.first)
-        yield pa.RecordBatch.from_arrays(_asks(grams[at], rank[at], key[at], pos[at].astype(np.int32), True), _ASK_NAMES)
+        yield pa.RecordBatch.from_arrays(_asks(grams[at], checks[at], rank[at], key[at], pos[at].astype(np.int32), True), _ASK_NAMES)
 
 
 def _cut(batches):
@@ -126,15 +131,16 @@ def cut_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     document with a smaller doc_id; windows are judged on the input. Repeats within a
     document and texts under 13 words stay. A null text has no words, a null doc_id comes
     after all others, rows that share a doc_id do not remove each other's words. An empty
-    table gives no rows. Texts of any length are read whole."""
+    table gives no rows, other columns of any names are ignored. Texts of any length are read
+    whole."""
     docs = keyed(docs, id_col, text_col)
     same_hash = Window.partitionBy("h")
     asked = docs.select("rank", "text_key", "text").mapInArrow(_anchors, _ASK)
     several = (F.min("rank").over(same_hash) < F.max("rank").over(same_hash)).alias("several")
     shared = asked.select("rank", "text_key", "pos", "known", several).where("known OR several")
     anchors = materialize(_places(shared, "anchors"), "anchors")
-    asked = docs.join(anchors, ["rank", "text_key"]).select("rank", "text_key", "text", "anchors").mapInArrow(_windows, _ASK)
-    earlier = (F.min("rank").over(same_hash) < F.col("rank")).alias("earlier")
+    asked = docs.join(anchors, ["rank", "text_key"]).select("rank", "text_key", "text", "anchors").mapInArrow(_windows, _ASK_TWICE)
+    earlier = (F.min("rank").over(Window.partitionBy("h", "g")) < F.col("rank")).alias("earlier")
     covered = asked.select("rank", "text_key", "pos", "known", earlier).where("known OR earlier")
     windows = materialize(_places(covered, "windows"), "windows")
     return (

@@ -7,31 +7,21 @@ bits; the seeds are fixed, so every executor gives the same value for the same w
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 
-_CHUNK = 1 << 20  # bytes hashed at a time: bounds the memory, whatever the text's length
 _RNG = np.random.Generator(np.random.PCG64(20240607))
-_BYTES = _RNG.integers(1, 2**64, size=256, dtype=np.uint64)
-_LOWER = _BYTES.copy()
-_LOWER[ord("A") : ord("Z") + 1] = _BYTES[ord("a") : ord("z") + 1]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_SEED, _LENGTH = (np.uint64(x) for x in _RNG.integers(0, 2**63, size=2, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
 _STEPS = _RNG.integers(0, 2**63, size=64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 2**64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
-_powers: dict[int, np.ndarray] = {}
-
-
-def _power(base: int, n: int) -> np.ndarray:
-    """``base ** i`` modulo 2**64 for i below ``n``."""
-    if base not in _powers or len(_powers[base]) < n:
-        steps = np.full(max(n, _CHUNK), base, dtype=np.uint64)
-        steps[0] = 1
-        _powers[base] = np.cumprod(steps)
-    return _powers[base][:n]
+#: Words of more bytes are hashed one by one; the others eight bytes at a time, all at once.
+_LONG = 128
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -59,19 +49,25 @@ class Words:
         return np.diff(self.first)
 
     def hashes(self, lower: bool = False) -> np.ndarray:
-        """One 64-bit hash per word; ``lower`` folds A-Z only."""
-        table, n = (_LOWER if lower else _BYTES), len(self.start)
-        out = np.empty(n, dtype=np.uint64)
-        i = 0
-        while i < n:
-            j = max(i + 1, int(np.searchsorted(self.end, self.start[i] + _CHUNK, side="right")))
-            a, b = int(self.start[i]), int(self.end[j - 1])
-            sums = np.zeros(b - a + 1, dtype=np.uint64)
-            np.cumsum(table[self.data[a:b]] * _power(_BASE, b - a), out=sums[1:])
-            at = self.start[i:j] - a
-            out[i:j] = (sums[self.end[i:j] - a] - sums[at]) * _power(_BASE_INV, b - a)[at]
-            i = j
-        return mix(out)
+        """One 64-bit hash per word; ``lower`` folds A-Z only. Blocks of eight bytes are mixed
+        into the hash one after the other, each through the finaliser, so that no algebra of
+        the texts carries over to the hashes."""
+        data = _LOWER[self.data] if lower else self.data
+        size = self.end - self.start
+        out = mix(size.astype(np.uint64) * _LENGTH ^ _SEED)
+        eight = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, np.uint8)]), 8)
+        words, at = np.flatnonzero(size <= _LONG), 0
+        while len(words):
+            block = np.ascontiguousarray(eight[self.start[words] + at]).view("<u8").ravel()
+            left = np.minimum(size[words] - at, 8).astype(np.uint64)
+            block &= np.uint64(2**64 - 1) >> (np.uint64(8) * (np.uint64(8) - left))
+            out[words] = mix(out[words] ^ block * _STEPS[at // 8])
+            at += 8
+            words = words[size[words] > at]
+        for i in np.flatnonzero(size > _LONG):
+            digest = hashlib.blake2b(data[self.start[i] : self.end[i]].tobytes(), digest_size=8).digest()
+            out[i] = int.from_bytes(digest, "little")
+        return out
 
     def text(self, i: int) -> bytes:
         return self.data[self.start[i] : self.end[i]].tobytes()
@@ -97,13 +93,16 @@ def split(texts: pa.Array) -> Words:
     return Words(data, start, np.flatnonzero(ends) + 1, np.searchsorted(start, bounds), bounds)
 
 
-def ngrams(hashes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+def ngrams(hashes: np.ndarray, first: np.ndarray, n: int, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the ``n`` words from each position on, and whether all of them are words
-    of the same text (``hashes`` and ``first`` as in ``Words``)."""
+    of the same text (``hashes`` and ``first`` as in ``Words``). Another ``salt`` gives
+    hashes that are independent of the first ones."""
     size = len(hashes)
     grams = np.zeros(size, dtype=np.uint64)
     whole = np.zeros(size, dtype=bool)
     if size >= n:
+        if salt:
+            hashes = mix(hashes ^ np.uint64(salt) * _SEED)
         grams[: size - n + 1] = sum((hashes[k : size - n + 1 + k] * _STEPS[k] for k in range(n)), np.uint64(0))
         left = np.repeat(first[1:], np.diff(first)) - np.arange(size)
         whole = left >= n

@@ -137,3 +137,20 @@ def test_odd_rows(odd_docs):
 def test_empty_tables(no_docs):
     for operator in (exact_dedup, near_dedup.near_dedup, substring_dedup.removed_words, line_dedup.line_digests):
         assert operator(no_docs).collect() == []
+
+
+def thue_morse(n: int, first: str, other: str) -> str:
+    out = first
+    while len(out) < n:
+        out += "".join(other if c == first else first for c in out)
+    return out[:n]
+
+
+@pytest.mark.parametrize("n", [64, 1024, 4096])
+def test_words_that_collide_in_linear_hashes_stay_apart(spark, n):
+    x, y = thue_morse(n, "a", "b"), thue_morse(n, "b", "a")
+    start = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{start} {x}"), (2, f"{start} {y}"), (3, x), (4, y), (5, x.upper()), (6, f"{start} {x} tail")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert by_id(substring_dedup.removed_words(df), "n_words", "n_removed", "kept_sha256") == substring_dedup.brute_force(rows)
+    assert by_id(near_dedup.near_dedup(df), "n_shingles", "component_id", "kept") == near_dedup.brute_force(rows)
