@@ -2,12 +2,13 @@
 
 Misra-Gries finds the digests that may hold many rows. Their winners are verified by a
 partial aggregation, at most one row per digest and task moves, and broadcast: rows of
-heavy digests never shuffle. All other digests, none of them large, shuffle once.
+heavy digests never shuffle. All other digests are aggregated before a shuffle and joined with
+their winners by one that Spark may split.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm.common import documents, materialize, one_space
@@ -28,12 +29,8 @@ def winners_of(rows: DataFrame, counters: int = 1024) -> DataFrame:
         .agg(F.min(order).alias("best"), F.count("*").alias("group_size"))
     )
     of_heavy = keyed.join(F.broadcast(heavy), "key", "left_semi").join(F.broadcast(best), "digest")
-    group = Window.partitionBy("digest")
-    of_rest = (
-        keyed.join(F.broadcast(heavy), "key", "left_anti")
-        .withColumn("best", F.min(order).over(group))
-        .withColumn("group_size", F.count("*").over(group))
-    )
+    rest = keyed.join(F.broadcast(heavy), "key", "left_anti")
+    of_rest = rest.join(rest.groupBy("digest").agg(F.min(order).alias("best"), F.count("*").alias("group_size")), "digest")
     return of_heavy.unionByName(of_rest).select(
         *rows.columns, F.col("best.doc_id").alias("keep_id"), F.col("best.rid").alias("keep_rid"), "group_size"
     )

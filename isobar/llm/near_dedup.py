@@ -20,6 +20,7 @@ from isobar.llm import wordhash
 from isobar.llm.common import LAST_ID, keyed, materialize
 from isobar.llm.components import components
 from isobar.llm.exact_dedup import winners_of
+from isobar.llm.heavy import join_by_key
 
 SHINGLE = 5
 BANDS, ROWS = 32, 4
@@ -239,8 +240,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         labels = materialize(components(edges), "components")
     members = signed.select("rid", "rank", "text_key", "n_shingles").join(classes, "rid", "left").join(labels, "node", "left")
     members = members.withColumn("group", F.coalesce("label", "node", "rid"))
+    members = materialize(members, "group_members")
     best = members.groupBy("group").agg(F.min(F.struct("rank", "rid")).alias("best"))
-    return members.join(best, "group").select(
+    return join_by_key(members, best, "group").select(
         "rank", "text_key", "rid", "n_shingles", F.col("best.rank").alias("component"), (F.col("rid") == F.col("best.rid")).alias("kept")
     )
 
