@@ -51,7 +51,7 @@ def join_by_key(rows: DataFrame, values: DataFrame, key: str, k: int = 1024) ->
     """``rows`` joined with ``values``, which has one row per value of ``key`` (long, without
     nulls). The values of heavy keys, ``k`` at most, are broadcast, so that their rows don't
     move; all others meet by a shuffle. ``rows`` is read several times: pass a written table."""
-    heavy = F.broadcast(materialize(heavy_keys(rows, key, k), "heavy_keys"))
+    heavy = F.broadcast(materialize(heavy_keys(rows, key, k).withColumnRenamed("key", key), "heavy_keys"))
     hot = rows.join(heavy, key, "left_semi").join(F.broadcast(values.join(heavy, key, "left_semi")), key)
     rest = rows.join(heavy, key, "left_anti").join(values.join(heavy, key, "left_anti"), key)
     return hot.unionByName(rest)
