@@ -115,7 +115,7 @@ def _secrets_sql() -> str:
                                string_split_regex(t, {quoted}) AS gaps FROM d))"""
 
     def near(parts: str) -> str:
-        return f"EXISTS (SELECT 1 FROM f o WHERE o.doc_id = f.doc_id AND o.kind IN ({parts}) AND abs(o.s - f.s) <= 256)"
+        return f"EXISTS (SELECT 1 FROM f o WHERE o.doc_id = f.doc_id AND o.kind IN ({parts}) AND f.s - o.e <= 256 AND o.s - f.e <= 256)"
 
     identifier, secret = "'access', 'weak_id'", "'assign', 'hex', 'weak_secret'"
     return f"""

@@ -2,7 +2,7 @@
 
 Strong patterns are reported wherever they match. Weak parts (identifiers, random-looking
 strings, endpoints) are noise on their own; an interval join reports them only where
-complementary parts of a credential start within one scope of each other.
+complementary parts of a credential lie within one scope of each other.
 All of it is DataFrame code: match positions come from the lengths of a text's matches and
 of the pieces between them.
 """
@@ -31,7 +31,7 @@ STRONG = KINDS[:3]
 PARTS = {"identifier": ["access", "weak_id"], "secret": ["assign", "hex", "weak_secret"]}
 #: A weak kind is reported if each of these parts starts within its scope.
 NEEDS = {"weak_id": ["secret"], "weak_secret": ["identifier"], "endpoint": ["identifier", "secret"]}
-#: Code points between the starts of parts that belong together.
+#: Code points that may lie between two parts of a credential.
 SCOPE = 256
 
 
@@ -98,23 +98,25 @@ def _outside_strong(found: DataFrame) -> DataFrame:
 
 
 def link_parts(found: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """The weak matches that have all the parts they need within ``scope``.
+    """The weak matches that have all the parts they need within ``scope``: no more than so
+    many code points lie between the two.
 
-    An interval join: a part lies in its own stretch of ``scope`` code points and the two
-    beside it, weak matches meet the parts of their own stretch. It is a semi-join, so no
-    pairs are made, and a stretch holds no more starts than code points."""
-    stretch = F.floor(F.col("start") / scope)
+    An interval join over stretches of ``scope`` code points: a weak match lies in those that
+    it touches, a part in those within reach of it, and two that are near meet in one. It is
+    a semi-join, so no pairs are made; a match has stretches in proportion to its length."""
+    reach = lambda low, high: F.explode(F.sequence(F.floor(low / scope), F.floor(high / scope)))
     out = None
     for kind, needs in NEEDS.items():
-        weak = found.where(F.col("kind") == kind).withColumn("stretch", stretch)
+        weak = found.where(F.col("kind") == kind)
         for part in needs:
             other = found.where(F.col("kind").isin(PARTS[part])).select(
-                F.col("rank").alias("r"), F.col("text_key").alias("k"), F.col("start").alias("at"),
-                F.explode(F.array(stretch - 1, stretch, stretch + 1)).alias("s"),
+                F.col("rank").alias("r"), F.col("text_key").alias("k"), F.col("start").alias("from"), F.col("end").alias("to"),
+                reach(F.col("start") - scope, F.col("end") + scope).alias("s"),
             )
+            asked = weak.withColumn("stretch", reach(F.col("start"), F.col("end")))
             same = (F.col("rank") == F.col("r")) & (F.col("text_key") == F.col("k")) & (F.col("stretch") == F.col("s"))
-            weak = weak.join(other, same & (F.abs(F.col("start") - F.col("at")) <= scope), "left_semi")
-        weak = weak.drop("stretch")
+            near = (F.col("start") - F.col("to") <= scope) & (F.col("from") - F.col("end") <= scope)
+            weak = asked.join(other, same & near, "left_semi").drop("stretch").distinct()
         out = weak if out is None else out.unionByName(weak)
     return out
 
@@ -123,8 +125,9 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: doc_id and ``found``, its spans as an array of struct<start,
     place (of the kind in KINDS), kind, end>, sorted, strong ones and linked weak ones.
 
-    A null text is empty; repeated rows get the same spans; an empty table gives no rows.
-    Whole texts are searched, whatever their length."""
+    A null text is empty, rows with a null id are searched too, repeated rows get the same
+    spans, an empty table gives no rows, other columns of any names are ignored. Whole texts
+    are searched, whatever their length."""
     source = keyed(docs, id_col, text_col)
     parts = materialize(_outside_strong(spans(source)), "secret_parts")
     reported = parts.where(F.col("kind").isin(STRONG)).unionByName(link_parts(parts, scope))

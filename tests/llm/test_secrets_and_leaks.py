@@ -51,9 +51,16 @@ def test_weak_parts_need_their_complements(spark):
         (4, f"user: alice {far} {weak}"),
         (5, "user: alice at https://db.example.net"),
         (6, "user: alice, password: abcdefgh99"),
+        (7, f"{weak * 15} user: alice"),  # the gap counts, not how far apart the two begin
+        (8, f"user: alice {weak * 15}"),
+        (9, f"user: alice {'.' * 255}{weak}"),
+        (10, f"user: alice {'.' * 256}{weak}"),
+        (11, f"user: alice {weak * 200} user: bob"),
     ]
     got = {r["doc_id"]: [s.split(":")[0] for s in r["spans"].split(",") if s] for r in secret_scan.secret_digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: [], 2: ["weak_id", "weak_secret", "endpoint"], 3: ["access", "weak_secret"], 4: [], 5: [], 6: ["weak_id", "assign"]}
+    assert got == {1: [], 2: ["weak_id", "weak_secret", "endpoint"], 3: ["access", "weak_secret"], 4: [], 5: [], 6: ["weak_id", "assign"]} | {
+        7: ["weak_secret", "weak_id"], 8: ["weak_id", "weak_secret"], 9: ["weak_id", "weak_secret"], 10: [], 11: ["weak_id", "weak_secret", "weak_id"]
+    }
 
 
 def test_odd_and_empty_tables(spark, odd_docs, no_docs):
