@@ -17,9 +17,10 @@ from isobar.functions import columns as C
 from isobar.functions.numeric import mean_half_up, round_ratio, round_ratio_sql, scaled_int, scaled_sql
 from isobar.operators.dedupe import first_in_order, latest_per_key, order_keys
 from isobar.operators.enrich import attach_locations
-from isobar.operators.flatten import flatten_section, isolate, parse_sections
+from isobar.operators.flatten import flatten_section, isolate, parse_sections, typed_sections
 from isobar.operators.windows import rolling_mean_3, with_group_means
 from isobar.schemas import DAILY_VARIABLES, DATE, HOURLY_VARIABLES, TS_LOCAL
+from isobar.sources.raw import TYPED
 
 LOCATION_KEY = ["latitude", "longitude"]
 
@@ -39,13 +40,34 @@ def stg_daily(raw: DataFrame, parsed_col: str | None = None, errors_col: str | N
     )
 
 
+def stg_hourly_typed(raw: DataFrame, errors_col: str | None = None) -> DataFrame:
+    """N6 over a typed landing table: the rows of :func:`stg_hourly`, without parsing any
+    document but those that have no VARIANT."""
+    return _stg_typed(stg_hourly, "hourly", HOURLY_VARIABLES, raw, errors_col)
+
+
+def stg_daily_typed(raw: DataFrame, errors_col: str | None = None) -> DataFrame:
+    """N7 over a typed landing table, like :func:`stg_hourly_typed`."""
+    return _stg_typed(stg_daily, "daily", DAILY_VARIABLES, raw, errors_col)
+
+
+def _stg_typed(stage, section: str, variables, raw: DataFrame, errors_col: str | None) -> DataFrame:
+    # a partition filter on either side: where all documents are typed, no text is read
+    typed = stage(typed_sections(raw.where(TYPED), {section: variables}), "_doc", errors_col)
+    return typed.unionByName(stage(raw.where(f"NOT {TYPED}"), None, errors_col))
+
+
 def isolated_staging(raw: DataFrame, parsed_col: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(hourly rows, daily rows, quarantine): both flattens without the rows that have a
     token their columns can't take. The quarantine names section, position, column, token
-    and reason of each such token."""
+    and reason of each such token. A typed landing table is read as such."""
     lineage = ["forecast_id", "load_id"]
-    hourly, bad_h = isolate(stg_hourly(raw, parsed_col, "errors"), [*lineage, "hour_index"])
-    daily, bad_d = isolate(stg_daily(raw, parsed_col, "errors"), [*lineage, "day_index"])
+    if TYPED in raw.columns:
+        staged_h, staged_d = stg_hourly_typed(raw, "errors"), stg_daily_typed(raw, "errors")
+    else:
+        staged_h, staged_d = stg_hourly(raw, parsed_col, "errors"), stg_daily(raw, parsed_col, "errors")
+    hourly, bad_h = isolate(staged_h, [*lineage, "hour_index"])
+    daily, bad_d = isolate(staged_d, [*lineage, "day_index"])
     named = lambda bad, section, index: bad.select(*lineage, F.lit(section).alias("section"), F.col(index).alias("position"), "column", "token", "reason")
     return hourly, daily, named(bad_h, "hourly", "hour_index").unionByName(named(bad_d, "daily", "day_index"))
 
@@ -369,6 +391,6 @@ def sorted_anomalies(anomalies: DataFrame) -> DataFrame:
 
 
 __all__ = [
-    "stg_hourly", "stg_daily", "dedupe_hourly", "dedupe_daily", "enrich_hourly", "int_hourly", "int_daily",
+    "stg_hourly", "stg_daily", "stg_hourly_typed", "stg_daily_typed", "dedupe_hourly", "dedupe_daily", "enrich_hourly", "int_hourly", "int_daily",
     "fct_hourly", "fct_daily", "daily_summary", "daily_summary_hash", "temperature_anomalies",
 ]

@@ -507,6 +507,8 @@ SELECT reason, count(*) AS documents FROM (
     bad_h = "(e % 53 = 1 OR e % 59 = 2 OR e % 61 = 3 OR e % 67 = 4)"
     q["flatten_isolated"] = f"""{with_(EV, STG_H)} SELECT {STG_H_COLS}
 FROM stg_h WHERE NOT (hour_index = 1 AND {bad_h.replace("e %", "forecast_id %")})"""
+    q["flatten_hourly_typed"], q["flatten_daily_typed"] = q["flatten_hourly"], q["flatten_daily"]
+    q["flatten_isolated_typed"] = q["flatten_isolated"]
     q["value_quarantine"] = f"""
 WITH ev AS (SELECT event_id AS e FROM events),
 v AS (SELECT * FROM (VALUES ('hourly', 'temperature_2m_f', 'not_a_number', 53, 1), ('hourly', 'cloud_cover_pct', 'out_of_range', 59, 2),

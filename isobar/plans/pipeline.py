@@ -14,7 +14,7 @@ from isobar.operators import quality as Q
 from isobar.plans import models as M
 from isobar.session import materialize, path_exists
 from isobar.sources.files import write_mart
-from isobar.sources.raw import read_raw
+from isobar.sources.raw import TYPED, read_raw
 
 #: Published marts: partition column and sort columns within it.
 LAYOUT = {
@@ -27,9 +27,12 @@ LAYOUT = {
 
 def build_relations(raw: DataFrame, locations: DataFrame) -> dict[str, DataFrame]:
     """Every relation that has data tests, the marts among them. Each document is parsed
-    once, and each relation that several others or several rules read is written once."""
-    parsed = materialize(M.parse_documents(raw), "parsed_documents")
-    stg_h, stg_d, quarantine = M.isolated_staging(parsed, "_doc")
+    once, a typed landing table's not at all, and each relation that several others or
+    several rules read is written once."""
+    if TYPED in raw.columns:
+        stg_h, stg_d, quarantine = M.isolated_staging(raw)
+    else:
+        stg_h, stg_d, quarantine = M.isolated_staging(materialize(M.parse_documents(raw), "parsed_documents"), "_doc")
     int_h = materialize(M.int_hourly(stg_h, locations), "int_hourly")
     int_d = materialize(M.int_daily(stg_d, locations), "int_daily")
     daily = materialize(M.fct_daily(int_d), "fct_daily")
@@ -60,15 +63,16 @@ def run_pipeline(
     out_dir: str,
     since,
     expected_locations: int = 7,
+    typed: bool = False,
 ) -> tuple[bool, DataFrame]:
-    """Run one build. Raises ``LoadCheckError`` before any transform if the load is short.
+    """Run one build from the landing table, ``typed`` or not. Raises ``LoadCheckError`` before any transform if the load is short.
 
     Returns ``(passed, report)`` where ``report`` is the long V1-V5 table over all
     relations, one row per rule. It is written whether the run passes or not, and so is the
     quarantine of tokens that no column takes, whose rows are in no mart; the marts are
     written only if it passes.
     """
-    raw = read_raw(spark, raw_path)
+    raw = read_raw(spark, raw_path, typed)
     Q.load_check(raw, since, expected_locations)  # V6: stop the chain on a short load
     relations = build_relations(raw, locations)
     report = materialize(Q.quality_report(relations), "quality_report")

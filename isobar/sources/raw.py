@@ -4,6 +4,10 @@ The raw table is Parquet partitioned by ``ingest_date`` and load and only ever a
 JSON documents stay verbatim in ``response_body``. Models read it with the fixed
 schema and project only the columns they need (the JSON text column is the only wide
 one, and each flatten parses only its own section).
+
+A typed landing table holds each document as a VARIANT, too: it is parsed once, when it
+lands, and a flatten's scan reads the arrays it needs out of that column. Documents that a
+VARIANT doesn't stand for are in partitions of their own, whose text is parsed as before.
 """
 
 from __future__ import annotations
@@ -14,11 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isobar.schemas import RAW_SCHEMA
+from isobar.schemas import DAILY_VARIABLES, HOURLY_VARIABLES, INT, RAW_SCHEMA
 
 DEFAULT_WEATHER_MODEL = "gfs_seamless"
 DEFAULT_INGEST_SOURCE = "python"
 LOAD_PARTITIONS = ["ingest_date", "load_id"]
+#: Of a typed table: the parsed document, and the partition column that says there is one.
+DOCUMENT, TYPED = "response_doc", "is_typed"
 
 
 def with_lineage(
@@ -54,8 +60,26 @@ def ingest_date(ts: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86_400).cast("int"))
 
 
-def append_raw(raw_rows: DataFrame, path: str) -> None:
-    """Add loads (``RAW_SCHEMA`` columns) to the landing table at ``path``.
+def typed_documents(raw_rows: DataFrame) -> DataFrame:
+    """``raw_rows`` with each document as a VARIANT, and whether that stands for its text.
+
+    Text that is no JSON, or has an object with a key twice, gives no VARIANT. A VARIANT does
+    not keep how a whole number was written, and an integer column must refuse ``75.0``: so
+    documents with such a number among integers (or one beyond 64 bits, which looks the
+    same) go by their text."""
+    parsed = raw_rows.withColumn(DOCUMENT, F.try_parse_json("response_body"))
+    lossy = "exists(try_variant_get({doc}, '$.{section}.{key}', 'array<variant>'), v -> schema_of_variant(v) LIKE 'DECIMAL%' AND NOT contains(CAST(v AS STRING), '.'))"
+    holds = F.col(DOCUMENT).isNotNull()
+    for section, variables in (("hourly", HOURLY_VARIABLES), ("daily", DAILY_VARIABLES)):
+        for key, _, dtype in variables:
+            if dtype == INT:
+                holds = holds & ~F.coalesce(F.expr(lossy.format(doc=DOCUMENT, section=section, key=key)), F.lit(False))
+    return parsed.withColumn(TYPED, holds)
+
+
+def append_raw(raw_rows: DataFrame, path: str, typed: bool = False) -> None:
+    """Add loads (``RAW_SCHEMA`` columns) to the landing table at ``path``, with
+    ``typed`` to a typed one (always or never, for one table).
 
     A load is a partition of its day. Writing the same load again, as a retried batch does,
     replaces it, so the table holds every load once. Rebalanced by partition: a load is a
@@ -63,16 +87,20 @@ def append_raw(raw_rows: DataFrame, path: str) -> None:
     out = raw_rows.select(*[f.name for f in RAW_SCHEMA.fields], *(["ingest_date"] if "ingest_date" in raw_rows.columns else []))
     if "ingest_date" not in raw_rows.columns:
         out = out.withColumn("ingest_date", ingest_date(F.col("ingested_at")))
+    # Rebalanced before the documents are parsed: the text is smaller than text and VARIANT.
+    out = out.hint("rebalance", *LOAD_PARTITIONS)
     (
-        out.hint("rebalance", *LOAD_PARTITIONS)
+        (typed_documents(out) if typed else out)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*LOAD_PARTITIONS)
+        .partitionBy(*LOAD_PARTITIONS, *([TYPED] if typed else []))
         .parquet(path)
     )
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, typed: bool = False) -> DataFrame:
     """S3: scan the landing table with its fixed schema (no inference)."""
     schema = T.StructType(RAW_SCHEMA.fields + [T.StructField("ingest_date", T.DateType())])
+    if typed:
+        schema.add(DOCUMENT, T.VariantType()).add(TYPED, T.BooleanType())
     return spark.read.schema(schema).parquet(path).select(*schema.names)

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from isobar.operators import quality as Q
 from isobar.plans import bi
 from isobar.plans import models as M
+from isobar.plans.pipeline import build_relations
 from isobar.session import materialize, release, run_folder
 from isobar.sources import driver_tables as D
 from isobar.sources.files import write_mart
+from isobar.sources.raw import append_raw, read_raw
 from isobar.streaming.ingest import hourly_halo, refresh_hourly_mart
 from tests.conftest import T0, make_raw
 
@@ -146,3 +148,56 @@ def test_tables_land_again_after_a_release(spark):
     first = D.raw_forecasts(spark, "/root/testdata/sf0.001").count()
     release(spark)
     assert D.raw_forecasts(spark, "/root/testdata/sf0.001").count() == first
+
+
+# ------------------------------------------------- documents parsed once, at ingest
+def test_typed_documents_give_the_rows_of_their_text(spark):
+    hours = [f"2026-07-05T0{h}:00" for h in range(4)]
+    odd = ["abc", 1e30, 1e-6, 70.5, None, {"a": 1}, [], True, 10**30, -0.0, 7]
+    ints = ["abc", 2.5, 99999999999, 10**25, None, {"a": 1}, 75.0, -3, 1e2, 75, 12]
+    rng = random.Random(5)
+    docs = [
+        (1, T0, 1.0, 2.0, '{"hourly":{"time":["2026-07-05T00:00"],"weather_code":[75.0]}}'),
+        (2, T0, 1.0, 2.5, '{"a":1,"a":2,"hourly":{"time":["2026-07-05T00:00"],"temperature_2m":[1.50]}}'),
+        (3, T0, 1.0, 3.0, "no json {"),
+        (4, T0, 1.0, 3.5, "[1, 2]"),
+        (5, T0, 1.0, 4.0, '{"hourly":{"time":"no","weather_code":[1]},"daily":null}'),
+        (6, T0, 1.0, 4.5, json.dumps({"hourly": {"time": []}, "daily": {"time": ["2026-07-05"], "weather_code": [3], "sunrise": ["soon"]}})),
+        (7, T0, 1.0, 5.0, '{"hourly":{"time":["2026-07-05T00:00"],"weather_code":{"0":1},"rain":7}}'),
+    ]
+    for i in range(8, 60):
+        temps, codes = (rng.choices(values, k=rng.randint(0, 5)) for values in (odd, ints))
+        docs.append((i, T0, 1.0, i / 2, hourly_document(hours, temps, weather_code=codes)))
+    raw = make_raw(spark, docs)
+    path = f"{run_folder(spark)}/typed-test"
+    append_raw(raw, path, typed=True)
+    typed = read_raw(spark, path, typed=True)
+    by_text = {r["forecast_id"] for r in typed.where("NOT is_typed").collect()}
+    assert {1, 2, 3} <= by_text and not by_text & {4, 5, 6, 7} and len(by_text) < 50
+    for got, want in zip(M.isolated_staging(typed), M.isolated_staging(raw)):
+        key = [c for c in ("forecast_id", "section", "position", "column", "hour_index", "day_index") if c in want.columns]
+        rows = lambda df: sorted((tuple(r[k] for k in key), str(r)) for r in df.select(*want.columns).collect())  # noqa: E731, B023
+        assert rows(got) == rows(want)
+
+
+def test_typed_documents_are_read_as_arrays_and_not_parsed(spark):
+    path = f"{run_folder(spark)}/typed-plan"
+    append_raw(make_raw(spark, [(1, T0, 1.0, 2.0, hourly_document(["2026-07-05T00:00"], [70.5]))]), path, typed=True)
+    staged = M.stg_hourly_typed(read_raw(spark, path, typed=True))
+    assert staged.count() == 1
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") <= 1  # of the documents that go by their text
+    of_typed, by_text = [line for line in plan.splitlines() if "FileScan" in line]
+    assert "response_doc" in of_typed and "response_body" not in of_typed and "variant_get" not in plan  # read by the scan
+    assert "response_body" in by_text and "NOT is_typed" in by_text.split("PartitionFilters")[1]
+    assert "parse_json" not in plan
+
+
+def test_run_from_a_typed_table_equals_that_from_text(spark):
+    raw = D.with_repeated_keys(D.raw_forecasts(spark, "/root/testdata/sf0.001"))
+    path = f"{run_folder(spark)}/typed-run"
+    append_raw(raw, path, typed=True)
+    locations = D.locations(spark, "/root/testdata/sf0.001")
+    a, b = build_relations(read_raw(spark, path, typed=True), locations), build_relations(raw, locations)
+    for name in ("fct_hourly_weather", "fct_daily_weather", "value_quarantine"):
+        assert a[name].exceptAll(b[name]).isEmpty() and b[name].exceptAll(a[name]).isEmpty()
