@@ -2,10 +2,10 @@
 
 A line is the set of its words in lower case. Tokens are ordered by rarity, and two sets of
 Jaccard 0.8 or more share a token among the first few of that order (prefix filter). Sets
-that meet on one are checked by length and by the positions of the shared token. Of the
-prefix that ends first, few tokens may be missing from the other: that is checked on
-bitmaps of the prefixes, then on the prefixes. What is left is verified as whole sets. A
-line with an earlier match is removed. DataFrame functions throughout.
+that meet on one are checked by length, by the positions of the shared token, and by parity
+bitmaps of the whole sets, which differ in no more bits than the sets differ in tokens. What
+is left is verified as whole sets. A line with an earlier match is removed. DataFrame
+functions throughout.
 """
 
 from __future__ import annotations
@@ -23,10 +23,13 @@ ALIKE = (4, 5)
 COUNTERS = 1 << 18
 
 _HASH_BITS = 57  # of a token; the six bits before are log2 of its count
-#: Tokens of a line, the rarest ones, by which dense groups are settled first.
-HUB_TOKENS = 3
+#: Lines just before a line, among those that share a token, of which it is first tested
+#: against the closest.
+NEIGHBOURS = 4
 _LINE = ["rank", "text_key", "line_no"]
 _SET = ["set_a", "set_b", "n"]
+#: Parity bitmap of a token set, 64 bits a column; their number is a power of 2.
+_PARITY = ["even_0", "even_1"]
 
 
 def lines_of(text: str | Column) -> Column:
@@ -67,19 +70,20 @@ def _prefix_size(n: Column) -> Column:
     return n - F.ceil(n * ALIKE[0] / ALIKE[1]).cast("int") + 1
 
 
-def _bits(prefix: Column) -> Column:
-    """The 128 bits that a prefix's tokens set, as two longs. What one prefix sets and
-    another doesn't stands for as many tokens that the other lacks."""
-    one = F.lit(1).cast("long")
-    bit = lambda t: F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))
-    high = lambda t: t.bitwiseAND(F.lit(64)) != 0
-    first = F.aggregate(prefix, F.lit(0).cast("long"), lambda acc, t: F.when(high(t), acc).otherwise(acc.bitwiseOR(bit(t))))
-    second = F.aggregate(prefix, F.lit(0).cast("long"), lambda acc, t: F.when(high(t), acc.bitwiseOR(bit(t))).otherwise(acc))
-    return F.struct(first.alias("low"), second.alias("high"))
+def _parity(tokens: Column) -> list[Column]:
+    """Parity of how many tokens fall on each of 64 bits, ``_PARITY`` times over: a token
+    counts in one of them."""
+
+    def word(j: int) -> Column:
+        here = lambda t: (F.shiftright(t, 6).bitwiseAND(F.lit(len(_PARITY) - 1)) == j).cast("long")
+        bit = lambda t: F.call_function("shiftleft", here(t), t.bitwiseAND(F.lit(63)).cast("int"))
+        return F.aggregate(tokens, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(bit(t)))
+
+    return [word(j).alias(name) for j, name in enumerate(_PARITY)]
 
 
 def _lines(docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
-    """All lines: position, identity of its token set, and prefix."""
+    """All lines: position, identity of its token set, prefix and parity bitmap."""
     each = docs.select("rank", "text_key", F.posexplode(lines_of("text")).alias("line_no", "line"))
     each = _flat_words(each, "line").select(*_LINE, _tokens(rarity, counters).alias("tokens"))
     return each.select(
@@ -88,6 +92,7 @@ def _lines(docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
         F.xxhash64("tokens").alias("set_a"),
         F.hash("tokens").alias("set_b"),
         F.slice("tokens", F.lit(1), _prefix_size(F.size("tokens"))).alias("prefix"),
+        *_parity(F.col("tokens")),
     )
 
 
@@ -102,43 +107,34 @@ def _size(side: str) -> Column:
     return F.shiftrightunsigned(F.col(f"{side}.place"), 32)
 
 
-def _passes(a: str, b: str) -> Column:
-    """Length, positional and prefix filters for two sets that meet on a token. ``place``
-    holds the size of a set, the token's position in it, and whether it is settled; ``last``
-    is the last token of its prefix."""
-    position = lambda x: F.shiftrightunsigned(F.col(f"{x}.place"), 1).bitwiseAND(F.lit(0x7FFFFFFF))
+def _differ(a: str, b: str) -> Column:
+    """Bits in which the parity bitmaps of two sets differ."""
+    return sum(F.bit_count(F.col(f"{a}.{word}").bitwiseXOR(F.col(f"{b}.{word}"))) for word in _PARITY)
+
+
+def _alike(a: str, b: str) -> Column:
+    """Length and bitmap filters for two sets."""
     n, m = _size(a), _size(b)
     up, down = ALIKE
     in_length = F.least(n, m) * down >= F.greatest(n, m) * up
-    # Of n + m tokens, at least needed / (up + down) * up are shared by a match.
-    ahead = F.least(n - position(a), m - position(b))
-    in_position = ahead * (up + down) >= (n + m) * up
-    lacks = lambda x, y: sum(
-        F.bit_count(F.col(f"{x}.bits.{part}").bitwiseAND(F.bitwise_not(F.col(f"{y}.bits.{part}")))) for part in ("low", "high")
-    )
-    most = F.when(F.col(f"{a}.last") <= F.col(f"{b}.last"), n - lacks(a, b)).otherwise(m - lacks(b, a))
-    return in_length & in_position & (most * (up + down) >= (n + m) * up)
+    # Of n + m tokens, at most (n + m) * (down - up) / (up + down) are in one set only.
+    return in_length & (_differ(a, b) * (up + down) <= (n + m) * (down - up))
+
+
+def _in_position(a: str, b: str) -> Column:
+    """Positional filter for two sets at the first token they share."""
+    position = lambda x: F.shiftrightunsigned(F.col(f"{x}.place"), 1).bitwiseAND(F.lit(0x7FFFFFFF))
+    n, m = _size(a), _size(b)
+    up, down = ALIKE
+    return F.least(n - position(a), m - position(b)) * (up + down) >= (n + m) * up
 
 
 def _place(settled: Column) -> Column:
+    """The size of a set, the token's position in it, and whether it is settled."""
     size, position = F.shiftleft(F.col("n").cast("long"), 32), F.shiftleft(F.col("i").cast("long"), 1)
     return size.bitwiseOR(position).bitwiseOR(settled.cast("long"))
 
 
-def _overlapping(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """The pairs whose prefixes share enough tokens. Tokens of either prefix up to the lesser
-    of their last tokens lie within the other's prefix or nowhere in the other set, so those
-    not shared are missing from the overlap."""
-    side = lambda name, x: known.select(F.col("cid").alias(name), F.col("n").cast("long").alias(f"n_{x}"), F.col("prefix").alias(f"prefix_{x}"))
-    both = pairs.join(side("early", "e"), "early").join(side("late", "l"), "late")
-    up, down = ALIKE
-    last = F.least(F.element_at("prefix_e", -1), F.element_at("prefix_l", -1))
-    seen = lambda x: F.size(F.filter(f"prefix_{x}", lambda t: t <= F.col("end")))
-    both = both.withColumns({"shared": F.size(F.array_intersect("prefix_e", "prefix_l")), "end": last})
-    most = F.least(F.col("n_e") - seen("e"), F.col("n_l") - seen("l")) + F.col("shared")
-    return both.where(most * (up + down) >= (F.col("n_e") + F.col("n_l")) * up).select("early", "late")
-
-
 def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Column, counters: int) -> DataFrame:
     """The pairs (early, late) of cids whose whole token sets are similar enough. Only
     documents with a line among the pairs are split again."""
@@ -159,32 +155,39 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, rarity: Colu
 
 
 def _removed(known: DataFrame, firsts: DataFrame, docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
-    """cids of the first lines that have an earlier match; ``known`` has cid, n and prefix
-    of all first lines.
-
-    First the earliest line of each group that shares one of the ``HUB_TOKENS`` rarest
-    tokens is tested against the others: as many pairs as tokens. Lines that this settles,
-    nearly all of a dense group, are only paired as the earlier one from then on."""
-    marked = known.withColumns({"last": F.element_at("prefix", -1), "bits": _bits(F.col("prefix"))})
-    rare = marked.select("cid", "n", "last", "bits", F.posexplode(F.slice("prefix", 1, HUB_TOKENS)).alias("i", "token"))
-    me = F.struct("cid", _place(F.lit(0)).alias("place"), "last", "bits")
-    met = rare.select("token", me.alias("me")).withColumn("hub", F.min("me").over(Window.partitionBy("token")))
-    met = met.where((F.col("hub.cid") < F.col("me.cid")) & _passes("hub", "me"))
-    met = met.select(F.col("hub.cid").alias("early"), F.col("me.cid").alias("late")).distinct()
-    met = materialize(_overlapping(met, known), "hub_lines")
+    """cids of the first lines that have an earlier match; ``known`` has cid, n, prefix
+    and parity of all first lines.
+
+    First a line is tested against a few others that share the first, the middle or the last
+    token of its prefix as one of these: of the earliest and the ``NEIGHBOURS`` just before it,
+    the closest by bitmap. Those are three pairs a line at most. Lines that this settles, nearly all of a dense group,
+    are only paired as the earlier one from then on."""
+    size = F.size("prefix")
+    at = F.array_distinct(F.array(F.lit(0), F.shiftright(size, 1), size - 1))
+    some = known.select("cid", "n", *_PARITY, F.explode(F.transform(at, lambda i: F.struct(i.alias("i"), F.get("prefix", i).alias("token")))).alias("t"))
+    some = some.select("cid", "n", *_PARITY, "t.*")
+    by_place = Window.partitionBy("token").orderBy("cid")
+    me = F.struct("cid", _place(F.lit(0)).alias("place"), *_PARITY)
+    before = [F.first("me").over(by_place.rowsBetween(Window.unboundedPreceding, 0)), *[F.lag("me", k).over(by_place) for k in range(1, NEIGHBOURS + 1)]]
+    others = [f"other_{k}" for k in range(len(before))]
+    met = some.select("token", "cid", me.alias("me")).select("me", *[b.alias(other) for b, other in zip(before, others, strict=True)])
+    found = [F.when((F.col(f"{x}.cid") < F.col("me.cid")) & _alike(x, "me"), F.struct(_differ(x, "me").alias("bits"), F.col(f"{x}.cid").alias("cid"))) for x in others]
+    met = met.select(F.least(*found).alias("closest"), F.col("me.cid").alias("late")).where("closest IS NOT NULL")
+    met = met.select(F.col("closest.cid").alias("early"), "late").distinct()
+    met = materialize(met, "near_lines")
     settled = _verified(met, docs, firsts, rarity, counters)
     discard(met)
     # One shuffle of the prefixes serves both sides: what holds for one side only, that its
     # line is not settled, is written as a condition on both, and the filter that Spark
     # would infer for one side is on both from the start.
-    flagged = marked.where("cid IS NOT NULL").join(settled.withColumn("done", F.lit(1)), "cid", "left").withColumn("done", F.coalesce("done", F.lit(0)))
-    shared = flagged.select("cid", "n", "last", "bits", "done", F.posexplode("prefix").alias("i", "token"))
-    shared = shared.select("token", "cid", _place(F.col("done")).alias("place"), "last", "bits")
+    flagged = known.where("cid IS NOT NULL").join(settled.withColumn("done", F.lit(1)), "cid", "left").withColumn("done", F.coalesce("done", F.lit(0)))
+    shared = flagged.select("cid", "n", "done", *_PARITY, F.posexplode("prefix").alias("i", "token"))
+    shared = shared.select("token", "cid", _place(F.col("done")).alias("place"), *_PARITY)
     late, early = shared.alias("l"), shared.alias("e")
     limit = F.when(F.col("l.place").bitwiseAND(F.lit(1)) == 1, F.lit(-1)).otherwise(F.col("l.cid"))
-    meet = (F.col("l.token") == F.col("e.token")) & (F.col("e.cid") < limit) & _passes("e", "l")
+    meet = (F.col("l.token") == F.col("e.token")) & (F.col("e.cid") < limit) & _in_position("e", "l") & _alike("e", "l")
     pairs = late.join(early, meet).select(F.col("e.cid").alias("early"), F.col("l.cid").alias("late")).distinct()
-    pairs = materialize(_overlapping(materialize(pairs, "met_lines"), known), "line_pairs")
+    pairs = materialize(pairs, "line_pairs")
     more = _verified(pairs, docs, firsts, rarity, counters)
     discard(pairs)
     return settled.union(more).distinct()
@@ -203,7 +206,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rarity = _rarity(source, counters)
     lines = materialize(_lines(source, rarity, counters), "lines")
     firsts = materialize(_first_lines(lines), "first_lines")
-    known = materialize(lines.join(firsts.select("cid", *_LINE), _LINE).dropDuplicates(_LINE).select("cid", "n", "prefix"), "first_prefixes")
+    known = materialize(lines.join(firsts.select("cid", *_LINE), _LINE).dropDuplicates(_LINE).select("cid", "n", "prefix", *_PARITY), "first_prefixes")
     places = materialize(lines.where("n > 0").select(*_LINE), "line_places")
     discard(lines)
     removed = _removed(known, firsts, source, rarity, counters)
