@@ -97,8 +97,9 @@ def _lines(docs: DataFrame, rarity: Column, counters: int) -> DataFrame:
 
 
 def _first_lines(lines: DataFrame) -> DataFrame:
-    """The first line of each token set, with ``cid``: numbers in the order of position."""
-    first = lines.where("n > 0").groupBy(*_SET).agg(F.min(F.struct("rank", "line_no", "text_key")).alias("at"))
+    """The first line of each token set with its prefix and parity bitmap, and ``cid``:
+    numbers in the order of position."""
+    first = lines.where("n > 0").groupBy(*_SET).agg(F.min(F.struct("rank", "line_no", "text_key", "prefix", *_PARITY)).alias("at"))
     place = first.select(*_SET, "at.*").repartitionByRange("rank", "line_no", "text_key").sortWithinPartitions("rank", "line_no", "text_key")
     return place.withColumn("cid", F.monotonically_increasing_id())
 
@@ -206,14 +207,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rarity = _rarity(source, counters)
     lines = materialize(_lines(source, rarity, counters), "lines")
     firsts = materialize(_first_lines(lines), "first_lines")
-    known = materialize(lines.join(firsts.select("cid", *_LINE), _LINE).dropDuplicates(_LINE).select("cid", "n", "prefix", *_PARITY), "first_prefixes")
+    known = firsts.select("cid", "n", "prefix", *_PARITY)
     places = materialize(lines.where("n > 0").select(*_LINE), "line_places")
     discard(lines)
     removed = _removed(known, firsts, source, rarity, counters)
     kept_first = firsts.join(removed, "cid", "left_anti").select(*_LINE)
     gone = places.join(kept_first, _LINE, "left_anti").groupBy("rank", "text_key").agg(F.collect_set("line_no").alias("gone"))
     gone = materialize(gone, "removed_lines")
-    for table in (known, places, firsts):
+    for table in (places, firsts):
         discard(table)
     out = source.join(gone, ["rank", "text_key"], "left").withColumn("lines", lines_of("text"))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from isobar.llm import line_dedup, near_dedup, substring_dedup
 from isobar.llm.components import components
@@ -122,6 +123,29 @@ def test_long_and_equally_rare_lines_equal_brute_force(spark):
     assert by_id(got, "n_lines", "n_removed", "kept_text") == line_dedup.brute_force(list(distinct.items()))
 
 
+def test_parity_bitmaps_differ_in_no_more_bits_than_sets_in_tokens(spark):
+    rng, rows = random.Random(5), []
+    for k in range(200):
+        one = [rng.randrange(2**61) for _ in range(1 + k)]
+        rows.append((k, one, rng.sample(one, rng.randrange(k + 1)) + [rng.randrange(2**61) for _ in range(rng.randrange(9))]))
+    pairs = spark.createDataFrame(rows, "k long, one array<long>, two array<long>")
+    sides = pairs.select("k", *[F.struct(*line_dedup._parity(F.col(side))).alias(side) for side in ("one", "two")])
+    bits = {r["k"]: r["bits"] for r in sides.select("k", line_dedup._differ("one", "two").alias("bits")).collect()}
+    assert all(bits[k] <= len(set(one) ^ set(two)) and (bits[k] - len(set(one) ^ set(two))) % 2 == 0 for k, one, two in rows)
+
+
+def test_copies_around_a_template_equal_brute_force(spark):
+    rng, rows = random.Random(6), []
+    template = [f"t{k}" for k in range(20)]
+    for i in range(150):  # each changes a few words: some match the earliest, some only others
+        words = list(template)
+        for at in rng.sample(range(20), 3 if i == 0 else rng.randrange(4)):
+            words[at] = f"x{rng.randrange(400)}"
+        rows.append((i, " ".join(words) + f"\nown{i} line{i}"))
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert by_id(got, "n_lines", "n_removed", "kept_text") == line_dedup.brute_force(rows)
+
+
 def test_odd_rows(odd_docs):
     exact = [(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup(odd_docs).collect()]
     assert sorted(exact, key=str) == sorted([(2, 2, 1, True), (7, 7, 3, False), (7, 7, 3, True), (9, 9, 1, True), (9, 9, 1, True), (None, 7, 3, False)], key=str)
