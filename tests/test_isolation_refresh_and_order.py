@@ -15,7 +15,7 @@ from isobar.session import materialize, release, run_folder
 from isobar.sources import driver_tables as D
 from isobar.sources.files import write_mart
 from isobar.sources.raw import append_raw, read_raw
-from isobar.streaming.ingest import hourly_halo, refresh_hourly_mart
+from isobar.streaming.ingest import hourly_halo, rebuild_hourly, refresh_hourly_mart
 from tests.conftest import T0, make_raw
 
 NO_LOCATIONS = "location_name string, latitude double, longitude double, timezone string, state string, city string"
@@ -102,6 +102,17 @@ def test_halo_is_two_rows_back_and_two_rows_on(spark):
     assert days(halo) == [3, 4, 5, 6, 7] and days(r for r in halo if r["rewrite"]) == [5, 6, 7]
 
 
+def test_hours_of_a_refresh_are_not_broadcast(spark):
+    rows = [(i, T0 + dt.timedelta(days=i == 5), 1.0, f"2026-07-{1 + 2 * i:02d}T00:00", 1.0) for i in range(10)]
+    staged = staged_rows(spark, rows)
+    halo = materialize(hourly_halo(staged, F.col("ingested_at") > F.lit(T0)), "halo")
+    fresh = rebuild_hourly(staged, halo, spark.createDataFrame([], NO_LOCATIONS))
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    joins = [p.split("Join")[0] for p in plan.split("\n") if "Join " in p and "observation_hour" in p]
+    assert [j.split()[-1] for j in joins] == ["SortMerge"]  # their files are small, however many they are
+    assert sorted((r["observation_hour"].day - 1) // 2 for r in fresh.collect()) == [5, 6, 7]
+
+
 # ---------------------------------------------------------------- V2, V5
 def test_all_uniqueness_rules_take_one_shuffle_and_compare_values(spark):
     a = spark.createDataFrame([(1, "x", None), (1, "x", 2.0), (2, "y", 2.0), (None, "y", None), (None, "z", None), (None, "z", None)], "k long, s string, v double")
