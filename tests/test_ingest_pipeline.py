@@ -1,6 +1,7 @@
 """S1, S2, S4, S7, X1, V6-V7 on small landing fixtures written to a scratch folder."""
 
 import datetime as dt
+import glob
 import json
 import tempfile
 
@@ -11,6 +12,8 @@ from test_operators import MINIMAL
 from isobar.operators.quality import LoadCheckError
 from isobar.plans.pipeline import run_pipeline
 from isobar.plans import models as M
+from isobar.plans import registry
+from isobar.session import run_folder
 from isobar.sources.files import read_landing, read_locations_csv, read_mart, write_mart
 from isobar.sources.raw import append_raw, read_raw, with_lineage
 from isobar.streaming.ingest import ingest_landing, refresh_daily_marts
@@ -173,3 +176,17 @@ def test_append_sink_lineage(spark):
     again = {r.forecast_id for r in with_lineage(docs, load_id="run-1").collect()}
     assert again == {r.forecast_id for r in run1.collect()}  # deterministic per run
     assert all(r.ingest_date is not None for r in rows)
+
+
+def test_landing_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    suppliers = spark.range(1, 41).select(F.col("id").alias("s_suppkey"))
+    suppliers.coalesce(1).write.parquet(f"{tmp_path}/supplier.parquet")
+    customer = "id AS c_custkey", "format_string('Customer#%09d', id) AS c_name", "'A' AS c_mktsegment"
+    spark.range(1, 41).selectExpr(*customer).write.parquet(f"{tmp_path}/customer.parquet")
+    monkeypatch.setattr(registry, "LANDING_FILES_PER_TASK", 5)
+    before = set(glob.glob(f"{run_folder(spark)}/landing-*"))
+    rows = registry.q_landing_ingest(spark, str(tmp_path)).collect()
+    assert len(rows) == 40 and {r["times"] for r in rows} == {1}
+    (folder,) = set(glob.glob(f"{run_folder(spark)}/landing-*")) - before
+    files = glob.glob(f"{folder}/files/*/part-*")
+    assert len(files) == 40 and len({f.rsplit("/", 1)[1].split("-")[1] for f in files}) > 4
