@@ -39,6 +39,7 @@ ZONES = ["America/New_York", "America/Chicago", "America/Denver", "America/Los_A
 WEATHER_MODEL = "gfs_seamless"
 HOURS_PER_RUN = 3
 DAYS_PER_RUN = 2
+EVENTS_PER_TASK = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -254,11 +255,19 @@ def raw_forecasts(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Da
     key = (spark.sparkContext.applicationId, sf_dir)
     if refresh or key not in _landed or not path_exists(spark, _landed[key]):  # it may have been released
         out = f"{run_folder(spark)}/raw_forecast-{uuid.uuid4().hex}"
-        append_raw(raw_forecasts_unlanded(spark, sf_dir), out)
+        append_raw(forecast_documents(_by_day(table(spark, sf_dir, "events"))), out, spread=True)
         _landed[key] = out
     return read_raw(spark, _landed[key])
 
 
+def _by_day(events: DataFrame) -> DataFrame:
+    """The events in ranges of their time and id, a fixed number per task: what is shuffled
+    are the events, not the documents built from them."""
+    spark = events.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, events.count() // EVENTS_PER_TASK + 1)
+    return events.repartitionByRange(tasks, F.to_date("ts"), "event_id")
+
+
 def raw_forecasts_unlanded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same documents as a lazy plan straight over ``events`` (no landing)."""
     return forecast_documents(table(spark, sf_dir, "events"))

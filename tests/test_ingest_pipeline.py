@@ -14,6 +14,7 @@ from isobar.plans.pipeline import run_pipeline
 from isobar.plans import models as M
 from isobar.plans import registry
 from isobar.session import run_folder
+from isobar.sources import driver_tables as D
 from isobar.sources.files import read_landing, read_locations_csv, read_mart, write_mart
 from isobar.sources.raw import append_raw, read_raw, with_lineage
 from isobar.streaming.ingest import ingest_landing, refresh_daily_marts
@@ -190,3 +191,16 @@ def test_landing_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     (folder,) = set(glob.glob(f"{run_folder(spark)}/landing-*")) - before
     files = glob.glob(f"{folder}/files/*/part-*")
     assert len(files) == 40 and len({f.rsplit("/", 1)[1].split("-")[1] for f in files}) > 4
+
+
+def test_landed_events_are_shuffled_instead_of_their_documents(spark, tmp_path):
+    k, t = "format_string('{\"k\": %d}', id % 90) AS props", "TIMESTAMP_NTZ'2024-01-01 00:30:00' + make_dt_interval(0, CAST(id % 60 AS INT)) AS ts"
+    events = spark.range(200).selectExpr("id AS event_id", t, "id % 9 AS user_id", "'view' AS event_type", "CAST(id AS DOUBLE) AS value", k)
+    events.union(events.limit(20)).write.parquet(f"{tmp_path}/events.parquet")  # some rows twice
+    built = D.raw_forecasts_unlanded(spark, str(tmp_path))
+    landed = D.raw_forecasts(spark, str(tmp_path), refresh=True).select(*built.columns)
+    assert sorted(map(str, landed.collect())) == sorted(map(str, built.collect()))
+    files = landed.inputFiles()
+    assert len(files) <= 3 + 2 * spark.sparkContext.defaultParallelism and all(".zstd." in f for f in files)
+    plan = D.forecast_documents(D._by_day(D.table(spark, str(tmp_path), "events")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("format_string") < plan.index("Exchange rangepartitioning") and plan.count("Exchange") == 1
