@@ -59,6 +59,13 @@ def test_isolated_flatten_parses_each_document_once(spark):
     assert plan.split("== Physical Plan ==")[1].count("from_json") <= 1
 
 
+def test_isolated_rows_are_written_without_a_shuffle(spark):
+    docs = [(i, T0, 1.0, 2.0, hourly_document([f"2026-07-05T0{i}:00"], ["abc" if i == 2 else 70.5])) for i in range(4)]
+    hourly, _, bad = M.isolated_staging(make_raw(spark, docs).repartition(3))
+    assert not [f for f in hourly.inputFiles() if "_bad=" in f]  # partitioned, all good rows went to one task
+    assert sorted(r["forecast_id"] for r in hourly.collect()) == [0, 1, 3] and [r["forecast_id"] for r in bad.collect()] == [2]
+
+
 # ---------------------------------------------------------------- X2 hourly
 def staged_rows(spark, rows):
     """(forecast_id, ingested_at, latitude, time, temperature) -> staged rows with a date."""
