@@ -203,6 +203,24 @@ def test_merge_holds_only_overlapping_pages():
     assert i == 1999
 
 
+def test_index_task_holds_a_bounded_part_of_its_documents():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    strings, longs = pa.list_(pa.string()), pa.list_(pa.int64())
+    page = pa.schema([("shard", pa.int32()), ("first", pa.string()), ("key", strings), ("source", strings), ("n", longs), ("docs", longs)])
+    text = " ".join(["some words that are told again"] * 130)
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 2000), pa.array(["a", "b"] * 1000), pa.array([text] * 2000)], ["lang", "source", "text"])
+    index = divergence._index(4, divergence.BLOCK_POSTINGS, divergence.BLOCK_TERMS, page)
+    tracemalloc.start()
+    runs = list(index(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(sum(n) for r in runs for n in r.column(4).to_pylist()) == 2000 * 6 * 130
+    assert peak < 24e6  # 57 MB when whole batches were converted and a million tokens counted at a time
+
+
 def test_scaled_is_exact_for_large_counts():
     import numpy as np
 
