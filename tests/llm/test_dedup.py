@@ -110,6 +110,22 @@ def test_lines_match_in_any_letter_case(spark):
     assert by_id(line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")), "n_removed", "kept_text") == want
 
 
+def test_lines_of_a_dense_group_are_settled_wherever_their_edits_rank(spark, monkeypatch):
+    rng, shared = random.Random(11), [f"w{k}" for k in range(70)]
+    rows = [(i, " ".join(rng.sample(shared, 66) + [f"edit{i}x{k}" for k in range(rng.randrange(6))])) for i in range(300)]
+    pairs, write = [], line_dedup.materialize
+
+    def counted(df, name):
+        table = write(df, name)
+        pairs.extend([table.count()] * (name == "line_pairs"))
+        return table
+
+    monkeypatch.setattr(line_dedup, "materialize", counted)
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert by_id(got, "n_lines", "n_removed", "kept_text") == line_dedup.brute_force(rows)
+    assert pairs[0] < 2000  # 4,010 when tokens were drawn by their place in the prefix, 448 now
+
+
 def test_long_and_equally_rare_lines_equal_brute_force(spark):
     rng, rows = random.Random(9), []
     for i in range(40):  # all words are equally rare, lines are long, many share a third
