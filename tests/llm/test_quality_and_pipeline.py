@@ -118,6 +118,14 @@ def test_stages_of_odd_and_empty_tables(spark, tables, odd_docs, no_docs):
         assert len(got.collect()) <= 6 and got.columns[:5] == named.columns, name
 
 
+def test_mixing_stage_shuffles_the_documents_once(spark, tables):
+    rows = [(i % 40, prose(i % 40, 30), "en", f"s{i % 3}" if i % 7 else None, i) for i in range(120)]
+    got = corpus_pipeline.mixing_stage(spark, spark.createDataFrame(rows, DOCS_SCHEMA), tables)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.split("\n") if "Exchange" in line and "nth#" in line]
+    assert all(r["taken"] == r["size"] * r["copies"] > 0 for r in got.collect())
+
+
 def test_choice_among_repeated_rows_does_not_depend_on_their_order(spark, tables):
     text = prose(5, 80)
     rows = [(1, text, "en", f"s{i}", i) for i in range(6)] + [(2, prose(6, 50), "en", "s1", 1)]
