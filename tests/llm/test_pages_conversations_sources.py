@@ -111,6 +111,43 @@ def test_templates_of_many_structures_reduce_to_one_per_host(spark):
     assert all("same" not in t for t in texts(spark, rows).values())
 
 
+def test_templates_of_thousands_of_nodes_lose_none_of_them(spark):
+    name = lambda k: "".join("abcdefghij"[int(d)] for d in str(k))
+    notices = "".join(f"<div class=x{name(k)}>" + "".join(f"<{t}>notice {k} {j}</{t}>" for j, t in enumerate(["p", "pre"] * 20)) + "</div>" for k in range(60))
+    rows = [(i, "http://h/", f"<body>{notices}<div class=own>{story(i)[0]}</div></body>") for i in range(6)]
+    assert sum(1 for _ in wrapper.parse(rows[0][2])[0].walk()) > 2_400
+    assert texts(spark, rows) == {i: story(i)[0] for i in range(6)}
+    # and beyond any number, if pages have few nodes each: a notice is on half of a host's pages
+    rows = [(i, "http://h/", "<body>" + "".join(f"<div class=y{name(30 * i + k)}>own {i} {k}</div>" for k in range(30)) + (f"<div class=z>common</div>" if i % 2 else "") + "</body>") for i in range(100)]
+    assert texts(spark, rows) == {i: " ".join(f"own {i} {k}" for k in range(30)) for i in range(100)}
+
+
+def dense_alignment(a, b):
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = max(table[i][j + 1], table[i + 1][j], table[i][j] + brute_score(x, y))
+    out, i, j = [], len(a), len(b)
+    while i or j:
+        if i and j and brute_score(a[i - 1], b[j - 1]) and table[i][j] == table[i - 1][j - 1] + brute_score(a[i - 1], b[j - 1]):
+            i, j = i - 1, j - 1
+            out.append((a[i], b[j]))
+        elif j and table[i][j] == table[i][j - 1]:
+            j -= 1
+            out.append((None, b[j]))
+        else:
+            i -= 1
+            out.append((a[i], None))
+    return out[::-1]
+
+
+def test_alignment_among_nodes_that_can_not_match_is_the_dense_one():
+    rng = random.Random(6)
+    for _ in range(200):
+        a, b = ([wrapper.Node(rng.choice(labels), random_tree(rng, 1).kids) for _ in range(rng.randrange(7))] for labels in ("abx", "aby"))
+        assert wrapper.aligned(a, b, {}) == dense_alignment(a, b)
+
+
 # ---- op12
 
 
