@@ -258,6 +258,37 @@ def test_index_task_holds_a_bounded_part_of_its_documents():
     assert peak < 24e6  # 57 MB when whole batches were converted and a million tokens counted at a time
 
 
+def test_merge_of_many_overlapping_runs_holds_few_objects():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    strings, longs = pa.list_(pa.string()), pa.list_(pa.int64())
+    row = pa.schema([("lang", pa.string()), ("term", pa.string()), ("sources", strings), ("counts", longs)])
+    keys, ones = pa.array([f"en\0t{i:04d}" for i in range(1000)]), pa.array([1] * 1000)
+    runs, batches = 300, []
+    for i in range(0, runs, 10):
+        lists = [pa.ListArray.from_arrays(pa.array(range(0, 10_001, 1000), pa.int32()), pa.concat_arrays(x)) for x in ([keys] * 10, [pa.array([f"s{r % 7}"] * 1000) for r in range(i, i + 10)], [ones] * 10, [ones] * 10)]
+        batches.append(pa.RecordBatch.from_arrays([pa.array([0] * 10, pa.int32()), pa.array(["en\0t0000"] * 10), *lists], ["shard", "first", "key", "source", "n", "docs"]))
+    tracemalloc.start()
+    found = [r for b in divergence._merge(10, row)(iter(batches)) for r in b.select(["counts"]).slice(0, 1).to_pylist()]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [sum(r["counts"]) for r in found] == [runs]
+    assert peak < 20e6  # 70 MB when the postings of all pages were objects
+
+
+def test_summing_held_pages_changes_nothing():
+    rng = random.Random(3)
+    runs = [sorted((f"{lang}\0{'é' * (i % 2)}t{i}", f"s{s}", rng.randrange(9), 1) for lang in ("de", "en") for i in range(60) for s in range(4) if rng.random() < 0.4) for _ in range(20)]
+    pages = sorted(((run[i][0], [list(c) for c in zip(*run[i : i + 17], strict=True)]) for run in runs for i in range(0, len(run), 17)), key=lambda page: page[0])
+    whole = [(key, dict(found), docs) for key, found, docs in divergence._merged(pages, 10**9)]
+    assert [key for key, *_ in whole] == sorted({p[0] for run in runs for p in run})
+    assert sum(docs for *_, docs in whole) == sum(map(len, runs))
+    for most in (1, 50, 400):
+        assert [(key, dict(found), docs) for key, found, docs in divergence._merged(pages, most)] == whole
+
+
 def test_scaled_is_exact_for_large_counts():
     import numpy as np
 
