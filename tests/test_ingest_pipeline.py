@@ -13,10 +13,11 @@ from isobar.operators.quality import LoadCheckError
 from isobar.plans.pipeline import run_pipeline
 from isobar.plans import models as M
 from isobar.plans import registry
-from isobar.session import run_folder
+from isobar.session import run_folder, setting
 from isobar.sources import driver_tables as D
 from isobar.sources.files import read_landing, read_locations_csv, read_mart, write_mart
 from isobar.sources.raw import append_raw, read_raw, with_lineage
+from isobar.streaming import ingest
 from isobar.streaming.ingest import ingest_landing, refresh_daily_marts
 
 DOCS = "latitude double, longitude double, timezone string, source_url string, request_params string, response_body string"
@@ -193,6 +194,28 @@ def test_landing_files_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     assert len(files) == 40 and len({f.rsplit("/", 1)[1].split("-")[1] for f in files}) > 4
 
 
+def test_landing_files_are_read_many_to_a_task_and_listed_without_partition_values(spark, landing, monkeypatch):
+    tmp, loc, run = landing
+    for k in range(60):
+        folder = tmp / "landing" / f"landing=weather_{'whole_town' if k % 2 else 'nowhere'}_2026-07-{k % 28 + 1:02d}.json"
+        folder.mkdir(exist_ok=True)
+        (folder / f"part-{k}.txt").write_text(json.dumps(MINIMAL))
+    assert "landing#" not in ingest.landing_stream(spark, str(tmp / "landing"))._jdf.queryExecution().analyzed().toString()
+    tasks, materialize = [], ingest.materialize
+    monkeypatch.setattr(ingest, "materialize", lambda df, name: tasks.append(df.rdd.getNumPartitions()) or materialize(df, name))
+    with setting(spark, "spark.sql.files.maxPartitionBytes", "1m"):
+        got = run()
+    assert (got.documents, got.quarantined) == (30, {"unknown_location": 30}) and tasks == [tasks[0]] and tasks[0] < 10  # 60 before
+
+
+def test_files_in_other_folders_are_left_alone(spark, landing):
+    tmp, loc, run = landing
+    _landing(tmp / "landing", {"weather_whole_town_2026-07-06.json": MINIMAL})
+    (tmp / "landing" / "done").mkdir()
+    _landing(tmp / "landing" / "done", {"weather_whole_town_2026-07-07.json": MINIMAL})
+    assert run().documents == 1
+
+
 def test_landed_events_are_shuffled_instead_of_their_documents(spark, tmp_path):
     k, t = "format_string('{\"k\": %d}', id % 90) AS props", "TIMESTAMP_NTZ'2024-01-01 00:30:00' + make_dt_interval(0, CAST(id % 60 AS INT)) AS ts"
     events = spark.range(200).selectExpr("id AS event_id", t, "id % 9 AS user_id", "'view' AS event_type", "CAST(id AS DOUBLE) AS value", k)
